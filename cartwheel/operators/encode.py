@@ -141,8 +141,8 @@ def encode_candidates(candidates: DataFrame, product: DataFrame, user: DataFrame
                       unseen: str = "keep") -> DataFrame:
     """Candidates (user_id, sku_id) -> product/user features, 0-filled, encoded.
 
-    Output: user_id, item_id (raw sku) and one global id per feature column,
-    in the dictionary's column order; set-based over all users at once.
+    Output: user_id, item_id (raw ids) and ``f_<col>`` = global id of every
+    feature column, in the dictionary's column order; set-based over all users.
     """
     from cartwheel.operators.transform import fill_zero, join_dimensions
     cols = d.columns
@@ -153,4 +153,4 @@ def encode_candidates(candidates: DataFrame, product: DataFrame, user: DataFrame
     wide = fill_zero(wide)
     enc = encode_columns(wide, d, unseen)
     return enc.select(F.col("user_id"), F.col("sku_id").alias("item_id"),
-                      *[F.col(f"f_{c}").alias(c) for c in cols if c not in d.numeric])
+                      *[F.col(f"f_{c}") for c in cols if c not in d.numeric])
