@@ -109,8 +109,9 @@ def encode_columns(df: DataFrame, d: FeatureDictionary, unseen: str = "keep",
     if unseen == "skip" and missing:
         out = out.where(~F.greatest(*[m.cast("int") for _, m in missing] + [F.lit(0)]).cast("boolean"))
     elif unseen == "error" and missing:
+        # a filter (not a dropped column) so the optimizer cannot prune the check
         checks = [F.when(m, F.raise_error(F.lit(f"unseen value in column {c}"))) for c, m in missing]
-        out = out.withColumn("_unseen", F.coalesce(*checks, F.lit(None))).drop("_unseen")
+        out = out.where(F.coalesce(*checks, F.lit(True)))
     return out
 
 
