@@ -54,12 +54,17 @@ def _split_sql_ctes(k: int, seed: int = SEED) -> list[tuple[str, str]]:
     ]
 
 
-def _assembled(spark, sf, k=N_TRAIN_NEGATIVES):
+def _assembled(spark, sf, k=N_TRAIN_NEGATIVES, train_fraction: float | None = None):
+    """Positives + negatives with a train/test part.  ``k`` negatives go to
+    train (reference: 30M); ``train_fraction`` instead sizes k from the
+    counted negatives, for evaluation sets that need negatives at any scale."""
     clicks = fx.clicks(spark, sf)
     t = F.col("action_time")
     train_pos = clicks.where(t < F.lit(TRAIN_END).cast("timestamp_ntz"))
     test_pos = clicks.where((t >= F.lit(TRAIN_END).cast("timestamp_ntz")) & (t < F.lit(TEST_END).cast("timestamp_ntz")))
     neg = SM.negative_samples(clicks, SEED)
+    if train_fraction is not None:
+        k = int(neg.count() * train_fraction)
     return SM.train_test_with_negatives(train_pos, test_pos, neg, k, SEED)
 
 
