@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.ranking import sorted_index
+from cartwheel.session import shared_path
 
 BROADCAST_MAX_ROWS = 1_000_000
 UNSEEN_POLICIES = ("error", "skip", "keep")
@@ -47,7 +48,7 @@ class FeatureDictionary:
 
 
 def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (),
-                     num_partitions: int | None = None) -> FeatureDictionary:
+                     num_partitions: int | None = None, path: str | None = None) -> FeatureDictionary:
     """Dictionary of ``columns`` (field id = position in ``columns``).
 
     Categorical columns must be integral (ids, codes); their values sort
@@ -73,8 +74,13 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
                            "size": size, "base": base})
         base += size
     fields = spark.createDataFrame(field_rows, "field_id int, column string, kind string, size bigint, base bigint")
-    values = (coded.join(F.broadcast(fields.select("field_id", "base")), "field_id")
+    values = (coded.join(F.broadcast(fields.select("field_id", "base")), "field_id")  # F rows
               .select("field_id", "column", "value", "code", (F.col("base") + F.col("code")).alias("feature_id")))
+    # persist once, partitioned by field: every per-field lookup then reads
+    # only its own partition instead of recomputing the ranking
+    path = path or shared_path(spark, "dictionary")
+    values.write.mode("overwrite").partitionBy("field_id").parquet(path)
+    values = spark.read.parquet(path).select("field_id", "column", "value", "code", "feature_id")
     return FeatureDictionary(fields, values, columns, numeric, field_rows)
 
 

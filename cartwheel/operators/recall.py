@@ -19,11 +19,26 @@ from cartwheel.operators.topn import global_top_n, item_counts, top_items_per_gr
 CONTENT_KINDS = ("city", "age", "cate", "brand")
 
 
-def recall_input(action: DataFrame, product: DataFrame, user: DataFrame) -> DataFrame:
-    """Action log with product attributes and user age/city (two left joins)."""
+PRODUCT_ATTRS = ("brand", "shop_id", "cate")
+USER_ATTRS = ("age", "city")
+
+
+def recall_input(action: DataFrame, product: DataFrame | None, user: DataFrame | None,
+                 needed: Sequence[str] | None = None) -> DataFrame:
+    """Action log with product attributes and user age/city (left joins).
+
+    ``needed`` limits the joins to the dimensions whose columns are used, so
+    a city list never shuffles the product table.
+    """
     a = action.select("user_id", "sku_id", "type", "action_time", "event_id")
-    return (a.join(product, "sku_id", "left")
-            .join(user.select("user_id", "age", "city"), "user_id", "left"))
+    want = set(needed) if needed is not None else set(PRODUCT_ATTRS) | set(USER_ATTRS)
+    pcols = [c for c in PRODUCT_ATTRS if c in want]
+    ucols = [c for c in USER_ATTRS if c in want]
+    if product is not None and pcols:
+        a = a.join(product.select("sku_id", *pcols), "sku_id", "left")
+    if user is not None and ucols:
+        a = a.join(user.select("user_id", *ucols), "user_id", "left")
+    return a
 
 
 def content_list(enriched: DataFrame, kind: str, n: int = 10) -> DataFrame:

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.session import ensure_checkpoint_dir
+
 PARTIAL_SCHEMA = "e1 long, e2 long, co long"
 
 
@@ -106,8 +108,14 @@ def cooccurrence(incidence: DataFrame, block_size: int = 1024, rows_per_group: i
 
 
 def cosine_similarity(incidence: DataFrame, **kw) -> DataFrame:
-    """(e1, e2, co, sim) for every ordered pair of distinct co-occurring entities."""
+    """(e1, e2, co, sim) for every ordered pair of distinct co-occurring entities.
+
+    The distinct incidence is checkpointed once (it feeds the sizes, the
+    routing and the degrees), so the log behind it is scanned a single time.
+    """
     inc = incidence.select("user", "entity").distinct()
+    ensure_checkpoint_dir(inc.sparkSession)
+    inc = inc.checkpoint(eager=True)
     co = cooccurrence(inc, **kw)
     deg = inc.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     d1 = deg.select(F.col("entity").alias("e1"), F.col("n").alias("n1"))

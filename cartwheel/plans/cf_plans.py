@@ -121,14 +121,14 @@ _ENCODED = _dict_ctes(FEATURE_COLUMNS) + _CANDIDATES + [
 
 # ---------------------------------------------------------------- Spark building blocks
 def _brand_sim_clicks(spark, sf):
-    enriched = R.recall_input(fx.clicks(spark, sf), fx.products(spark, sf), fx.users(spark, sf))
+    enriched = R.recall_input(fx.clicks(spark, sf), fx.products(spark, sf), None, ["brand"])
     return S.brand_similarity(R.active_actions(enriched, 5))
 
 
 def _online_cf(spark, sf, k=10):
     clicks = fx.clicks(spark, sf)
     product = fx.products(spark, sf)
-    enriched = R.recall_input(clicks, product, fx.users(spark, sf))
+    enriched = R.recall_input(clicks, product, None, ["brand"])
     seeds = R.latest_items(clicks, 10)
     brand_lists = R.content_list(enriched, "brand", 10)
     return C.online_cf(seeds, product, _brand_sim_clicks(spark, sf), brand_lists, k=k)
@@ -137,7 +137,7 @@ def _online_cf(spark, sf, k=10):
 def _candidates(spark, sf):
     clicks = fx.clicks(spark, sf)
     users = fx.users(spark, sf)
-    enriched = R.recall_input(clicks, fx.products(spark, sf), users)
+    enriched = R.recall_input(clicks, None, users, ["city", "age"])
     content = R.content_lists(enriched, ("city", "age"), 10)
     hot = R.hottest(clicks, 1, 10)
     return C.candidates_union(clicks, users, content, hot, _online_cf(spark, sf), 10)
@@ -152,7 +152,7 @@ def _encoded(spark, sf):
 @register("brand_similarity", with_ctes(["active_purchases", "products"], """
 SELECT brand1, brand2, co, round(sim, 6) AS sim FROM bp_sim""", local=_BRAND_P))
 def brand_similarity(spark, sf):
-    enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), fx.users(spark, sf))
+    enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), None, ["brand"])
     s = S.brand_similarity(R.active_actions(enriched, 5))
     return s.select("brand1", "brand2", "co", round6("sim").alias("sim"))
 

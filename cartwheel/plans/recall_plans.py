@@ -13,8 +13,8 @@ from cartwheel.sources import fixtures as fx
 TRAIN_END = "2024-01-17"  # first test-slice boundary of the clicks log (FIXTURES.md §2)
 
 
-def _enriched_clicks(spark, sf):
-    return R.recall_input(fx.clicks(spark, sf), fx.products(spark, sf), fx.users(spark, sf))
+def _enriched_clicks(spark, sf, needed=None):
+    return R.recall_input(fx.clicks(spark, sf), fx.products(spark, sf), fx.users(spark, sf), needed)
 
 
 # ---------------------------------------------------------------- hottest
@@ -54,7 +54,7 @@ WHERE rnk <= 10""")
 
 def _content_query(kind: str):
     def q(spark, sf):
-        return R.content_list(_enriched_clicks(spark, sf), kind, 10)
+        return R.content_list(_enriched_clicks(spark, sf, [kind]), kind, 10)
     q.__name__ = f"content_topn_{kind}"
     return q
 
@@ -133,6 +133,6 @@ WHERE brand IS NOT NULL
   AND user_id IN (SELECT user_id FROM purchases GROUP BY user_id HAVING count(sku_id) >= 5)
 GROUP BY user_id, brand"""))
 def user_brand_score(spark, sf):
-    enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), fx.users(spark, sf))
+    enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), None, ["brand"])
     s = R.user_brand_score(enriched, 5)
     return s.select("user_id", "brand", round6("score").alias("score"))
