@@ -228,10 +228,11 @@ def _fm_weights_sql(factors: int = 4, seed: int = 11) -> tuple[str, str]:
   FROM (SELECT DISTINCT feature_id FROM dict) t""")
 
 
-@register("fm_score_topn", with_ctes(["enriched_clicks", "active_clicks", "wide_train"], """
+ORACLE_FM_TOPN_BODY = """
 SELECT user_id, CAST(rnk AS BIGINT) AS rnk, item_id, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rnk FROM scores) t
-WHERE rnk <= 3""", local=_ENCODED + [_fm_weights_sql(), (
+WHERE rnk <= 3"""
+ORACLE_FM_TOPN_CTES = _ENCODED + [_fm_weights_sql(), (
     "flong", "SELECT user_id, item_id, unnest([" + ", ".join(f"f_{c}" for c in FEATURE_COLUMNS)
     + "]) AS feature_id FROM encoded"), (
     "fvals", """SELECT l.user_id, l.item_id, coalesce(w.w, 0.0) AS w, w.v FROM flong l
@@ -242,7 +243,11 @@ WHERE rnk <= 3""", local=_ENCODED + [_fm_weights_sql(), (
     "scores", """SELECT l.user_id, l.item_id, round(l.lin + coalesce(p.pair, 0.0), 9) AS score FROM
   (SELECT user_id, item_id, sum(w) AS lin FROM fvals GROUP BY user_id, item_id) l
   LEFT JOIN (SELECT user_id, item_id, sum(0.5 * (s * s - s2)) AS pair FROM ffac GROUP BY user_id, item_id) p
-  ON l.user_id = p.user_id AND l.item_id = p.item_id""")]))
+  ON l.user_id = p.user_id AND l.item_id = p.item_id""")]
+
+
+@register("fm_score_topn", with_ctes(["enriched_clicks", "active_clicks", "wide_train"], ORACLE_FM_TOPN_BODY,
+                                     local=ORACLE_FM_TOPN_CTES))
 def fm_score_topn(spark, sf):
     enc, d = _encoded(spark, sf)
     weights = C.hashed_fm_weights(d.values, factors=4, seed=11)

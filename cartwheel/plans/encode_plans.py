@@ -9,6 +9,8 @@ from cartwheel.operators import transform as X
 from cartwheel.plans.catalog import register
 from cartwheel.plans.oracle_ctes import define, with_ctes
 from cartwheel.schemas import ENRICHED_COLUMNS, ENRICHED_NUMERIC, FEATURE_COLUMNS
+from cartwheel.session import shared_path
+from cartwheel.sources import files as io
 from cartwheel.sources import fixtures as fx
 
 TRAIN_END = "2024-01-17"
@@ -130,3 +132,13 @@ def ffm_lines_enriched(spark, sf):
     t = enriched_table_of(spark, sf)
     d = E.build_dictionary(t, ENRICHED_COLUMNS, ENRICHED_NUMERIC)
     return E.ffm_lines(t, d, keep=["user_id", "sku_id"])
+
+
+@register("ffm_text_sink", with_ctes(["wide_train"], "SELECT line FROM (" + _lines_sql(FEATURE_COLUMNS) + ") l",
+                                     local=_dict_ctes(FEATURE_COLUMNS)))
+def ffm_text_sink(spark, sf):
+    """libffm lines written as a text file (".txt" appended) and read back."""
+    d = train_dictionary(spark, sf)
+    lines = E.ffm_lines(train_table_of(spark, sf), d)
+    written = io.write_lines(lines, shared_path(spark, "train_ffm"))
+    return spark.read.text(written).select(F.col("value").alias("line"))

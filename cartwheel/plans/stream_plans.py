@@ -137,3 +137,29 @@ def stream_requests(spark, sf):
     q = J.request_candidates(reqs, lambda users: O.payload_for(users, snap, product, user), sink, ck)
     q.awaitTermination()
     return spark.read.parquet(sink).select("user_id", "payload").distinct()
+
+
+def _fm_topn_sql():
+    from cartwheel.plans.cf_plans import ORACLE_FM_TOPN_BODY, ORACLE_FM_TOPN_CTES
+    body = ORACLE_FM_TOPN_BODY.replace("FROM scores) t", """FROM scores
+  WHERE user_id IN (SELECT user_id FROM clicks WHERE user_id IS NOT NULL AND sku_id IS NOT NULL)) t""")
+    return with_ctes(["enriched_clicks", "active_clicks", "wide_train"], body, local=ORACLE_FM_TOPN_CTES)
+
+
+@register("stream_rerank", _fm_topn_sql())
+def stream_rerank(spark, sf):
+    """Web clicks -> candidates -> FM score (md5 weights) -> top-3 per user."""
+    from cartwheel.operators import candidates as C
+    clicks, product, user = fx.clicks(spark, sf), fx.products(spark, sf), fx.users(spark, sf)
+    train = clicks.where(F.col("action_time") < F.lit(TRAIN_END).cast("timestamp_ntz"))
+    snap = refresh(clicks, train, product, user, shared_path(spark, "snapshots"))
+    weights = C.hashed_fm_weights(snap.read(spark, "dict_values"), factors=4, seed=11)
+    src = shared_path(spark, "landing", "web_clicks")
+    RQ.click_lines(clicks).repartition(4).write.mode("overwrite").text(src)
+    sink, ck = shared_path(spark, "rerank_out"), shared_path(spark, "rerank_ck")
+    parsed = RQ.parse_clicks(RQ.click_stream(spark, src)).where(F.col("user_id").isNotNull())
+    q = J.request_candidates(parsed, lambda users: O.rerank_for(users, snap, product, user, weights),
+                             sink, ck)
+    q.awaitTermination()
+    out = spark.read.parquet(sink).select("user_id", "rnk", "item_id", F.round("score", 6).alias("score"))
+    return out.distinct()
