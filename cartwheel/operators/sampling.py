@@ -14,9 +14,9 @@ collections:
 * the draws are generated in chunks spread over tasks, so a user holding a
   third of the log does not generate its sample in one task.
 
-Positional split (first K rows of a shuffle go to train): exact via a
-histogram of the shuffle hash's top bits; only the one boundary bucket is
-ranked, and it holds ~1/65536 of the rows.
+Positional split (first K rows of a shuffle go to train): exact via
+histograms of the shuffle hash's bits, two levels of 16 bits; only the one
+boundary bucket left at the end is ranked, and it holds ~N / 2^32 rows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import h64
 from cartwheel.functions.ranking import sorted_index
+from cartwheel.session import ensure_checkpoint_dir
 
 N_STEP_PRIMES = 256
 DRAW_CHUNK = 100_000
@@ -127,30 +128,49 @@ def shuffle_key(df: DataFrame, cols, seed: int = 42, name: str = "_shuffle") ->
 
 
 def split_first_k(df: DataFrame, k: int, key_cols, seed: int = 42, bucket_bits: int = SPLIT_BUCKET_BITS,
-                  head: str = "train", rest: str = "test", part_col: str = "part") -> DataFrame:
+                  levels: int = 2, head: str = "train", rest: str = "test", part_col: str = "part") -> DataFrame:
     """Label the first ``k`` rows in shuffle order ``head`` and the others ``rest``.
 
-    Exact: bucket counts over the hash's top bits (≤ 2^bits rows) locate the
-    bucket holding the k-th row; only that bucket is ranked.
+    Exact and bounded: at each level the rows still undecided are counted per
+    bucket of the next ``bucket_bits`` hash bits (a table of at most
+    2^bucket_bits rows); the bucket holding the k-th row is the only one
+    carried to the next level.  After ``levels`` levels (2 × 16 bits: about
+    N / 2^32 rows left) that last bucket is ranked by (hash, keys).
     Rows must be unique on ``key_cols`` for a total order.
     """
-    keyed = shuffle_key(df, key_cols, seed)
-    keyed = keyed.withColumn("_bkt", F.shiftright("_shuffle", 60 - bucket_bits))
-    counts = keyed.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^bits rows
-    cum = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    boundary = cum.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
-    b_bkt = boundary.agg(F.max("_bkt")).scalar()
-    b_before = boundary.agg(F.max("_before")).scalar()
-    inner = keyed.where(F.col("_bkt") == b_bkt)
-    rw = Window.partitionBy("_bkt").orderBy("_shuffle", *key_cols)
-    inner = inner.withColumn("_r", F.row_number().over(rw))
-    inner = inner.withColumn(part_col, F.when(F.col("_r") + b_before <= k, head).otherwise(rest)).drop("_r")
-    outer = keyed.where(b_bkt.isNull() | (F.col("_bkt") != b_bkt)).withColumn(
-        part_col, F.when(b_bkt.isNotNull() & (F.col("_bkt") < b_bkt), head)
-        .when(b_bkt.isNull() & F.lit(k > 0), head).otherwise(rest))
-    # with no boundary bucket every row fits in the head (k >= row count) or k = 0
-    return outer.unionByName(inner).drop("_bkt", "_shuffle")
+    ensure_checkpoint_dir(df.sparkSession)
+    # every level scans the input again: freeze it once instead of recomputing its lineage
+    keyed = shuffle_key(df, key_cols, seed).checkpoint(eager=True)
+    rule = None          # decided rows: (condition, label) in hash-prefix order
+    prefix_cond = None   # rows inside the boundary bucket of every level so far
+    before = F.lit(0).cast("bigint")
+    for level in range(levels):
+        shift = 60 - bucket_bits * (level + 1)
+        bkt = F.shiftright("_shuffle", shift).bitwiseAND(F.lit((1 << bucket_bits) - 1))
+        pool = keyed if prefix_cond is None else keyed.where(prefix_cond)
+        counts = pool.groupBy(bkt.alias("_bkt")).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^bits rows
+        cum = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)) + before)
+        boundary = cum.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
+        b_bkt = boundary.agg(F.max("_bkt")).scalar()
+        b_before = boundary.agg(F.max("_before")).scalar()
+        inside = prefix_cond if prefix_cond is not None else F.lit(True)
+        # within the current pool: buckets below the boundary -> head, above -> rest;
+        # no boundary bucket means every pooled row fits (k >= all) or none does (k <= before)
+        lvl = (F.when(inside & b_bkt.isNotNull() & (bkt < b_bkt), F.lit(head))
+               .when(inside & b_bkt.isNotNull() & (bkt > b_bkt), F.lit(rest))
+               .when(inside & b_bkt.isNull(), F.when(before < k, F.lit(head)).otherwise(F.lit(rest))))
+        rule = lvl if rule is None else F.coalesce(rule, lvl)
+        here = b_bkt.isNotNull() & (bkt == b_bkt)
+        prefix_cond = here if prefix_cond is None else (prefix_cond & here)
+        before = b_before
+    decided = keyed.withColumn(part_col, rule)
+    settled = decided.where(F.col(part_col).isNotNull())
+    last = decided.where(F.col(part_col).isNull())
+    rw = Window.partitionBy(F.shiftright("_shuffle", 60 - bucket_bits * levels)).orderBy("_shuffle", *key_cols)
+    last = last.withColumn("_r", F.row_number().over(rw))
+    last = last.withColumn(part_col, F.when(F.col("_r") + before <= k, head).otherwise(rest)).drop("_r")
+    return settled.unionByName(last).drop("_shuffle")
 
 
 def train_test_with_negatives(train_pos: DataFrame, test_pos: DataFrame, negatives: DataFrame,
