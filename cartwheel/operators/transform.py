@@ -62,17 +62,34 @@ def cast_failures(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     return df.agg(*aggs)
 
 
+_INT_RANK = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4}
+
+
+def _always_fits(src: str, dst: str) -> bool:
+    """Identity or widening casts cannot fail (no data check needed)."""
+    if src == dst:
+        return True
+    if src in _INT_RANK and dst in _INT_RANK:
+        return _INT_RANK[src] <= _INT_RANK[dst]
+    return dst == "double" and (src in _INT_RANK or src in ("float", "double"))
+
+
 def cast_columns(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     """Cast columns, leaving a column unchanged if any value would not fit.
 
-    Matches ``astype(t, errors='ignore')``.  Deciding the output schema needs
-    one aggregate pass (one row comes back); the casts themselves stay lazy.
+    Matches ``astype(t, errors='ignore')``.  Only narrowing casts need a data
+    check: one aggregate pass (one row comes back) decides them; identity and
+    widening casts are applied without touching the data.
     """
     spec = {c: t for c, t in spec.items() if c in df.columns}
     if not spec:
         return df
-    fails = cast_failures(df, spec).first().asDict()
-    ok = {c for c, n in fails.items() if n == 0}
+    types = dict(df.dtypes)
+    ok = {c for c, t in spec.items() if _always_fits(types[c], t)}
+    risky = {c: t for c, t in spec.items() if c not in ok}
+    if risky:
+        fails = cast_failures(df, risky).first().asDict()
+        ok |= {c for c, n in fails.items() if n == 0}
     return df.select(*[F.expr(f"try_cast(`{c}` AS {spec[c]})").alias(c) if c in ok else F.col(c)
                        for c in df.columns])
 
