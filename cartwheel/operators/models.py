@@ -49,7 +49,7 @@ def code_columns(encoded: DataFrame, d: FeatureDictionary, prefix: str = "f_") -
     return out, cols
 
 
-def feature_pipeline(code_cols: Sequence[str], numeric: Sequence[str] = (), out: str = "features") -> Pipeline:
+def one_hot_stages(code_cols: Sequence[str], numeric: Sequence[str] = (), out: str = "features") -> Pipeline:
     vecs = [f"v_{c}" for c in code_cols]
     ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=vecs, dropLast=False, handleInvalid="keep")
     asm = VectorAssembler(inputCols=vecs + list(numeric), outputCol=out, handleInvalid="keep")
@@ -76,7 +76,7 @@ def train_fm(train: DataFrame, test: DataFrame, d: FeatureDictionary, **params)
     """Fit one-hot FM on train, report AUC / log-loss on test."""
     tr, cols = code_columns(train, d)
     te, _ = code_columns(test, d)
-    pipe = Pipeline(stages=feature_pipeline(cols).getStages() + [fm_classifier(**params)])
+    pipe = Pipeline(stages=one_hot_stages(cols).getStages() + [fm_classifier(**params)])
     model = pipe.fit(tr.withColumn("label", F.col("label").cast("double")))
     metrics = evaluate(model.transform(te.withColumn("label", F.col("label").cast("double"))))
     return model, metrics
@@ -90,7 +90,7 @@ def grid_report(spark: SparkSession, rows: list[dict]) -> DataFrame:
 def lr_grid(train: DataFrame, test: DataFrame, d: FeatureDictionary, lambdas=LR_LAMBDAS) -> DataFrame:
     tr, cols = code_columns(train, d)
     te, _ = code_columns(test, d)
-    feats = feature_pipeline(cols).fit(tr)
+    feats = one_hot_stages(cols).fit(tr)
     trv = feats.transform(tr).withColumn("label", F.col("label").cast("double")).select("label", "features")
     tev = feats.transform(te).withColumn("label", F.col("label").cast("double")).select("label", "features")
     rows = []
@@ -104,7 +104,7 @@ def fm_grid(train: DataFrame, test: DataFrame, d: FeatureDictionary, lambdas=FM_
             max_iter: int = 10) -> DataFrame:
     tr, cols = code_columns(train, d)
     te, _ = code_columns(test, d)
-    feats = feature_pipeline(cols).fit(tr)
+    feats = one_hot_stages(cols).fit(tr)
     trv = feats.transform(tr).withColumn("label", F.col("label").cast("double")).select("label", "features")
     tev = feats.transform(te).withColumn("label", F.col("label").cast("double")).select("label", "features")
     rows = []

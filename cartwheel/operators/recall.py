@@ -65,6 +65,19 @@ def content_lists(enriched: DataFrame, kinds: Sequence[str] = CONTENT_KINDS, n:
         "list_kind", "list_key", "rnk", "sku_id", "cnt")
 
 
+def toplists(content: DataFrame, hottest_table: DataFrame) -> DataFrame:
+    """Every published list in one table: (list_kind, list_key, rnk, sku_id, score).
+
+    Content lists keep their kind; hottest lists become kind 'hottest' keyed by
+    the window length in days.  Written whole per refresh, so a key never keeps
+    stale members from an earlier refresh.
+    """
+    c = content.select("list_kind", "list_key", "rnk", "sku_id", F.col("cnt").alias("score"))
+    h = hottest_table.select(F.lit("hottest").alias("list_kind"), F.col("days").cast("bigint").alias("list_key"),
+                             "rnk", "sku_id", F.col("cnt").alias("score"))
+    return c.unionByName(h)
+
+
 def newest_action_time(action: DataFrame):
     """Scalar-subquery column holding max(action_time) of the log."""
     return action.select(F.max("action_time")).scalar()

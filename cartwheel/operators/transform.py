@@ -172,6 +172,22 @@ def narrowing_report(df: DataFrame, id_columns: Sequence[str] = ("user_id", "sku
     return spark.createDataFrame(rows, schema)
 
 
+def narrowing_summary(df: DataFrame, id_columns: Sequence[str] = ("user_id", "sku_id", "shop_id")) -> DataFrame:
+    """One row: rows, columns, bytes before / after narrowing, reduction in %.
+
+    Sizes are the fixed widths of the column types times the row count (the
+    columnar analogue of the in-memory usage the reference reports).
+    """
+    plan = narrowing_plan(df, id_columns)
+    before = sum(_BYTES[a] for _, a, _, _, _ in plan)
+    after = sum(_BYTES[b] for _, _, b, _, _ in plan)
+    rows = df.agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(
+        "rows", F.lit(len(df.columns)).cast("bigint").alias("columns"),
+        (F.col("rows") * before).alias("bytes_before"), (F.col("rows") * after).alias("bytes_after"),
+        F.round(F.lit(100.0 * (before - after) / before if before else 0.0), 6).alias("reduction_pct"))
+
+
 # ---------------------------------------------------------------- time slicing
 def temporal_split(action: DataFrame, boundaries: Sequence[str], names: Sequence[str] | None = None,
                    time_col: str = "action_time") -> DataFrame:

@@ -54,6 +54,8 @@ def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user
     d.fields.write.mode("overwrite").parquet(snap.path("dict_fields"))
     R.content_lists(enriched, R.CONTENT_KINDS, list_len).write.mode("overwrite").parquet(snap.path("content"))
     R.hottest_lists(log, (1, 7, 30), list_len).write.mode("overwrite").parquet(snap.path("hottest"))
+    R.toplists(snap.read(enriched.sparkSession, "content"), snap.read(enriched.sparkSession, "hottest")) \
+        .write.mode("overwrite").parquet(snap.path("toplists"))
     S.brand_similarity(R.active_actions(enriched, 5)).write.mode("overwrite").parquet(snap.path("brand_sim"))
     R.latest_items(log, 10).write.mode("overwrite").parquet(snap.path("latest"))
     return snap

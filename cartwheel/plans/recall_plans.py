@@ -136,3 +136,29 @@ def user_brand_score(spark, sf):
     enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), None, ["brand"])
     s = R.user_brand_score(enriched, 5)
     return s.select("user_id", "brand", round6("score").alias("score"))
+
+
+# ---------------------------------------------------------------- all published lists
+_TOPLISTS_SQL = with_ctes(["enriched_clicks"], """
+SELECT list_kind, list_key, rnk, sku_id, score FROM (
+  SELECT list_kind, list_key, sku_id, cnt AS score,
+         CAST(row_number() OVER (PARTITION BY list_kind, list_key ORDER BY cnt DESC, sku_id) AS BIGINT) AS rnk
+  FROM (""" + "\n        UNION ALL\n".join(
+    f"""SELECT '{k}' AS list_kind, CAST({k} AS BIGINT) AS list_key, sku_id, count(sku_id) AS cnt
+        FROM enriched_clicks WHERE {k} IS NOT NULL AND sku_id IS NOT NULL GROUP BY {k}, sku_id"""
+    for k in R.CONTENT_KINDS) + """) c) t WHERE rnk <= 10
+UNION ALL
+SELECT 'hottest', days, rnk, sku_id, cnt FROM (
+  SELECT days, sku_id, cnt, CAST(row_number() OVER (PARTITION BY days ORDER BY cnt DESC, sku_id) AS BIGINT) AS rnk
+  FROM (""" + "\n        UNION ALL\n".join(
+    f"""SELECT CAST({d} AS BIGINT) AS days, sku_id, count(sku_id) AS cnt FROM enriched_clicks,
+               (SELECT max(action_time) AS a FROM enriched_clicks) m
+        WHERE sku_id IS NOT NULL AND action_time > a - INTERVAL {d} DAY GROUP BY sku_id"""
+    for d in (1, 7, 30)) + """) h) t WHERE rnk <= 10""")
+
+
+@register("toplists", _TOPLISTS_SQL)
+def toplists(spark, sf):
+    clicks = fx.clicks(spark, sf)
+    enriched = R.recall_input(clicks, fx.products(spark, sf), fx.users(spark, sf))
+    return R.toplists(R.content_lists(enriched, R.CONTENT_KINDS, 10), R.hottest_lists(clicks, (1, 7, 30), 10))

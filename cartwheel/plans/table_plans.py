@@ -89,7 +89,7 @@ def cast_columns(spark, sf):
     return X.cast_columns(_wide_clicks(spark, sf), CAST_SPEC)
 
 
-def _narrow_sql() -> str:
+def _narrow_report_select() -> str:
     cols = [("label", "tinyint"), ("age", "tinyint"), ("city", "smallint"), ("brand", "int"),
             ("shop_id", "bigint"), ("cate", "smallint"), ("fans_num", "int"), ("shop_score", "double"),
             ("user_id", "bigint"), ("sku_id", "bigint")]
@@ -106,11 +106,15 @@ def _narrow_sql() -> str:
                   f"WHEN min({c}) > -2147483648 AND max({c}) < 2147483647 THEN 'int' ELSE 'bigint' END")
         parts.append(f"SELECT '{c}' AS column_name, '{kind}' AS from_type, {to} AS to_type FROM enriched_wide_clicks")
     body = "\nUNION ALL\n".join(parts)
-    return with_ctes(["enriched_wide_clicks"], f"""
+    return f"""
 SELECT column_name, from_type, to_type,
        CAST({nbytes.format(t='from_type')} AS BIGINT) AS bytes_before,
        CAST({nbytes.format(t='to_type')} AS BIGINT) AS bytes_after
-FROM ({body}) r""")
+FROM ({body}) r"""
+
+
+def _narrow_sql() -> str:
+    return with_ctes(["enriched_wide_clicks"], _narrow_report_select())
 
 
 @register("narrow_types", _narrow_sql())
@@ -118,6 +122,16 @@ def narrow_types(spark, sf):
     return X.narrowing_report(_enriched_wide_clicks(spark, sf))
 
 
+@register("narrow_types_summary", with_ctes(["enriched_wide_clicks"], """
+SELECT n.rows, CAST(10 AS BIGINT) AS columns, n.rows * b.before AS bytes_before, n.rows * b.after AS bytes_after,
+       round(100.0 * (b.before - b.after) / b.before, 6) AS reduction_pct
+FROM (SELECT count(*) AS rows FROM enriched_wide_clicks) n,
+     (SELECT sum(bytes_before) AS before, sum(bytes_after) AS after FROM report) b""",
+                                            local=[("report", _narrow_report_select())]))
+def narrow_types_summary(spark, sf):
+    return X.narrowing_summary(_enriched_wide_clicks(spark, sf))
+
+
 def _split_sql() -> str:
     b = SPLIT_BOUNDARIES
     names = ["train", "test1", "test2", "test3", "test4", "test5"]
