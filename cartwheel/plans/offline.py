@@ -40,17 +40,29 @@ class Snapshots:
         return E.FeatureDictionary(fields, values, cols, numeric, rows)
 
 
+def history_until(action: DataFrame, anchor=None, months: int | None = None) -> DataFrame:
+    """The log a refresh sees: (anchor - months, anchor] (both optional)."""
+    if months:
+        return X.rolling_history(action, months, anchor)
+    if anchor is not None:
+        return action.where(F.col("action_time") <= F.lit(anchor).cast("timestamp_ntz"))
+    return action
+
+
 def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user: DataFrame,
-            out_dir: str, history_months: int | None = None, list_len: int = 10) -> Snapshots:
-    """Compute and write all snapshots; returns their locations."""
+            out_dir: str, history_months: int | None = None, list_len: int = 10, anchor=None) -> Snapshots:
+    """Compute and write all snapshots; returns their locations.
+
+    ``anchor`` (a timestamp) limits the log to actions up to it, and with
+    ``history_months`` to the rolling window before it (README: two months).
+    """
     snap = Snapshots(out_dir)
-    log = X.rolling_history(action, history_months) if history_months else action
+    log = history_until(action, anchor, history_months)
     enriched = R.recall_input(log, product, user)
 
     R.distinct_sets(log).write.mode("overwrite").parquet(snap.path("sets"))
     train = X.train_table(train_action, product, user)
-    d = E.build_dictionary(train, FEATURE_COLUMNS)
-    d.values.write.mode("overwrite").parquet(snap.path("dict_values"))
+    d = E.build_dictionary(train, FEATURE_COLUMNS, path=snap.path("dict_values"))
     d.fields.write.mode("overwrite").parquet(snap.path("dict_fields"))
     R.content_lists(enriched, R.CONTENT_KINDS, list_len).write.mode("overwrite").parquet(snap.path("content"))
     R.hottest_lists(log, (1, 7, 30), list_len).write.mode("overwrite").parquet(snap.path("hottest"))

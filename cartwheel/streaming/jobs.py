@@ -9,6 +9,7 @@ session) before a watermark, which requires the zoned type.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -123,3 +124,52 @@ def request_candidates(requests: DataFrame, per_batch: Callable[[DataFrame], Dat
     w = requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="2 seconds")
     return w.start()
+
+
+# ---------------------------------------------------------------- W1 / W2 / K8
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def period_floor(t: dt.datetime, period: dt.timedelta) -> dt.datetime:
+    """Start of the tumbling event-time period containing ``t`` (epoch aligned)."""
+    secs = (t - _EPOCH) // period
+    return _EPOCH + secs * period
+
+
+def refresh_on_event_time(actions: DataFrame, history_path: str, state_path: str, checkpoint: str,
+                          on_anchor: Callable[[DataFrame, dt.datetime, int], None],
+                          period: dt.timedelta = dt.timedelta(hours=2),
+                          delay: dt.timedelta = dt.timedelta(minutes=10),
+                          available_now: bool = True) -> StreamingQuery:
+    """Append every micro-batch to the history and run ``on_anchor(history,
+    anchor, epoch)`` whenever the event-time watermark (newest event − delay)
+    crosses a period boundary; ``anchor`` is that boundary (README: every two
+    hours of event time, over the history up to it).
+
+    Per epoch the history folder and a one-row state record (newest event time
+    seen, last anchor) are written in overwrite mode, so a replayed epoch
+    neither duplicates rows nor re-fires a refresh it already recorded.
+    """
+    def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{history_path.rstrip('/')}/epoch={epoch}")
+        newest = batch.agg(F.max("action_time")).first()[0]
+        seen, last = None, None
+        try:
+            st = (spark.read.parquet(state_path).where(F.col("epoch") < epoch)
+                  .agg(F.max("seen"), F.max("anchor")).first())  # one row per past epoch
+            seen, last = st[0], st[1]
+        except Exception:  # noqa: BLE001 - no state written yet
+            pass
+        seen = max(x for x in (seen, newest) if x is not None) if (seen or newest) else None
+        if seen is not None:
+            boundary = period_floor(seen - delay, period)
+            if last is None or boundary > last:
+                on_anchor(spark.read.parquet(history_path), boundary, epoch)
+                last = boundary
+        spark.createDataFrame([(epoch, seen, last)], "epoch long, seen timestamp_ntz, anchor timestamp_ntz") \
+            .write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/epoch_part={epoch}")
+
+    w = actions.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
