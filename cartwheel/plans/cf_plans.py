@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import round6
 from cartwheel.operators import candidates as C

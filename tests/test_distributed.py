@@ -8,7 +8,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from cartwheel.functions.ranking import prefix_sums, sorted_index
 from cartwheel.operators import encode as E

@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from cartwheel.operators import candidates as C
 from cartwheel.operators import recall as R
