@@ -111,7 +111,7 @@ _ENCODED = _dict_ctes(FEATURE_COLUMNS) + _CANDIDATES + [
   FROM (SELECT DISTINCT user_id, sku_id FROM cands) c
   LEFT JOIN products p ON c.sku_id = p.sku_id LEFT JOIN users u ON c.user_id = u.user_id"""),
     ("encoded", "SELECT cw.user_id, cw.sku_id AS item_id, " + ", ".join(
-        f"coalesce(d{i}.feature_id, (SELECT sum(size) FROM dfields) + {i}) AS f_{c}"
+        f"CAST(coalesce(d{i}.feature_id, (SELECT sum(size) FROM dfields) + {i}) AS BIGINT) AS f_{c}"
         for i, c in enumerate(FEATURE_COLUMNS)) + "\n  FROM cwide cw\n  " + "\n  ".join(
         f"LEFT JOIN dict d{i} ON d{i}.field_id = {i} AND d{i}.value = CAST(cw.{c} AS BIGINT)"
         for i, c in enumerate(FEATURE_COLUMNS))),

@@ -123,7 +123,8 @@ def narrow_types(spark, sf):
 
 
 @register("narrow_types_summary", with_ctes(["enriched_wide_clicks"], """
-SELECT n.rows, CAST(10 AS BIGINT) AS columns, n.rows * b.before AS bytes_before, n.rows * b.after AS bytes_after,
+SELECT n.rows, CAST(10 AS BIGINT) AS columns, CAST(n.rows * b.before AS BIGINT) AS bytes_before,
+       CAST(n.rows * b.after AS BIGINT) AS bytes_after,
        round(100.0 * (b.before - b.after) / b.before, 6) AS reduction_pct
 FROM (SELECT count(*) AS rows FROM enriched_wide_clicks) n,
      (SELECT sum(bytes_before) AS before, sum(bytes_after) AS after FROM report) b""",
