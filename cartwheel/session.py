@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app: str = "cartwheel",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.driver.memory": "16g",
+        # keyed streaming state (one entry per user) lives off-heap in RocksDB
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     conf.update(extra or {})
     for k, v in conf.items():
