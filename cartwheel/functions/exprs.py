@@ -60,3 +60,36 @@ def round6(c) -> Column:
 def ts_text(c) -> Column:
     """Timestamp as text with microseconds (same text as the oracle's strftime)."""
     return F.date_format(col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+_DAY_US = 86_400_000_000
+
+
+def utc_micros(c) -> Column:
+    """Microseconds since the epoch of a ``timestamp_ntz`` wall time read as UTC.
+
+    Built from the date and clock fields, so it does not depend on the
+    session time zone (a plain cast to ``timestamp`` would).
+    """
+    t = col(c)
+    secs = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    frac = F.date_format(t, "SSSSSS").cast("bigint")
+    return F.unix_date(F.to_date(t)).cast("bigint") * _DAY_US + secs.cast("bigint") * 1_000_000 + frac
+
+
+def utc_instant(c) -> Column:
+    """``timestamp`` (instant) of a ``timestamp_ntz`` wall time read as UTC."""
+    return F.timestamp_micros(utc_micros(c))
+
+
+def ntz_from_utc(c) -> Column:
+    """``timestamp_ntz`` UTC wall time of an instant (session-zone independent)."""
+    us = F.unix_micros(col(c))
+    days = F.floor(us / _DAY_US)
+    rest = us - days * _DAY_US
+    d = F.date_from_unix_date(days.cast("int"))
+    secs = F.floor(rest / 1_000_000)
+    frac = (rest - secs * 1_000_000) / 1_000_000
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.floor(secs / 3600).cast("int"),
+                                F.floor(F.pmod(secs, F.lit(3600)) / 60).cast("int"),
+                                (F.pmod(secs, F.lit(60)) + frac).cast("decimal(16,6)"))

@@ -50,8 +50,8 @@ FROM (SELECT to_timestamp(floor(epoch(action_time) / 7200) * 7200)::TIMESTAMP AS
 
 @register("window_2h_counts", with_ctes(["clicks"], _WINDOW_SQL))
 def window_2h_counts(spark, sf):
-    ev = J.with_event_time(fx.clicks(spark, sf))
-    agg = ev.groupBy(F.window("event_time", "2 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    # windows directly on the wall-clock (timestamp_ntz) column: no time-zone dependence
+    agg = fx.clicks(spark, sf).groupBy(F.window("action_time", "2 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     return agg.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "n")
 

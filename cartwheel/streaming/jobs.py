@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cartwheel.functions.exprs import ntz_from_utc, utc_instant, utc_micros
+
 WATERMARK_DELAY = "10 minutes"
 
 
@@ -38,7 +40,8 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
 
 
 def with_event_time(df: DataFrame, col: str = "action_time", out: str = "event_time") -> DataFrame:
-    return df.withColumn(out, F.col(col).cast("timestamp"))
+    """Zoned event time for watermarks: the wall time read as UTC, whatever the session zone."""
+    return df.withColumn(out, utc_instant(col))
 
 
 def _start(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", available_now: bool = True,
@@ -66,7 +69,7 @@ def window_counts(actions: DataFrame, sink: str, checkpoint: str, size: str = "2
     ev = with_event_time(actions).withWatermark("event_time", delay)
     agg = (ev.groupBy(F.window("event_time", size).alias("w"))
            .agg(F.count(F.lit(1)).alias("n")))
-    out = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
+    out = agg.select(ntz_from_utc("w.start").alias("window_start"), ntz_from_utc("w.end").alias("window_end"), "n")
     return _start(out, sink, checkpoint, "append", **kw)
 
 
@@ -99,7 +102,7 @@ def latest_items_state(actions: DataFrame, sink: str, checkpoint: str, n: int =
     user's whole list with a new version (readers keep the max version)."""
     rows = (actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
             .select("user_id", "sku_id", "event_id",
-                    F.unix_micros(F.col("action_time").cast("timestamp")).alias("ts_us")))
+                    utc_micros("action_time").alias("ts_us")))
     out = rows.groupBy("user_id").applyInPandasWithState(
         _latest_updater(n), LATEST_OUT, LATEST_STATE, "append", GroupStateTimeout.NoTimeout)
     return _start(out, sink, checkpoint, "append", **kw)

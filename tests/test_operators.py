@@ -102,3 +102,17 @@ def test_request_validation(spark, line, ok):
     assert r.valid is ok
     if ok:
         assert (r.user_id, r.sku_id) == tuple(int(x) for x in line.split())
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_event_time_helpers_ignore_session_zone(spark, tz):
+    from cartwheel.functions.exprs import ntz_from_utc, utc_instant, utc_micros
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        df = spark.createDataFrame([(_t("2024-01-05 13:07:09.123456"),)], "t timestamp_ntz")
+        r = df.select(utc_micros("t").alias("us"), ntz_from_utc(utc_instant("t")).alias("back")).first()
+        assert r.us == int((_t("2024-01-05 13:07:09.123456") - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
+        assert r.back == _t("2024-01-05 13:07:09.123456")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
