@@ -114,6 +114,18 @@ def current_latest(versions: DataFrame) -> DataFrame:
     return versions.join(top, ["user_id", "version"]).select("user_id", "rnk", "sku_id")
 
 
+def compact_latest(spark, versions_path: str, out_path: str) -> DataFrame:
+    """Fold the appended versions into one row set per user (keeps the newest
+    version with its number), written to ``out_path``.  Run it periodically
+    (e.g. with each offline refresh) and point readers at the compacted table
+    plus newer versions, so the version log never grows without bound."""
+    v = spark.read.parquet(versions_path)
+    top = v.groupBy("user_id").agg(F.max("version").alias("version"))
+    cur = v.join(top, ["user_id", "version"]).select("user_id", "version", "rnk", "sku_id")
+    cur.repartition("user_id").write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 # ---------------------------------------------------------------- W3 / W7
 def request_candidates(requests: DataFrame, per_batch: Callable[[DataFrame], DataFrame], sink: str,
                        checkpoint: str, available_now: bool = True) -> StreamingQuery:

@@ -36,3 +36,19 @@ def test_refresh_fires_on_event_time_boundaries(spark):
     got = {tuple(r) for r in spark.read.parquet(f"{out}/last").collect()}
     want = {tuple(r) for r in R.hottest_lists(history_until(clicks, want_anchor), (1, 7), 5).collect()}
     assert got == want
+
+
+def test_latest_state_stream_matches_batch_and_compacts(spark):
+    clicks = fx.clicks(spark, SF001)
+    src = shared_path(spark, "t_latest_in")
+    J.stage_files(clicks.withColumn("dt", F.to_date("action_time")), src, partition_by="dt")
+    sink, ck, compacted = shared_path(spark, "t_latest_out"), shared_path(spark, "t_latest_ck"), \
+        shared_path(spark, "t_latest_cur")
+    q = J.latest_items_state(J.file_stream(spark, src, clicks.schema.add("dt", "date"), max_files_per_trigger=7),
+                             sink, ck, n=10)
+    q.awaitTermination()
+    want = {tuple(r) for r in R.latest_items(clicks, 10).collect()}
+    assert {tuple(r) for r in J.current_latest(spark.read.parquet(sink)).collect()} == want
+    cur = J.compact_latest(spark, sink, compacted)
+    assert {(r.user_id, r.rnk, r.sku_id) for r in cur.collect()} == want
+    assert cur.groupBy("user_id").agg(F.countDistinct("version").alias("v")).where("v > 1").count() == 0
