@@ -151,8 +151,9 @@ def fm_weights(model: PipelineModel, d: FeatureDictionary) -> tuple[DataFrame, f
             fids.append(r["base"] + code if code < r["size"] else d.total + r["field_id"])
     lin = fm.linear.toArray()
     fac = fm.factors.toArray()
-    pdf = pd.DataFrame({"feature_id": np.array(fids[: len(lin)], dtype="int64"),
-                        "w": lin.astype("float64"), "v": list(fac.astype("float64"))})
+    # plain Python values: the table builds with or without Arrow enabled
+    pdf = pd.DataFrame({"feature_id": [int(x) for x in fids[: len(lin)]],
+                        "w": [float(x) for x in lin], "v": [[float(x) for x in row] for row in fac]})
     spark = d.values.sparkSession
     table = spark.createDataFrame(pdf, "feature_id long, w double, v array<double>")
     table = table.groupBy("feature_id").agg(F.sum("w").alias("w"), F.first("v").alias("v"))
