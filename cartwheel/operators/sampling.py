@@ -131,45 +131,47 @@ def split_first_k(df: DataFrame, k: int, key_cols, seed: int = 42, bucket_bits:
                   levels: int = 2, head: str = "train", rest: str = "test", part_col: str = "part") -> DataFrame:
     """Label the first ``k`` rows in shuffle order ``head`` and the others ``rest``.
 
-    Exact and bounded: at each level the rows still undecided are counted per
-    bucket of the next ``bucket_bits`` hash bits (a table of at most
-    2^bucket_bits rows); the bucket holding the k-th row is the only one
-    carried to the next level.  After ``levels`` levels (2 × 16 bits: about
-    N / 2^32 rows left) that last bucket is ranked by (hash, keys).
-    Rows must be unique on ``key_cols`` for a total order.
+    Exact and bounded: at each level the still-undecided rows are counted per
+    bucket of the next ``bucket_bits`` hash bits (at most 2^bucket_bits
+    counts); the one bucket holding the k-th row (one row comes back to the
+    driver) is all that is carried to the next level.  After ``levels``
+    levels (2 × 16 bits: about N / 2^32 rows left) that bucket is ranked by
+    (hash, keys).  Rows must be unique on ``key_cols`` for a total order.
     """
     ensure_checkpoint_dir(df.sparkSession)
     # every level scans the input again: freeze it once instead of recomputing its lineage
     keyed = shuffle_key(df, key_cols, seed).checkpoint(eager=True)
-    rule = None          # decided rows: (condition, label) in hash-prefix order
-    prefix_cond = None   # rows inside the boundary bucket of every level so far
-    before = F.lit(0).cast("bigint")
+    rules: list[tuple[Column, str]] = []
+    inside = F.lit(True)          # rows in the boundary bucket of every level so far
+    before = 0                    # rows in shuffle order ahead of that bucket
+    last_bits = 0
     for level in range(levels):
         shift = 60 - bucket_bits * (level + 1)
         bkt = F.shiftright("_shuffle", shift).bitwiseAND(F.lit((1 << bucket_bits) - 1))
-        pool = keyed if prefix_cond is None else keyed.where(prefix_cond)
-        counts = pool.groupBy(bkt.alias("_bkt")).agg(F.count(F.lit(1)).alias("_n"))
+        counts = keyed.where(inside).groupBy(bkt.alias("_bkt")).agg(F.count(F.lit(1)).alias("_n"))
         w = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)  # ≤ 2^bits rows
-        cum = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)) + before)
-        boundary = cum.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))
-        b_bkt = boundary.agg(F.max("_bkt")).scalar()
-        b_before = boundary.agg(F.max("_before")).scalar()
-        inside = prefix_cond if prefix_cond is not None else F.lit(True)
-        # within the current pool: buckets below the boundary -> head, above -> rest;
-        # no boundary bucket means every pooled row fits (k >= all) or none does (k <= before)
-        lvl = (F.when(inside & b_bkt.isNotNull() & (bkt < b_bkt), F.lit(head))
-               .when(inside & b_bkt.isNotNull() & (bkt > b_bkt), F.lit(rest))
-               .when(inside & b_bkt.isNull(), F.when(before < k, F.lit(head)).otherwise(F.lit(rest))))
-        rule = lvl if rule is None else F.coalesce(rule, lvl)
-        here = b_bkt.isNotNull() & (bkt == b_bkt)
-        prefix_cond = here if prefix_cond is None else (prefix_cond & here)
-        before = b_before
-    decided = keyed.withColumn(part_col, rule)
+        cum = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(before))
+        hit = cum.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k)) \
+            .select("_bkt", "_before").first()
+        if hit is None:
+            # every pooled row fits (k beyond them) or none does (k already reached)
+            rules.append((inside, head if before < k else rest))
+            inside = F.lit(False)
+            break
+        rules.append((inside & (bkt < hit["_bkt"]), head))
+        rules.append((inside & (bkt > hit["_bkt"]), rest))
+        inside = inside & (bkt == hit["_bkt"])
+        before = int(hit["_before"])
+        last_bits = bucket_bits * (level + 1)
+    label = None
+    for cond, name in rules:
+        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
+    decided = keyed.withColumn(part_col, label)
     settled = decided.where(F.col(part_col).isNotNull())
     last = decided.where(F.col(part_col).isNull())
-    rw = Window.partitionBy(F.shiftright("_shuffle", 60 - bucket_bits * levels)).orderBy("_shuffle", *key_cols)
-    last = last.withColumn("_r", F.row_number().over(rw))
-    last = last.withColumn(part_col, F.when(F.col("_r") + before <= k, head).otherwise(rest)).drop("_r")
+    rw = Window.partitionBy(F.shiftright("_shuffle", 60 - max(last_bits, 1))).orderBy("_shuffle", *key_cols)
+    last = (last.withColumn("_r", F.row_number().over(rw))
+            .withColumn(part_col, F.when(F.col("_r") + before <= k, head).otherwise(rest)).drop("_r"))
     return settled.unionByName(last).drop("_shuffle")
 
 
