@@ -109,12 +109,12 @@ def chunked_positions(params: DataFrame, count_col: str = "m", chunk: int = DRAW
     return chunks.withColumn("i", F.explode(F.sequence(lo, hi))).drop("_chunk")
 
 
-def negative_samples(action: DataFrame, seed: int = 42) -> DataFrame:
+def negative_samples(action: DataFrame, seed: int = 42, chunk: int = DRAW_CHUNK) -> DataFrame:
     """Negatives (user_id, sku_id, label=0): the sample minus the user's items."""
     idx = item_index(action.select("sku_id"), seed)
     n_items = idx.agg(F.count(F.lit(1))).scalar()
     params = sample_sizes(action, n_items, seed)
-    pos = chunked_positions(params)
+    pos = chunked_positions(params, chunk=chunk)
     pos = pos.select("user_id", F.pmod(F.col("a") * F.col("i") + F.col("b"), n_items).alias("idx"))
     drawn = pos.join(idx, "idx").select("user_id", "sku_id")
     touched = action.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull()).select("user_id", "sku_id")
