@@ -89,9 +89,10 @@ def sample_sizes(action: DataFrame, n_items: Column, seed: int = 42) -> DataFram
     draw = lo + F.pmod(_tagged_hash(seed, "m", "user_id"), hi - lo + 1)
     m = F.least(F.greatest(F.col("cnt") + draw, F.lit(0)), n_items)
     primes = F.array(*[F.lit(p) for p in step_primes()])
-    a = F.pmod(F.element_at(primes, (F.pmod(_tagged_hash(seed, "a", "user_id"), F.lit(N_STEP_PRIMES)) + 1)
-                            .cast("int")), n_items)
-    b = F.pmod(_tagged_hash(seed, "b", "user_id"), n_items)
+    has_items = n_items > 0  # an empty item list draws nothing (and must not divide by zero)
+    a = F.when(has_items, F.pmod(F.element_at(primes, (F.pmod(_tagged_hash(seed, "a", "user_id"),
+                                                              F.lit(N_STEP_PRIMES)) + 1).cast("int")), n_items))
+    b = F.when(has_items, F.pmod(_tagged_hash(seed, "b", "user_id"), n_items))
     return cnt.select("user_id", "cnt", m.cast("bigint").alias("m"), a.alias("a"), b.alias("b"))
 
 

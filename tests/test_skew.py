@@ -73,3 +73,8 @@ def test_negative_draws_split_in_chunks_are_identical(spark, skewed):
     big = {tuple(r) for r in SM.negative_samples(df, seed=3).collect()}
     small = {tuple(r) for r in SM.negative_samples(df, seed=3, chunk=7).collect()}
     assert big == small and len(big) > 0
+
+
+def test_negative_samples_without_items_is_empty(spark):
+    df = spark.createDataFrame([(1, None, 1, dt.datetime(2024, 1, 1), 1)], ACT)
+    assert SM.negative_samples(df).count() == 0
