@@ -147,3 +147,17 @@ def fit(rows: DataFrame, n_fields: int, k: int = 4, reg: float = 0.002, lr: floa
 
 def predict(rows: DataFrame, params: DataFrame, n_fields: int, k: int) -> DataFrame:
     return _row_view(rows, params, n_fields, k).mapInPandas(_scores(n_fields, k), SCORE_SCHEMA)
+
+
+def grid(train_rows: DataFrame, test_rows: DataFrame, n_fields: int, lambdas=(0.0002, 0.002, 0.02),
+         factors=(4, 6, 8), lr: float = 0.2, epochs: int = 5) -> list[dict]:
+    """The FFM comparison grid (λ × k): test AUC and log-loss per point."""
+    from cartwheel.operators.metrics import auc_exact, logloss
+    out = []
+    for lam in lambdas:
+        for k in factors:
+            params = fit(train_rows, n_fields, k=k, reg=lam, lr=lr, epochs=epochs)
+            scored = predict(test_rows, params, n_fields, k)
+            out.append({"model": "ffm", "lambda": lam, "k": k,
+                        "auc": auc_exact(scored).first()["auc"], "logloss": logloss(scored).first()["logloss"]})
+    return out
