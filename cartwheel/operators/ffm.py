@@ -46,15 +46,29 @@ def init_params(feature_ids: DataFrame, n_fields: int, k: int, seed: int = 3) ->
     return p.select("feature_id", F.col("pos").cast("int"), init.alias("value"), F.lit(0.0).alias("acc"))
 
 
-def _row_view(rows: DataFrame, params: DataFrame, n_fields: int, k: int) -> DataFrame:
-    """One record per row: label, ids[F], w[F], v[F·F·k] (+ bias)."""
+BROADCAST_PARAM_BYTES = 64 << 20
+
+
+def _broadcastable(params: DataFrame, n_fields: int, k: int) -> bool:
+    """Counted size check: (features × (1 + F·k)) doubles under BROADCAST_PARAM_BYTES."""
+    n_feat = params.where(F.col("pos") == -1).count()
+    return n_feat * (1 + n_fields * k) * 8 <= BROADCAST_PARAM_BYTES
+
+
+def _row_view(rows: DataFrame, params: DataFrame, n_fields: int, k: int, broadcast: bool = False) -> DataFrame:
+    """One record per row: label, ids[F], w[F], v[F·F·k] (+ bias).
+
+    With ``broadcast`` (size checked by the caller) every task holds the
+    parameters; otherwise the lookup is a shuffle join on feature id, whose
+    hot ids (e.g. a common age) AQE's skew handling splits.
+    """
     wide = (params.where(F.col("feature_id") >= 0)
             .groupBy("feature_id")
             .agg(F.max(F.when(F.col("pos") == -1, F.col("value"))).alias("w"),
                  F.array_sort(F.collect_list(F.when(F.col("pos") >= 0, F.struct("pos", "value")))).alias("vs")))
     wide = wide.select("feature_id", "w", F.transform("vs", lambda s: s["value"]).alias("v"))
     long = rows.select("row_id", "label", F.posexplode("ids").alias("field", "feature_id"))
-    j = long.join(wide, "feature_id", "left")
+    j = long.join(F.broadcast(wide) if broadcast else wide, "feature_id", "left")
     zero_v = F.array_repeat(F.lit(0.0), n_fields * k)
     j = j.select("row_id", "label", "field", "feature_id", F.coalesce("w", F.lit(0.0)).alias("w"),
                  F.coalesce("v", zero_v).alias("v"))
@@ -130,8 +144,9 @@ def fit(rows: DataFrame, n_fields: int, k: int = 4, reg: float = 0.002, lr: floa
     n_total = float(rows.count())
     feats = rows.select(F.explode("ids").alias("feature_id"))
     params = init_params(feats, n_fields, k, seed)
+    small = _broadcastable(params, n_fields, k)
     for epoch in range(epochs):
-        view = _row_view(rows, params, n_fields, k)
+        view = _row_view(rows, params, n_fields, k, broadcast=small)
         grads = (view.mapInPandas(_gradients(n_fields, k, reg, n_total), GRAD_SCHEMA)
                  .groupBy("feature_id", "pos").agg(F.sum("g").alias("g")))
         upd = params.join(grads, ["feature_id", "pos"], "left").fillna(0.0, subset=["g"])
@@ -146,7 +161,8 @@ def fit(rows: DataFrame, n_fields: int, k: int = 4, reg: float = 0.002, lr: floa
 
 
 def predict(rows: DataFrame, params: DataFrame, n_fields: int, k: int) -> DataFrame:
-    return _row_view(rows, params, n_fields, k).mapInPandas(_scores(n_fields, k), SCORE_SCHEMA)
+    view = _row_view(rows, params, n_fields, k, broadcast=_broadcastable(params, n_fields, k))
+    return view.mapInPandas(_scores(n_fields, k), SCORE_SCHEMA)
 
 
 def grid(train_rows: DataFrame, test_rows: DataFrame, n_fields: int, lambdas=(0.0002, 0.002, 0.02),
