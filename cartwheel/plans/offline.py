@@ -50,24 +50,40 @@ def history_until(action: DataFrame, anchor=None, months: int | None = None) ->
 
 
 def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user: DataFrame,
-            out_dir: str, history_months: int | None = None, list_len: int = 10, anchor=None) -> Snapshots:
+            out_dir: str, history_months: int | None = None, list_len: int = 10, anchor=None,
+            with_lines: bool = False, with_item_cf: bool = False) -> Snapshots:
     """Compute and write all snapshots; returns their locations.
 
     ``anchor`` (a timestamp) limits the log to actions up to it, and with
     ``history_months`` to the rolling window before it (README: two months).
+    The enriched log (action ⋈ product ⋈ user) feeds several lists, so it is
+    written once and re-read.  ``with_lines`` also writes the libffm training
+    text; ``with_item_cf`` the item similarity and per-user top-20 CF lists.
     """
+    from cartwheel.operators import candidates as C
+    from cartwheel.sources import files as io
+
+    spark = action.sparkSession
     snap = Snapshots(out_dir)
     log = history_until(action, anchor, history_months)
-    enriched = R.recall_input(log, product, user)
+    R.recall_input(log, product, user).write.mode("overwrite").parquet(snap.path("enriched"))
+    enriched = snap.read(spark, "enriched")
 
-    R.distinct_sets(log).write.mode("overwrite").parquet(snap.path("sets"))
+    R.distinct_sets(enriched).write.mode("overwrite").parquet(snap.path("sets"))
     train = X.train_table(train_action, product, user)
     d = E.build_dictionary(train, FEATURE_COLUMNS, path=snap.path("dict_values"))
     d.fields.write.mode("overwrite").parquet(snap.path("dict_fields"))
+    if with_lines:
+        io.write_lines(E.ffm_lines(train, d), snap.path("train_ffm"))
     R.content_lists(enriched, R.CONTENT_KINDS, list_len).write.mode("overwrite").parquet(snap.path("content"))
-    R.hottest_lists(log, (1, 7, 30), list_len).write.mode("overwrite").parquet(snap.path("hottest"))
-    R.toplists(snap.read(enriched.sparkSession, "content"), snap.read(enriched.sparkSession, "hottest")) \
+    R.hottest_lists(enriched, (1, 7, 30), list_len).write.mode("overwrite").parquet(snap.path("hottest"))
+    R.toplists(snap.read(spark, "content"), snap.read(spark, "hottest")) \
         .write.mode("overwrite").parquet(snap.path("toplists"))
-    S.brand_similarity(R.active_actions(enriched, 5)).write.mode("overwrite").parquet(snap.path("brand_sim"))
-    R.latest_items(log, 10).write.mode("overwrite").parquet(snap.path("latest"))
+    active = R.active_actions(enriched, 5)
+    S.brand_similarity(active).write.mode("overwrite").parquet(snap.path("brand_sim"))
+    if with_item_cf:
+        S.item_similarity(active).write.mode("overwrite").parquet(snap.path("item_sim"))
+        C.user_topn_cf(enriched, snap.read(spark, "item_sim"), 20).write.mode("overwrite") \
+            .parquet(snap.path("user_cf"))
+    R.latest_items(enriched, 10).write.mode("overwrite").parquet(snap.path("latest"))
     return snap

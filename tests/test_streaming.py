@@ -52,3 +52,18 @@ def test_latest_state_stream_matches_batch_and_compacts(spark):
     cur = J.compact_latest(spark, sink, compacted)
     assert {(r.user_id, r.rnk, r.sku_id) for r in cur.collect()} == want
     assert cur.groupBy("user_id").agg(F.countDistinct("version").alias("v")).where("v > 1").count() == 0
+
+
+def test_offline_refresh_writes_every_snapshot(spark):
+    from cartwheel.plans.offline import refresh
+    clicks = fx.clicks(spark, SF001)
+    train = clicks.where(F.col("action_time") < F.lit("2024-01-17").cast("timestamp_ntz"))
+    snap = refresh(clicks, train, fx.products(spark, SF001), fx.users(spark, SF001),
+                   shared_path(spark, "t_snap"), with_lines=True, with_item_cf=True)
+    for name in ("enriched", "sets", "dict_values", "dict_fields", "content", "hottest", "toplists",
+                 "brand_sim", "item_sim", "user_cf", "latest"):
+        assert snap.read(spark, name).count() > 0, name
+    assert spark.read.text(snap.path("train_ffm") + ".txt").count() == fx.clicks(spark, SF001).where(
+        F.col("action_time") < F.lit("2024-01-17").cast("timestamp_ntz")).select("user_id", "sku_id").distinct().count()
+    got = {tuple(r) for r in snap.read(spark, "hottest").where("days = 7").select("rnk", "sku_id", "cnt").collect()}
+    assert got == {tuple(r) for r in R.hottest(clicks, 7, 10).collect()}
