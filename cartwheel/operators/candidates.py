@@ -56,18 +56,24 @@ def cf_brands(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, k: int
 
 
 def online_cf(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, brand_lists: DataFrame,
-              k: int = 10, per_brand: int = 10, seed: int = 7) -> DataFrame:
+              k: int = 10, per_brand: int = 10, seed: int = 7, sample: bool = True) -> DataFrame:
     """Brand-CF candidates: top-k brands -> their most popular items -> k items.
 
-    The k picks from the pooled items are md5-ordered per user (a reproducible
-    sample without replacement); a pool smaller than k is taken whole.
+    ``sample``: the k picks from the pooled items are md5-ordered per user (a
+    reproducible sample without replacement, as the reference samples);
+    otherwise they are ranked by brand score, then by the item's rank in its
+    brand list.  A pool smaller than k is taken whole.
     """
     top = cf_brands(seeds, product, brand_sim, k)
     lists = (brand_lists.where(F.col("rnk") <= per_brand)
-             .select(F.col("list_key").alias("brand"), "sku_id"))
-    pool = top.select("user_id", "brand").join(lists, "brand").select("user_id", "sku_id").distinct()
-    pool = pool.withColumn("_h", h64(F.lit(seed), "user_id", "sku_id"))
-    picked = top_n_per_group(pool, "user_id", [F.col("_h").asc(), F.col("sku_id").asc()], k)
+             .select(F.col("list_key").alias("brand"), "sku_id", F.col("rnk").alias("item_rnk")))
+    pool = (top.select("user_id", "brand", "score").join(lists, "brand")
+            .groupBy("user_id", "sku_id").agg(F.max("score").alias("score"), F.min("item_rnk").alias("item_rnk")))
+    if sample:
+        order = [h64(F.lit(seed), "user_id", "sku_id").asc(), F.col("sku_id").asc()]
+    else:
+        order = [F.col("score").desc(), F.col("item_rnk").asc(), F.col("sku_id").asc()]
+    picked = top_n_per_group(pool, "user_id", order, k)
     return picked.select("user_id", "rnk", "sku_id")
 
 

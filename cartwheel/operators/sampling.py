@@ -176,6 +176,16 @@ def split_first_k(df: DataFrame, k: int, key_cols, seed: int = 42, bucket_bits:
     return settled.unionByName(last).drop("_shuffle")
 
 
+def split_fraction(df: DataFrame, fraction: float, key_cols, seed: int = 42, head: str = "train",
+                   rest: str = "test", part_col: str = "part") -> DataFrame:
+    """Approximate positional split: rows whose shuffle hash falls in the first
+    ``fraction`` of the hash range go to ``head``.  One projection, no
+    aggregation — the scalable default when an exact count is not required."""
+    cut = int(fraction * (1 << 60))
+    keyed = shuffle_key(df, key_cols, seed)
+    return keyed.withColumn(part_col, F.when(F.col("_shuffle") < F.lit(cut), head).otherwise(rest)).drop("_shuffle")
+
+
 def train_test_with_negatives(train_pos: DataFrame, test_pos: DataFrame, negatives: DataFrame,
                               n_train_negatives: int = 30_000_000, seed: int = 42) -> DataFrame:
     """(user_id, sku_id, label, part): positives keep duplicates (label 1),

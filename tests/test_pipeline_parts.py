@@ -103,3 +103,23 @@ def test_candidate_payload_format(spark):
     enc = spark.createDataFrame([(7, 2, 11, 12), (7, 1, 13, 14)], "user_id long, item_id long, f_a long, f_b long")
     p = C.candidate_payload(enc, ["f_a", "f_b"]).first().payload
     assert p == "7:\n13\t14\t1\n11\t12\t2\n"
+
+
+def test_online_cf_ranked_mode_orders_by_brand_score(spark):
+    seeds = spark.createDataFrame([(1, 100, 1)], "user_id long, sku_id long, rnk long")
+    product = spark.createDataFrame([(100, 1)], "sku_id long, brand int")
+    sim = spark.createDataFrame([(1, 2, 1, 0.9), (1, 3, 1, 0.4)], "brand1 long, brand2 long, co long, sim double")
+    lists = spark.createDataFrame([(2, 1, 20, 5), (2, 2, 21, 4), (3, 1, 30, 9)],
+                                  "list_key long, rnk long, sku_id long, cnt long")
+    got = C.online_cf(seeds, product, sim, lists, k=2, sample=False).orderBy("rnk").collect()
+    assert [r.sku_id for r in got] == [20, 21]
+
+
+def test_split_fraction_is_close_and_deterministic(spark):
+    from cartwheel.operators import sampling as SM
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    a = SM.split_fraction(df, 0.3, ["k"], seed=1)
+    share = a.where("part = 'train'").count() / 20000
+    assert abs(share - 0.3) < 0.02
+    assert a.where("part = 'train'").collect() == SM.split_fraction(df, 0.3, ["k"], seed=1).where(
+        "part = 'train'").collect()
