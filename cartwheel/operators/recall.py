@@ -167,8 +167,13 @@ def latest_known_items(action: DataFrame, known_items: DataFrame, n: int = 10) -
 
 
 def cold_start_users(user: DataFrame, action: DataFrame) -> DataFrame:
-    """Users in the user table with no action in the log (anti join)."""
-    return user.select("user_id").join(action.select("user_id"), "user_id", "left_anti")
+    """Users in the user table with no action in the log (anti join).
+
+    The log side is reduced to distinct user ids first (map-side partial
+    aggregation), so the shuffle carries users, not actions.
+    """
+    seen = action.where(F.col("user_id").isNotNull()).select("user_id").distinct()
+    return user.select("user_id").join(seen, "user_id", "left_anti")
 
 
 def cold_start_recommendations(user: DataFrame, action: DataFrame, days: int = 7, n: int = 3) -> DataFrame:
