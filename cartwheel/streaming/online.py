@@ -36,10 +36,25 @@ def payload_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attr
 
 
 def rerank_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs: DataFrame,
-               weights: DataFrame, bias: float = 0.0, top: int = 3) -> DataFrame:
-    """Web click -> candidates -> FM score -> top-``top`` recommendation."""
-    d = snap.dictionary(users.sparkSession)
-    cands = candidates_for(users, snap, product, user_attrs)
+               weights: DataFrame, bias: float = 0.0, top: int = 3, cold_days: int = 7) -> DataFrame:
+    """Web click -> candidates -> FM score -> top-``top`` recommendation.
+
+    Users outside the known-user set take the cold-start path instead: the
+    top-``top`` hottest items of the last ``cold_days`` days (score NULL).
+    """
+    spark = users.sparkSession
+    u = users.select("user_id").distinct()
+    known = snap.read(spark, "sets").where(F.col("set_name") == "user").select(F.col("id").alias("user_id"))
+    warm = u.join(known, "user_id", "left_semi")
+    cold = u.join(known, "user_id", "left_anti")
+    d = snap.dictionary(spark)
+    cands = candidates_for(warm, snap, product, user_attrs)
     enc = E.encode_candidates(cands, product, user_attrs, d, unseen="keep")
     scores = C.fm_scores(enc, [f"f_{c}" for c in FEATURE_COLUMNS], weights, bias)
-    return C.rank_by_score(scores, top)
+    ranked = C.rank_by_score(scores, top)
+    hot = (snap.read(spark, "hottest").where((F.col("days") == cold_days) & (F.col("rnk") <= top))
+           .select("rnk", F.col("sku_id").alias("item_id")))
+    hot_arr = hot.agg(F.array_sort(F.collect_list(F.struct("rnk", "item_id")))).scalar()  # ≤ top rows
+    new = cold.select("user_id", F.explode(hot_arr).alias("h")).select(
+        "user_id", "h.rnk", "h.item_id", F.lit(None).cast("double").alias("score"))
+    return ranked.unionByName(new)

@@ -67,3 +67,19 @@ def test_offline_refresh_writes_every_snapshot(spark):
         F.col("action_time") < F.lit("2024-01-17").cast("timestamp_ntz")).select("user_id", "sku_id").distinct().count()
     got = {tuple(r) for r in snap.read(spark, "hottest").where("days = 7").select("rnk", "sku_id", "cnt").collect()}
     assert got == {tuple(r) for r in R.hottest(clicks, 7, 10).collect()}
+
+
+def test_rerank_sends_unknown_users_to_cold_start(spark):
+    from cartwheel.operators import candidates as C
+    from cartwheel.plans.offline import refresh
+    from cartwheel.streaming import online as O
+    clicks = fx.clicks(spark, SF001)
+    product, user = fx.products(spark, SF001), fx.users(spark, SF001)
+    snap = refresh(clicks, clicks, product, user, shared_path(spark, "t_snap_cold"))
+    weights = C.hashed_fm_weights(snap.read(spark, "dict_values"))
+    known_user = clicks.select("user_id").first()[0]
+    users = spark.createDataFrame([(known_user,), (10 ** 9,)], "user_id long")
+    out = O.rerank_for(users, snap, product, user, weights).collect()
+    new = sorted((r.rnk, r.item_id) for r in out if r.user_id == 10 ** 9)
+    assert new == [(r.rnk, r.sku_id) for r in R.hottest(clicks, 7, 3).orderBy("rnk").collect()]
+    assert all(r.score is not None for r in out if r.user_id == known_user)
