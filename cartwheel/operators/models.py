@@ -171,6 +171,12 @@ def fm_weights(model: PipelineModel, d: FeatureDictionary) -> tuple[DataFrame, f
     return table, float(fm.intercept)
 
 
+def weights_text(kv: DataFrame) -> DataFrame:
+    """Text model export, one ``key: v1 v2 ...`` line per weight key."""
+    return kv.select(F.concat(F.col("key"), F.lit(": "),
+                              F.array_join(F.transform("values", lambda x: x.cast("string")), " ")).alias("line"))
+
+
 def weights_as_kv(table: DataFrame, bias: float) -> DataFrame:
     spark = table.sparkSession
     b = spark.range(1).select(F.lit("bias").alias("key"), F.array(F.lit(bias)).alias("values"))

@@ -67,6 +67,12 @@ def write_lines(df: DataFrame, path: str, line_col: str = "line") -> str:
     return p
 
 
+def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str = "features") -> None:
+    """Sparse ML vectors as libsvm text (1-based indices), for external trainers."""
+    (df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
+     .write.mode("overwrite").format("libsvm").save(path))
+
+
 # ---------------------------------------------------------------- KV log range scan
 def log_range_scan(kv: DataFrame, start_row: str | None = None, stop_row: str | None = None,
                    reverse: bool = True, limit: int | None = None, with_time: bool = False) -> DataFrame:

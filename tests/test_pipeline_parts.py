@@ -123,3 +123,15 @@ def test_split_fraction_is_close_and_deterministic(spark):
     assert abs(share - 0.3) < 0.02
     assert a.where("part = 'train'").collect() == SM.split_fraction(df, 0.3, ["k"], seed=1).where(
         "part = 'train'").collect()
+
+
+def test_libsvm_and_weight_text_sinks(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from cartwheel.operators import models as M
+    df = spark.createDataFrame([(1.0, Vectors.sparse(5, [0, 3], [1.0, 1.0]))], ["label", "features"])
+    p = shared_path(spark, "libsvm")
+    io.write_libsvm(df, p)
+    assert [r.value for r in spark.read.text(p).collect()] == ["1.0 1:1.0 4:1.0"]
+    kv = spark.createDataFrame([("bias", [0.5]), ("v_3", [0.25, -1.0])], "key string, values array<double>")
+    assert sorted(r.line for r in M.weights_text(kv).collect()) == ["bias: 0.5", "v_3: 0.25 -1.0"]
