@@ -74,8 +74,15 @@ def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str =
 
 
 # ---------------------------------------------------------------- KV log range scan
+def write_kv_log(kv: DataFrame, path: str, date_col: str = "dt") -> None:
+    """Store the row-key log partitioned by the date prefix of its key."""
+    (kv.withColumn(date_col, F.to_date(F.substring("rowkey", 1, 10)))
+     .write.mode("overwrite").partitionBy(date_col).parquet(path))
+
+
 def log_range_scan(kv: DataFrame, start_row: str | None = None, stop_row: str | None = None,
-                   reverse: bool = True, limit: int | None = None, with_time: bool = False) -> DataFrame:
+                   reverse: bool = True, limit: int | None = None, with_time: bool = False,
+                   date_col: str | None = None) -> DataFrame:
     """Scan ``(rowkey, it, ty)`` over ``[start_row, stop_row)`` and parse it.
 
     Output (user_id int, item_id int, type tinyint[, ts]) ordered by row key,
@@ -87,6 +94,12 @@ def log_range_scan(kv: DataFrame, start_row: str | None = None, stop_row: str |
         cond = cond & (F.col("rowkey") >= F.lit(start_row))
     if stop_row is not None:
         cond = cond & (F.col("rowkey") < F.lit(stop_row))
+    if date_col is not None:
+        # keys start with "yyyy-MM-dd": the key range implies a date range (partition pruning)
+        if start_row is not None and len(start_row) >= 10:
+            cond = cond & (F.col(date_col) >= F.lit(start_row[:10]).cast("date"))
+        if stop_row is not None and len(stop_row) >= 10:
+            cond = cond & (F.col(date_col) <= F.lit(stop_row[:10]).cast("date"))
     rows = kv.where(cond)
     rows = rows.orderBy(F.col("rowkey").desc() if reverse else F.col("rowkey").asc(),
                         F.col("it").asc(), F.col("ty").asc())

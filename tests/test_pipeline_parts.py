@@ -135,3 +135,18 @@ def test_libsvm_and_weight_text_sinks(spark):
     assert [r.value for r in spark.read.text(p).collect()] == ["1.0 1:1.0 4:1.0"]
     kv = spark.createDataFrame([("bias", [0.5]), ("v_3", [0.25, -1.0])], "key string, values array<double>")
     assert sorted(r.line for r in M.weights_text(kv).collect()) == ["bias: 0.5", "v_3: 0.25 -1.0"]
+
+
+def test_range_scan_prunes_date_partitions(spark):
+    from conftest import SF001
+
+    from cartwheel.sources import fixtures as fx
+    kv = fx.kv_log(fx.clicks(spark, SF001))
+    p = shared_path(spark, "kv_store")
+    io.write_kv_log(kv, p)
+    stored = spark.read.parquet(p)
+    scan = io.log_range_scan(stored, "2024-01-10", "2024-01-12", date_col="dt", with_time=True)
+    plan = scan._sc._jvm.PythonSQLUtils.explainString(scan._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    want = io.log_range_scan(kv, "2024-01-10", "2024-01-12", with_time=True)
+    assert sorted(map(tuple, scan.collect())) == sorted(map(tuple, want.collect()))
