@@ -168,8 +168,11 @@ FROM kv WHERE rowkey >= '2024-01-10' AND rowkey < '2024-01-20'""", local=[("kv",
 SELECT strftime(action_time, '%Y-%m-%d %H:%M:%S') || ',' || CAST(user_id AS VARCHAR) AS rowkey,
        CAST(sku_id AS VARCHAR) AS it, CAST(type AS VARCHAR) AS ty FROM clicks""")]))
 def log_range_scan(spark, sf):
-    kv = fx.kv_log(fx.clicks(spark, sf))
-    return io.log_range_scan(kv, "2024-01-10", "2024-01-20", reverse=True, with_time=True)
+    """Row-key log stored partitioned by date; the key range prunes partitions."""
+    path = shared_path(spark, "kv_log")
+    io.write_kv_log(fx.kv_log(fx.clicks(spark, sf)), path)
+    return io.log_range_scan(spark.read.parquet(path), "2024-01-10", "2024-01-20", reverse=True,
+                             with_time=True, date_col="dt")
 
 
 _CLICKS_TEXT_SQL = with_ctes(["clicks"], """
