@@ -16,21 +16,26 @@ from cartwheel.schemas import FEATURE_COLUMNS
 
 
 def candidates_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs: DataFrame,
-                   k: int = 10, n: int = 10) -> DataFrame:
+                   k: int = 10, n: int = 10, latest: DataFrame | None = None) -> DataFrame:
+    """Candidates of the requesting users.  ``latest`` (user_id, rnk, sku_id)
+    overrides the snapshot's latest lists — e.g. the live keyed-state table of
+    ``jobs.latest_items_state`` read through ``jobs.current_latest``."""
     spark = users.sparkSession
     u = users.select("user_id").distinct()
     content = snap.read(spark, "content")
     hot = snap.read(spark, "hottest").where(F.col("days") == 1)
-    seeds = snap.read(spark, "latest").join(u, "user_id", "left_semi")
+    live = latest if latest is not None else snap.read(spark, "latest")
+    seeds = live.join(u, "user_id", "left_semi")
     brand_lists = content.where(F.col("list_kind") == "brand")
     cf = C.online_cf(seeds, product, snap.read(spark, "brand_sim"), brand_lists, k=k)
     return C.candidates_union(u, user_attrs, content.where(F.col("list_kind").isin("city", "age")), hot, cf, n)
 
 
-def payload_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs: DataFrame) -> DataFrame:
+def payload_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs: DataFrame,
+                latest: DataFrame | None = None) -> DataFrame:
     """Encoded candidate message per requesting user (K7)."""
     d = snap.dictionary(users.sparkSession)
-    cands = candidates_for(users, snap, product, user_attrs)
+    cands = candidates_for(users, snap, product, user_attrs, latest=latest)
     enc = E.encode_candidates(cands, product, user_attrs, d, unseen="keep")
     return C.candidate_payload(enc, [f"f_{c}" for c in FEATURE_COLUMNS])
 

@@ -83,3 +83,16 @@ def test_rerank_sends_unknown_users_to_cold_start(spark):
     new = sorted((r.rnk, r.item_id) for r in out if r.user_id == 10 ** 9)
     assert new == [(r.rnk, r.sku_id) for r in R.hottest(clicks, 7, 3).orderBy("rnk").collect()]
     assert all(r.score is not None for r in out if r.user_id == known_user)
+
+
+def test_candidates_can_use_live_latest_state(spark):
+    from cartwheel.plans.offline import refresh
+    from cartwheel.streaming import online as O
+    clicks = fx.clicks(spark, SF001)
+    product, user = fx.products(spark, SF001), fx.users(spark, SF001)
+    snap = refresh(clicks, clicks, product, user, shared_path(spark, "t_snap_live"))
+    users = clicks.select("user_id").distinct()
+    a = {tuple(r) for r in O.candidates_for(users, snap, product, user).collect()}
+    b = {tuple(r) for r in O.candidates_for(users, snap, product, user,
+                                           latest=R.latest_items(clicks, 10)).collect()}
+    assert a == b and a
