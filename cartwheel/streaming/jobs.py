@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cartwheel.functions.exprs import ntz_from_utc, utc_instant, utc_micros
 
@@ -108,6 +109,53 @@ def latest_items_state(actions: DataFrame, sink: str, checkpoint: str, n: int =
     return _start(out, sink, checkpoint, "append", **kw)
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LatestItemsProcessor(StatefulProcessor):
+    """Keyed ``ListState`` holding a user's newest ``n`` (time, event id, sku)
+    entries; every update emits the user's whole list with a new version."""
+
+    def __init__(self, n: int = 10):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.items = handle.getListState("items", "ts long, eid long, sku long")
+        self.version = handle.getValueState("version", "v long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        cols = ["ts", "eid", "sku"]
+        cur = pd.DataFrame(list(self.items.get()) if self.items.exists() else [], columns=cols, dtype="int64")
+        for pdf in rows:  # keep only the newest n after every chunk
+            add = pd.DataFrame({"ts": pdf["ts_us"].astype("int64"), "eid": pdf["event_id"].astype("int64"),
+                                "sku": pdf["sku_id"].astype("int64")})
+            cur = (pd.concat([cur, add], ignore_index=True)
+                   .sort_values(["ts", "eid"], ascending=False, kind="mergesort").head(self.n))
+        self.items.put([tuple(int(x) for x in r) for r in cur[cols].itertuples(index=False)])
+        version = (self.version.get()[0] if self.version.exists() else 0) + 1
+        self.version.update((version,))
+        yield pd.DataFrame({"user_id": [int(key[0])] * len(cur), "version": [version] * len(cur),
+                            "rnk": list(range(1, len(cur) + 1)), "sku_id": cur["sku"].tolist()})
+
+    def close(self) -> None:
+        pass
+
+
+def latest_items_list_state(actions: DataFrame, sink: str, checkpoint: str, n: int = 10,
+                            **kw) -> StreamingQuery:
+    """Same contract as ``latest_items_state`` on the ``transformWithStateInPandas``
+    API (list state in the RocksDB state store, which this API requires)."""
+    spark = actions.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    rows = (actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
+            .select("user_id", "sku_id", "event_id", utc_micros("action_time").alias("ts_us")))
+    out = rows.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=LatestItemsProcessor(n), outputStructType=LATEST_OUT,
+        outputMode="Append", timeMode="None")
+    return _start(out, sink, checkpoint, "append", **kw)
+
+
 def current_latest(versions: DataFrame) -> DataFrame:
     """Newest version of every user's list: (user_id, rnk, sku_id)."""
     top = versions.groupBy("user_id").agg(F.max("version").alias("version"))

@@ -96,3 +96,15 @@ def test_candidates_can_use_live_latest_state(spark):
     b = {tuple(r) for r in O.candidates_for(users, snap, product, user,
                                            latest=R.latest_items(clicks, 10)).collect()}
     assert a == b and a
+
+
+def test_list_state_variant_matches_batch(spark):
+    clicks = fx.clicks(spark, SF001)
+    src = shared_path(spark, "t_tws_in")
+    J.stage_files(clicks.withColumn("dt", F.to_date("action_time")), src, partition_by="dt")
+    sink, ck = shared_path(spark, "t_tws_out"), shared_path(spark, "t_tws_ck")
+    q = J.latest_items_list_state(J.file_stream(spark, src, clicks.schema.add("dt", "date"),
+                                                max_files_per_trigger=10), sink, ck, n=10)
+    q.awaitTermination()
+    want = {tuple(r) for r in R.latest_items(clicks, 10).collect()}
+    assert {tuple(r) for r in J.current_latest(spark.read.parquet(sink)).collect()} == want
