@@ -90,6 +90,21 @@ def latest_items_stream(spark, sf):
     return J.current_latest(spark.read.parquet(sink))
 
 
+@register("latest_items_list_state", with_ctes(["clicks"], """
+SELECT user_id, rnk, sku_id FROM (
+  SELECT user_id, sku_id,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY action_time DESC, event_id DESC) AS BIGINT) AS rnk
+  FROM clicks WHERE user_id IS NOT NULL AND sku_id IS NOT NULL) t
+WHERE rnk <= 10"""))
+def latest_items_list_state(spark, sf):
+    """W4 on transformWithStateInPandas (ListState, RocksDB state store)."""
+    src, schema = _stage_clicks(spark, sf, "tws_in")
+    sink, ck = shared_path(spark, "tws_out"), shared_path(spark, "tws_ck")
+    q = J.latest_items_list_state(J.file_stream(spark, src, schema, max_files_per_trigger=10), sink, ck, n=10)
+    q.awaitTermination()
+    return J.current_latest(spark.read.parquet(sink))
+
+
 @register("stream_append_log", with_ctes(["clicks"], """
 SELECT user_id, sku_id, type, strftime(action_time, '%Y-%m-%d %H:%M:%S.%f') AS action_time, event_id FROM clicks"""))
 def stream_append_log(spark, sf):
