@@ -145,8 +145,9 @@ def gbt_cv(table: DataFrame, feature_cols: Sequence[str], folds: int = 5, seed:
 
 
 def fm_weights(model: PipelineModel, d: FeatureDictionary) -> tuple[DataFrame, float]:
-    """Export a fitted one-hot FM as (key, values): 'bias', 'w_<feature_id>',
-    'v_<feature_id>'; and as the scoring table (feature_id, w, v).
+    """Export a fitted one-hot FM as the scoring table (feature_id, w, v) plus
+    its bias; ``weights_as_kv`` turns it into (key, values) rows ('bias',
+    'w_<feature_id>', 'v_<feature_id>') and ``weights_text`` into text lines.
 
     Spark ML keeps the fitted weights on the driver; this builds the table
     from them once (its size is the model size, features × k).
