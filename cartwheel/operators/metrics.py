@@ -25,7 +25,8 @@ def auc_exact(scored: DataFrame, label: str = "label", score: str = "score",
                 F.sum((1 - F.col(label)).cast("bigint")).alias("neg")))
     pre = prefix_sums(per, [*group, score], ["neg"])
     if group:
-        # prefix sums run over all groups in order; rebase at each group's start
+        # prefix sums run over all groups in order; rebase at each group's start.
+        # ``group`` is a report split (e.g. train/test): one row per group, broadcast
         start = pre.groupBy(*group).agg(F.min("neg_before").alias("_start"))
         pre = pre.join(F.broadcast(start), group).withColumn("neg_before", F.col("neg_before") - F.col("_start"))
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
