@@ -13,6 +13,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -222,9 +223,10 @@ def refresh_on_event_time(actions: DataFrame, history_path: str, state_path: str
             st = (spark.read.parquet(state_path).where(F.col("epoch") < epoch)
                   .agg(F.max("seen"), F.max("anchor")).first())  # one row per past epoch
             seen, last = st[0], st[1]
-        except Exception:  # noqa: BLE001 - no state written yet
+        except AnalysisException:  # no state written yet (first epoch)
             pass
-        seen = max(x for x in (seen, newest) if x is not None) if (seen or newest) else None
+        known = [x for x in (seen, newest) if x is not None]
+        seen = max(known) if known else None
         if seen is not None:
             boundary = period_floor(seen - delay, period)
             if last is None or boundary > last:
