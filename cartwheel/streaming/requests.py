@@ -61,3 +61,21 @@ def click_lines(action: DataFrame) -> DataFrame:
     """Batch twin: the web page's click payload for every action."""
     return action.select(F.concat_ws(",", F.col("user_id").cast("string"), F.col("sku_id").cast("string"),
                                      F.lit("test"), F.lit("88888"), F.lit("1")).alias("value"))
+
+
+def kafka_lines(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Request / click lines from a Kafka topic as a ``value`` string column.
+
+    Needs the Kafka connector on the classpath (not part of this image); the
+    rest of the job is unchanged whichever source feeds it.
+    """
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("subscribe", topic).load()
+            .select(F.col("value").cast("string").alias("value")))
+
+
+def to_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str, key_col: str = "user_id"):
+    """Publish one message per row (e.g. the candidate payload) to a topic."""
+    out = messages.select(F.col(key_col).cast("string").alias("key"), F.col("payload").alias("value"))
+    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("checkpointLocation", checkpoint).start())
