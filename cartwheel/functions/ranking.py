@@ -42,21 +42,25 @@ def _tag(frozen: DataFrame) -> DataFrame:
 
 
 def sorted_index(df: DataFrame, order: Sequence, within: Sequence[str] = (), index_col: str = "idx",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, with_counts: bool = False):
     """0-based position of each row in ``order`` (restarting per ``within`` group).
 
     ``order`` must be a total order (append a unique key) for a stable result.
     ``within`` should have few distinct values (e.g. feature fields): the
     offset table has one row per (partition, group) pair it spans.
+    With ``with_counts`` also returns the rows per ``within`` group, read off
+    that small offset table.
     """
     keys = [*within, *order]
     tagged = _tag(frozen_sorted(df, keys, num_partitions))
     stats = tagged.groupBy("_pid", *within).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counts = stats.groupBy(*within).agg(F.sum("_n").alias("n"))
     w = Window.partitionBy(*within).orderBy("_pid") if within else Window.orderBy("_pid")
     stats = stats.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
     out = tagged.join(F.broadcast(stats.drop("_n")), ["_pid", *within])
     out = out.withColumn(index_col, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint"))
-    return out.drop("_mid", "_pid", "_loc", "_first", "_off")
+    out = out.drop("_mid", "_pid", "_loc", "_first", "_off")
+    return (out, counts) if with_counts else out
 
 
 def prefix_sums(df: DataFrame, order: Sequence, sums: Sequence[str], suffix: str = "_before",

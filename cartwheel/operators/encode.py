@@ -62,11 +62,9 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
         F.struct(F.lit(fid[c]).alias("field_id"), F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value"))
         for c in cat])).alias("kv")).select("kv.*")
     distinct = long.where(F.col("value").isNotNull()).distinct()
-    coded = sorted_index(distinct, ["value"], within=["field_id"], index_col="code",
-                         num_partitions=num_partitions)
-
-    sizes = coded.groupBy("field_id", "column").agg(F.count(F.lit(1)).alias("size"))
-    rows = {r["field_id"]: r["size"] for r in sizes.collect()}  # one row per field
+    coded, counts = sorted_index(distinct, ["value"], within=["field_id"], index_col="code",
+                                 num_partitions=num_partitions, with_counts=True)
+    rows = {r["field_id"]: r["n"] for r in counts.collect()}  # one row per field
     field_rows, base = [], 0
     for c in columns:
         size = 1 if c in numeric else int(rows.get(fid[c], 0))
