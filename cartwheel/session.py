@@ -74,3 +74,23 @@ def local_fs_path(path: str) -> str:
 
 def cpu_count() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so Python functions find it there."""
+    import tempfile
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_cartwheel_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="cartwheel-ship-"), "cartwheel.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._cartwheel_shipped = True
