@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import langid, warc
+from cartwheel.llm import decontam, langid, mixing, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~held))
     found = langid.identify(docs.withColumn("held_out", held), model, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score", "n_spans")
+
+
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+OP3_SQL = f"""WITH {mixing.mix_sql(MIX_POWERS)}
+SELECT doc_id, source, lang, mix_topic AS topic, mix_tokens AS n_tokens, round(mix_weight, 6) AS weight, mix_copies AS copies FROM mixed"""
+
+
+@register("op3_mix_weights", OP3_SQL)
+def op3_mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its raked weight and how often the mixture draws it."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), MIX_POWERS)
+    return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
+                        F.round("mix_weight", 6).alias("weight"), F.col("mix_copies").alias("copies"))
+
+
+@register("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair in which the document holds the item or a near copy of it."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
