@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontam, langid, mixing, warc
+from cartwheel.llm import ann, decontam, langid, mixing, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def op3_mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair in which the document holds the item or a near copy of it."""
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_permutation_index")
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
