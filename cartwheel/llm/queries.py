@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, warc
+from cartwheel.llm import ann, decontam, langid, mixing, quality, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,11 @@ def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@register("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document; ``keep`` asks for good quality and no toxicity."""
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    toxic = (F.col("toxic_score") >= 0.5) | (F.col("toxic_label") >= 0.5)
+    return scored.select("*", toxic.alias("toxic"), ((F.col("quality_score") >= 0.5) & ~toxic).alias("keep"))
