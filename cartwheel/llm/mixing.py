@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 NONE = "(none)"
 MAX_PAIRS = 20_000
+#: the counted cells are far fewer than documents; rounds over them use tasks of this size
+SOURCES_A_TASK, CELLS_A_TASK = 20_000, 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -70,6 +72,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = 15,
     small = {d: {r[0]: r[1] * total for r in targets[d].select(d, "share").limit(max_pairs + 1).collect()} for d in ("lang", "topic")}
     rows = (cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "tokens")).alias("own"))
             .join(targets["source"].select("source", (F.col("share") * total).alias("goal")), "source").checkpoint())
+    rows = rows.coalesce(1 + rows.count() // SOURCES_A_TASK)
     b = {r["lang"]: 1.0 for r in pairs}
     c = {r["topic"]: 1.0 for r in pairs}
 
@@ -109,6 +112,7 @@ def mix(docs: DataFrame, powers: dict[str, float], topic: Column | None = None,
     key = {"source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)), "lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)), "topic": F.col("mix_topic")}
     cells = (tagged.select(*[v.alias(k) for k, v in key.items()], F.col("mix_tokens").alias("tokens"))
              .groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")).checkpoint())
+    cells = cells.coalesce(1 + cells.count() // CELLS_A_TASK)
     targets = {d: tempered(cells, d, "tokens", powers[d]) for d in ("source", "lang", "topic")}
     raked = rake(cells, targets, iterations).checkpoint()
     weights = raked.select(*[F.col(d).alias(f"_{d}") for d in key], F.col("weight").alias("_w"))
