@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, quality, warc
+from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, quality, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     toxic = (F.col("toxic_score") >= 0.5) | (F.col("toxic_label") >= 0.5)
     return scored.select("*", toxic.alias("toxic"), ((F.col("quality_score") >= 0.5) & ~toxic).alias("keep"))
+
+
+@register("op2_ngram_jaccard")
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 75 % similarity of their 5-word shingle sets."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
