@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, quality, warc
+from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, quality, suffix_dedup, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 75 % similarity of their 5-word shingle sets."""
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@register("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document once all repeated 100-byte strings are cut."""
+    kept = suffix_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100, keep=["doc_id"])
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
