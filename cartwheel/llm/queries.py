@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, quality, suffix_dedup, warc
+from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document once all repeated 100-byte strings are cut."""
     kept = suffix_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100, keep=["doc_id"])
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op7_ngram_lm")
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a bigram model of nine tenths of them."""
+    return ngram_lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
