@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, warc
+from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,44 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a bigram model of nine tenths of them."""
     return ngram_lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
+WORD = mixing.WORD
+TOOLS = [("ask", "query", "string", True, 1.0, 2000.0), ("ask", "words", "integer", True, 1.0, 60.0),
+         ("configure", "query", "string", True, 1.0, 400.0), ("configure", "words", "integer", False, 1.0, 40.0)]
+OP5_SQL = rf"""
+WITH RECURSIVE turns AS (SELECT *, 'call_' || conv_id || '_' || turn AS call_id, 'call_' || conv_id || '_' || (turn - 1) AS before FROM conversations),
+rows AS (SELECT call_id, min(struct_pack(a := CASE role WHEN 'system' THEN 'configure' ELSE 'ask' END, t := text, p := 'call_' || conv_id || '_' || (turn - 2))) AS b
+  FROM turns WHERE role IN ('system', 'user') AND call_id IS NOT NULL GROUP BY call_id),
+calls AS (SELECT call_id, b.a AS name, b.t AS text, b.p AS parent_id, len(regexp_extract_all(b.t, '{WORD}')) AS words FROM rows),
+results AS (SELECT before AS call_id, min(text) AS result, count(*) AS n_results FROM turns WHERE role = 'assistant' AND before IS NOT NULL GROUP BY before),
+depth AS (SELECT call_id, 0::BIGINT AS depth FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.call_id = c.parent_id)
+  UNION ALL SELECT c.call_id, d.depth + 1 FROM calls c JOIN depth d ON c.parent_id = d.call_id),
+told AS (SELECT c.*, d.depth, r.result, coalesce(r.n_results, 0)::BIGINT AS n_results, list_filter([
+    CASE WHEN c.text IS NULL THEN 'query: missing' WHEN length(c.text) < 1 OR length(c.text) > (CASE name WHEN 'ask' THEN 2000 ELSE 400 END) THEN 'query: range' END,
+    CASE WHEN words < 1 OR words > (CASE name WHEN 'ask' THEN 60 ELSE 40 END) THEN 'words: range' END], lambda e: e IS NOT NULL) AS errors
+  FROM calls c JOIN depth d USING (call_id) LEFT JOIN results r USING (call_id))
+SELECT call_id, name, parent_id, depth, n_results, len(errors) = 0 AS valid, array_to_string(errors, ',') AS errors,
+  '{{"arguments":{{"query":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"words":' || words || '}},"depth":' || depth || ',"errors":' || to_json(errors)::VARCHAR ||
+  ',"id":"' || call_id || '","name":"' || name || '","parent":"' || parent_id || '","result":' || coalesce(to_json(result)::VARCHAR, 'null') || ',"valid":' ||
+  CASE WHEN len(errors) = 0 THEN 'true' ELSE 'false' END || '}}' AS json
+FROM told
+"""
+
+
+@register("op5_tool_calls", OP5_SQL)
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as tool calls: a system or user turn calls, the next turn answers, the turn two before is the parent."""
+    turns = table(spark, sf_dir, "conversations")
+
+    def name(shift: int):
+        return F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), (F.col("turn") - shift).cast("string"))
+
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
+    calls = turns.where(F.col("role").isin("system", "user")).select(
+        name(0).alias("call_id"), F.when(F.col("role") == "system", "configure").otherwise("ask").alias("name"),
+        F.to_json(F.struct(words.alias("words"), F.col("text").alias("query")), {"ignoreNullFields": "false"}).alias("arguments"), name(2).alias("parent_id"))
+    results = turns.where(F.col("role") == "assistant").select(name(1).alias("call_id"), F.col("text").alias("content"))
+    rules = ", ".join(f"('{n}', '{a}', '{t}', {str(r).lower()}, {lo}D, {hi}D)" for n, a, t, r, lo, hi in TOOLS)
+    schemas = spark.sql(f"SELECT * FROM VALUES {rules} AS t(name, arg, type, required, least, most)")
+    return tool_calls.link(calls, results, schemas)
