@@ -8,7 +8,8 @@ its first ``n - ceil(0.75 n) + 1`` shingles are the prefix, of which the shared
 
 Two classes that share a prefix shingle are candidates if their sizes (length filter) and the shingle's positions
 (positional filter) allow the similarity.  Classes are first compared with one or two pivots of each posting list,
-links make components, and then *every* remaining candidate pair of different components is examined, once.  A pair must pass
+links make components; in ``ROUNDS`` further rounds the classes of lists that still hold several components are
+compared with ``DRAWS`` members of each list, drawn by hash; and then *every* remaining candidate pair of different components is examined, once.  A pair must pass
 a bound on the symmetric difference of the sets (parity bitmaps) and of the parts between probing
 shingles (suffix filter) before the sets are intersected.  Pairs within a component need no look, so a group of
 near copies costs about one comparison per document, not one per pair, and no link between components is missed.
@@ -36,8 +37,9 @@ from cartwheel.llm.components import connected_components
 
 SHINGLE_BITS = 56
 CAP = 256
-FLUSH = 3_000_000        # shingles a task holds before it sends them
-BUCKET = 3_000_000       # shingles a receiving task gets, about
+ROUNDS, DRAWS = 4, 4
+FLUSH = 2_000_000        # shingles a task holds before it sends them
+BUCKET = 2_000_000       # shingles a receiving task gets, about
 
 
 def set_print(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -297,11 +299,27 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
     links = verify(tried, classes).checkpoint()
     labels = connected_components(links)
 
+    def open_lists() -> DataFrame:
+        """Postings with their component, of the lists that hold several."""
+        told = sized.join(labels, sized["rep"] == labels["node"], "left").select("token", "size", "rep", "n", "pos", F.coalesce("component", "rep").alias("component"))
+        mixed = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+        return told.join(mixed, "token").checkpoint()
+
+    for k in range(ROUNDS):  # pairs of different components with some drawn members of each list
+        lists = open_lists()
+        seeds = [F.min(F.struct(F.xxhash64("rep", "token", F.lit(DRAWS * k + j)).alias("h"), "rep", "n", "pos", "component")).alias(f"y{j}") for j in range(DRAWS)]
+        drawn = lists.groupBy("token").agg(*seeds).select("token", F.explode(F.array(*[f"y{j}" for j in range(DRAWS)])).alias("y"))
+        pairs = (lists.select("token", F.struct("rep", "n", "pos", "component").alias("x")).join(drawn, "token").where("x.component <> y.component")
+                 .where(_passes("x", "y")).select(*ordered).distinct().join(tried, ["a", "b"], "left_anti").checkpoint())
+        links = verify(pairs, classes).checkpoint()
+        if not links.limit(1).count():
+            break
+        tried = tried.unionByName(pairs)
+        labels = connected_components(links, start=labels)
+
     # whatever is left between different components
-    told = postings.join(labels, postings["rep"] == labels["node"], "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("component"))
-    mixed = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    open_lists = told.join(mixed, "token").checkpoint()
-    rest = (open_lists.alias("x").join(open_lists.alias("y"), "token").where("x.component < y.component").where(_passes("x", "y"))
+    lists = open_lists()
+    rest = (lists.alias("x").join(lists.alias("y"), "token").where("x.component < y.component").where(_passes("x", "y"))
             .select(*ordered).distinct().join(tried, ["a", "b"], "left_anti").checkpoint())
     more = verify(rest, classes).checkpoint()
     labels = connected_components(more, start=labels) if more.limit(1).count() else labels
