@@ -142,21 +142,44 @@ class Index:
 def find(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD,
          id_col: str = "doc_id", text_col: str = "text", slice_items: int = SLICE_ITEMS) -> DataFrame:
     """(doc_id, item_id, similarity, hamming, start_word, n_words): the best window of each contaminated pair."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    n_items = items.count()
-    n_slices = max(1, -(-n_items // slice_items))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id bigint, item_id bigint, similarity double, hamming int, start_word bigint, n_words bigint"
     found = None
-    for k in range(n_slices):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_slices)) == k).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(([r[0] for r in part], [r[1] for r in part]))
+    for shared in _slices(docs.sparkSession, benchmark, slice_items):
         one = rows.mapInArrow(_matcher(shared, radius, threshold), schema)
         found = one if found is None else found.unionByName(one)
     return found
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold: float = THRESHOLD, text_col: str = "text",
+          slice_items: int = SLICE_ITEMS) -> DataFrame:
+    """``docs`` without the contaminated rows: a filter, no join."""
+    for shared in _slices(docs.sparkSession, benchmark, slice_items):
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(*shared.value, radius)
+            for batch, raw, off in text_blocks(batches, text_col):
+                words = Words(raw, off)
+                sound = np.ones(batch.num_rows, bool)
+                for n in index.groups:
+                    for doc, *_ in _scan(index, n, words, threshold):
+                        sound[doc] = False
+                yield batch.filter(pa.array(sound))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
+
+
+def _slices(spark, benchmark: DataFrame, slice_items: int) -> list:
+    """The items, broadcast in slices of at most about ``slice_items``."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    n_slices = max(1, -(-items.count() // slice_items))
+    out = []
+    for k in range(n_slices):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_slices)) == k).orderBy("item_id", "text").collect()
+        out.append(spark.sparkContext.broadcast(([r[0] if r[0] is not None else -1 for r in part], [r[1] for r in part])))
+    return out
+
+
 def _matcher(shared, radius: int, threshold: float):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value, radius)
