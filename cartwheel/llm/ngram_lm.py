@@ -257,11 +257,11 @@ def _summed(payloads) -> tuple[np.ndarray, np.ndarray]:
     return u, np.bincount(inverse, weights=n).astype(np.int64)
 
 
-def statistics(counts: DataFrame) -> DataFrame:
+def statistics(counts: DataFrame, least: int) -> DataFrame:
     """One row per bucket: kind, distinct, total, and the hashes and counts that may be frequent."""
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         u, n = _summed(group["payload"])
-        top = n >= HOT_LEAST // (1 if key[0] == 0 else 2)
+        top = n >= least // (1 if key[0] == 0 else 2)
         return pd.DataFrame({"kind": [key[0]], "distinct": [len(u)], "total": [int(n.sum())], "top": [pack([u[top], n[top]])]})
 
     return counts.groupBy("kind", "bucket").applyInPandas(run, "kind int, distinct bigint, total bigint, top binary")
@@ -281,7 +281,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     if not size["n"]:
         return spark.createDataFrame([], "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     n_buckets = max(1, -(-(size["b"] // 6 + size["n"]) // BUCKET))
-    stats = statistics(word_counts(rows, n_buckets)).toPandas() if size["t"] else pd.DataFrame({"kind": [], "distinct": [], "total": [], "top": []})
+    stats = statistics(word_counts(rows, n_buckets), hot_least).toPandas() if size["t"] else pd.DataFrame({"kind": [], "distinct": [], "total": [], "top": []})
     own = stats[stats["kind"] == 0]
     n_train, vocabulary = int(own["total"].sum()), int(own["distinct"].sum())
     limit = max(hot_least, n_train // HOT_LIST)  # so a list has at most HOT_LIST entries (pairs: twice)

@@ -188,7 +188,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             common = np.repeat(times >= cap, times)
             if common.any():
                 ids = anchor_id(h[common], doc_id[doc[common]], mark[doc[common]], start[common])
-                rows += [(NEEDED, int(ids[0] % U(n_buckets)), len(ids), None, None, ids.tobytes())]
+                rows += [(NEEDED, int(ids[0] % U(n_buckets)), len(ids), 0, 0, ids.tobytes())]
             keep = ~common | new
             weight = np.where(common, np.repeat(times, times), 0).astype(np.uint32)[keep]
             h, block, doc, start, last = h[keep], block[keep], doc[keep], start[keep], last[keep]
@@ -199,7 +199,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
                     used, who = np.unique(doc[lo:hi], return_inverse=True)
                     blob = pack([_planes(h[lo:hi]), block[lo:hi], who.astype(np.uint32), start[lo:hi].astype(np.uint32 if start[lo:hi].max() < 1 << 32 else np.uint64),
                                  last[lo:hi].astype(np.uint16), weight[lo:hi], doc_id[used], mark[used]])
-                    rows.append((ENTRY, b, hi - lo, None, None, blob))
+                    rows.append((ENTRY, b, hi - lo, 0, 0, blob))
             yield from _batches(rows, 64)
 
         for batch, raw, off in text_blocks(batches):
@@ -247,10 +247,10 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             classes = np.bincount(group_no, weights=first + np.maximum(weight - 1, 0))
             look = first & (classes[group_no] > 1) & (weight == 0)
             ids = anchor_id(h[look], doc_id[doc[look]], mark[doc[look]], start[look])
-            rows.append((NEEDED, -1, len(ids), None, None, ids.tobytes()))
+            rows.append((NEEDED, -1, len(ids), 0, 0, ids.tobytes()))
             hots = h[new][classes >= hot]
             if len(hots):
-                rows.append((HOT, -1, len(hots), None, None, hots.tobytes()))
+                rows.append((HOT, -1, len(hots), 0, 0, hots.tobytes()))
         return _out(rows).to_pandas()
 
     return docs.mapInArrow(send, OUT).groupBy("kind", "bucket").applyInPandas(owned, OUT)
@@ -415,7 +415,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     used, who = np.unique(doc[lo:hi], return_inverse=True)
                     blob = pack([_planes(h[lo:hi]), who.astype(np.uint32), start[lo:hi], n_win[lo:hi].astype(np.uint16), offset[lo:hi].astype(np.uint16),
                                  doc_id[used], mark[used], data[ranges(context[lo:hi], size[lo:hi])]], level=3)
-                    rows.append((ENTRY, b, hi - lo, None, None, blob))
+                    rows.append((ENTRY, b, hi - lo, 0, 0, blob))
             yield from _batches(rows, 16)
 
         for batch, raw, off in text_blocks(batches):
