@@ -93,3 +93,16 @@ def ntz_from_utc(c) -> Column:
     return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.floor(secs / 3600).cast("int"),
                                 F.floor(F.pmod(secs, F.lit(3600)) / 60).cast("int"),
                                 (F.pmod(secs, F.lit(60)) + frac).cast("decimal(16,6)"))
+
+
+#: fixed-point scale 2**44: sums of these integers do not depend on the order of their terms
+FIXED = float(1 << 44)
+
+
+def fixed(x: Column) -> Column:
+    """A double as a 64-bit fixed-point integer (resolution 2**-44), exact to add in any order."""
+    return F.floor(x * F.lit(FIXED)).cast("bigint")
+
+
+def unfixed(x: Column) -> Column:
+    return x.cast("double") / F.lit(FIXED)

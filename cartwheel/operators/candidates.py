@@ -12,24 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.exprs import h64
+from cartwheel.functions.exprs import fixed, h64, unfixed
 from cartwheel.operators.topn import top_n_per_group
 
 
 def user_topn_cf(history: DataFrame, item_sim: DataFrame, n: int = 20) -> DataFrame:
     """Item-item CF: score(u, j) = Σ_{i ∈ H(u)} sim(i, j), j ∉ H(u); top-n per user.
 
-    Partial sums are combined map-side by (user, item); the per-user top-n
-    uses a partial window group limit before its shuffle.
+    Partial sums are combined map-side by (user, item), in fixed point, so equal
+    sums tie whatever the order of their terms; the per-user top-n uses a
+    partial window group limit before its shuffle.
     """
     h = history.select("user_id", "sku_id").distinct()
     scored = (h.join(item_sim.select(F.col("sku1").alias("sku_id"), "sku2", "sim"), "sku_id")
               .groupBy("user_id", F.col("sku2").alias("cand"))
-              .agg(F.sum("sim").alias("score")))
+              .agg(F.sum(fixed(F.col("sim"))).alias("score")))
     fresh = scored.join(h.select("user_id", F.col("sku_id").alias("cand")), ["user_id", "cand"], "left_anti")
-    fresh = fresh.withColumn("score", F.round("score", 9))
     top = top_n_per_group(fresh, "user_id", [F.col("score").desc(), F.col("cand").asc()], n)
-    return top.select("user_id", "rnk", F.col("cand").alias("sku_id"), "score")
+    return top.select("user_id", "rnk", F.col("cand").alias("sku_id"), unfixed(F.col("score")).alias("score"))
 
 
 def seed_brands(seeds: DataFrame, product: DataFrame, decay: float | None = None) -> DataFrame:
@@ -40,7 +40,7 @@ def seed_brands(seeds: DataFrame, product: DataFrame, decay: float | None = None
     if decay is None:
         return sb.select("user_id", "brand").distinct().withColumn("w", F.lit(1.0))
     return (sb.groupBy("user_id", "brand")
-            .agg(F.sum(F.pow(F.lit(float(decay)), F.col("rnk") - 1)).alias("w")))
+            .agg(unfixed(F.sum(fixed(F.pow(F.lit(float(decay)), F.col("rnk") - 1)))).alias("w")))
 
 
 def cf_brands(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, k: int = 10,
@@ -49,10 +49,10 @@ def cf_brands(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, k: int
     sb = seed_brands(seeds, product, decay)
     s = (sb.join(brand_sim.select(F.col("brand1").alias("brand"), "brand2", "sim"), "brand")
          .groupBy("user_id", "brand2")
-         .agg(F.round(F.sum(F.col("w") * F.col("sim")), 9).alias("score"))
+         .agg(F.sum(fixed(F.col("w") * F.col("sim"))).alias("score"))
          .where(F.col("score") > 0))
     top = top_n_per_group(s, "user_id", [F.col("score").desc(), F.col("brand2").asc()], k)
-    return top.select("user_id", "rnk", F.col("brand2").alias("brand"), "score")
+    return top.select("user_id", "rnk", F.col("brand2").alias("brand"), unfixed(F.col("score")).alias("score"))
 
 
 def online_cf(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, brand_lists: DataFrame,
@@ -130,25 +130,31 @@ def hashed_fm_weights(feature_ids: DataFrame, factors: int = 4, seed: int = 11)
 def fm_scores(encoded: DataFrame, feature_cols: Sequence[str], weights: DataFrame, bias: float = 0.0) -> DataFrame:
     """score = w0 + Σ w_i + ½ Σ_f [(Σ_i v_if)² − Σ_i v_if²] for one-hot rows.
 
-    Rows are unpivoted to (user, item, feature), joined once with the weight
-    table (feature ids missing from it weigh 0), and aggregated per factor and
-    then per (user, item) — no per-row Python.
+    Rows are unpivoted to (user, item, field, feature), joined once with the
+    weight table (feature ids missing from it weigh 0) and gathered per
+    (user, item) in field order; the factors stay arrays, and all sums run in
+    field order, so a score does not depend on the physical plan.
     """
-    long = encoded.select("user_id", "item_id",
-                          F.explode(F.array(*[F.col(c).cast("bigint") for c in feature_cols])).alias("feature_id"))
-    j = long.join(weights.select("feature_id", "w", "v"), "feature_id", "left")
-    per_f = (j.select("user_id", "item_id", F.coalesce("w", F.lit(0.0)).alias("w"),
-                      F.posexplode_outer("v").alias("f", "vf"))
-             .groupBy("user_id", "item_id", "f")
-             .agg(F.sum(F.when(F.coalesce("f", F.lit(0)) == 0, F.col("w"))).alias("lin"),
-                  F.sum("vf").alias("s"), F.sum(F.col("vf") * F.col("vf")).alias("s2")))
-    pair = 0.5 * (F.coalesce("s", F.lit(0.0)) * F.coalesce("s", F.lit(0.0)) - F.coalesce("s2", F.lit(0.0)))
-    return (per_f.groupBy("user_id", "item_id")
-            .agg((F.lit(float(bias)) + F.coalesce(F.sum("lin"), F.lit(0.0)) + F.sum(pair)).alias("score")))
+    one = F.array(*[F.struct(F.lit(k).alias("field"), F.col(c).cast("bigint").alias("feature_id")) for k, c in enumerate(feature_cols)])
+    long = encoded.select("user_id", "item_id", F.explode(one).alias("x")).select("user_id", "item_id", "x.field", "x.feature_id")
+    own = (long.join(weights.select("feature_id", "w", "v"), "feature_id", "left").where("w is not null")
+           .groupBy("user_id", "item_id").agg(F.array_sort(F.collect_list(F.struct("field", "w", "v"))).alias("own")))
+    rows = encoded.select("user_id", "item_id").distinct().join(own, ["user_id", "item_id"], "left")
+    zero = F.lit(0.0)
+
+    def add(s, x):
+        return F.zip_with(s, x["v"], lambda a, b: F.coalesce(a, zero) + F.coalesce(b, zero))
+
+    def add_squares(s, x):
+        return F.zip_with(s, x["v"], lambda a, b: F.coalesce(a, zero) + F.coalesce(b * b, zero))
+
+    nothing = F.array().cast("array<double>")
+    lin = F.aggregate("own", zero, lambda s, x: s + x["w"])
+    pair = F.aggregate(F.zip_with(F.aggregate("own", nothing, add), F.aggregate("own", nothing, add_squares), lambda a, b: a * a - b), zero, lambda s, x: s + x)
+    return rows.select("user_id", "item_id", (F.lit(float(bias)) + F.coalesce(lin, zero) + 0.5 * F.coalesce(pair, zero)).alias("score"))
 
 
 def rank_by_score(scores: DataFrame, n: int = 3) -> DataFrame:
     """Final ranking: top-n items per user by score (ties: smaller item id)."""
-    s = scores.withColumn("score", F.round("score", 9))
-    top = top_n_per_group(s, "user_id", [F.col("score").desc(), F.col("item_id").asc()], n)
+    top = top_n_per_group(scores, "user_id", [F.col("score").desc(), F.col("item_id").asc()], n)
     return top.select("user_id", "rnk", "item_id", "score")

@@ -6,9 +6,10 @@
   unique.  A numeric field takes exactly one feature id and keeps its value.
 * Codes come from an exact distributed ranking (``functions.ranking``), never
   from a window over a whole field in one task.
-* Encoding joins each field with its slice of the dictionary; a slice whose
-  counted size is under ``broadcast_max_rows`` is broadcast, larger ones
-  (user ids, sku ids) use a shuffle join.
+* Encoding joins each field with its slice of the dictionary; the planner
+  picks the join from the slice's size in bytes.
+* Integral columns sort by number, text columns by code point.  A missing
+  (NULL) feature has no token in a line and a NULL id in a row.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from pyspark.sql import functions as F
 from cartwheel.functions.ranking import sorted_index
 from cartwheel.session import shared_path
 
-BROADCAST_MAX_ROWS = 1_000_000
 UNSEEN_POLICIES = ("error", "skip", "keep")
 
 
 @dataclass
 class FeatureDictionary:
     """``fields``: (field_id, column, kind, size, base); ``values``: (field_id,
-    column, value, code, feature_id).  ``total`` = number of feature ids."""
+    column, value, text_value, code, feature_id); an integral column's values
+    stand in ``value``, a text column's in ``text_value``.  ``total`` = number of feature ids."""
     fields: DataFrame
     values: DataFrame
     columns: list[str]
@@ -47,22 +48,33 @@ class FeatureDictionary:
         raise KeyError(column)
 
 
+def _is_integral(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "boolean")
+
+
+def _value_of(df: DataFrame, column: str) -> list[Column]:
+    """(value, text_value) of a categorical column, one of them NULL."""
+    if _is_integral(df, column):
+        return [F.col(column).cast("bigint").alias("value"), F.lit(None).cast("string").alias("text_value")]
+    return [F.lit(None).cast("bigint").alias("value"), F.col(column).cast("string").alias("text_value")]
+
+
 def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (),
                      num_partitions: int | None = None, path: str | None = None) -> FeatureDictionary:
     """Dictionary of ``columns`` (field id = position in ``columns``).
 
-    Categorical columns must be integral (ids, codes); their values sort
-    numerically, as the reference's categorical dtype does.
+    Integral columns keep numeric order, any other categorical column is
+    taken as text in code point order.
     """
     columns, numeric = list(columns), [c for c in numeric if c in columns]
     cat = [c for c in columns if c not in numeric]
     spark = df.sparkSession
     fid = {c: i for i, c in enumerate(columns)}
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(fid[c]).alias("field_id"), F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value"))
+        F.struct(F.lit(fid[c]).alias("field_id"), F.lit(c).alias("column"), *_value_of(df, c))
         for c in cat])).alias("kv")).select("kv.*")
-    distinct = long.where(F.col("value").isNotNull()).distinct()
-    coded, counts = sorted_index(distinct, ["value"], within=["field_id"], index_col="code",
+    distinct = long.where("value is not null or text_value is not null").distinct()
+    coded, counts = sorted_index(distinct, ["value", "text_value"], within=["field_id"], index_col="code",
                                  num_partitions=num_partitions, with_counts=True)
     rows = {r["field_id"]: r["n"] for r in counts.collect()}  # one row per field
     field_rows, base = [], 0
@@ -73,37 +85,37 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
         base += size
     fields = spark.createDataFrame(field_rows, "field_id int, column string, kind string, size bigint, base bigint")
     values = (coded.join(F.broadcast(fields.select("field_id", "base")), "field_id")  # F rows
-              .select("field_id", "column", "value", "code", (F.col("base") + F.col("code")).alias("feature_id")))
+              .select("field_id", "column", "value", "text_value", "code", (F.col("base") + F.col("code")).alias("feature_id")))
     # persist once, partitioned by field: every per-field lookup then reads
     # only its own partition instead of recomputing the ranking
     path = path or shared_path(spark, "dictionary")
     values.write.mode("overwrite").partitionBy("field_id").parquet(path)
-    values = spark.read.parquet(path).select("field_id", "column", "value", "code", "feature_id")
+    values = spark.read.parquet(path).select("field_id", "column", "value", "text_value", "code", "feature_id")
     return FeatureDictionary(fields, values, columns, numeric, field_rows)
 
 
-def _slice(d: FeatureDictionary, column: str, out: str, broadcast_max_rows: int) -> DataFrame:
-    part = d.values.where(F.col("field_id") == d.field(column)["field_id"]).select(
-        F.col("value").alias(f"_v_{out}"), F.col("feature_id").alias(out))
-    return F.broadcast(part) if d.field(column)["size"] <= broadcast_max_rows else part
+def _slice(d: FeatureDictionary, column: str, out: str, integral: bool) -> DataFrame:
+    return d.values.where(F.col("field_id") == d.field(column)["field_id"]).select(
+        F.col("value" if integral else "text_value").alias(f"_v_{out}"), F.col("feature_id").alias(out))
 
 
-def encode_columns(df: DataFrame, d: FeatureDictionary, unseen: str = "keep",
-                   broadcast_max_rows: int = BROADCAST_MAX_ROWS, prefix: str = "f_") -> DataFrame:
-    """Add ``f_<col>`` = global feature id for every categorical dictionary column.
+def encode_columns(df: DataFrame, d: FeatureDictionary, unseen: str = "keep", prefix: str = "f_",
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """Add ``f_<col>`` = global feature id for every categorical dictionary column (or those in ``columns``).
 
     Unseen values: ``keep`` maps to a reserved id per field (total + field_id),
-    ``skip`` drops the row, ``error`` fails the job.
+    ``skip`` drops the row, ``error`` fails the job.  NULL stays NULL.
     """
     if unseen not in UNSEEN_POLICIES:
         raise ValueError(f"unseen must be one of {UNSEEN_POLICIES}")
     out = df
     missing = []
     for c in d.columns:
-        if c in d.numeric:
+        if c in d.numeric or (columns is not None and c not in columns):
             continue
         name = f"{prefix}{c}"
-        out = (out.join(_slice(d, c, name, broadcast_max_rows), F.col(c).cast("bigint") == F.col(f"_v_{name}"),
+        integral = _is_integral(df, c)
+        out = (out.join(_slice(d, c, name, integral), F.col(c).cast("bigint" if integral else "string") == F.col(f"_v_{name}"),
                         "left").drop(f"_v_{name}"))
         m = F.col(name).isNull() & F.col(c).isNotNull()
         missing.append((c, m))
@@ -120,19 +132,19 @@ def encode_columns(df: DataFrame, d: FeatureDictionary, unseen: str = "keep",
 
 
 def numeric_text(c) -> Column:
-    """Fixed formatting of numeric feature values (six decimals)."""
-    return F.format_string("%.6f", F.col(c).cast("double"))
+    """A numeric feature value as the shortest text that reads back as the same double."""
+    return F.col(c).cast("double").cast("string")
 
 
 def ffm_line(d: FeatureDictionary, label: str = "label", prefix: str = "f_") -> Column:
-    """``label field:index:value ...`` in column order (value 1 if categorical)."""
+    """``label field:index:value ...`` in column order (value 1 if categorical); a NULL feature has no token."""
     terms = [F.col(label).cast("string")]
     for r in d.field_rows:
         c, f = r["column"], str(r["field_id"])
-        if r["kind"] == "numeric":
-            terms.append(F.concat_ws(":", F.lit(f), F.lit(str(r["base"])), numeric_text(c)))
+        if r["kind"] == "numeric":  # concat is NULL if a part is, and concat_ws leaves NULL out
+            terms.append(F.concat(F.lit(f"{f}:{r['base']}:"), numeric_text(c)))
         else:
-            terms.append(F.concat_ws(":", F.lit(f), F.col(f"{prefix}{c}").cast("string"), F.lit("1")))
+            terms.append(F.concat(F.lit(f"{f}:"), F.col(f"{prefix}{c}").cast("string"), F.lit(":1")))
     return F.concat_ws(" ", *terms)
 
 
@@ -149,13 +161,15 @@ def encode_candidates(candidates: DataFrame, product: DataFrame, user: DataFrame
     Output: user_id, item_id (raw ids) and ``f_<col>`` = global id of every
     feature column, in the dictionary's column order; set-based over all users.
     """
-    from cartwheel.operators.transform import fill_zero, join_dimensions
-    cols = d.columns
-    prod_cols = [c for c in ("brand", "shop_id", "cate") if c in cols]
-    user_cols = [c for c in ("age", "sex", "city", "county") if c in cols]
-    wide = join_dimensions(candidates.select("user_id", "sku_id").distinct(), product, user,
-                           product_cols=prod_cols, user_cols=user_cols)
-    wide = fill_zero(wide)
-    enc = encode_columns(wide, d, unseen)
-    return enc.select(F.col("user_id"), F.col("sku_id").alias("item_id"),
-                      *[F.col(f"f_{c}") for c in cols if c not in d.numeric])
+    from cartwheel.operators.transform import fill_zero
+    cols = [c for c in d.columns if c not in d.numeric]
+    pairs = candidates.select("user_id", "sku_id").distinct()
+    out = pairs
+    # every dimension row is encoded once, then joined: two joins on the candidates
+    for key, dimension, own in (("sku_id", product, ("brand", "shop_id", "cate", "sku_id")),
+                                ("user_id", user, ("age", "sex", "city", "county", "user_id"))):
+        own = [c for c in own if c in cols]
+        attrs = [c for c in own if c != key]
+        rows = fill_zero(pairs.select(key).distinct().join(dimension.select(key, *attrs), key, "left"))
+        out = out.join(encode_columns(rows, d, unseen, columns=own).select(key, *[f"f_{c}" for c in own]), key)
+    return out.select("user_id", F.col("sku_id").alias("item_id"), *[f"f_{c}" for c in cols])

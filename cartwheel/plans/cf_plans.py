@@ -10,7 +10,7 @@ from cartwheel.operators import recall as R
 from cartwheel.operators import similarity as S
 from cartwheel.plans.catalog import register
 from cartwheel.plans.encode_plans import _dict_ctes, train_dictionary
-from cartwheel.plans.oracle_ctes import define, h64_sql, with_ctes
+from cartwheel.plans.oracle_ctes import define, fixed_sql, h64_sql, unfixed_sql, with_ctes
 from cartwheel.schemas import FEATURE_COLUMNS
 from cartwheel.sources import fixtures as fx
 
@@ -54,13 +54,13 @@ _BRAND_LISTS = ("brand_lists", """SELECT list_key, sku_id, rnk FROM (
 def _cf_brand_sql(decay: float | None) -> list[tuple[str, str]]:
     w = "1.0" if decay is None else f"pow({decay}, l.rnk - 1)"
     seeds = ("SELECT DISTINCT l.user_id, CAST(p.brand AS BIGINT) AS brand, 1.0 AS w" if decay is None else
-             f"SELECT l.user_id, CAST(p.brand AS BIGINT) AS brand, sum({w}) AS w")
+             f"SELECT l.user_id, CAST(p.brand AS BIGINT) AS brand, {unfixed_sql(f'sum({fixed_sql(w)})')} AS w")
     tail = "" if decay is None else " GROUP BY l.user_id, p.brand"
     name = "cfb" if decay is None else "cfd"
     return [
         (f"{name}_seed", f"""{seeds}
   FROM latest l JOIN products p ON l.sku_id = p.sku_id WHERE p.brand IS NOT NULL{tail}"""),
-        (f"{name}_score", f"""SELECT s.user_id, b.brand2, round(sum(s.w * b.sim), 9) AS score
+        (f"{name}_score", f"""SELECT s.user_id, b.brand2, sum({fixed_sql("s.w * b.sim")}) AS score
   FROM {name}_seed s JOIN bc_sim b ON b.brand1 = s.brand GROUP BY s.user_id, b.brand2"""),
         (f"{name}_top", f"""SELECT user_id, brand2 AS brand, score, rnk FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, brand2) AS rnk
@@ -164,11 +164,11 @@ def item_similarity(spark, sf):
 
 
 @register("user_topn_cf", with_ctes(["active_clicks"], """
-SELECT user_id, CAST(rnk AS BIGINT) AS rnk, cand AS sku_id, round(score, 6) AS score FROM (
+SELECT user_id, CAST(rnk AS BIGINT) AS rnk, cand AS sku_id, round(score / 17592186044416.0, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, cand) AS rnk FROM fresh) t
 WHERE rnk <= 20""", local=_ITEM_C + [
     ("hist", "SELECT DISTINCT user_id, sku_id FROM clicks WHERE user_id IS NOT NULL AND sku_id IS NOT NULL"),
-    ("scored", """SELECT h.user_id, s.sku2 AS cand, round(sum(s.sim), 9) AS score
+    ("scored", f"""SELECT h.user_id, s.sku2 AS cand, sum({fixed_sql("s.sim")}) AS score
   FROM hist h JOIN ic_sim s ON h.sku_id = s.sku1 GROUP BY h.user_id, s.sku2"""),
     ("fresh", """SELECT * FROM scored x WHERE NOT EXISTS
   (SELECT 1 FROM hist h WHERE h.user_id = x.user_id AND h.sku_id = x.cand)"""),
@@ -187,7 +187,7 @@ def online_cf(spark, sf):
 
 
 @register("online_cf_decay", with_ctes(["enriched_clicks", "active_clicks"], """
-SELECT user_id, CAST(rnk AS BIGINT) AS rnk, brand, round(score, 6) AS score FROM cfd_top""",
+SELECT user_id, CAST(rnk AS BIGINT) AS rnk, brand, round(score / 17592186044416.0, 6) AS score FROM cfd_top""",
                                        local=_BRAND_C + [_LATEST] + _cf_brand_sql(0.9)))
 def online_cf_decay(spark, sf):
     clicks = fx.clicks(spark, sf)
@@ -231,18 +231,22 @@ ORACLE_FM_TOPN_BODY = """
 SELECT user_id, CAST(rnk AS BIGINT) AS rnk, item_id, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rnk FROM scores) t
 WHERE rnk <= 3"""
+def _in_order(terms: list[str], first: str = "0.0::DOUBLE") -> str:
+    """first + t1 + t2 ..., left to right."""
+    out = first
+    for t in terms:
+        out = f"({out} + {t})"
+    return out
+
+
+_N = len(FEATURE_COLUMNS)
+_FACTORS = 4
+_S = [_in_order([f"coalesce(x{i}.v[{f + 1}], 0.0)" for i in range(_N)]) for f in range(_FACTORS)]
+_S2 = [_in_order([f"coalesce(x{i}.v[{f + 1}] * x{i}.v[{f + 1}], 0.0)" for i in range(_N)]) for f in range(_FACTORS)]
 ORACLE_FM_TOPN_CTES = _ENCODED + [_fm_weights_sql(), (
-    "flong", "SELECT user_id, item_id, unnest([" + ", ".join(f"f_{c}" for c in FEATURE_COLUMNS)
-    + "]) AS feature_id FROM encoded"), (
-    "fvals", """SELECT l.user_id, l.item_id, coalesce(w.w, 0.0) AS w, w.v FROM flong l
-  LEFT JOIN fmw w ON w.feature_id = l.feature_id"""), (
-    "ffac", """SELECT user_id, item_id, f, sum(vf) AS s, sum(vf * vf) AS s2 FROM (
-  SELECT user_id, item_id, unnest(v) AS vf, unnest(range(len(v))) AS f FROM fvals WHERE v IS NOT NULL) x
-  GROUP BY user_id, item_id, f"""), (
-    "scores", """SELECT l.user_id, l.item_id, round(l.lin + coalesce(p.pair, 0.0), 9) AS score FROM
-  (SELECT user_id, item_id, sum(w) AS lin FROM fvals GROUP BY user_id, item_id) l
-  LEFT JOIN (SELECT user_id, item_id, sum(0.5 * (s * s - s2)) AS pair FROM ffac GROUP BY user_id, item_id) p
-  ON l.user_id = p.user_id AND l.item_id = p.item_id""")]
+    "scores", "SELECT e.user_id, e.item_id, (0.0 + " + _in_order([f"coalesce(x{i}.w, 0.0)" for i in range(_N)]) + " + 0.5 * "
+    + _in_order([f"(({_S[f]}) * ({_S[f]}) - ({_S2[f]}))" for f in range(_FACTORS)]) + ") AS score FROM encoded e "
+    + " ".join(f"LEFT JOIN fmw x{i} ON x{i}.feature_id = e.f_{c}" for i, c in enumerate(FEATURE_COLUMNS)))]
 
 
 @register("fm_score_topn", with_ctes(["enriched_clicks", "active_clicks", "wide_train"], ORACLE_FM_TOPN_BODY,

@@ -81,17 +81,18 @@ def _dict_ctes(columns, numeric=()):
 
 
 def _lines_sql(columns, numeric=(), table="wide_train", extra_cols="w.user_id, w.sku_id, "):
-    joins, terms = [], ["CAST(w.label AS VARCHAR)"]
+    joins, terms, values = [], ["CAST(w.label AS VARCHAR)"], ""
     for i, c in enumerate(columns):
         if c in numeric:
-            terms.append(f"'{i}:' || CAST((SELECT base FROM dfields WHERE field_id = {i}) AS VARCHAR) || ':' "
-                         f"|| printf('%.6f', CAST(w.{c} AS DOUBLE))")
+            # the value's text differs between engines: compared as a number beside the line
+            terms.append(f"'{i}:' || CAST((SELECT base FROM dfields WHERE field_id = {i}) AS VARCHAR) || ':'")
+            values += f"CAST(w.{c} AS DOUBLE) AS v_{c}, "
         else:
             joins.append(f"LEFT JOIN dict d{i} ON d{i}.field_id = {i} AND d{i}.value = CAST(w.{c} AS BIGINT)")
             terms.append(f"'{i}:' || CAST(coalesce(d{i}.feature_id, (SELECT sum(size) FROM dfields) + {i}) AS VARCHAR)"
                          f" || ':1'")
     line = " || ' ' || ".join(terms)
-    return f"SELECT {extra_cols}CAST(w.label AS TINYINT) AS label, {line} AS line\nFROM {table} w\n" + "\n".join(joins)
+    return f"SELECT {extra_cols}{values}CAST(w.label AS TINYINT) AS label, {line} AS line\nFROM {table} w\n" + "\n".join(joins)
 
 
 @register("ffm_dictionary", with_ctes(["wide_train"], """
@@ -131,7 +132,43 @@ def ffm_lines_test(spark, sf):
 def ffm_lines_enriched(spark, sf):
     t = enriched_table_of(spark, sf)
     d = E.build_dictionary(t, ENRICHED_COLUMNS, ENRICHED_NUMERIC)
-    return E.ffm_lines(t, d, keep=["user_id", "sku_id"])
+    return parsed_numeric(E.ffm_lines(t, d, keep=["user_id", "sku_id"]), d)
+
+
+def parsed_numeric(lines, d):
+    """Numeric tokens of a line read back as doubles (``v_<column>``), the line without their values."""
+    for r in d.field_rows:
+        if r["kind"] == "numeric":
+            token = f"(?<= ){r['field_id']}:{r['base']}:"
+            lines = (lines.withColumn(f"v_{r['column']}", F.nullif(F.regexp_extract("line", token + r"(\S+)", 1), F.lit("")).cast("double"))
+                     .withColumn("line", F.regexp_replace("line", f"({token})\\S+", "$1")))
+    return lines
+
+
+TEXT_COLUMNS, TEXT_NUMERIC = ["segment", "nation", "balance"], ["balance"]
+
+
+def customer_table(spark, sf):
+    """Customers with a text feature, an integral one and a numeric one, each NULL for some."""
+    c, key = fx.table(spark, sf, "customer"), F.col("c_custkey")
+    return c.select(F.col("c_custkey").alias("user_id"), (F.col("c_acctbal") > 0).cast("tinyint").alias("label"),
+                    F.when(key % 5 != 0, F.col("c_mktsegment")).alias("segment"), F.when(key % 7 != 0, F.col("c_nationkey").cast("int")).alias("nation"),
+                    F.when(key % 11 != 0, F.col("c_acctbal").cast("double") / 3e7).alias("balance"))
+
+
+@register("ffm_lines_text", """
+WITH w AS (SELECT c_custkey AS user_id, CAST(c_acctbal > 0 AS TINYINT) AS label, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS segment,
+  CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS nation, CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_acctbal AS DOUBLE) / 3e7 END AS balance FROM customer),
+s AS (SELECT segment, row_number() OVER (ORDER BY segment) - 1 AS id FROM (SELECT DISTINCT segment FROM w WHERE segment IS NOT NULL)),
+n AS (SELECT nation, (SELECT count(*) FROM s) + row_number() OVER (ORDER BY nation) - 1 AS id FROM (SELECT DISTINCT nation FROM w WHERE nation IS NOT NULL))
+SELECT user_id, label, balance AS v_balance, concat_ws(' ', CAST(label AS VARCHAR), '0:' || CAST(s.id AS VARCHAR) || ':1', '1:' || CAST(n.id AS VARCHAR) || ':1',
+  CASE WHEN balance IS NOT NULL THEN '2:' || CAST((SELECT count(*) FROM s) + (SELECT count(*) FROM n) AS VARCHAR) || ':' END) AS line
+FROM w LEFT JOIN s USING (segment) LEFT JOIN n USING (nation)""")
+def ffm_lines_text(spark, sf):
+    """Text categories and missing values: no token for a NULL, numbers read back exactly."""
+    t = customer_table(spark, sf)
+    d = E.build_dictionary(t, TEXT_COLUMNS, TEXT_NUMERIC)
+    return parsed_numeric(E.ffm_lines(t, d, keep=["user_id"]), d)
 
 
 @register("ffm_text_sink", with_ctes(["wide_train"], "SELECT line FROM (" + _lines_sql(FEATURE_COLUMNS) + ") l",

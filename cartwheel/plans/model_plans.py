@@ -12,7 +12,7 @@ from cartwheel.operators import transform as X
 from cartwheel.plans.catalog import register
 from cartwheel.plans.encode_plans import train_dictionary
 from cartwheel.plans.oracle_ctes import with_ctes
-from cartwheel.plans.sampling_plans import _assembled, _split_sql_ctes, N_TRAIN_NEGATIVES
+from cartwheel.plans.sampling_plans import TRAIN_SHARE, _assembled, _split_sql_ctes
 from cartwheel.schemas import ENRICHED_COLUMNS
 from cartwheel.session import shared_path
 from cartwheel.sources import fixtures as fx
@@ -96,7 +96,7 @@ def _popularity_scored(spark, sf):
     return s.withColumn("prob", F.col("score") / (top + 1))
 
 
-_SCORED = _split_sql_ctes(N_TRAIN_NEGATIVES) + [
+_SCORED = _split_sql_ctes(TRAIN_SHARE) + [
     ("pop", "SELECT sku_id, count(*) AS score FROM clicks GROUP BY sku_id"),
     ("scored", """SELECT a.part, a.label, coalesce(p.score, 0) AS score,
   coalesce(p.score, 0) / ((SELECT max(score) FROM pop) + 1) AS prob

@@ -12,6 +12,15 @@ def h64_sql(*parts: str) -> str:
     return f"CAST(('0x' || substr(md5({joined}), 1, 15)) AS BIGINT)"
 
 
+def fixed_sql(x: str) -> str:
+    """Twin of cartwheel.functions.exprs.fixed."""
+    return f"CAST(floor(({x}) * 17592186044416.0) AS BIGINT)"
+
+
+def unfixed_sql(x: str) -> str:
+    return f"({x} / 17592186044416.0)"
+
+
 _CTES: dict[str, tuple[list[str], str]] = {
     "clicks": ([], """
   SELECT CAST(user_id AS BIGINT) AS user_id,
@@ -41,7 +50,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
          CAST(p_partkey % 10 AS BIGINT) AS shop_id,
          CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
                           WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END AS SMALLINT) AS cate
-  FROM part WHERE p_partkey % 17 <> 0"""),
+  FROM part"""),
     "shops": ([], """
   SELECT CAST(s_suppkey AS BIGINT) AS shop_id,
          CAST(s_nationkey * 1000 + s_suppkey AS INTEGER) AS fans_num,

@@ -10,7 +10,7 @@ from cartwheel.plans.oracle_ctes import h64_sql, with_ctes
 from cartwheel.sources import fixtures as fx
 
 SEED = 42
-N_TRAIN_NEGATIVES = 30_000_000  # negatives kept for training (reference constant)
+TRAIN_SHARE = 0.8  # of the negatives; a production run may give a number instead (30 million)
 TRAIN_END = "2024-01-17"
 TEST_END = "2024-01-31"
 
@@ -38,7 +38,7 @@ def negatives_sql_ctes(src: str = "clicks", seed: int = SEED) -> list[tuple[str,
     ]
 
 
-def _split_sql_ctes(k: int, seed: int = SEED) -> list[tuple[str, str]]:
+def _split_sql_ctes(share: float, seed: int = SEED) -> list[tuple[str, str]]:
     s = f"'{seed}'"
     return negatives_sql_ctes() + [
         ("neg_ranked", f"""SELECT user_id, sku_id, label,
@@ -50,20 +50,20 @@ def _split_sql_ctes(k: int, seed: int = SEED) -> list[tuple[str, str]]:
   SELECT user_id, sku_id, CAST(1 AS TINYINT), 'test' FROM clicks
     WHERE action_time >= TIMESTAMP '{TRAIN_END}' AND action_time < TIMESTAMP '{TEST_END}'
   UNION ALL
-  SELECT user_id, sku_id, label, CASE WHEN r <= {k} THEN 'train' ELSE 'test' END FROM neg_ranked"""),
+  SELECT user_id, sku_id, label, CASE WHEN r <= (SELECT CAST(floor(count(*) * {share}) AS BIGINT) FROM negatives) THEN 'train' ELSE 'test' END FROM neg_ranked"""),
     ]
 
 
-def _assembled(spark, sf, k=N_TRAIN_NEGATIVES, train_fraction: float | None = None):
+def _assembled(spark, sf, k: int | None = None, train_fraction: float = TRAIN_SHARE):
     """Positives + negatives with a train/test part.  ``k`` negatives go to
-    train (reference: 30M); ``train_fraction`` instead sizes k from the
-    counted negatives, for evaluation sets that need negatives at any scale."""
+    train; without it ``train_fraction`` of the counted ones, so both parts
+    hold negatives at any scale."""
     clicks = fx.clicks(spark, sf)
     t = F.col("action_time")
     train_pos = clicks.where(t < F.lit(TRAIN_END).cast("timestamp_ntz"))
     test_pos = clicks.where((t >= F.lit(TRAIN_END).cast("timestamp_ntz")) & (t < F.lit(TEST_END).cast("timestamp_ntz")))
     neg = SM.negative_samples(clicks, SEED)
-    if train_fraction is not None:
+    if k is None:
         k = int(neg.count() * train_fraction)
     return SM.train_test_with_negatives(train_pos, test_pos, neg, k, SEED)
 
@@ -75,12 +75,12 @@ def negative_samples(spark, sf):
 
 
 @register("train_test_negatives", with_ctes(["clicks"], "SELECT user_id, sku_id, label, part FROM assembled",
-                                            local=_split_sql_ctes(N_TRAIN_NEGATIVES)))
+                                            local=_split_sql_ctes(TRAIN_SHARE)))
 def train_test_negatives(spark, sf):
     return _assembled(spark, sf)
 
 
 @register("train_with_negatives", with_ctes(["clicks"], """
-SELECT user_id, sku_id, label FROM assembled WHERE part = 'train'""", local=_split_sql_ctes(N_TRAIN_NEGATIVES)))
+SELECT user_id, sku_id, label FROM assembled WHERE part = 'train'""", local=_split_sql_ctes(TRAIN_SHARE)))
 def train_with_negatives(spark, sf):
     return _assembled(spark, sf).where(F.col("part") == "train").select("user_id", "sku_id", "label")

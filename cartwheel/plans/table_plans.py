@@ -122,6 +122,15 @@ def narrow_types(spark, sf):
     return X.narrowing_report(_enriched_wide_clicks(spark, sf))
 
 
+@register("narrowed_table", with_ctes(["enriched_wide_clicks"], """
+SELECT label, age, city, brand, shop_id, cate, fans_num, CAST(CAST(shop_score AS FLOAT) AS DOUBLE) AS shop_score, user_id, sku_id
+FROM enriched_wide_clicks"""))
+def narrowed_table(spark, sf):
+    """The table itself in its narrow types (the score as 32 bits, shown as a double)."""
+    t = X.narrow_types(_enriched_wide_clicks(spark, sf))
+    return t.withColumn("shop_score", F.col("shop_score").cast("double"))
+
+
 @register("narrow_types_summary", with_ctes(["enriched_wide_clicks"], """
 SELECT n.rows, CAST(10 AS BIGINT) AS columns, CAST(n.rows * b.before AS BIGINT) AS bytes_before,
        CAST(n.rows * b.after AS BIGINT) AS bytes_after,
@@ -155,10 +164,14 @@ def rolling_history(spark, sf):
 
 
 @register("sorted_log", with_ctes(["clicks"], """
-SELECT event_id, user_id, sku_id, type, strftime(action_time, '%Y-%m-%d %H:%M:%S.%f') AS action_time FROM clicks"""))
+SELECT row_number() OVER (ORDER BY action_time, user_id, sku_id, event_id) - 1 AS position,
+       event_id, user_id, sku_id, type, strftime(action_time, '%Y-%m-%d %H:%M:%S.%f') AS action_time FROM clicks"""))
 def sorted_log(spark, sf):
-    s = X.sorted_log(fx.clicks(spark, sf))
-    return s.select("event_id", "user_id", "sku_id", "type", ts_text("action_time").alias("action_time"))
+    """The sorted log, written and read again, with the place at which each row stands in the files."""
+    path = shared_path(spark, "sorted_log")
+    X.sorted_log(fx.clicks(spark, sf)).write.parquet(path)
+    s = io.file_positions(spark.read.parquet(path))
+    return s.select("position", "event_id", "user_id", "sku_id", "type", ts_text("action_time").alias("action_time"))
 
 
 @register("log_range_scan", with_ctes(["clicks"], """

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,3 +113,16 @@ def log_range_scan(kv: DataFrame, start_row: str | None = None, stop_row: str |
              F.col("it").cast("int").alias("item_id"),
              F.col("ty").cast("tinyint").alias("type")]
     return rows.select(*cols)
+
+
+def file_positions(df: DataFrame) -> DataFrame:
+    """``position``: 0-based place of every row in the order of the files it was read from.
+
+    Files are numbered by name, rows by their index in the file; only the counts per file (one row each)
+    are broadcast.
+    """
+    rows = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")

@@ -65,11 +65,9 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
-    """Product dimension; by default misses every 17th part so left joins see gaps."""
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product dimension: every part."""
     p = table(spark, sf_dir, "part")
-    if not full:
-        p = p.where(F.pmod(F.col("p_partkey"), F.lit(17)) != 0)
     return p.select(
         F.col("p_partkey").cast("bigint").alias("sku_id"),
         F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("brand"),
