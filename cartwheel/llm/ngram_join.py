@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.blocks import U, Words, as_int64, mix, pack, shingles, text_blocks, unpack
-from cartwheel.llm.components import connected_components
+from cartwheel.llm.components import connected_components, settled, tasks_for
 
 SHINGLE_BITS = 56
 CAP = 256
 ROUNDS, DRAWS = 4, 4
 FLUSH = 2_000_000        # shingles a task holds before it sends them
+PAIRS_A_TASK = 50_000
 BUCKET = 2_000_000       # shingles a receiving task gets, about
 
 
@@ -284,9 +285,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
     alone = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
     if not n_shingles:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    classes = (candidate_classes(shared_shingles(docs, n_shingles, id_col, text_col, cap=cap))
-               .join(members.withColumnRenamed("n_shingles", "n"), ["fp", "n"]).where("rep is not null").drop("fp").checkpoint())
-    postings = classes.select("rep", "n", "first_pos", F.posexplode("prefix").alias("i", "token")).select("token", "rep", "n", (F.col("first_pos") + F.col("i")).alias("pos")).checkpoint()
+    classes = settled(candidate_classes(shared_shingles(docs, n_shingles, id_col, text_col, cap=cap))
+                      .join(members.withColumnRenamed("n_shingles", "n"), ["fp", "n"]).where("rep is not null").drop("fp"), tasks_for(n_shingles, 4 * BUCKET))
+    size = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)).alias("p")).first()
+    # small tables keep few files: the rounds below cost tasks by their rows
+    postings_k, pairs_k = tasks_for(size["p"]), tasks_for(size["p"], PAIRS_A_TASK)
+    postings = settled(classes.select("rep", "n", "first_pos", F.posexplode("prefix").alias("i", "token"))
+                       .select("token", "rep", "n", (F.col("first_pos") + F.col("i")).alias("pos")), postings_k)
 
     # pivots: of every list and size class (a quarter apart) the smallest set, and one by hash
     sized = postings.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4.0 / 3))))
@@ -295,23 +300,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
               .where("k > 1").drop("k"))
     stars = sized.join(pivots, ["token", "size"]).select(me.alias("x"), F.explode(F.array(F.struct("p.rep", "p.n", "p.pos"), F.struct("q.rep", "q.n", "q.pos"))).alias("y"))
     ordered = [F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")]
-    tried = stars.where(_passes("x", "y")).where("x.rep <> y.rep").select(*ordered).distinct().checkpoint()
-    links = verify(tried, classes).checkpoint()
+    tried = settled(stars.where(_passes("x", "y")).where("x.rep <> y.rep").select(*ordered).distinct(), pairs_k)
+    links = settled(verify(tried, classes), pairs_k)
     labels = connected_components(links)
 
     def open_lists() -> DataFrame:
         """Postings with their component, of the lists that hold several."""
         told = sized.join(labels, sized["rep"] == labels["node"], "left").select("token", "size", "rep", "n", "pos", F.coalesce("component", "rep").alias("component"))
         mixed = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-        return told.join(mixed, "token").checkpoint()
+        return settled(told.join(mixed, "token"), postings_k)
 
     for k in range(ROUNDS):  # pairs of different components with some drawn members of each list
         lists = open_lists()
         seeds = [F.min(F.struct(F.xxhash64("rep", "token", F.lit(DRAWS * k + j)).alias("h"), "rep", "n", "pos", "component")).alias(f"y{j}") for j in range(DRAWS)]
         drawn = lists.groupBy("token").agg(*seeds).select("token", F.explode(F.array(*[f"y{j}" for j in range(DRAWS)])).alias("y"))
-        pairs = (lists.select("token", F.struct("rep", "n", "pos", "component").alias("x")).join(drawn, "token").where("x.component <> y.component")
-                 .where(_passes("x", "y")).select(*ordered).distinct().join(tried, ["a", "b"], "left_anti").checkpoint())
-        links = verify(pairs, classes).checkpoint()
+        pairs = settled(lists.select("token", F.struct("rep", "n", "pos", "component").alias("x")).join(drawn, "token").where("x.component <> y.component")
+                        .where(_passes("x", "y")).select(*ordered).distinct().join(tried, ["a", "b"], "left_anti"), pairs_k)
+        links = settled(verify(pairs, classes), pairs_k)
         if not links.limit(1).count():
             break
         tried = tried.unionByName(pairs)
@@ -319,9 +324,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
 
     # whatever is left between different components
     lists = open_lists()
-    rest = (lists.alias("x").join(lists.alias("y"), "token").where("x.component < y.component").where(_passes("x", "y"))
-            .select(*ordered).distinct().join(tried, ["a", "b"], "left_anti").checkpoint())
-    more = verify(rest, classes).checkpoint()
+    rest = settled(lists.alias("x").join(lists.alias("y"), "token").where("x.component < y.component").where(_passes("x", "y"))
+                   .select(*ordered).distinct().join(tried, ["a", "b"], "left_anti"), pairs_k)
+    more = settled(verify(rest, classes), pairs_k)
     labels = connected_components(more, start=labels) if more.limit(1).count() else labels
     found = members.join(labels, members["rep"] == labels["node"], "left").select("fp", "n_shingles", "rep", "component")
     return sets.join(found, ["fp", "n_shingles"], "left").select("doc_id", "n_shingles", alone.alias("component_id"))

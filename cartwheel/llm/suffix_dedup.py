@@ -38,10 +38,11 @@ from cartwheel.llm import bitmap
 from cartwheel.llm.blocks import U, PrefixHash, as_int64, flat, mix, pack, ranges, text_blocks, unpack
 
 GRAM = 24
+BLOCK_BYTES = 1 << 20   # of text at a time
 CAP = 256
-FLUSH = 1_000_000      # anchors a task holds before it sends them
-BUCKET = 2_000_000     # anchors a receiving task gets, about
-BLOCK_BUCKET = 150_000  # blocks of text a sorting task gets, about
+FLUSH = 400_000        # anchors a task holds before it sends them
+BUCKET = 600_000       # anchors a receiving task gets, about
+BLOCK_BUCKET = 60_000   # blocks of text a sorting task gets, about
 DOC = ["doc_id", "mark"]
 RANGES = "doc_id bigint, mark bigint, ranges binary"
 
@@ -202,7 +203,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
                     rows.append((ENTRY, b, hi - lo, 0, 0, blob))
             yield from _batches(rows, 64)
 
-        for batch, raw, off in text_blocks(batches):
+        for batch, raw, off in text_blocks(batches, max_bytes=BLOCK_BYTES):
             a = Anchors(raw, off, length)
             doc_id, mark = _keys(batch)
             if a.n:
@@ -418,7 +419,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     rows.append((ENTRY, b, hi - lo, 0, 0, blob))
             yield from _batches(rows, 16)
 
-        for batch, raw, off in text_blocks(batches):
+        for batch, raw, off in text_blocks(batches, max_bytes=BLOCK_BYTES):
             a = Anchors(raw, off, length)
             if a.n:
                 doc_id, mark = _keys(batch)
@@ -430,7 +431,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     docs_held.append((doc_id, mark))
                     n_docs += len(doc_id)
                     count += int(size.sum())
-            if count >= 16 << 20:
+            if count >= 8 << 20:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
         if count:
@@ -454,7 +455,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
         order = np.argsort(h, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
         load = np.cumsum(n_win[order])
-        piece = np.searchsorted(load[cut], np.arange(0, load[-1] + 1_000_000, 1_000_000))
+        piece = np.searchsorted(load[cut], np.arange(0, load[-1] + 400_000, 400_000))
         piece = np.unique(np.append(cut[np.minimum(piece, len(cut) - 1)], [0, len(order)]))
         for lo, hi in zip(piece[:-1], piece[1:], strict=True):
             own = order[lo:hi]
