@@ -75,7 +75,7 @@ class Anchors:
         end = np.append(begin[1:], len(window)) - 1
         self.n = len(begin)
         self.first, self.last, self.pos, self.doc = window[begin], window[end], pos[begin], doc[begin]
-        self.hash = h[self.pos]
+        self.hash = mix(h[self.pos] ^ U(0x5851F42D4C957F2D))  # least hashes crowd at 0: spread again
         self.block = mix(self.prefix.of(self.first, self.last + length) + (self.last - self.first).astype(np.uint64))
         self.start = self.first - off[self.doc]  # within the document
 
