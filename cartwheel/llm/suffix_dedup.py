@@ -8,7 +8,7 @@ with the least hash, so equal windows pick equal anchors at the same place; abou
    different blocks needs a closer look.  The blocks to look at go into a bitmap of bounded size (a false hit
    only adds work).
 2. *Suffix sort.*  A second scan sends those blocks' text to the anchor's task.  There the suffixes that begin a
-   window are merge-sorted among those with the same anchor and offset: prefix polynomial hashes and binary search
+   window, and have a partner of equal hash, are merge-sorted among those with the same anchor and offset: prefix polynomial hashes and binary search
    give the longest common extension of two suffixes in a logarithmic number of steps, one byte decides.
    Neighbours whose extension reaches ``length`` are compared byte by byte (collision check); all but the first
    of equal windows are repeats.
@@ -38,11 +38,11 @@ from cartwheel.llm import bitmap
 from cartwheel.llm.blocks import U, PrefixHash, as_int64, flat, mix, pack, ranges, text_blocks, unpack
 
 GRAM = 24
-BLOCK_BYTES = 1 << 20   # of text at a time
+BLOCK_BYTES = 1 << 19   # of text at a time
 CAP = 256
-FLUSH = 400_000        # anchors a task holds before it sends them
-BUCKET = 600_000       # anchors a receiving task gets, about
-BLOCK_BUCKET = 60_000   # blocks of text a sorting task gets, about
+FLUSH = 250_000        # anchors a task holds before it sends them
+BUCKET = 400_000       # anchors a receiving task gets, about
+BLOCK_BUCKET = 20_000   # blocks of text a sorting task gets, about
 DOC = ["doc_id", "mark"]
 RANGES = "doc_id bigint, mark bigint, ranges binary"
 
@@ -348,13 +348,14 @@ def repeated_windows(data: np.ndarray, context: np.ndarray, n_windows: np.ndarra
     rank, start = order_key
     _, key = np.unique(key, return_inverse=True)
     group = key[who] * 4096 + (offset[who] - w) + 1024
+    s = Suffixes(data, length)
+    # a window whose hash is alone in its group has no partner and need not be sorted
+    x = context[who] + w
+    _, tag, times = np.unique(mix(s.prefix.of(x, x + length) ^ mix(group.astype(np.uint64))), return_inverse=True, return_counts=True)
+    many = times[tag] > 1
+    who, w, group = who[many], w[many], group[many]
     order = np.lexsort((start[who] + w, rank[who], group))
     who, w, group = who[order], w[order], group[order]
-    many = np.zeros(len(group) + 1, bool)
-    many[1:-1] = group[1:] == group[:-1]
-    many = many[1:] | many[:-1]
-    who, w, group = who[many], w[many], group[many]
-    s = Suffixes(data, length)
     at = context[who] + w
     order = s.sort(at, group)
     who, w, group, at = who[order], w[order], group[order], at[order]
@@ -431,7 +432,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     docs_held.append((doc_id, mark))
                     n_docs += len(doc_id)
                     count += int(size.sum())
-            if count >= 8 << 20:
+            if count >= 4 << 20:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
         if count:
