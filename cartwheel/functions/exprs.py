@@ -35,10 +35,6 @@ def h64(*parts) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def lit_text(v) -> Column:
-    return F.lit(str(v))
-
-
 def code_lookup(c, mapping: dict) -> Column:
     """Dictionary map: code -> value; a missing key gives NULL (never throws)."""
     kv = []

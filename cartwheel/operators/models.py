@@ -1,10 +1,7 @@
-"""Ranking models on Spark ML (M1-M3, M5, M7, M9) and the FFM trainer (M4).
+"""Gradient-boosted trees on Spark ML, the fixed grids and the weight export (M5, M7, M9).
 
-Features are the global feature ids of the dictionary: per field the code
-(feature_id - base) is one-hot encoded (``dropLast=False``, unseen values in
-an extra slot) and the fields are assembled in column order, so the sparse
-vector index follows the global id layout.  The reference's AdaGrad solver
-is not in Spark ML (``gd`` / ``adamW`` only): weights differ, AUC compares.
+The factorization machines and linear models (M1-M4) are trained by AdaGrad in
+``cartwheel.operators.ffm``.
 """
 
 from __future__ import annotations
@@ -13,15 +10,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.operators.encode import FeatureDictionary
+MAX_CATEGORIES = 1_000  # distinct values up to which a tree splits a column as sets
 
 # Grids of the model comparison (fixed values of the reference's scripts)
 LR_LAMBDAS = [0.0002, 0.002, 0.02, 0.2]
@@ -29,35 +26,6 @@ FM_LAMBDAS = [0.0002, 0.002, 0.2]
 FM_FACTORS = [16, 64]
 FFM_LAMBDAS = [0.0002, 0.002, 0.02]
 FFM_FACTORS = [4, 6, 8]
-# Production FM: k=16, lr=0.2, lambda=0.002
-FM_DEFAULT = {"factorSize": 16, "stepSize": 0.2, "regParam": 0.002}
-
-
-def code_columns(encoded: DataFrame, d: FeatureDictionary, prefix: str = "f_") -> tuple[DataFrame, list[str]]:
-    """Per categorical field: code = feature_id - base (unseen ids -> code = size)."""
-    cols = []
-    out = encoded
-    for r in d.field_rows:
-        if r["kind"] == "numeric":
-            continue
-        c = f"c_{r['column']}"
-        fid = F.col(f"{prefix}{r['column']}")
-        out = out.withColumn(c, F.when(fid < d.total, fid - F.lit(r["base"])).otherwise(F.lit(r["size"]))
-                             .cast("double"))
-        cols.append(c)
-    return out, cols
-
-
-def one_hot_stages(code_cols: Sequence[str], numeric: Sequence[str] = (), out: str = "features") -> Pipeline:
-    vecs = [f"v_{c}" for c in code_cols]
-    ohe = OneHotEncoder(inputCols=list(code_cols), outputCols=vecs, dropLast=False, handleInvalid="keep")
-    asm = VectorAssembler(inputCols=vecs + list(numeric), outputCol=out, handleInvalid="keep")
-    return Pipeline(stages=[ohe, asm])
-
-
-def fm_classifier(factor_size=16, step_size=0.2, reg=0.002, max_iter=20, seed=7) -> FMClassifier:
-    return FMClassifier(labelCol="label", featuresCol="features", factorSize=factor_size, stepSize=step_size,
-                        regParam=reg, maxIter=max_iter, solver="adamW", seed=seed)
 
 
 def evaluate(pred: DataFrame, label: str = "label") -> dict:
@@ -71,71 +39,51 @@ def evaluate(pred: DataFrame, label: str = "label") -> dict:
     return {"auc": float(auc), "logloss": float(ll)}
 
 
-def train_fm(train: DataFrame, test: DataFrame, d: FeatureDictionary, **params) -> tuple[PipelineModel, dict]:
-    """Fit one-hot FM on train, report AUC / log-loss on test."""
-    tr, cols = code_columns(train, d)
-    te, _ = code_columns(test, d)
-    pipe = Pipeline(stages=one_hot_stages(cols).getStages() + [fm_classifier(**params)])
-    model = pipe.fit(tr.withColumn("label", F.col("label").cast("double")))
-    metrics = evaluate(model.transform(te.withColumn("label", F.col("label").cast("double"))))
-    return model, metrics
-
-
 def grid_report(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """(model, lambda, k, auc, logloss) — the printed grid of the reference, as a table."""
     return spark.createDataFrame(pd.DataFrame(rows, columns=["model", "lambda", "k", "auc", "logloss"]))
 
 
-def lr_grid(train: DataFrame, test: DataFrame, d: FeatureDictionary, lambdas=LR_LAMBDAS) -> DataFrame:
-    tr, cols = code_columns(train, d)
-    te, _ = code_columns(test, d)
-    feats = one_hot_stages(cols).fit(tr)
-    trv = feats.transform(tr).withColumn("label", F.col("label").cast("double")).select("label", "features")
-    tev = feats.transform(te).withColumn("label", F.col("label").cast("double")).select("label", "features")
-    rows = []
-    for lam in lambdas:
-        m = LogisticRegression(regParam=lam, maxIter=50).fit(trv)
-        rows.append({"model": "lr", "lambda": lam, "k": 0, **evaluate(m.transform(tev))})
-    return grid_report(train.sparkSession, rows)
-
-
-def fm_grid(train: DataFrame, test: DataFrame, d: FeatureDictionary, lambdas=FM_LAMBDAS, factors=FM_FACTORS,
-            max_iter: int = 10) -> DataFrame:
-    tr, cols = code_columns(train, d)
-    te, _ = code_columns(test, d)
-    feats = one_hot_stages(cols).fit(tr)
-    trv = feats.transform(tr).withColumn("label", F.col("label").cast("double")).select("label", "features")
-    tev = feats.transform(te).withColumn("label", F.col("label").cast("double")).select("label", "features")
-    rows = []
-    for lam in lambdas:
-        for k in factors:
-            m = fm_classifier(factor_size=k, reg=lam, max_iter=max_iter).fit(trv)
-            rows.append({"model": "fm", "lambda": lam, "k": k, **evaluate(m.transform(tev))})
-    return grid_report(train.sparkSession, rows)
-
-
 def gbt_cv(table: DataFrame, feature_cols: Sequence[str], folds: int = 5, seed: int = 7,
-           max_depth: int = 7) -> DataFrame:
+           max_depth: int = 7, categorical: Sequence[str] = (), fold_keys: Sequence[str] = ()) -> DataFrame:
     """One-round GBDT, k-fold cross validation reporting mean AUC and log-loss;
-    the label is *not* a feature.  Folds are assigned by md5 of a row id taken
-    from a written table, so they are stable under recomputation."""
+    the label is *not* a feature.
+
+    ``categorical`` columns of few values are split as sets (indexed over all
+    folds); a column of more than MAX_CATEGORIES values enters as the log of
+    how often each value occurs, so no id is taken for an ordered number and
+    none is cut to a number of bins.  Folds come from ``fold_keys`` by md5
+    (all columns without them): stable under recomputation, and equal rows
+    share a fold.
+    """
     from cartwheel.functions.exprs import h64
     from cartwheel.session import shared_path
 
     spark = table.sparkSession
     feats = [c for c in feature_cols if c != "label"]
+    keys = list(fold_keys) or feats
+    sizes = table.agg(*[F.countDistinct(c).alias(c) for c in categorical]).first().asDict() if categorical else {}
+    data = table.withColumn("_fold", F.pmod(h64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]), F.lit(folds)))
+    inputs, stages, bins = [], [], 32
+    for c in feats:
+        if sizes.get(c, 0) > MAX_CATEGORIES:
+            often = table.groupBy(c).agg(F.log1p(F.count(F.lit(1)).cast("double")).alias(f"often_{c}"))
+            data = data.join(often, c, "left")
+            inputs.append(f"often_{c}")
+        elif c in sizes:
+            stages.append(StringIndexer(inputCol=c, outputCol=f"index_{c}", handleInvalid="keep"))
+            inputs.append(f"index_{c}")
+            bins = max(bins, sizes[c] + 1)
+        else:
+            inputs.append(c)
+    data = data.withColumn("label", F.col("label").cast("double"))
+    indexed = Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]).fit(data).transform(data)
     path = shared_path(spark, "gbt_folds")
-    (table.withColumn("_row", F.monotonically_increasing_id())
-     .write.mode("overwrite").parquet(path))
-    data = (spark.read.parquet(path)
-            .withColumn("label", F.col("label").cast("double"))
-            .withColumn("_fold", F.pmod(h64(F.lit(seed), "_row"), F.lit(folds))))
-    asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
+    indexed.select("label", "features", "_fold").write.mode("overwrite").parquet(path)
+    data = spark.read.parquet(path)
     aucs, lls = [], []
     for f in range(folds):
-        gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=1, maxDepth=max_depth,
-                            seed=seed, maxBins=64)
-        model = Pipeline(stages=[asm, gbt]).fit(data.where(F.col("_fold") != f))
+        model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=1, maxDepth=max_depth, seed=seed, maxBins=bins).fit(data.where(F.col("_fold") != f))
         m = evaluate(model.transform(data.where(F.col("_fold") == f)))
         aucs.append(m["auc"])
         lls.append(m["logloss"])
@@ -144,34 +92,6 @@ def gbt_cv(table: DataFrame, feature_cols: Sequence[str], folds: int = 5, seed:
     return grid_report(spark, rows)
 
 
-def fm_weights(model: PipelineModel, d: FeatureDictionary) -> tuple[DataFrame, float]:
-    """Export a fitted one-hot FM as the scoring table (feature_id, w, v) plus
-    its bias; ``weights_as_kv`` turns it into (key, values) rows ('bias',
-    'w_<feature_id>', 'v_<feature_id>') and ``weights_text`` into text lines.
-
-    Spark ML keeps the fitted weights on the driver; this builds the table
-    from them once (its size is the model size, features × k).
-    """
-    fm = model.stages[-1]
-    ohe = model.stages[0]
-    sizes = list(ohe.categorySizes)
-    # vector slot -> global feature id (extra "unseen" slot per field -> reserved id)
-    fids = []
-    cat_rows = [r for r in d.field_rows if r["kind"] != "numeric"]
-    for r, n_slots in zip(cat_rows, sizes):
-        for code in range(n_slots + 1):
-            fids.append(r["base"] + code if code < r["size"] else d.total + r["field_id"])
-    lin = fm.linear.toArray()
-    fac = fm.factors.toArray()
-    # plain Python values: the table builds with or without Arrow enabled
-    pdf = pd.DataFrame({"feature_id": [int(x) for x in fids[: len(lin)]],
-                        "w": [float(x) for x in lin], "v": [[float(x) for x in row] for row in fac]})
-    spark = d.values.sparkSession
-    table = spark.createDataFrame(pdf, "feature_id long, w double, v array<double>")
-    table = table.groupBy("feature_id").agg(F.sum("w").alias("w"), F.first("v").alias("v"))
-    return table, float(fm.intercept)
-
-
 def weights_text(kv: DataFrame) -> DataFrame:
     """Text model export, one ``key: v1 v2 ...`` line per weight key."""
     return kv.select(F.concat(F.col("key"), F.lit(": "),

@@ -89,7 +89,10 @@ def cooccurrence(incidence: DataFrame, block_size: int = 1024, rows_per_group: i
     if blocks is None or salts is None:
         n_rows, n_ent = _sizes(incidence)
         blocks = blocks or max(1, math.ceil(n_ent / block_size))
-        salts = salts or max(1, math.ceil(n_rows / rows_per_group))
+        pairs = blocks * (blocks + 1) // 2
+        # groups enough for every slot, and no more than the rows need beyond that
+        slots = incidence.sparkSession.sparkContext.defaultParallelism
+        salts = salts or max(math.ceil(n_rows / (rows_per_group * pairs)), math.ceil(slots / pairs), 2)
     inc = incidence.select(
         F.col("user").cast("bigint").alias("user"), F.col("entity").cast("bigint").alias("entity"),
         F.pmod(F.xxhash64("entity"), F.lit(blocks)).cast("int").alias("blk"),

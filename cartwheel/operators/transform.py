@@ -46,7 +46,7 @@ def join_dimensions(facts: DataFrame, product: DataFrame, user: DataFrame,
     return out
 
 
-# Target widths of the ranking input (main training table).
+# Target widths of the ranking input (main training table).
 TRAIN_CASTS = {"label": "tinyint", "age": "tinyint", "sex": "tinyint",
                "city": "smallint", "cate": "smallint", "county": "int",
                "shop_id": "bigint", "brand": "bigint", "user_id": "bigint", "sku_id": "bigint"}

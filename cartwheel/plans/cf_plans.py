@@ -119,9 +119,12 @@ _ENCODED = _dict_ctes(FEATURE_COLUMNS) + _CANDIDATES + [
 
 
 # ---------------------------------------------------------------- Spark building blocks
+BLOCK = 12  # entities a block: the tables have 25 brands and 100 clicked items, which so take several blocks
+
+
 def _brand_sim_clicks(spark, sf):
     enriched = R.recall_input(fx.clicks(spark, sf), fx.products(spark, sf), None, ["brand"])
-    return S.brand_similarity(R.active_actions(enriched, 5))
+    return S.brand_similarity(R.active_actions(enriched, 5), block_size=BLOCK)
 
 
 def _online_cf(spark, sf, k=10):
@@ -152,14 +155,14 @@ def _encoded(spark, sf):
 SELECT brand1, brand2, co, round(sim, 6) AS sim FROM bp_sim""", local=_BRAND_P))
 def brand_similarity(spark, sf):
     enriched = R.recall_input(fx.purchases(spark, sf), fx.products(spark, sf), None, ["brand"])
-    s = S.brand_similarity(R.active_actions(enriched, 5))
+    s = S.brand_similarity(R.active_actions(enriched, 5), block_size=BLOCK)
     return s.select("brand1", "brand2", "co", round6("sim").alias("sim"))
 
 
 @register("item_similarity", with_ctes(["active_clicks"], """
 SELECT sku1, sku2, co, round(sim, 6) AS sim FROM ic_sim""", local=_ITEM_C))
 def item_similarity(spark, sf):
-    s = S.item_similarity(R.active_actions(fx.clicks(spark, sf), 5))
+    s = S.item_similarity(R.active_actions(fx.clicks(spark, sf), 5), block_size=BLOCK)
     return s.select("sku1", "sku2", "co", round6("sim").alias("sim"))
 
 
@@ -175,7 +178,7 @@ WHERE rnk <= 20""", local=_ITEM_C + [
 ]))
 def user_topn_cf(spark, sf):
     clicks = fx.clicks(spark, sf)
-    sim = S.item_similarity(R.active_actions(clicks, 5))
+    sim = S.item_similarity(R.active_actions(clicks, 5), block_size=BLOCK)
     top = C.user_topn_cf(clicks, sim, 20)
     return top.select("user_id", "rnk", "sku_id", round6("score").alias("score"))
 

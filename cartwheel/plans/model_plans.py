@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import candidates as C
 from cartwheel.operators import encode as E
+from cartwheel.operators import ffm as FF
 from cartwheel.operators import metrics as MT
 from cartwheel.operators import models as M
 from cartwheel.operators import transform as X
 from cartwheel.plans.catalog import register
-from cartwheel.plans.encode_plans import train_dictionary
+from cartwheel.plans.encode_plans import _dict_ctes, train_dictionary, train_table_of
 from cartwheel.plans.oracle_ctes import with_ctes
 from cartwheel.plans.sampling_plans import TRAIN_SHARE, _assembled, _split_sql_ctes
-from cartwheel.schemas import ENRICHED_COLUMNS
+from cartwheel.schemas import ENRICHED_COLUMNS, ENRICHED_NUMERIC, FEATURE_COLUMNS
 from cartwheel.session import shared_path
 from cartwheel.sources import fixtures as fx
 
@@ -43,47 +44,88 @@ def enriched_inputs(spark, sf):
     return spark.read.parquet(path)
 
 
+def _rows(spark, sf):
+    """(train rows, test rows, dictionary) of the AdaGrad models, written once."""
+    train, test, d = model_inputs(spark, sf)
+    cols = [f"f_{c}" for c in d.columns]
+    return FF.training_rows(train, cols), FF.training_rows(test, cols), d
+
+
+FM_K, FM_REG, FM_RATE, FM_EPOCHS = 16, 0.002, 0.2, 10  # fixed values: k, λ and rate of the production model
+
+
+def _trained_fm(spark, sf):
+    train, test, d = _rows(spark, sf)
+    return FF.fit(train, len(d.columns), k=FM_K, reg=FM_REG, lr=FM_RATE, epochs=FM_EPOCHS, kind="fm"), test, d
+
+
 @register("fm_train")
 def fm_train(spark, sf):
-    train, test, d = model_inputs(spark, sf)
-    _, metrics = M.train_fm(train, test, d, factor_size=16, step_size=0.2, reg=0.002, max_iter=20)
-    return M.grid_report(spark, [{"model": "fm", "lambda": 0.002, "k": 16, **metrics}])
+    """FM by AdaGrad; exact AUC and log-loss on the test part."""
+    params, test, d = _trained_fm(spark, sf)
+    scored = FF.predict(test, params, len(d.columns), FM_K, "fm")
+    return M.grid_report(spark, [{"model": "fm", "lambda": FM_REG, "k": FM_K, "auc": MT.auc_exact(scored).first()["auc"],
+                                  "logloss": MT.logloss(scored).first()["logloss"]}])
 
 
 @register("fm_weights")
 def fm_weights(spark, sf):
-    train, test, d = model_inputs(spark, sf)
-    model, _ = M.train_fm(train, test, d, factor_size=16, step_size=0.2, reg=0.002, max_iter=20)
-    table, bias = M.fm_weights(model, d)
-    return M.weights_as_kv(table, bias)
+    """Weight keys and values of the trained FM; the parameters never leave their table."""
+    params, _, _ = _trained_fm(spark, sf)
+    table = FF.weight_table(params)
+    bias = table.where("feature_id = -1").first()["w"]
+    return M.weights_as_kv(table.where("feature_id >= 0"), bias)
 
 
 @register("fm_rerank")
 def fm_rerank(spark, sf):
     """Trained FM weights -> score the labelled test pairs -> top-3 per user."""
-    train, test, d = model_inputs(spark, sf)
-    model, _ = M.train_fm(train, test, d, max_iter=20)
-    table, bias = M.fm_weights(model, d)
+    _, test, d = model_inputs(spark, sf)
+    params, _, _ = _trained_fm(spark, sf)
+    table = FF.weight_table(params)
+    bias = table.where("feature_id = -1").first()["w"]
     enc = test.select("user_id", F.col("sku_id").alias("item_id"), *[f"f_{c}" for c in d.columns])
-    return C.rank_by_score(C.fm_scores(enc.distinct(), [f"f_{c}" for c in d.columns], table, bias), 3)
+    return C.rank_by_score(C.fm_scores(enc.distinct(), [f"f_{c}" for c in d.columns], table.where("feature_id >= 0"), bias), 3)
+
+
+@register("linear_adagrad_step", with_ctes(["clicks_train", "wide_train"], """
+SELECT feature_id, round(-0.2 * g / sqrt(g * g + 1e-8), 6) AS weight FROM (
+  SELECT feature_id, sum(CASE WHEN label > 0 THEN -0.5 ELSE 0.5 END) / (SELECT count(*) FROM wide_train) AS g FROM (
+    SELECT w.label, d.feature_id FROM wide_train w JOIN dict d ON """ + " OR ".join(
+    f"(d.field_id = {i} AND d.value = CAST(w.{c} AS BIGINT))" for i, c in enumerate(FEATURE_COLUMNS)) + """) x
+  GROUP BY feature_id) y""", local=_dict_ctes(FEATURE_COLUMNS)))
+def linear_adagrad_step(spark, sf):
+    """One AdaGrad step of the linear model from zero, checked by value."""
+    d = train_dictionary(spark, sf)
+    enc = E.encode_columns(train_table_of(spark, sf), d)
+    rows = FF.training_rows(enc, [f"f_{c}" for c in d.columns])
+    params = FF.fit(rows, len(d.columns), k=0, reg=0.0, lr=0.2, epochs=1, kind="linear")
+    return params.where("feature_id >= 0 and pos = -1").select("feature_id", F.round("value", 6).alias("weight"))
 
 
 @register("lr_grid")
 def lr_grid(spark, sf):
-    train, test, d = model_inputs(spark, sf)
-    return M.lr_grid(train, test, d)
+    train, test, d = _rows(spark, sf)
+    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.LR_LAMBDAS, (0,), kind="linear"))
 
 
 @register("fm_grid")
 def fm_grid(spark, sf):
-    train, test, d = model_inputs(spark, sf)
-    return M.fm_grid(train, test, d, max_iter=10)
+    train, test, d = _rows(spark, sf)
+    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.FM_LAMBDAS, M.FM_FACTORS, epochs=3, kind="fm"))
+
+
+@register("ffm_grid")
+def ffm_grid(spark, sf):
+    """All nine points of the FFM comparison."""
+    train, test, d = _rows(spark, sf)
+    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.FFM_LAMBDAS, M.FFM_FACTORS, epochs=2))
 
 
 @register("gbt_cv")
 def gbt_cv(spark, sf):
     t = enriched_inputs(spark, sf)
-    return M.gbt_cv(t, ENRICHED_COLUMNS, folds=5)
+    return M.gbt_cv(t, ENRICHED_COLUMNS, folds=5, categorical=[c for c in ENRICHED_COLUMNS if c not in ENRICHED_NUMERIC], fold_keys=["user_id", "sku_id"])
 
 
 # ---------------------------------------------------------------- exact metrics
@@ -129,7 +171,6 @@ def logloss_exact(spark, sf):
 @register("ffm_train")
 def ffm_train(spark, sf):
     """FFM (k=4, λ=0.002) trained with synchronous AdaGrad as Spark jobs; test AUC."""
-    from cartwheel.operators import ffm as FF
     train, test, d = model_inputs(spark, sf)
     cols = [f"f_{c}" for c in d.columns]
     tr, te = FF.training_rows(train, cols), FF.training_rows(test, cols)

@@ -2,13 +2,17 @@
 
 ``refresh(...)`` is the Spark form of the reference's offline job: sets,
 training table + dictionary, content / hottest lists, brand similarity and
-latest items, each written once as a Parquet table under ``out_dir`` (a
-folder in the cluster's shared storage).  The online job re-reads them every
-micro-batch, so a refresh is picked up without restarting the stream.
+latest items.  A refresh writes a new version folder below ``out_dir`` (in the
+cluster's shared storage) and then adds one pointer record; nothing that a
+reader may have open is overwritten.  The online job looks the pointer up every
+micro-batch (``Snapshots.current``), so it sees a refresh without a restart and
+all tables of one version together.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +28,21 @@ from cartwheel.schemas import FEATURE_COLUMNS
 @dataclass
 class Snapshots:
     root: str
+    version: str
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        return f"{self.root.rstrip('/')}/{self.version}/{name}"
+
+    def current(self, spark: SparkSession) -> Snapshots:
+        """The newest complete version."""
+        newest = spark.read.parquet(f"{self.root.rstrip('/')}/pointers").agg(F.max(F.struct("written_us", "version"))).first()[0]
+        return Snapshots(self.root, newest["version"])
+
+    def publish(self, spark: SparkSession) -> None:
+        """Add this version's pointer record: the last step of a refresh."""
+        row = [(time.time_ns() // 1000, self.version)]
+        (spark.createDataFrame(row, "written_us long, version string").coalesce(1)
+         .write.mode("append").parquet(f"{self.root.rstrip('/')}/pointers"))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
@@ -64,7 +80,7 @@ def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user
     from cartwheel.sources import files as io
 
     spark = action.sparkSession
-    snap = Snapshots(out_dir)
+    snap = Snapshots(out_dir, f"version_{uuid.uuid4().hex[:12]}")
     log = history_until(action, anchor, history_months)
     R.recall_input(log, product, user).write.mode("overwrite").parquet(snap.path("enriched"))
     enriched = snap.read(spark, "enriched")
@@ -86,4 +102,5 @@ def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user
         C.user_topn_cf(enriched, snap.read(spark, "item_sim"), 20).write.mode("overwrite") \
             .parquet(snap.path("user_cf"))
     R.latest_items(enriched, 10).write.mode("overwrite").parquet(snap.path("latest"))
+    snap.publish(spark)
     return snap

@@ -130,13 +130,12 @@ def stream_clicks(spark, sf):
 
 
 _PAYLOAD_BODY = """
+SELECT r.user_id, r.sku_id, p.payload FROM (SELECT CAST(split_part(trim(value), ' ', 1) AS BIGINT) AS user_id,
+    CAST(split_part(trim(value), ' ', 2) AS BIGINT) AS sku_id FROM requests WHERE regexp_matches(trim(value), '^[0-9]+ [0-9]+$')) r JOIN (
 SELECT user_id, CAST(user_id AS VARCHAR) || ':' || chr(10) ||
        string_agg(""" + " || chr(9) || ".join(f"CAST({c} AS VARCHAR)" for c in [f"f_{x}" for x in FEATURE_COLUMNS]
                                                + ["item_id"]) + """, chr(10) ORDER BY item_id) || chr(10) AS payload
-FROM encoded
-WHERE user_id IN (SELECT CAST(split_part(trim(value), ' ', 1) AS BIGINT) FROM requests
-                  WHERE regexp_matches(trim(value), '^[0-9]+ [0-9]+$'))
-GROUP BY user_id"""
+FROM encoded GROUP BY user_id) p ON p.user_id = r.user_id"""
 
 
 @register("stream_requests", with_ctes(["enriched_clicks", "active_clicks", "wide_train", "requests"],
@@ -151,13 +150,50 @@ def stream_requests(spark, sf):
     reqs = RQ.valid_requests(RQ.request_stream(spark, src, max_files_per_trigger=4))
     q = J.request_candidates(reqs, lambda users: O.payload_for(users, snap, product, user), sink, ck)
     q.awaitTermination()
-    return spark.read.parquet(sink).select("user_id", "payload").distinct()
+    return spark.read.parquet(sink).select("user_id", "sku_id", "payload")
+
+
+@register("stream_rejected", with_ctes(["requests"], f"""
+SELECT value, '{RQ.BAD_LINE}' AS error FROM requests WHERE NOT {_VALID}"""))
+def stream_rejected(spark, sf):
+    """Side output of the request stream: rejected lines with their reason code."""
+    src = shared_path(spark, "landing", "requests")
+    fx.requests(fx.clicks(spark, sf)).select("value").write.text(src)
+    sink, ck = shared_path(spark, "rejected_out"), shared_path(spark, "rejected_ck")
+    q = J._start(RQ.rejected_requests(RQ.request_stream(spark, src)), sink, ck)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("value", "error")
+
+
+@register("refresh_anchors", with_ctes(["clicks"], """
+SELECT strftime(a.anchor, '%Y-%m-%d %H:%M:%S') AS anchor,
+       (SELECT count(*) FROM clicks WHERE action_time <= a.anchor AND action_time > a.anchor - INTERVAL 2 MONTH) AS n_actions
+FROM (SELECT unnest(range(to_timestamp(floor(epoch((SELECT min(action_time) FROM clicks)) / 7200) * 7200 + 7200)::TIMESTAMP,
+    (SELECT max(action_time) - INTERVAL 10 MINUTE FROM clicks) + INTERVAL 1 MICROSECOND, INTERVAL 2 HOUR)) AS anchor) a"""))
+def refresh_anchors(spark, sf):
+    """Event-time refreshes: every two-hour boundary fires once, over the two months up to it."""
+    src, schema = _stage_clicks(spark, sf, "refresh_in")
+    hist, state, ck, out = (shared_path(spark, f"refresh_{x}") for x in ("hist", "state", "ck", "out"))
+
+    def on_anchors(history, anchors, epoch):
+        fired = spark.createDataFrame([(a,) for a in anchors], "anchor timestamp_ntz")
+        # actions per hour-long slot first: the range join runs over slots, not actions
+        slots = history.groupBy(F.window("action_time", "2 hours").alias("w"), (F.col("action_time") == F.col("w.start")).alias("edge")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        at = F.when(F.col("edge"), F.col("w.start")).otherwise(F.col("w.end"))
+        counted = (fired.join(slots.select(at.alias("at"), "n"), (F.col("at") <= F.col("anchor")) & (F.col("at") > F.col("anchor") - F.expr("INTERVAL 2 MONTHS")), "left")
+                   .groupBy("anchor").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_actions")))
+        counted.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = J.refresh_on_event_time(J.file_stream(spark, src, schema), hist, state, ck, on_anchors)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(F.date_format("anchor", "yyyy-MM-dd HH:mm:ss").alias("anchor"), "n_actions")
 
 
 def _fm_topn_sql():
     from cartwheel.plans.cf_plans import ORACLE_FM_TOPN_BODY, ORACLE_FM_TOPN_CTES
-    body = ORACLE_FM_TOPN_BODY.replace("FROM scores) t", """FROM scores
-  WHERE user_id IN (SELECT user_id FROM clicks WHERE user_id IS NOT NULL AND sku_id IS NOT NULL)) t""")
+    body = f"""SELECT c.user_id, c.sku_id, r.rnk, r.item_id, r.score FROM clicks c JOIN ({ORACLE_FM_TOPN_BODY}) r ON r.user_id = c.user_id
+WHERE c.sku_id IS NOT NULL"""
     return with_ctes(["enriched_clicks", "active_clicks", "wide_train"], body, local=ORACLE_FM_TOPN_CTES)
 
 
@@ -176,5 +212,4 @@ def stream_rerank(spark, sf):
     q = J.request_candidates(parsed, lambda users: O.rerank_for(users, snap, product, user, weights),
                              sink, ck)
     q.awaitTermination()
-    out = spark.read.parquet(sink).select("user_id", "rnk", "item_id", F.round("score", 6).alias("score"))
-    return out.distinct()
+    return spark.read.parquet(sink).select("user_id", "sku_id", "rnk", "item_id", F.round("score", 6).alias("score"))

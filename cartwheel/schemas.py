@@ -31,25 +31,13 @@ SHOP = T.StructType([
     T.StructField("shop_score", T.DoubleType()),
 ])
 
-COMMENT = T.StructType([
-    T.StructField("sku_id", T.LongType()),
-    T.StructField("comments", T.LongType()),
-    T.StructField("good_comments", T.LongType()),
-    T.StructField("bad_comments", T.LongType()),
-])
-
 KV_LOG = T.StructType([
     T.StructField("rowkey", T.StringType()),
     T.StructField("it", T.StringType()),
     T.StructField("ty", T.StringType()),
 ])
 
-LABELLED_PAIR = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("sku_id", T.LongType()),
-    T.StructField("label", T.ByteType()),
-])
-
+# Column names and order of the reference's ranking input.
 # The nine ranking features, in the model's column order (label excluded).
 FEATURE_COLUMNS = ["age", "sex", "city", "county", "brand", "shop_id", "cate", "user_id", "sku_id"]
 

@@ -8,6 +8,7 @@ is set only when the session has none (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,12 +31,12 @@ def build_session(master: str | None = None, app: str = "cartwheel",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
-        "spark.driver.memory": "16g",
         # keyed streaming state (one entry per user) lives off-heap in RocksDB
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     target = configured or _LOCAL_DEFAULT_CKPT
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
@@ -64,7 +67,15 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     leaf = list(parts)
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
-    return "/".join([base, "cartwheel"] + leaf)
+    return "/".join([base, "cartwheel", spark.sparkContext.applicationId] + leaf)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below ``shared_path`` (results read from there end with it)."""
+    sc = spark.sparkContext
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    path = sc._jvm.org.apache.hadoop.fs.Path("/".join([base, "cartwheel", sc.applicationId]))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_fs_path(path: str) -> str:
@@ -72,10 +83,6 @@ def local_fs_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so Python functions find it there."""
     import tempfile

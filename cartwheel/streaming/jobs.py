@@ -146,15 +146,18 @@ def latest_items_list_state(actions: DataFrame, sink: str, checkpoint: str, n: i
                             **kw) -> StreamingQuery:
     """Same contract as ``latest_items_state`` on the ``transformWithStateInPandas``
     API (list state in the RocksDB state store, which this API requires)."""
-    spark = actions.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark, key = actions.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
     rows = (actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
             .select("user_id", "sku_id", "event_id", utc_micros("action_time").alias("ts_us")))
     out = rows.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=LatestItemsProcessor(n), outputStructType=LATEST_OUT,
         outputMode="Append", timeMode="None")
-    return _start(out, sink, checkpoint, "append", **kw)
+    spark.conf.set(key, ROCKSDB_PROVIDER)  # a query keeps the provider it starts with
+    try:
+        return _start(out, sink, checkpoint, "append", **kw)
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
 def current_latest(versions: DataFrame) -> DataFrame:
@@ -179,11 +182,17 @@ def compact_latest(spark, versions_path: str, out_path: str) -> DataFrame:
 def request_candidates(requests: DataFrame, per_batch: Callable[[DataFrame], DataFrame], sink: str,
                        checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Valid requests -> ``per_batch(users)`` (a batch plan over the snapshot
-    tables, re-read every micro-batch so an offline refresh is seen) -> sink."""
+    tables, re-read every micro-batch so an offline refresh is seen) -> sink.
+
+    The plan runs once per user of the micro-batch; every request gets its own
+    answer rows (columns of the request that the answer lacks come along)."""
     def run(batch: DataFrame, epoch: int) -> None:
         # one folder per epoch, overwritten on replay: a retried batch never duplicates
-        users = batch.select("user_id").distinct()
-        per_batch(users).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch}")
+        held = batch.persist()
+        answers = per_batch(held.select("user_id").distinct())
+        asked = held.select("user_id", *[c for c in held.columns if c not in answers.columns])
+        asked.join(answers, "user_id").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch}")
+        held.unpersist()
 
     w = requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="2 seconds")
@@ -201,36 +210,47 @@ def period_floor(t: dt.datetime, period: dt.timedelta) -> dt.datetime:
 
 
 def refresh_on_event_time(actions: DataFrame, history_path: str, state_path: str, checkpoint: str,
-                          on_anchor: Callable[[DataFrame, dt.datetime, int], None],
+                          on_anchors: Callable[[DataFrame, list[dt.datetime], int], None],
                           period: dt.timedelta = dt.timedelta(hours=2),
                           delay: dt.timedelta = dt.timedelta(minutes=10),
                           available_now: bool = True) -> StreamingQuery:
-    """Append every micro-batch to the history and run ``on_anchor(history,
-    anchor, epoch)`` whenever the event-time watermark (newest event − delay)
-    crosses a period boundary; ``anchor`` is that boundary (README: every two
-    hours of event time, over the history up to it).
+    """Append every micro-batch to the history and run ``on_anchors(history,
+    anchors, epoch)`` with *every* period boundary that the event-time
+    watermark (newest event − delay) has crossed, in order (README: a refresh
+    every two hours of event time, over the history up to it).  The first
+    boundary is the first after the earliest event of the first micro-batch.
 
     Per epoch the history folder and a one-row state record (newest event time
-    seen, last anchor) are written in overwrite mode, so a replayed epoch
-    neither duplicates rows nor re-fires a refresh it already recorded.
+    seen, last anchor) are written in overwrite mode, and only the records of
+    this and the previous epoch are read.  A replayed epoch neither duplicates
+    rows nor fires again what it has recorded; a crash between the refresh and
+    its record fires that refresh again (at least once).
     """
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history_path.rstrip('/')}/epoch={epoch}")
-        newest = batch.agg(F.max("action_time")).first()[0]
-        seen, last = None, None
-        try:
-            st = (spark.read.parquet(state_path).where(F.col("epoch") < epoch)
-                  .agg(F.max("seen"), F.max("anchor")).first())  # one row per past epoch
-            seen, last = st[0], st[1]
-        except AnalysisException:  # no state written yet (first epoch)
-            pass
+        own = f"{history_path.rstrip('/')}/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(own)
+
+        def record(e: int):
+            try:
+                return spark.read.parquet(f"{state_path.rstrip('/')}/epoch_part={e}").first()
+            except AnalysisException:  # no such record
+                return None
+
+        if record(epoch) is not None:
+            return  # replayed: done before
+        oldest, newest = spark.read.parquet(own).agg(F.min("action_time"), F.max("action_time")).first()
+        past = record(epoch - 1)
+        seen, last = (past["seen"], past["anchor"]) if past is not None else (None, None)
         known = [x for x in (seen, newest) if x is not None]
         seen = max(known) if known else None
+        if last is None and oldest is not None:
+            last = period_floor(oldest, period)
         if seen is not None:
             boundary = period_floor(seen - delay, period)
-            if last is None or boundary > last:
-                on_anchor(spark.read.parquet(history_path), boundary, epoch)
+            anchors = [last + k * period for k in range(1, (boundary - last) // period + 1)]
+            if anchors:
+                on_anchors(spark.read.parquet(history_path), anchors, epoch)
                 last = boundary
         spark.createDataFrame([(epoch, seen, last)], "epoch long, seen timestamp_ntz, anchor timestamp_ntz") \
             .write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/epoch_part={epoch}")

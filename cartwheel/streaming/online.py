@@ -21,11 +21,13 @@ def candidates_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_a
     overrides the snapshot's latest lists — e.g. the live keyed-state table of
     ``jobs.latest_items_state`` read through ``jobs.current_latest``."""
     spark = users.sparkSession
+    snap = snap.current(spark)
     u = users.select("user_id").distinct()
     content = snap.read(spark, "content")
     hot = snap.read(spark, "hottest").where(F.col("days") == 1)
     live = latest if latest is not None else snap.read(spark, "latest")
-    seeds = live.join(u, "user_id", "left_semi")
+    items = snap.read(spark, "sets").where(F.col("set_name") == "item").select(F.col("id").alias("sku_id"))
+    seeds = live.join(u, "user_id", "left_semi").join(items, "sku_id", "left_semi")  # known items only
     brand_lists = content.where(F.col("list_kind") == "brand")
     cf = C.online_cf(seeds, product, snap.read(spark, "brand_sim"), brand_lists, k=k)
     return C.candidates_union(u, user_attrs, content.where(F.col("list_kind").isin("city", "age")), hot, cf, n)
@@ -34,6 +36,7 @@ def candidates_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_a
 def payload_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs: DataFrame,
                 latest: DataFrame | None = None) -> DataFrame:
     """Encoded candidate message per requesting user (K7)."""
+    snap = snap.current(users.sparkSession)
     d = snap.dictionary(users.sparkSession)
     cands = candidates_for(users, snap, product, user_attrs, latest=latest)
     enc = E.encode_candidates(cands, product, user_attrs, d, unseen="keep")
@@ -48,6 +51,7 @@ def rerank_for(users: DataFrame, snap: Snapshots, product: DataFrame, user_attrs
     top-``top`` hottest items of the last ``cold_days`` days (score NULL).
     """
     spark = users.sparkSession
+    snap = snap.current(spark)
     u = users.select("user_id").distinct()
     known = snap.read(spark, "sets").where(F.col("set_name") == "user").select(F.col("id").alias("user_id"))
     warm = u.join(known, "user_id", "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REQUEST_PATTERN = r"^[0-9]+ [0-9]+$"
+BAD_LINE = "bad_request_line"  # reason code of a rejected line
 CLICK_SCHEMA = "user_id BIGINT, sku_id BIGINT, source STRING, code INT, type INT"
 
 
@@ -33,7 +34,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
         ok.alias("valid"),
         F.when(ok, F.element_at(parts, 1).cast("bigint")).alias("user_id"),
         F.when(ok, F.element_at(parts, 2).cast("bigint")).alias("sku_id"),
-        F.when(~ok, F.lit("please give a line like 'userid itemid'")).alias("error"))
+        F.when(~ok, F.lit(BAD_LINE)).alias("error"))
 
 
 def valid_requests(lines: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def valid_requests(lines: DataFrame) -> DataFrame:
 
 
 def rejected_requests(lines: DataFrame) -> DataFrame:
-    """Side output: malformed lines with the error reply; the stream goes on."""
+    """Side output: malformed lines with their reason code; the stream goes on."""
     p = parse_requests(lines)
     return p.where(~F.col("valid")).drop("user_id", "sku_id", "valid")
 

@@ -35,17 +35,32 @@ def test_ffm_learns_planted_interaction(spark, permute):
         assert auc > 0.8
 
 
-def test_fm_classifier_learns_planted_interaction(spark):
-    from pyspark.ml.classification import FMClassifier
-    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-    df = _planted(spark).select(F.col("label").cast("double").alias("label"),
-                                *[F.col(c).cast("double").alias(c) for c in ("f_a", "f_b", "f_c")])
-    ohe = OneHotEncoder(inputCols=["f_a", "f_b", "f_c"], outputCols=["a", "b", "c"], dropLast=False).fit(df)
-    x = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(ohe.transform(df))
-    m = FMClassifier(factorSize=4, stepSize=0.1, maxIter=100, solver="adamW", seed=1).fit(x)
-    from pyspark.ml.functions import vector_to_array
-    s = m.transform(x).select("label", vector_to_array("probability")[1].alias("score"))
-    assert MT.auc_exact(s).first().auc > 0.8
+def test_adagrad_fm_learns_planted_interaction(spark):
+    rows = FF.training_rows(_planted(spark), ["f_a", "f_b", "f_c"])
+    params = FF.fit(rows, 3, k=4, reg=0.0, lr=0.5, epochs=40, kind="fm")
+    assert MT.auc_exact(FF.predict(rows, params, 3, 4, "fm")).first().auc > 0.8
+    table = FF.weight_table(params)
+    assert {r.feature_id for r in table.collect()} == {-1, *range(25)}          # one row per trained feature
+    assert all(len(r.v) == 4 for r in table.where("feature_id >= 0").collect())
+
+
+def test_broadcast_and_shuffled_look_ups_agree(spark, monkeypatch):
+    rows = FF.training_rows(_planted(spark, 300), ["f_a", "f_b", "f_c"])
+    for kind in ("ffm", "fm", "linear"):
+        a = {(r.feature_id, r.pos): r.value for r in FF.fit(rows, 3, k=2, epochs=2, kind=kind).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(FF, "BROADCAST_PARAM_BYTES", 0)
+            b = {(r.feature_id, r.pos): r.value for r in FF.fit(rows, 3, k=2, epochs=2, kind=kind).collect()}
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_gbt_splits_categories_as_sets(spark):
+    from cartwheel.operators import models as M
+    rnd = random.Random(2)
+    good = {3, 8, 15, 16, 23, 42}                 # no interval of ids
+    rows = [(int(c in good), c, rnd.random()) for c in (rnd.randrange(50) for _ in range(3000))]
+    df = spark.createDataFrame(rows, "label int, c int, x double")
+    assert M.gbt_cv(df, ["c", "x"], folds=3, categorical=["c"], max_depth=3).first().auc > 0.95
 
 
 def test_gbt_cv_never_uses_the_label_as_a_feature(spark):

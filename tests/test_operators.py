@@ -116,3 +116,32 @@ def test_event_time_helpers_ignore_session_zone(spark, tz):
         assert r.back == _t("2024-01-05 13:07:09.123456")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_left_joins_keep_actions_of_unknown_products(spark):
+    pairs = spark.createDataFrame([(1, 10, 1), (1, 99, 0)], "user_id long, sku_id long, label int")
+    product = spark.createDataFrame([(10, 3, 4, 5)], "sku_id long, brand int, shop_id long, cate short")
+    user = spark.createDataFrame([(1, 2, 1, 7, 70)], "user_id long, age byte, sex byte, city short, county int")
+    got = {r.sku_id: (r.brand, r.age) for r in X.fill_zero(X.join_dimensions(pairs, product, user)).collect()}
+    assert got == {10: (3, 2), 99: (0, 2)}
+
+
+def test_lines_of_text_and_missing_features(spark):
+    from cartwheel.operators import encode as E
+    df = spark.createDataFrame([(1, "b", 7, 2.0000001), (0, None, 7, 5e-9), (1, "a", None, None), (0, "é", 9, -1.5)], "label int, t string, n int, x double")
+    d = E.build_dictionary(df, ["t", "n", "x"], ["x"])
+    lines = sorted(r.line for r in E.ffm_lines(df, d).collect())
+    assert [ln.split()[:-1] if "2:" in ln else ln.split() for ln in lines] == [["0", "0:2:1", "1:4:1"], ["0", "1:3:1"], ["1", "0:0:1"], ["1", "0:1:1", "1:3:1"]]
+    values = sorted(float(ln.split("2:5:")[1]) for ln in lines if "2:5:" in ln)
+    assert values == [-1.5, 5e-9, 2.0000001]
+    new = spark.createDataFrame([(1, "zz", 7, 1.0)], "label int, t string, n int, x double")
+    assert E.ffm_lines(new, d).first().line.startswith("1 0:6:1 1:3:1")           # reserved id of the field
+
+
+def test_small_scores_are_not_rounded_away(spark):
+    from cartwheel.operators import candidates as C
+    seeds = spark.createDataFrame([(1, 100, 10)], "user_id long, sku_id long, rnk long")
+    product = spark.createDataFrame([(100, 1)], "sku_id long, brand int")
+    sim = spark.createDataFrame([(1, 2, 1, 1e-9), (1, 3, 1, 1.0000001e-9)], "brand1 long, brand2 long, co long, sim double")
+    got = C.cf_brands(seeds, product, sim, k=5, decay=0.9).orderBy("rnk").collect()
+    assert [r.brand for r in got] in ([3, 2], [2, 3]) and all(r.score > 0 for r in got)
