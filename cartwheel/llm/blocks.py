@@ -6,6 +6,8 @@ megabytes at a time, so a task's memory does not depend on its partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -185,3 +187,9 @@ def as_int64(column: pa.Array) -> np.ndarray:
     if column.null_count:
         column = pc.fill_null(column, np.iinfo(np.int64).min)
     return column.cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a Python worker, and what its heap holds, for later tasks."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

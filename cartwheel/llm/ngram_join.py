@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import U, Words, as_int64, mix, pack, shingles, text_blocks, unpack
+from cartwheel.llm.blocks import U, Words, as_int64, give_back, mix, pack, shingles, text_blocks, unpack
 from cartwheel.llm.components import connected_components, settled, tasks_for
 
 SHINGLE_BITS = 56
@@ -147,8 +147,11 @@ def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", te
             if count >= FLUSH:
                 yield from flush()
                 held, count = [], 0
+                give_back()
         if count:
             yield from flush()
+        held.clear()
+        give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] == 1:  # known to be common: go on as they are
@@ -172,6 +175,7 @@ def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", te
         total = np.minimum(np.bincount(group_no[once], weights=df[once], minlength=n_groups), cap).astype(np.uint16)
         keep = once & (df < cap) & (total[group_no] >= 2)  # markers have sent their rows already
         rows = list(_to_classes(shingle[keep], fp[keep], size[keep], total[group_no[keep]], n_buckets))
+        give_back()
         return pd.DataFrame({"bucket": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("text")

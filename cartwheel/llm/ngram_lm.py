@@ -36,12 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import U, Words, as_int64, mix, pack, ranges, text_blocks, unpack
+from cartwheel.llm.blocks import U, Words, as_int64, give_back, mix, pack, text_blocks, unpack
 
 MU = 50.0
 LEVELS = 4096
-FLUSH = 1_500_000       # tokens a task holds before it sends them
-BUCKET = 4_000_000      # tokens a receiving task gets, about
+FLUSH = 700_000         # tokens a task holds before it sends them
+BUCKET = 2_000_000      # tokens a receiving task gets, about
 HOT_LEAST = 200_000
 HOT_LIST = 1 << 16
 END = U(0x2545F4914F6CDD1D)
@@ -245,6 +245,8 @@ def word_counts(docs: DataFrame, n_buckets: int) -> DataFrame:
                 held, count = [], 0
         if count:
             yield from flush()
+        held.clear()
+        give_back()
 
     return docs.where("not held").select("text").mapInArrow(send, "kind int, bucket bigint, payload binary")
 
@@ -358,8 +360,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             if count >= FLUSH:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
+                give_back()
         if count:
             yield from flush()
+        held.clear()
+        give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         (hot_words, hot_n), _ = shared.value
@@ -413,9 +418,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         base = np.log10(n_word[w_of] + 0.1)
         times = np.diff(np.append(begin, len(code)))
         n_docs = len(doc_id)
+        del code, train, n_pair
         add = lambda x: np.bincount(doc, weights=np.repeat(x, times), minlength=n_docs)
         sums = pd.DataFrame({"doc_id": doc_id, "mark": mark, "held": out, "n": np.bincount(doc, minlength=n_docs), "ends": add(is_end).astype(np.int64),
                              "known": add(n_word[w_of] > 0).astype(np.int64), "base": add(base), "score": add(term)})
+        give_back()
         return sums
 
     partial = rows.mapInArrow(send, "bucket bigint, payload binary, counts boolean").groupBy("bucket").applyInPandas(owned, SUMS)

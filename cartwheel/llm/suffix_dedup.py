@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm import bitmap
-from cartwheel.llm.blocks import U, PrefixHash, as_int64, flat, mix, pack, ranges, text_blocks, unpack
+from cartwheel.llm.blocks import U, PrefixHash, as_int64, flat, give_back, mix, pack, ranges, text_blocks, unpack
 
 GRAM = 24
 BLOCK_BYTES = 1 << 19   # of text at a time
@@ -214,8 +214,11 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             if count >= FLUSH:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
+                give_back()
         if count:
             yield from flush()
+        held.clear()
+        give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] != ENTRY:
@@ -252,6 +255,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             hots = h[new][classes >= hot]
             if len(hots):
                 rows.append((HOT, -1, len(hots), 0, 0, hots.tobytes()))
+        give_back()
         return _out(rows).to_pandas()
 
     return docs.mapInArrow(send, OUT).groupBy("kind", "bucket").applyInPandas(owned, OUT)
@@ -435,8 +439,11 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
             if count >= 4 << 20:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
+                give_back()
         if count:
             yield from flush()
+        held.clear()
+        give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] == REPEAT:
@@ -465,6 +472,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
             who, w = repeated_windows(text, at, n_win[own], h[own], offset[own], (rank[doc[own]], start[own]), length)
             begin = start[own][who] + w
             rows += _range_rows(doc_id, mark, doc[own][who], begin, begin + length)
+        give_back()
         return pd.DataFrame({"doc_id": pd.Series([r[0] for r in rows], dtype="int64"), "mark": pd.Series([r[1] for r in rows], dtype="int64"), "ranges": [r[2] for r in rows]})
 
     return docs.mapInArrow(send, OUT).groupBy("kind", "bucket").applyInPandas(owned, RANGES)
