@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import U, Words, flat, mix, ranges, text_blocks
+from cartwheel.llm.blocks import U, Words, flat, give_back, mix, ranges, text_blocks
 
 BLOCKS, BLOCK_BITS = 4, 16
 RADIUS = 19
@@ -164,6 +164,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold
                     for doc, *_ in _scan(index, n, words, threshold):
                         sound[doc] = False
                 yield batch.filter(pa.array(sound))
+            give_back()
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.blocks import flat
+from cartwheel.llm.blocks import flat, give_back
 
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
-_BLOCK = 3 << 20
-_VITERBI_WORDS = 1_500_000
+_BLOCK = 2 << 20
+_VITERBI_WORDS = 600_000
 
 # Scripts by UTF-8 lead byte (fixed values of the encoding): name, first and last lead byte.
 SCRIPTS = [("latin", 0x61, 0x7A), ("latin", 0xC3, 0xCD), ("greek", 0xCE, 0xCF), ("cyrillic", 0xD0, 0xD4),
@@ -108,6 +108,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", bucke
                 grams[name] = grams.get(name, 0) + np.bincount(gram[mine], minlength=buckets)
                 bits = bit[mine]
                 scripts[name] = scripts.get(name, 0) + np.array([((bits >> b) & 1).sum() for b in range(len(SCRIPT_NAMES))])
+        give_back()
         for name, c in grams.items():
             at = np.flatnonzero(c)
             seen = np.flatnonzero(scripts[name])
@@ -256,8 +257,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
             if held >= _VITERBI_WORDS:
                 yield from finish()
                 waiting, held = [], 0
+                give_back()
         if waiting:
             yield from finish()
+        waiting.clear()
+        give_back()
 
     has_letter: Column = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
     more = [has_letter.alias("_letter")] + [F.col(text_col).cast("string").alias("_text")] * (text == "_text")

@@ -38,9 +38,9 @@ from cartwheel.llm.components import connected_components, settled, tasks_for
 SHINGLE_BITS = 56
 CAP = 256
 ROUNDS, DRAWS = 4, 4
-FLUSH = 2_000_000        # shingles a task holds before it sends them
+FLUSH = 1_000_000        # shingles a task holds before it sends them
 PAIRS_A_TASK = 50_000
-BUCKET = 2_000_000       # shingles a receiving task gets, about
+BUCKET = 1_200_000       # shingles a receiving task gets, about
 
 
 def set_print(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -242,6 +242,7 @@ def candidate_classes(shared: DataFrame) -> DataFrame:
                 tokens = np.sort(shingle[s:e])
                 rows.append((int(fp[s].view(np.int64)), n, tokens.tobytes(), parity_bits(tokens), shingle[s:s + k].astype(np.int64), alone))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        give_back()
         return pd.DataFrame({"fp": pd.Series(cols[0], dtype="int64"), "n": pd.Series(cols[1], dtype="int64"), "tokens": cols[2], "bits": cols[3], "prefix": cols[4], "first_pos": pd.Series(cols[5], dtype="int64")})
 
     return shared.groupBy("bucket").applyInPandas(run, CLASS)
@@ -290,7 +291,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
     if not n_shingles:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     classes = settled(candidate_classes(shared_shingles(docs, n_shingles, id_col, text_col, cap=cap))
-                      .join(members.withColumnRenamed("n_shingles", "n"), ["fp", "n"]).where("rep is not null").drop("fp"), tasks_for(n_shingles, 4 * BUCKET))
+                      .join(members.withColumnRenamed("n_shingles", "n"), ["fp", "n"]).where("rep is not null").drop("fp"), tasks_for(n_shingles, 8_000_000))
     size = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)).alias("p")).first()
     # small tables keep few files: the rounds below cost tasks by their rows
     postings_k, pairs_k = tasks_for(size["p"]), tasks_for(size["p"], PAIRS_A_TASK)
