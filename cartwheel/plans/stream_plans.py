@@ -177,9 +177,9 @@ def refresh_anchors(spark, sf):
 
     def on_anchors(history, anchors, epoch):
         fired = spark.createDataFrame([(a,) for a in anchors], "anchor timestamp_ntz")
-        # actions per hour-long slot first: the range join runs over slots, not actions
-        slots = history.groupBy(F.window("action_time", "2 hours").alias("w"), (F.col("action_time") == F.col("w.start")).alias("edge")) \
-            .agg(F.count(F.lit(1)).alias("n"))
+        # actions per two-hour slot first: the range join runs over slots, not actions
+        slots = (history.withColumn("w", F.window("action_time", "2 hours")).withColumn("edge", F.col("action_time") == F.col("w.start"))
+                 .groupBy("w", "edge").agg(F.count(F.lit(1)).alias("n")))
         at = F.when(F.col("edge"), F.col("w.start")).otherwise(F.col("w.end"))
         counted = (fired.join(slots.select(at.alias("at"), "n"), (F.col("at") <= F.col("anchor")) & (F.col("at") > F.col("anchor") - F.expr("INTERVAL 2 MONTHS")), "left")
                    .groupBy("anchor").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_actions")))
