@@ -515,17 +515,20 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     own = keyed(docs, id_col, text_col)
     found = repeats(own, length, cap, hot).groupBy("doc_id", "mark").agg(F.collect_list("ranges").alias("_ranges"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("_text"))
-    joined = rows.join(found, ["doc_id", "mark"], "left").select(*[f"k_{c}" for c in keep], "_text", "_ranges")
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    kept_text = text_col in keep and fields[text_col] == "string"  # then the text travels once
+    body = f"k_{text_col}" if kept_text else "_text"
+    rows = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64(text).alias("mark"),
+                       *[text.alias("_text")] * (not kept_text))
+    joined = rows.join(found, ["doc_id", "mark"], "left").select(*[f"k_{c}" for c in keep], *["_text"] * (not kept_text), "_ranges")
     names = keep + ["kept", "n_bytes", "n_removed", "n_spans"]
     schema = "".join(f"`{c}` {fields[c]}, " for c in keep) + "kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                raw, off = flat(part.column("_text"))
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                raw, off = flat(part.column(body))
                 kept, removed, spans = [], np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64)
                 for d, blobs in enumerate(part.column("_ranges").to_pylist()):
                     text = raw[off[d]:off[d + 1]]
@@ -541,6 +544,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
                         gone = np.cumsum(np.bincount(start, minlength=len(text) + 1) - np.bincount(end, minlength=len(text) + 1))[:len(text)] > 0
                         text = text[~gone]
                     kept.append(text.tobytes())
+                give_back()
                 yield pa.record_batch([part.column(f"k_{c}") for c in keep] + [pa.array(kept, pa.binary()), pa.array(np.diff(off)), pa.array(removed), pa.array(spans)], names)
 
     return joined.mapInArrow(run, schema)
