@@ -83,6 +83,15 @@ def local_fs_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of few rows, unless the session has chosen a number: rows here are whole documents."""
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so Python functions find it there."""
     import tempfile

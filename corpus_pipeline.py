@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import decontam, langid, mixing, ngram_join, suffix_dedup
 from cartwheel.llm.queries import MIX_POWERS, fold, table
-from cartwheel.session import ensure_checkpoint_dir, shared_path, ship_package
+from cartwheel.session import ensure_checkpoint_dir, shared_path, ship_package, small_batches
 
 LEAST_SHARE = 0.5  # of a document's letters in its language
 ORACLE_SQL = None
@@ -31,6 +31,7 @@ KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    small_batches(spark)
 
 
 def _hide(docs: DataFrame) -> tuple[DataFrame, Callable[..., DataFrame]]:
