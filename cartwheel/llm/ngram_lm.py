@@ -13,8 +13,8 @@ and looks up each pair that occurs:
 * level 2: contexts as an Elias-Fano sequence, made monotone by the word's position, with a quantised value each;
 * both levels are one memory-mapped file; a lookup is a successor search within the word's range.
 
-Quantisation: ``LEVELS`` values per level, means of narrow cells of log10 values.  Per-document sums of all tasks are
-added in Spark.
+Quantisation: ``LEVELS`` values per level, means of narrow cells of log10 values.  Per-document sums of all tasks
+meet by document in a second exchange.
 
 Skew: words above a task's fair share are split by context, with their count broadcast; pairs above it are
 split by document too, each part getting all counts of the pair.  Both lists have at most ``HOT_LIST`` entries
@@ -40,13 +40,15 @@ from cartwheel.llm.blocks import U, Words, as_int64, give_back, mix, pack, text_
 
 MU = 50.0
 LEVELS = 4096
-FLUSH = 700_000         # tokens a task holds before it sends them
-BUCKET = 2_000_000      # tokens a receiving task gets, about
+FLUSH = 1_300_000       # tokens a task holds before it sends them
+BUCKET = 2_800_000      # tokens a receiving task gets, about
 HOT_LEAST = 200_000
+CONTEXT_BITS = 40       # contexts of a word are told apart by so many bits of their hash
+FIXED = float(1 << 24)  # partial sums travel in fixed point, so their order does not matter
+SUMS_A_TASK = 1_000_000
 HOT_LIST = 1 << 16
 END = U(0x2545F4914F6CDD1D)
 BEGIN = U(0x9E6C63D0876A9A4B)
-DOC = ["doc_id", "mark", "held"]
 
 
 # ---------------------------------------------------------------- Elias-Fano
@@ -188,6 +190,10 @@ def pair_hash(word: np.ndarray, context: np.ndarray) -> np.ndarray:
     return mix(word * U(0x9E3779B97F4A7C15) + mix(context + U(3)))
 
 
+def short(context: np.ndarray) -> np.ndarray:
+    return mix(context) >> U(64 - CONTEXT_BITS)
+
+
 def _planes(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).ravel()
 
@@ -271,7 +277,44 @@ def statistics(counts: DataFrame, least: int) -> DataFrame:
 
 # ---------------------------------------------------------------- scoring
 
-SUMS = "doc_id bigint, mark bigint, held boolean, n bigint, ends bigint, known bigint, base double, score double"
+SUMS = "part bigint, payload binary"
+TOTALS = "doc_id bigint, mark bigint, held boolean, n bigint, ends bigint, known bigint, base double, score double"
+
+
+def _signed(x: np.ndarray) -> np.ndarray:
+    """Small numbers of either sign as small unsigned ones."""
+    x = x.astype(np.int64)
+    return ((x << 1) ^ (x >> 63)).view(np.uint64)
+
+
+def _unsigned(x: np.ndarray) -> np.ndarray:
+    return (x >> U(1)).view(np.int64) ^ -(x & U(1)).view(np.int64)
+
+
+def pack_sums(doc_id, mark, held, numbers: list[np.ndarray], n_parts: int) -> pd.DataFrame:
+    """Per-document integers of one task as one row per part of the documents."""
+    part = (mix(doc_id.view(np.uint64)) % U(n_parts)).astype(np.int64)
+    order = np.lexsort((doc_id, part))
+    edge = np.searchsorted(part[order], np.arange(n_parts + 1))
+    rows = []
+    for k in range(n_parts):
+        own = order[edge[k]:edge[k + 1]]
+        if len(own):
+            rows.append((k, pack([_planes(_signed(np.diff(doc_id[own], prepend=0))), (mark[own] & 0xFFFF).astype(np.uint16), held[own], *[_planes(_signed(x[own])) for x in numbers]])))
+    return pd.DataFrame({"part": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
+
+
+def add_sums(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """The totals of a part's documents; a document is its id and 16 bits of its text's hash."""
+    parts = [unpack(b) for b in group["payload"]]
+    doc_id = np.concatenate([np.cumsum(_unsigned(_unplanes(p[0]))) for p in parts])
+    mark, held = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+    order = np.lexsort((mark, doc_id))
+    doc_id, mark, held = doc_id[order], mark[order], held[order]
+    first = np.flatnonzero(np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (mark[1:] != mark[:-1]))))
+    n, ends, known, base, score_ = (np.add.reduceat(np.concatenate([_unsigned(_unplanes(p[k])) for p in parts])[order], first) for k in range(3, 8))
+    return pd.DataFrame({"doc_id": doc_id[first], "mark": mark[first].astype(np.int64), "held": held[first], "n": n, "ends": ends, "known": known,
+                         "base": base / FIXED, "score": score_ / FIXED})
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, hot_least: int = HOT_LEAST) -> DataFrame:
@@ -282,7 +325,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"), F.sum((~F.col("held")).cast("bigint")).alias("t")).first()
     if not size["n"]:
         return spark.createDataFrame([], "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-    n_buckets = max(1, -(-(size["b"] // 6 + size["n"]) // BUCKET))
+    n_tokens = size["b"] // 6 + size["n"]
+    n_buckets = max(1, -(-n_tokens // BUCKET))
+    n_parts = max(1, -(-min(n_tokens, size["n"] * n_buckets) // SUMS_A_TASK))
     stats = statistics(word_counts(rows, n_buckets), hot_least).toPandas() if size["t"] else pd.DataFrame({"kind": [], "distinct": [], "total": [], "top": []})
     own = stats[stats["kind"] == 0]
     n_train, vocabulary = int(own["total"].sum()), int(own["distinct"].sum())
@@ -308,8 +353,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         def flush() -> Iterator[pa.RecordBatch]:
             word, context, doc = (np.concatenate([h[k] for h in held]) for k in range(3))
             doc_id, mark, out = (np.concatenate([d[k] for d in docs_held]) for k in range(3))
-            vocab = np.unique(np.concatenate((word, context)))
-            w, u = np.searchsorted(vocab, word), np.searchsorted(vocab, context)
+            vocab, around = np.unique(word), np.unique(short(context))
+            w, u = np.searchsorted(vocab, word), np.searchsorted(around, short(context))
             bucket = _bucket(mix(vocab), n_buckets)[w]
             rows = []
             pair = None
@@ -334,9 +379,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                         for b in {(home + s) % n_buckets for s in range(int(parts[f]))}:
                             here = int((~out[doc[at[(inverse == i) & (bucket[at] == b)]]]).sum())
                             if train[i] > here:
-                                rows.append((b, pack([np.array([word[at[f]]]), np.array([context[at[f]]]), np.array([train[i] - here])]), True))
-            n_vocab = len(vocab)
-            order = np.argsort((bucket.astype(np.uint64) * U(n_vocab) + w.astype(np.uint64)) * U(n_vocab) + u.astype(np.uint64), kind="stable")
+                                rows.append((b, pack([np.array([word[at[f]]]), short(np.array([context[at[f]]])), np.array([train[i] - here])]), True))
+            order = np.argsort((bucket.astype(np.uint64) * U(len(vocab)) + w.astype(np.uint64)) * U(len(around)) + u.astype(np.uint64), kind="stable")
             bucket, w, u, doc = bucket[order], w[order], u[order], doc[order]
             edge = np.searchsorted(bucket, np.arange(n_buckets + 1))
             for b in range(n_buckets):
@@ -345,7 +389,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                     uw, times = np.unique(w[lo:hi], return_counts=True)
                     uu, iu = np.unique(u[lo:hi], return_inverse=True)
                     ud, di = np.unique(doc[lo:hi], return_inverse=True)
-                    blob = pack([_sorted_planes(vocab[uw]), _planes(times), _sorted_planes(vocab[uu]), _planes(iu), _planes(di), doc_id[ud], mark[ud], out[ud]])
+                    blob = pack([_sorted_planes(vocab[uw]), _planes(times), _sorted_planes(around[uu]), _planes(iu), _planes(di), doc_id[ud], mark[ud], out[ud]])
                     rows.append((b, blob, False))
             for lo in range(0, len(rows), 8):
                 cols = list(zip(*rows[lo:lo + 8], strict=True))
@@ -378,7 +422,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             shift += len(p[5])
         extra = [unpack(b) for b in group["payload"][group["counts"]]]
         if not ws:
-            return pd.DataFrame({c.split()[0]: pd.Series(dtype="int64") for c in SUMS.split(", ")})
+            return pd.DataFrame({"part": pd.Series(dtype="int64"), "payload": []})
         words = np.unique(np.concatenate([x[0] for x in ws] + [e[0] for e in extra]))
         contexts = np.unique(np.concatenate([x[0] for x in us] + [e[1] for e in extra]))
         n_ctx = len(contexts)
@@ -420,13 +464,13 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         n_docs = len(doc_id)
         del code, train, n_pair
         add = lambda x: np.bincount(doc, weights=np.repeat(x, times), minlength=n_docs)
-        sums = pd.DataFrame({"doc_id": doc_id, "mark": mark, "held": out, "n": np.bincount(doc, minlength=n_docs), "ends": add(is_end).astype(np.int64),
-                             "known": add(n_word[w_of] > 0).astype(np.int64), "base": add(base), "score": add(term)})
+        fixed = lambda x: np.rint(add(x) * FIXED).astype(np.int64)
+        sums = pack_sums(doc_id, mark, out, [np.bincount(doc, minlength=n_docs), add(is_end).astype(np.int64), add(n_word[w_of] > 0).astype(np.int64), fixed(base), fixed(term)], n_parts)
         give_back()
         return sums
 
     partial = rows.mapInArrow(send, "bucket bigint, payload binary, counts boolean").groupBy("bucket").applyInPandas(owned, SUMS)
-    total = partial.groupBy("doc_id", "mark", "held").agg(*[F.sum(c).alias(c) for c in ("n", "ends", "known", "base", "score")])
+    total = partial.groupBy("part").applyInPandas(add_sums, TOTALS)
     first = np.log10(size["t"] + mu)  # the context of every first token
     each = total.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("ends"))))  # repeated rows one by one
     missing = F.lit(int(np.iinfo(np.int64).min))
