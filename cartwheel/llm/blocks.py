@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 U = np.uint64
 
 _WHITE = np.zeros(256, bool)

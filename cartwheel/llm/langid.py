@@ -30,8 +30,8 @@ from cartwheel.llm.blocks import flat, give_back
 
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
-_BLOCK = 2 << 20
-_VITERBI_WORDS = 600_000
+_BLOCK = 1 << 20
+_VITERBI_WORDS = 300_000
 
 # Scripts by UTF-8 lead byte (fixed values of the encoding): name, first and last lead byte.
 SCRIPTS = [("latin", 0x61, 0x7A), ("latin", 0xC3, 0xCD), ("greek", 0xCE, 0xCF), ("cyrillic", 0xD0, 0xD4),

@@ -40,7 +40,7 @@ from cartwheel.llm.blocks import U, PrefixHash, as_int64, flat, give_back, mix,
 GRAM = 24
 BLOCK_BYTES = 1 << 19   # of text at a time
 CAP = 256
-FLUSH = 250_000        # anchors a task holds before it sends them
+FLUSH = 150_000        # anchors a task holds before it sends them
 BUCKET = 400_000       # anchors a receiving task gets, about
 BLOCK_BUCKET = 20_000   # blocks of text a sorting task gets, about
 DOC = ["doc_id", "mark"]
@@ -436,7 +436,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     docs_held.append((doc_id, mark))
                     n_docs += len(doc_id)
                     count += int(size.sum())
-            if count >= 4 << 20:
+            if count >= 2 << 20:
                 yield from flush()
                 held, docs_held, count, n_docs = [], [], 0, 0
                 give_back()
