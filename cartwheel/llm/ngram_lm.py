@@ -40,8 +40,8 @@ from cartwheel.llm.blocks import U, Words, as_int64, give_back, mix, pack, text_
 
 MU = 50.0
 LEVELS = 4096
-FLUSH = 1_300_000       # tokens a task holds before it sends them
-BUCKET = 2_800_000      # tokens a receiving task gets, about
+FLUSH = 1_000_000       # tokens a task holds before it sends them
+BUCKET = 2_400_000      # tokens a receiving task gets, about
 HOT_LEAST = 200_000
 CONTEXT_BITS = 40       # contexts of a word are told apart by so many bits of their hash
 FIXED = float(1 << 24)  # partial sums travel in fixed point, so their order does not matter
