@@ -172,7 +172,9 @@ def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", te
         once[1:] = (group_no[1:] != group_no[:-1]) | (fp[1:] != fp[:-1])
         _, group_no = np.unique(group_no, return_inverse=True)
         n_groups = int(group_no[-1]) + 1 if len(group_no) else 0
-        total = np.minimum(np.bincount(group_no[once], weights=df[once], minlength=n_groups), cap).astype(np.uint16)
+        total = np.minimum(np.bincount(group_no[once], minlength=n_groups), cap)
+        total[group_no[df >= cap]] = cap  # any marker, also one whose class came from another task with df = 1
+        total = total.astype(np.uint16)
         keep = once & (df < cap) & (total[group_no] >= 2)  # markers have sent their rows already
         rows = list(_to_classes(shingle[keep], fp[keep], size[keep], total[group_no[keep]], n_buckets))
         give_back()
@@ -226,11 +228,13 @@ def candidate_classes(shared: DataFrame) -> DataFrame:
         parts = [_decode(p) for p in group["payload"]]
         shingle, fp, size, df = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
-        order = np.lexsort((shingle, df, fp))
+        order = np.lexsort((shingle, fp))
         shingle, fp, size, df = shingle[order], fp[order], size[order], df[order]
         once = np.ones(len(fp), bool)  # copies of a class in several tasks send the same rows
         once[1:] = (fp[1:] != fp[:-1]) | (shingle[1:] != shingle[:-1])
-        shingle, fp, size = shingle[once], fp[once], size[once]
+        shingle, fp, size, df = shingle[once], fp[once], size[once], df[once]
+        order = np.lexsort((shingle, df, fp))
+        shingle, fp, size = shingle[order], fp[order], size[order]
         start = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
         end = np.append(start[1:], len(fp))
         rows = []

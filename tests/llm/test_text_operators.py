@@ -122,6 +122,26 @@ def test_ngram_join_null_ids_repeated_rows_empty(spark):
     assert ngram_join.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_ngram_join_copy_of_a_marker(spark):
+    """A passage common in one task only, whose first class has a copy in another task."""
+    def run(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    passage, rarer = run("s", 60), run("t", 26)
+    first = [(1, run("f", 90) + " " + passage), (2, rarer + " " + run("x", 4) + " " + passage), (7, rarer + " " + run("k", 90))]
+    first += [(3 + k, run(f"g{k}q", 90) + " " + passage) for k in range(3)]
+    second = [(11, first[0][1]), (12, rarer + " " + run("y", 4) + " " + passage), (17, rarer + " " + run("l", 90))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([first, second], 2).flatMap(lambda rows: rows), "doc_id long, text string")  # two tasks
+    sent = [ngram_join._decode(bytes(r["payload"])) for r in ngram_join.shared_shingles(docs, 2000, cap=5).collect()]
+    found = {}
+    for shingle, _, _, df in sent:
+        for x, d in zip(shingle.tolist(), df.tolist(), strict=True):
+            found.setdefault(x, set()).add(d)
+    assert found and all(len(d) == 1 for d in found.values())
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(docs, cap=5).collect()}
+    assert got == components(first + second) and got[12][1] == 2
+
+
 def test_filters_are_bounds():
     rnd = np.random.default_rng(2)
     for _ in range(200):
