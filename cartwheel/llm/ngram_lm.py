@@ -293,19 +293,19 @@ def _unsigned(x: np.ndarray) -> np.ndarray:
 
 def pack_sums(doc_id, mark, held, numbers: list[np.ndarray], n_parts: int) -> pd.DataFrame:
     """Per-document integers of one task as one row per part of the documents."""
-    part = (mix(doc_id.view(np.uint64)) % U(n_parts)).astype(np.int64)
-    order = np.lexsort((doc_id, part))
+    part = (mix(doc_id.view(np.uint64) ^ mix(mark.view(np.uint64))) % U(n_parts)).astype(np.int64)
+    order = np.lexsort((mark, doc_id, part))
     edge = np.searchsorted(part[order], np.arange(n_parts + 1))
     rows = []
     for k in range(n_parts):
         own = order[edge[k]:edge[k + 1]]
         if len(own):
-            rows.append((k, pack([_planes(_signed(np.diff(doc_id[own], prepend=0))), (mark[own] & 0xFFFF).astype(np.uint16), held[own], *[_planes(_signed(x[own])) for x in numbers]])))
+            rows.append((k, pack([_planes(_signed(np.diff(doc_id[own], prepend=0))), mark[own], held[own], *[_planes(_signed(x[own])) for x in numbers]])))
     return pd.DataFrame({"part": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
 
 
 def add_sums(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    """The totals of a part's documents; a document is its id and 16 bits of its text's hash."""
+    """The totals of a part's documents; a document is its id and its text's 64-bit hash."""
     parts = [unpack(b) for b in group["payload"]]
     doc_id = np.concatenate([np.cumsum(_unsigned(_unplanes(p[0]))) for p in parts])
     mark, held = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
@@ -313,7 +313,7 @@ def add_sums(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     doc_id, mark, held = doc_id[order], mark[order], held[order]
     first = np.flatnonzero(np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (mark[1:] != mark[:-1]))))
     n, ends, known, base, score_ = (np.add.reduceat(np.concatenate([_unsigned(_unplanes(p[k])) for p in parts])[order], first) for k in range(3, 8))
-    return pd.DataFrame({"doc_id": doc_id[first], "mark": mark[first].astype(np.int64), "held": held[first], "n": n, "ends": ends, "known": known,
+    return pd.DataFrame({"doc_id": doc_id[first], "mark": mark[first], "held": held[first], "n": n, "ends": ends, "known": known,
                          "base": base / FIXED, "score": score_ / FIXED})
 
 

@@ -202,6 +202,19 @@ def test_language_model_repeated_rows_empty_split(spark, monkeypatch):
     assert ngram_lm.score(spark.createDataFrame([], "doc_id long, text string"), F.lit(False)).count() == 0
 
 
+def test_language_model_null_ids_keep_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, " ".join(f"n{i}x{j}" for j in range(i % 13))  + f" own{i}") for i in range(1500)] + [(7, f"text {i} " * (i % 5 + 1)) for i in range(1500)]
+    got = ngram_lm.score(frame(spark, rows), F.lit(False)).collect()
+    for d in (None, 7):
+        want = sorted(len(t.split()) + 1 for i, t in rows if i == d)
+        assert sorted(r["n_tokens"] for r in got if r["doc_id"] == d) == want
+    doc_id, mark = np.full(3000, np.iinfo(np.int64).min), np.random.default_rng(5).integers(-2**62, 2**62, 3000)
+    dealt = ngram_lm.pack_sums(doc_id, mark, np.zeros(3000, bool), [np.ones(3000, np.int64)] * 5, 3)
+    assert dealt["part"].nunique() == 3  # rows without an id do not meet in one task
+
+
 # ---------------------------------------------------------------- decontamination
 
 def test_decontamination(spark):
