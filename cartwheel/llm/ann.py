@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 PIVOTS = 128
 POSTED = 8
 PROBED = 16
-KEEP_SHARE = 0.3
+KEEP_SHARE = 0.5
 KEEP_LEAST = 1000
 SAMPLE = 4096
 CHUNK_ROWS = 4096

@@ -76,6 +76,18 @@ def test_neighbours_recall(spark, sf):
     assert hits / total >= 0.9
 
 
+def test_neighbours_recall_with_cut(spark, monkeypatch):
+    """Lists of several chunks, each cut to ``KEEP_SHARE`` by footrule."""
+    monkeypatch.setattr(ann, "CHUNK_ROWS", 128)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.toPandas()
+    x, ids = np.stack(rows["embedding"]).astype(float), rows["vec_id"].to_numpy()
+    got = ann.search(df, df.where("vec_id % 20 = 0"), k=20, keep_least=20).toPandas()
+    asked = np.flatnonzero(ids % 20 == 0)
+    hits = sum(len({i for i, _ in nearest(ids, x, q, 20)} & set(got[got["query_id"] == ids[q]]["vec_id"])) for q in asked)
+    assert hits / (20 * len(asked)) >= 0.9
+
+
 def test_neighbours_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "CHUNK_ROWS", 64)
     monkeypatch.setattr(ann, "CHUNK_QUERIES", 4)
