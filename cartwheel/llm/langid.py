@@ -167,11 +167,11 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
     order = np.argsort(-counts, kind="stable")
     first, counts = first[order], counts[order]
     stay = np.zeros(scores.shape, bool)      # the best path to (word, label) keeps its label
-    jump = np.zeros(len(scores), np.int8)    # else it comes from the best label one word before
+    jump = np.zeros(len(scores), np.int16)   # else it comes from the best label one word before
     longest = int(counts[0]) if len(counts) else 0
     alive = np.searchsorted(-counts, -np.arange(longest), "left")  # documents with more than t words
     value = np.zeros((0, n_lang), np.float32)
-    last = np.zeros(len(counts), np.int8)
+    last = np.zeros(len(counts), np.int16)
     for t in range(longest):
         n = alive[t]
         at = first[:n] + t
@@ -188,7 +188,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
             value = np.where(keep, value, switch[:, None]) + scores[at]
     if longest:
         last[:len(value)] = value.argmax(axis=1)
-    path = np.zeros(len(scores), np.int8)
+    path = np.zeros(len(scores), np.int16)
     label = last
     for t in range(longest - 1, -1, -1):
         n = alive[t]

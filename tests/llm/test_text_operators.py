@@ -275,6 +275,13 @@ def test_viterbi_is_optimal():
             assert value(list(got)) >= max(value(p) for p in product(range(3), repeat=int(n))) - 1e-5
 
 
+def test_viterbi_many_languages():
+    scores = np.full((6, 300), -5.0, np.float32)
+    want = [130, 130, 299, 299, 5, 200]
+    scores[np.arange(6), want] = 0.0
+    assert langid.viterbi(scores, np.array([4, 2]), 1.0).tolist() == want
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     from cartwheel.llm.queries import QUERIES
