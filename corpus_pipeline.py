@@ -57,10 +57,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of every group of linked documents the one with the smallest id."""
     _ready(spark)
     rows, back = _hide(docs)
-    group = ngram_join.join(rows).where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    # an id may have several texts, in different groups: a document is its id and text
+    told = rows.withColumn("mark", F.xxhash64("text")).withColumn("node", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "mark")))
+    ids = told.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    group = ngram_join.join(told, id_col="node").where("doc_id is not null").groupBy(F.col("doc_id").alias("node")).agg(F.min("component_id").alias("component_id"))
+    group = group.join(ids, "node").checkpoint()
+    least = group.groupBy("component_id").agg(F.min("doc_id").alias("doc_id"))
+    stays = group.join(least, ["component_id", "doc_id"], "left_semi").select("node", F.lit(True).alias("stays"))
     first = Window.partitionBy("doc_id", "mark").orderBy("mark")
-    kept = (rows.join(group, "doc_id", "left").where("component_id is null or component_id = doc_id")
-            .withColumn("mark", F.xxhash64("text")).withColumn("row_no", F.row_number().over(first)).where("row_no = 1"))
+    kept = told.join(stays, "node", "left").where("node is null or stays").withColumn("row_no", F.row_number().over(first)).where("row_no = 1")
     return back(kept)
 
 

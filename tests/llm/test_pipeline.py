@@ -37,6 +37,16 @@ def test_one_of_each_group(inputs):
     assert {r["doc_id"] for r in after} == want and len(after) == len(want)
 
 
+def test_group_of_an_id_with_two_texts(spark):
+    def run(tag, n=40):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    rows = [(2, run("a")), (5, run("a")), (5, run("b")), (3, run("c")), (6, run("c") + " more"), (6, run("d")), (6, run("d")), (None, run("a")), (8, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], KINDS)
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in P.near_duplicates(spark, docs, SF).collect())
+    assert got == [(0, run("a")), (2, run("a")), (3, run("c")), (5, run("b")), (6, run("d")), (8, "")]
+
+
 def test_repeated_passages(inputs):
     before, after = inputs["suffix_dedup"]
     want, got = repeats(pairs(before)), {r["doc_id"]: r for r in after}
