@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 
 from cartwheel.operators import recall as R
 from cartwheel.operators import transform as X

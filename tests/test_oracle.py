@@ -12,7 +12,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from conftest import SF01
+from paths import SF01
 
 import __spark_entry__ as E
 from cartwheel.plans import QUERIES as OWN

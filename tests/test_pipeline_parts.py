@@ -138,7 +138,7 @@ def test_libsvm_and_weight_text_sinks(spark):
 
 
 def test_range_scan_prunes_date_partitions(spark):
-    from conftest import SF001
+    from paths import SF001
 
     from cartwheel.sources import fixtures as fx
     kv = fx.kv_log(fx.clicks(spark, SF001))

@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT, SF001
+from paths import ROOT, SF001
 
 CODE = """
 import sys

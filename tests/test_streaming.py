@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 
 from cartwheel.operators import recall as R
 from cartwheel.plans.offline import history_until
