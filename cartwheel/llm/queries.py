@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc
+from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc, whitening
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,9 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = ", ".join(f"('{n}', '{a}', '{t}', {str(r).lower()}, {lo}D, {hi}D)" for n, a, t, r, lo, hi in TOOLS)
     schemas = spark.sql(f"SELECT * FROM VALUES {rules} AS t(name, arg, type, required, least, most)")
     return tool_calls.link(calls, results, schemas)
+
+
+@register("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 32 principal components, scaled to unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
