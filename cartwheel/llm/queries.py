@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc, whitening
+from cartwheel.llm import ann, conversation, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc, whitening
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,10 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the first 32 principal components, scaled to unit variance."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
+
+
+@register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the cheapest edits that repair it."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation.summarise(conversation.damage(turns), ids=turns)
