@@ -194,7 +194,8 @@ def charpoly(spark: SparkSession, matrix: list[list[int]]) -> list[int]:
     """Integer coefficients, constant first, of det(x - matrix) of a positive semidefinite integer matrix."""
     d = len(matrix)
     trace = sum(matrix[i][i] for i in range(d))
-    bound = max(math.comb(d, k) * -(-trace // d) ** k for k in range(d + 1))  # Maclaurin: e_k <= C(d, k) (trace / d)^k
+    mean = -(-trace // d)
+    bound = max(math.comb(d, k) * mean ** k for k in range(d + 1))  # Maclaurin: e_k <= C(d, k) (trace / d)^k
     need = (2 * bound).bit_length() // 30 + 1   # every prime taken is above 2**30
     primes = primes_below(1 << 31, need)
     groups = [(g, primes[g:g + PRIMES_A_ROW]) for g in range(0, need, PRIMES_A_ROW)]
