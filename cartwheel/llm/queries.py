@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import ann, conversation, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, warc, whitening
+from cartwheel.llm import ann, conversation, decontam, langid, mixing, ngram_join, ngram_lm, quality, suffix_dedup, tool_calls, toxicity, warc, whitening
 from cartwheel.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,13 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of every damaged conversation and the cheapest edits that repair it."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return conversation.summarise(conversation.damage(turns), ids=turns)
+
+
+@register("op12_toxicity_cnn")
+def op12_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled ones outside the held-out quarter."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = fold("doc_id", 4) == 2
+    net = toxicity.fit(docs.where(~held), labels.where(~held))
+    scored = toxicity.score(docs.withColumn("held_out", held), net, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
