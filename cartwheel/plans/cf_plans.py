@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import round6
 from cartwheel.operators import candidates as C
 from cartwheel.operators import encode as E
 from cartwheel.operators import recall as R
 from cartwheel.operators import similarity as S
+from cartwheel.operators import topk_graph as T
 from cartwheel.plans.catalog import register
 from cartwheel.plans.encode_plans import _dict_ctes, train_dictionary
 from cartwheel.plans.oracle_ctes import define, fixed_sql, h64_sql, unfixed_sql, with_ctes
@@ -183,6 +185,42 @@ def user_topn_cf(spark, sf):
     return top.select("user_id", "rnk", "sku_id", round6("score").alias("score"))
 
 
+GRAPH_K = 50
+_ITEM_P = _cosine_sql("""SELECT DISTINCT user_id AS u, sku_id AS e FROM active_purchases
+  WHERE sku_id IS NOT NULL""", "ip", "sku") + [("ip_graph", f"""SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku1 ORDER BY sim DESC, sku2) AS rnk FROM ip_sim) t WHERE rnk <= {GRAPH_K}""")]
+
+
+def _purchase_graph(spark, sf):
+    """The item graph of the purchase log: every item's 50 most similar items."""
+    bought = R.active_actions(fx.purchases(spark, sf), 5)
+    return T.topk_cosine(bought.select(F.col("user_id").alias("user"), F.col("sku_id").alias("entity")), k=GRAPH_K)
+
+
+@register("item_similarity_topk", with_ctes(["active_purchases"], """
+SELECT sku1, sku2, CAST(rnk AS BIGINT) AS rnk, co, round(sim, 6) AS sim FROM ip_graph""", local=_ITEM_P))
+def item_similarity_topk(spark, sf):
+    g = _purchase_graph(spark, sf)
+    return g.select(F.col("e1").alias("sku1"), F.col("e2").alias("sku2"), "rnk", "co", round6("sim").alias("sim"))
+
+
+@register("user_topn_cf_graph", with_ctes(["active_purchases"], """
+SELECT user_id, CAST(rnk AS BIGINT) AS rnk, cand AS sku_id, round(score / 17592186044416.0, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, cand) AS rnk FROM fresh) t
+WHERE rnk <= 20""", local=_ITEM_P + [
+    ("hist", "SELECT DISTINCT user_id, sku_id FROM purchases WHERE user_id IS NOT NULL AND sku_id IS NOT NULL"),
+    ("scored", f"""SELECT h.user_id, s.sku2 AS cand, sum({fixed_sql("s.sim")}) AS score
+  FROM hist h JOIN ip_graph s ON h.sku_id = s.sku1 GROUP BY h.user_id, s.sku2"""),
+    ("fresh", """SELECT * FROM scored x WHERE NOT EXISTS
+  (SELECT 1 FROM hist h WHERE h.user_id = x.user_id AND h.sku_id = x.cand)"""),
+]))
+def user_topn_cf_graph(spark, sf):
+    """Item CF over the purchase log on the top-k graph: a history row meets at most 50 neighbours."""
+    graph = _purchase_graph(spark, sf).select(F.col("e1").alias("sku1"), F.col("e2").alias("sku2"), "sim")
+    top = C.user_topn_cf(fx.purchases(spark, sf).where("user_id is not null and sku_id is not null"), graph, 20)
+    return top.select("user_id", "rnk", "sku_id", round6("score").alias("score"))
+
+
 @register("online_cf", with_ctes(["enriched_clicks", "active_clicks"], """
 SELECT user_id, CAST(rnk AS BIGINT) AS rnk, sku_id FROM cf_pick""", local=_ONLINE_CF))
 def online_cf(spark, sf):
