@@ -64,7 +64,11 @@ def online_cf(seeds: DataFrame, product: DataFrame, brand_sim: DataFrame, brand_
     otherwise they are ranked by brand score, then by the item's rank in its
     brand list.  A pool smaller than k is taken whole.
     """
-    top = cf_brands(seeds, product, brand_sim, k)
+    return pick_from_brands(cf_brands(seeds, product, brand_sim, k), brand_lists, k, per_brand, seed, sample)
+
+
+def pick_from_brands(top: DataFrame, brand_lists: DataFrame, k: int = 10, per_brand: int = 10, seed: int = 7, sample: bool = True) -> DataFrame:
+    """``k`` items per user from the lists of the user's ``top`` brands (user_id, brand, score)."""
     lists = (brand_lists.where(F.col("rnk") <= per_brand)
              .select(F.col("list_key").alias("brand"), "sku_id", F.col("rnk").alias("item_rnk")))
     pool = (top.select("user_id", "brand", "score").join(lists, "brand")

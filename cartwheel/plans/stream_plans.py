@@ -148,7 +148,7 @@ def stream_requests(spark, sf):
     fx.requests(clicks).select("value").repartition(8).write.mode("overwrite").text(src)
     sink, ck = shared_path(spark, "requests_out"), shared_path(spark, "requests_ck")
     reqs = RQ.valid_requests(RQ.request_stream(spark, src, max_files_per_trigger=4))
-    q = J.request_candidates(reqs, lambda users: O.payload_for(users, snap, product, user), sink, ck)
+    q = J.request_candidates(reqs, lambda users: O.payload_for(users, snap), sink, ck)
     q.awaitTermination()
     return spark.read.parquet(sink).select("user_id", "sku_id", "payload")
 
@@ -209,7 +209,6 @@ def stream_rerank(spark, sf):
     RQ.click_lines(clicks).repartition(4).write.mode("overwrite").text(src)
     sink, ck = shared_path(spark, "rerank_out"), shared_path(spark, "rerank_ck")
     parsed = RQ.parse_clicks(RQ.click_stream(spark, src)).where(F.col("user_id").isNotNull())
-    q = J.request_candidates(parsed, lambda users: O.rerank_for(users, snap, product, user, weights),
-                             sink, ck)
+    q = J.request_candidates(parsed, lambda users: O.rerank_for(users, snap, weights), sink, ck)
     q.awaitTermination()
     return spark.read.parquet(sink).select("user_id", "sku_id", "rnk", "item_id", F.round("score", 6).alias("score"))

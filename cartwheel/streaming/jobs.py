@@ -179,19 +179,20 @@ def compact_latest(spark, versions_path: str, out_path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- W3 / W7
-def request_candidates(requests: DataFrame, per_batch: Callable[[DataFrame], DataFrame], sink: str,
+def request_candidates(requests: DataFrame, per_batch: Callable[[DataFrame], tuple[DataFrame, Callable[[], None]]], sink: str,
                        checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Valid requests -> ``per_batch(users)`` (a batch plan over the snapshot
-    tables, re-read every micro-batch so an offline refresh is seen) -> sink.
+    """Valid requests -> ``per_batch(users)`` (a batch plan over keyed lookups in the
+    newest snapshot, so an offline refresh is seen, and what frees its kept rows) -> sink.
 
     The plan runs once per user of the micro-batch; every request gets its own
     answer rows (columns of the request that the answer lacks come along)."""
     def run(batch: DataFrame, epoch: int) -> None:
         # one folder per epoch, overwritten on replay: a retried batch never duplicates
         held = batch.persist()
-        answers = per_batch(held.select("user_id").distinct())
+        answers, release = per_batch(held.select("user_id").distinct())
         asked = held.select("user_id", *[c for c in held.columns if c not in answers.columns])
         asked.join(answers, "user_id").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch}")
+        release()
         held.unpersist()
 
     w = requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

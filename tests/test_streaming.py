@@ -81,7 +81,9 @@ def test_rerank_sends_unknown_users_to_cold_start(spark):
     weights = C.hashed_fm_weights(snap.read(spark, "dict_values"))
     known_user = clicks.select("user_id").first()[0]
     users = spark.createDataFrame([(known_user,), (10 ** 9,)], "user_id long")
-    out = O.rerank_for(users, snap, product, user, weights).collect()
+    ranked, release = O.rerank_for(users, snap, weights)
+    out = ranked.collect()
+    release()
     new = sorted((r.rnk, r.item_id) for r in out if r.user_id == 10 ** 9)
     assert new == [(r.rnk, r.sku_id) for r in R.hottest(clicks, 7, 3).orderBy("rnk").collect()]
     assert all(r.score is not None for r in out if r.user_id == known_user)
@@ -94,9 +96,8 @@ def test_candidates_can_use_live_latest_state(spark):
     product, user = fx.products(spark, SF001), fx.users(spark, SF001)
     snap = refresh(clicks, clicks, product, user, shared_path(spark, "t_snap_live"))
     users = clicks.select("user_id").distinct()
-    a = {tuple(r) for r in O.candidates_for(users, snap, product, user).collect()}
-    b = {tuple(r) for r in O.candidates_for(users, snap, product, user,
-                                           latest=R.latest_items(clicks, 10)).collect()}
+    a = {tuple(r) for r in O.candidates_for(users, snap).collect()}
+    b = {tuple(r) for r in O.candidates_for(users, snap, latest=R.latest_items(clicks, 10)).collect()}
     assert a == b and a
 
 
