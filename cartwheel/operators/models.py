@@ -1,24 +1,20 @@
-"""Gradient-boosted trees on Spark ML, the fixed grids and the weight export (M5, M7, M9).
+"""Cross-validated trees, the fixed grids and the weight export (M5, M7, M9).
 
 The factorization machines and linear models (M1-M4) are trained by AdaGrad in
-``cartwheel.operators.ffm``.
+``cartwheel.operators.ffm``, the trees in ``cartwheel.operators.gbdt``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 1_000  # distinct values up to which a tree splits a column as sets
+from cartwheel.operators import gbdt
+from cartwheel.operators.metrics import auc_exact, logloss
+from cartwheel.session import shared_path
 
 # Grids of the model comparison (fixed values of the reference's scripts)
 LR_LAMBDAS = [0.0002, 0.002, 0.02, 0.2]
@@ -28,68 +24,27 @@ FFM_LAMBDAS = [0.0002, 0.002, 0.02]
 FFM_FACTORS = [4, 6, 8]
 
 
-def evaluate(pred: DataFrame, label: str = "label") -> dict:
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(pred)
-    p1 = vector_to_array("probability")[1]
-    eps = 1e-15
-    p = F.least(F.greatest(p1, F.lit(eps)), F.lit(1 - eps))
-    y = F.col(label).cast("double")
-    ll = pred.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]
-    return {"auc": float(auc), "logloss": float(ll)}
-
-
 def grid_report(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """(model, lambda, k, auc, logloss) — the printed grid of the reference, as a table."""
     return spark.createDataFrame(pd.DataFrame(rows, columns=["model", "lambda", "k", "auc", "logloss"]))
 
 
-def gbt_cv(table: DataFrame, feature_cols: Sequence[str], folds: int = 5, seed: int = 7,
-           max_depth: int = 7, categorical: Sequence[str] = (), fold_keys: Sequence[str] = ()) -> DataFrame:
-    """One-round GBDT, k-fold cross validation reporting mean AUC and log-loss;
+def gbt_cv(table: DataFrame, feature_cols: Sequence[str], folds: int = 5, seed: int = 7, leaves: int = gbdt.LEAVES,
+           categorical: Sequence[str] = (), fold_keys: Sequence[str] = ()) -> DataFrame:
+    """One-round leaf-wise GBDT, k-fold cross validation reporting mean AUC and log-loss;
     the label is *not* a feature.
 
-    ``categorical`` columns of few values are split as sets (indexed over all
-    folds); a column of more than MAX_CATEGORIES values enters as the log of
-    how often each value occurs, so no id is taken for an ordered number and
-    none is cut to a number of bins.  Folds come from ``fold_keys`` by md5
-    (all columns without them): stable under recomputation, and equal rows
-    share a fold.
+    ``categorical`` columns are split as sets of their values, however many there are.  Folds come from
+    ``fold_keys`` by md5 (all columns without them): stable under recomputation, and equal rows share a fold.
     """
-    from cartwheel.functions.exprs import h64
-    from cartwheel.session import shared_path
-
     spark = table.sparkSession
     feats = [c for c in feature_cols if c != "label"]
-    keys = list(fold_keys) or feats
-    sizes = table.agg(*[F.countDistinct(c).alias(c) for c in categorical]).first().asDict() if categorical else {}
-    data = table.withColumn("_fold", F.pmod(h64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]), F.lit(folds)))
-    inputs, stages, bins = [], [], 32
-    for c in feats:
-        if sizes.get(c, 0) > MAX_CATEGORIES:
-            often = table.groupBy(c).agg(F.log1p(F.count(F.lit(1)).cast("double")).alias(f"often_{c}"))
-            data = data.join(often, c, "left")
-            inputs.append(f"often_{c}")
-        elif c in sizes:
-            stages.append(StringIndexer(inputCol=c, outputCol=f"index_{c}", handleInvalid="keep"))
-            inputs.append(f"index_{c}")
-            bins = max(bins, sizes[c] + 1)
-        else:
-            inputs.append(c)
-    data = data.withColumn("label", F.col("label").cast("double"))
-    indexed = Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]).fit(data).transform(data)
-    path = shared_path(spark, "gbt_folds")
-    indexed.select("label", "features", "_fold").write.mode("overwrite").parquet(path)
-    data = spark.read.parquet(path)
-    aucs, lls = [], []
-    for f in range(folds):
-        model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=1, maxDepth=max_depth, seed=seed, maxBins=bins).fit(data.where(F.col("_fold") != f))
-        m = evaluate(model.transform(data.where(F.col("_fold") == f)))
-        aucs.append(m["auc"])
-        lls.append(m["logloss"])
-    rows = [{"model": "gbt", "lambda": 0.0, "k": folds, "auc": float(np.mean(aucs)),
-             "logloss": float(np.mean(lls))}]
-    return grid_report(spark, rows)
+    path = shared_path(spark, "gbt_scores")
+    gbdt.cross_validated(table, feats, categorical, folds, seed, list(fold_keys) or feats, leaves).write.parquet(path)
+    scored = spark.read.parquet(path)
+    auc = auc_exact(scored, group=["fold"]).agg(F.avg("auc")).first()[0]
+    loss = logloss(scored, group=["fold"]).agg(F.avg("logloss")).first()[0]
+    return grid_report(spark, [{"model": "gbt", "lambda": 0.0, "k": folds, "auc": auc, "logloss": loss}])
 
 
 def weights_text(kv: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from cartwheel.operators import candidates as C
 from cartwheel.operators import encode as E
 from cartwheel.operators import ffm as FF
+from cartwheel.operators import gbdt as G
 from cartwheel.operators import metrics as MT
 from cartwheel.operators import models as M
 from cartwheel.operators import transform as X
 from cartwheel.plans.catalog import register
-from cartwheel.plans.encode_plans import _dict_ctes, train_dictionary, train_table_of
+from cartwheel.plans.encode_plans import _dict_ctes, enriched_table_of, train_dictionary, train_table_of
 from cartwheel.plans.oracle_ctes import with_ctes
 from cartwheel.plans.sampling_plans import TRAIN_SHARE, _assembled, _split_sql_ctes
 from cartwheel.schemas import ENRICHED_COLUMNS, ENRICHED_NUMERIC, FEATURE_COLUMNS
@@ -128,6 +129,65 @@ def gbt_cv(spark, sf):
     return M.gbt_cv(t, ENRICHED_COLUMNS, folds=5, categorical=[c for c in ENRICHED_COLUMNS if c not in ENRICHED_NUMERIC], fold_keys=["user_id", "sku_id"])
 
 
+TREE_LEAVES = 16
+
+
+def _tree_sql(leaves: int) -> str:
+    """Best-first growth, one split a step: histograms of all leaves, candidate cuts, the cut of largest gain, new leaves."""
+    n, scale = len(ENRICHED_COLUMNS), "16777216.0::DOUBLE"
+    numeric = [k for k, c in enumerate(ENRICHED_COLUMNS) if c in ENRICHED_NUMERIC]
+    bins = ", ".join(f"lpad(CAST(dense_rank() OVER (ORDER BY {c}) AS VARCHAR), 5, '0')" if c in ENRICHED_NUMERIC else f"CAST({c} AS VARCHAR)" for c in ENRICHED_COLUMNS)
+    ctes = [("share", "SELECT sum(CASE WHEN label > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) / count(*) AS p FROM wide_train"),
+            ("t0", f"""SELECT CAST(floor((p - CASE WHEN label > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * {scale}) AS BIGINT) AS g,
+  CAST(floor(p * (1.0::DOUBLE - p) * {scale}) AS BIGINT) AS h, '' AS node, 0 AS leaf, [{bins}] AS bins FROM wide_train, share""")]
+
+    def score(g: str, h: str, l2: str) -> str:
+        g, h = f"(CAST({g} AS DOUBLE) / {scale})", f"(CAST({h} AS DOUBLE) / {scale})"
+        return f"({g} * {g} / ({h} + {l2}))"
+
+    for k in range(1, leaves):
+        ends = []
+        for way, order in ((1, "ratio, bin"), (2, "ratio DESC, bin")):
+            ends.append(f"""SELECT leaf, node, f, {way} AS way, row_number() OVER w AS pos, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(n) OVER w AS ln,
+  {G.CAT_L2}::DOUBLE AS l2, NULL AS upto, list(bin) OVER w AS cats
+  FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY {order}) AS r FROM cat{k}) x WHERE r <= {G.MOST_CATEGORIES}
+  WINDOW w AS (PARTITION BY node, f ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+        ctes += [
+            (f"h{k}", f"""SELECT leaf, node, f, bin, sum(g) AS g, sum(h) AS h, count(*) AS n FROM (
+  SELECT leaf, node, g, h, unnest(range(0, {n})) AS f, unnest(bins) AS bin FROM t{k - 1}) x GROUP BY leaf, node, f, bin"""),
+            (f"cat{k}", f"""SELECT *, (CAST(g AS DOUBLE) / {scale}) / (CAST(h AS DOUBLE) / {scale} + {float(G.CAT_SMOOTH)}::DOUBLE) AS ratio
+  FROM h{k} WHERE f NOT IN ({", ".join(map(str, numeric))}) AND n >= {G.CAT_SMOOTH}"""),
+            (f"tot{k}", f"SELECT node, sum(g) AS tg, sum(h) AS th, sum(n) AS tn FROM h{k} WHERE f = 0 GROUP BY node"),
+            (f"cut{k}", f"""SELECT leaf, node, f, 0 AS way, row_number() OVER w AS pos, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(n) OVER w AS ln,
+  0.0::DOUBLE AS l2, bin AS upto, NULL AS cats FROM h{k} WHERE f IN ({", ".join(map(str, numeric))})
+  WINDOW w AS (PARTITION BY node, f ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL {ends[0]} UNION ALL {ends[1]}"""),
+            (f"best{k}", f"""SELECT * FROM (SELECT c.*, {score("lg", "lh", "l2")} + {score("(tg - lg)", "(th - lh)", "l2")} - {score("tg", "th", "0.0::DOUBLE")} AS gain
+  FROM cut{k} c JOIN tot{k} USING (node) WHERE ln >= {G.MIN_ROWS} AND tn - ln >= {G.MIN_ROWS}) x WHERE gain > 0 ORDER BY gain DESC, node, f, way, pos LIMIT 1"""),
+            (f"t{k}", f"""SELECT g, h, CASE WHEN here THEN node || CASE WHEN goes_left THEN 'L' ELSE 'R' END ELSE node END AS node,
+  CASE WHEN here AND NOT goes_left THEN {k} ELSE leaf END AS leaf, bins FROM (
+  SELECT t.*, coalesce(b.node = t.node, false) AS here, CASE WHEN b.cats IS NULL THEN t.bins[b.f + 1] <= b.upto ELSE list_contains(b.cats, t.bins[b.f + 1]) END AS goes_left
+  FROM t{k - 1} t LEFT JOIN best{k} b ON true) x"""),
+        ]
+    names = "[" + ", ".join(f"'{c}'" for c in ENRICHED_COLUMNS) + "]"
+    splits = " UNION ALL ".join(f"""SELECT 'split' AS row_kind, {k} AS no, leaf, {names}[f + 1] AS feature,
+  CASE WHEN cats IS NULL THEN '<= ' || upto ELSE 'in ' || array_to_string(list_sort(cats), ',') END AS rule, CAST(ln AS BIGINT) AS rows, round(gain, 6) AS value FROM best{k}""" for k in range(1, leaves))
+    return with_ctes(["clicks_train", "wide_train"], f"""{splits} UNION ALL
+SELECT 'leaf', leaf, leaf, NULL, NULL, count(*), round({G.RATE}::DOUBLE * -((CAST(sum(g) AS DOUBLE) / {scale}) / (CAST(sum(h) AS DOUBLE) / {scale})), 6) FROM t{leaves - 1} GROUP BY leaf""",
+                     local=ctes).replace(" AS (\n", " AS MATERIALIZED (\n")
+
+
+@register("gbt_leafwise_tree", _tree_sql(TREE_LEAVES))
+def gbt_leafwise_tree(spark, sf):
+    """Splits in order of gain, and leaf values, of one best-first tree over the enriched training pairs."""
+    table = enriched_table_of(spark, sf)
+    categorical = [c for c in ENRICHED_COLUMNS if c not in ENRICHED_NUMERIC]
+    bins = G.fit_bins(table, ENRICHED_COLUMNS, categorical)
+    data = G.Data.write(table.withColumn("fold", F.lit(-1)), bins)
+    trees = G.grow(data, spark, TREE_LEAVES)
+    return G.describe(trees[0], bins, spark)
+
+
 # ---------------------------------------------------------------- exact metrics
 def _popularity_scored(spark, sf):
     """Labelled pairs scored by item popularity (an integer score; ties abound)."""

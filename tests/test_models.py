@@ -60,7 +60,7 @@ def test_gbt_splits_categories_as_sets(spark):
     good = {3, 8, 15, 16, 23, 42}                 # no interval of ids
     rows = [(int(c in good), c, rnd.random()) for c in (rnd.randrange(50) for _ in range(3000))]
     df = spark.createDataFrame(rows, "label int, c int, x double")
-    assert M.gbt_cv(df, ["c", "x"], folds=3, categorical=["c"], max_depth=3).first().auc > 0.95
+    assert M.gbt_cv(df, ["c", "x"], folds=3, categorical=["c"], leaves=8).first().auc > 0.95
 
 
 def test_gbt_cv_never_uses_the_label_as_a_feature(spark):
