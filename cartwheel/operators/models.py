@@ -61,3 +61,30 @@ def weights_as_kv(table: DataFrame, bias: float) -> DataFrame:
     v = table.select(F.concat(F.lit("v_"), F.col("feature_id").cast("string")).alias("key"),
                      F.col("v").alias("values"))
     return b.unionByName(w).unionByName(v)
+
+
+def write_model(table: DataFrame, path: str) -> None:
+    """Store a model, rows (feature_id, w, v) with the bias as feature -1, as text lines ``key: v1 v2 ...``."""
+    values = table.select("feature_id", "w", "v")
+    kv = (values.where("feature_id >= 0").select(F.explode(F.array(
+        F.struct(F.concat(F.lit("w_"), F.col("feature_id")).alias("key"), F.array("w").alias("values")),
+        F.struct(F.concat(F.lit("v_"), F.col("feature_id")).alias("key"), F.col("v").alias("values")))).alias("x")).select("x.*"))
+    bias = values.where("feature_id = -1").select(F.lit("bias").alias("key"), F.array("w").alias("values"))
+    weights_text(kv.unionByName(bias)).write.text(path)
+
+
+def read_kv(spark: SparkSession, path: str) -> DataFrame:
+    """(key, values) of a stored model; a number reads back as the double that was written."""
+    parts = F.split("value", ": ?", 2)
+    text = F.element_at(parts, 2)
+    values = F.when(text == "", F.array().cast("array<double>")).otherwise(F.split(text, " ").cast("array<double>"))
+    return spark.read.text(path).select(F.element_at(parts, 1).alias("key"), values.alias("values"))
+
+
+def read_model(spark: SparkSession, path: str) -> tuple[DataFrame, float]:
+    """(rows feature_id, w, v; bias) of a stored model."""
+    kv = read_kv(spark, path)
+    kind, number = F.substring("key", 1, 1), F.substring("key", 3, 20).cast("bigint")
+    table = (kv.where("key <> 'bias'").groupBy(number.alias("feature_id"))
+             .agg(F.max(F.when(kind == "w", F.get("values", F.lit(0)))).alias("w"), F.max(F.when(kind == "v", F.col("values"))).alias("v")))
+    return table, kv.where("key = 'bias'").first()["values"][0]

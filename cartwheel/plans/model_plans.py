@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cartwheel.functions.exprs import h64
+from cartwheel.operators import blocked as BL
 from cartwheel.operators import candidates as C
 from cartwheel.operators import encode as E
 from cartwheel.operators import ffm as FF
@@ -13,7 +15,7 @@ from cartwheel.operators import models as M
 from cartwheel.operators import transform as X
 from cartwheel.plans.catalog import register
 from cartwheel.plans.encode_plans import _dict_ctes, enriched_table_of, train_dictionary, train_table_of
-from cartwheel.plans.oracle_ctes import with_ctes
+from cartwheel.plans.oracle_ctes import h64_sql, with_ctes
 from cartwheel.plans.sampling_plans import TRAIN_SHARE, _assembled, _split_sql_ctes
 from cartwheel.schemas import ENRICHED_COLUMNS, ENRICHED_NUMERIC, FEATURE_COLUMNS
 from cartwheel.session import shared_path
@@ -45,48 +47,91 @@ def enriched_inputs(spark, sf):
     return spark.read.parquet(path)
 
 
-def _rows(spark, sf):
-    """(train rows, test rows, dictionary) of the AdaGrad models, written once."""
+def _blocks(spark, sf):
+    """(blocks of the train and test part, dictionary) of the AdaGrad models, written once."""
     train, test, d = model_inputs(spark, sf)
     cols = [f"f_{c}" for c in d.columns]
-    return FF.training_rows(train, cols), FF.training_rows(test, cols), d
+    parts = []
+    for part in (train, test):
+        rows = FF.training_rows(part, cols)
+        parts.append(BL.by_hash(rows, rows.count()))
+    return BL.write_blocks(*parts, len(cols)), d
 
 
-FM_K, FM_REG, FM_RATE, FM_EPOCHS = 16, 0.002, 0.2, 10  # fixed values: k, λ and rate of the production model
+FM_K, FM_REG, RATE, EPOCHS = 16, 0.002, 0.2, 10  # fixed values: k, λ, rate and epochs of the production model
 
 
-def _trained_fm(spark, sf):
-    train, test, d = _rows(spark, sf)
-    return FF.fit(train, len(d.columns), k=FM_K, reg=FM_REG, lr=FM_RATE, epochs=FM_EPOCHS, kind="fm"), test, d
+def _report(spark, blocks, points):
+    """Train a grid in one go; AUC and log-loss of every point on the test part."""
+    trained = BL.fit(blocks, points, RATE, EPOCHS)
+    path = shared_path(spark, "grid_scores")
+    trained.predict(blocks).write.parquet(path)
+    scored = spark.read.parquet(path)
+    auc = {r["point"]: r["auc"] for r in MT.auc_exact(scored, group=["point"]).collect()}  # a row a point
+    loss = {r["point"]: r["logloss"] for r in MT.logloss(scored, group=["point"]).collect()}
+    return M.grid_report(spark, [{"model": {"linear": "lr"}.get(p.kind, p.kind), "lambda": p.reg, "k": p.k, "auc": auc.get(k), "logloss": loss.get(k)} for k, p in enumerate(points)])
 
 
 @register("fm_train")
 def fm_train(spark, sf):
     """FM by AdaGrad; exact AUC and log-loss on the test part."""
-    params, test, d = _trained_fm(spark, sf)
-    scored = FF.predict(test, params, len(d.columns), FM_K, "fm")
-    return M.grid_report(spark, [{"model": "fm", "lambda": FM_REG, "k": FM_K, "auc": MT.auc_exact(scored).first()["auc"],
-                                  "logloss": MT.logloss(scored).first()["logloss"]}])
+    blocks, _ = _blocks(spark, sf)
+    return _report(spark, blocks, [BL.Point("fm", FM_K, FM_REG)])
+
+
+def _fm_model(spark, sf):
+    """The production FM, stored: (folder of its weight rows, encoded test pairs, dictionary)."""
+    train, test, d = model_inputs(spark, sf)
+    cols = [f"f_{c}" for c in d.columns]
+    parts = [BL.by_hash(rows, rows.count()) for rows in (FF.training_rows(train, cols), FF.training_rows(test, cols))]
+    trained = BL.fit(BL.write_blocks(*parts, len(cols)), [BL.Point("fm", FM_K, FM_REG)], RATE, EPOCHS)
+    path = shared_path(spark, "fm_model")
+    M.write_model(trained.table(spark), path)
+    return path, test, d
 
 
 @register("fm_weights")
 def fm_weights(spark, sf):
-    """Weight keys and values of the trained FM; the parameters never leave their table."""
-    params, _, _ = _trained_fm(spark, sf)
-    table = FF.weight_table(params)
-    bias = table.where("feature_id = -1").first()["w"]
-    return M.weights_as_kv(table.where("feature_id >= 0"), bias)
+    """Weight keys and values of the trained FM, from the stored model; the parameters never leave their table."""
+    path, _, _ = _fm_model(spark, sf)
+    return M.read_kv(spark, path)
 
 
 @register("fm_rerank")
 def fm_rerank(spark, sf):
-    """Trained FM weights -> score the labelled test pairs -> top-3 per user."""
-    _, test, d = model_inputs(spark, sf)
-    params, _, _ = _trained_fm(spark, sf)
-    table = FF.weight_table(params)
-    bias = table.where("feature_id = -1").first()["w"]
+    """Stored FM weights -> score the labelled test pairs -> top-3 per user."""
+    path, test, d = _fm_model(spark, sf)
+    table, bias = M.read_model(spark, path)
     enc = test.select("user_id", F.col("sku_id").alias("item_id"), *[f"f_{c}" for c in d.columns])
-    return C.rank_by_score(C.fm_scores(enc.distinct(), [f"f_{c}" for c in d.columns], table.where("feature_id >= 0"), bias), 3)
+    return C.rank_by_score(C.fm_scores(enc.distinct(), [f"f_{c}" for c in d.columns], table, bias), 3)
+
+
+_STEP_ROWS = [("enc_rows", "SELECT row_number() OVER () AS rid, label, " + f"{h64_sql("'block'", 'user_id', 'sku_id')} % 2 AS blk, {h64_sql("'batch'", 'user_id', 'sku_id')} % 2 AS bat, "
+               + ", ".join(FEATURE_COLUMNS) + " FROM wide_train"),
+              ("long_rows", "SELECT r.rid, r.blk, r.bat, CASE WHEN r.label > 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y, d.feature_id FROM enc_rows r JOIN dict d ON " + " OR ".join(
+                  f"(d.field_id = {i} AND d.value = CAST(r.{c} AS BIGINT))" for i, c in enumerate(FEATURE_COLUMNS))
+               + " UNION ALL SELECT rid, blk, bat, CASE WHEN label > 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END, -1 FROM enc_rows"),
+              ("sizes", "SELECT blk, bat, count(*) AS n FROM enc_rows GROUP BY blk, bat"),
+              ("s1", "SELECT l.blk, l.feature_id, sum(-l.y / 2) / any_value(s.n) AS g FROM long_rows l JOIN sizes s USING (blk, bat) WHERE bat = 0 GROUP BY l.blk, l.feature_id"),
+              ("w1", "SELECT blk, feature_id, -0.2::DOUBLE * g / sqrt(g * g + 1e-8::DOUBLE) AS w, g * g AS a FROM s1"),
+              ("phi", "SELECT l.rid, sum(coalesce(w1.w, 0.0::DOUBLE)) AS phi FROM long_rows l LEFT JOIN w1 USING (blk, feature_id) WHERE l.bat = 1 GROUP BY l.rid"),
+              ("s2", "SELECT l.blk, l.feature_id, sum(-l.y / (1 + exp(l.y * p.phi))) / any_value(s.n) AS g FROM long_rows l JOIN phi p USING (rid) JOIN sizes s USING (blk, bat) GROUP BY l.blk, l.feature_id"),
+              ("w2", """SELECT blk, feature_id, coalesce(w1.w, 0.0::DOUBLE) - coalesce(0.2::DOUBLE * s2.g / sqrt(coalesce(w1.a, 0.0::DOUBLE) + s2.g * s2.g + 1e-8::DOUBLE), 0.0::DOUBLE) AS w
+  FROM w1 FULL JOIN s2 USING (blk, feature_id)"""),
+              ("held", "SELECT blk, feature_id, count(*) AS n FROM long_rows GROUP BY blk, feature_id")]
+
+
+@register("linear_minibatch_epoch", with_ctes(["clicks_train", "wide_train"], """
+SELECT feature_id, round(sum(w * n) / sum(n), 6) AS weight FROM w2 JOIN held USING (blk, feature_id) GROUP BY feature_id""", local=_dict_ctes(FEATURE_COLUMNS) + _STEP_ROWS))
+def linear_minibatch_epoch(spark, sf):
+    """One epoch of the linear model from zero, two blocks of two mini-batches each, checked by value."""
+    d = train_dictionary(spark, sf)
+    enc = E.encode_columns(train_table_of(spark, sf), d)
+    rows = enc.select("label", F.array(*[f"f_{c}" for c in d.columns]).alias("ids"), F.xxhash64("user_id", "sku_id").alias("row_id"),
+                      *[F.pmod(h64(F.lit(what), "user_id", "sku_id"), F.lit(2)).alias(what) for what in ("block", "batch")])
+    blocks = BL.write_blocks(rows, None, len(d.columns))
+    trained = BL.fit(blocks, [BL.Point("linear", 0, 0.0)], rate=0.2, epochs=1)
+    return trained.table(spark).select("feature_id", F.round("w", 6).alias("weight"))
 
 
 @register("linear_adagrad_step", with_ctes(["clicks_train", "wide_train"], """
@@ -106,21 +151,18 @@ def linear_adagrad_step(spark, sf):
 
 @register("lr_grid")
 def lr_grid(spark, sf):
-    train, test, d = _rows(spark, sf)
-    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.LR_LAMBDAS, (0,), kind="linear"))
+    return _report(spark, _blocks(spark, sf)[0], [BL.Point("linear", 0, reg) for reg in M.LR_LAMBDAS])
 
 
 @register("fm_grid")
 def fm_grid(spark, sf):
-    train, test, d = _rows(spark, sf)
-    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.FM_LAMBDAS, M.FM_FACTORS, epochs=3, kind="fm"))
+    return _report(spark, _blocks(spark, sf)[0], [BL.Point("fm", k, reg) for reg in M.FM_LAMBDAS for k in M.FM_FACTORS])
 
 
 @register("ffm_grid")
 def ffm_grid(spark, sf):
     """All nine points of the FFM comparison."""
-    train, test, d = _rows(spark, sf)
-    return M.grid_report(spark, FF.grid(train, test, len(d.columns), M.FFM_LAMBDAS, M.FFM_FACTORS, epochs=2))
+    return _report(spark, _blocks(spark, sf)[0], [BL.Point("ffm", k, reg) for reg in M.FFM_LAMBDAS for k in M.FFM_FACTORS])
 
 
 @register("gbt_cv")
@@ -230,13 +272,5 @@ def logloss_exact(spark, sf):
 
 @register("ffm_train")
 def ffm_train(spark, sf):
-    """FFM (k=4, λ=0.002) trained with synchronous AdaGrad as Spark jobs; test AUC."""
-    train, test, d = model_inputs(spark, sf)
-    cols = [f"f_{c}" for c in d.columns]
-    tr, te = FF.training_rows(train, cols), FF.training_rows(test, cols)
-    params = FF.fit(tr, len(cols), k=4, reg=0.002, lr=0.2, epochs=5)
-    scored = FF.predict(te, params, len(cols), 4)
-    auc = MT.auc_exact(scored).first()["auc"]
-    ll = MT.logloss(scored).first()["logloss"]
-    return M.grid_report(spark, [{"model": "ffm", "lambda": 0.002, "k": 4,
-                                  "auc": float(auc) if auc is not None else float("nan"), "logloss": float(ll)}])
+    """FFM (k=4, λ=0.002); test AUC and log-loss."""
+    return _report(spark, _blocks(spark, sf)[0], [BL.Point("ffm", 4, 0.002)])
