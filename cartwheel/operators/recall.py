@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions import bloom
 from cartwheel.functions.exprs import BEHAVIOUR_WEIGHTS, code_lookup
 from cartwheel.operators.topn import global_top_n, item_counts, top_items_per_group, top_n_per_group
 
@@ -176,14 +177,26 @@ def cold_start_users(user: DataFrame, action: DataFrame) -> DataFrame:
     return user.select("user_id").join(seen, "user_id", "left_anti")
 
 
+def unseen_users(user: DataFrame, sketch: DataFrame, seen: DataFrame) -> DataFrame:
+    """Users outside ``seen`` (user_id) by its Bloom filter: most new users are told in the scan, the rest by an exact join.
+
+    ``sketch`` is the filter of ``functions.bloom.build`` over ``seen``; only users it cannot rule out are joined."""
+    told = user.select("user_id", bloom.might_contain(F.col("user_id"), bloom.as_column(sketch)).alias("maybe"))
+    maybe = told.where("maybe").select("user_id").join(seen.select("user_id"), "user_id", "left_anti")
+    return told.where("not maybe or maybe is null").select("user_id").unionByName(maybe)
+
+
 def cold_start_recommendations(user: DataFrame, action: DataFrame, days: int = 7, n: int = 3) -> DataFrame:
     """Each new user gets the top-n hottest items of the last ``days`` days.
 
     The bounded list enters as a scalar-subquery array (n elements), so the
     plan is a projection + explode over the new users, not a cartesian join.
     """
-    hot = hottest(action, days, n)
+    return with_list(cold_start_users(user, action), hottest(action, days, n))
+
+
+def with_list(users: DataFrame, hot: DataFrame) -> DataFrame:
+    """Every user with every entry of one bounded list (rnk, sku_id, cnt)."""
     hot_arr = hot.agg(F.array_sort(F.collect_list(F.struct("rnk", "sku_id", "cnt")))).scalar()
-    new = cold_start_users(user, action)
-    return (new.select("user_id", F.explode(hot_arr).alias("h"))
+    return (users.select("user_id", F.explode(hot_arr).alias("h"))
             .select("user_id", "h.rnk", "h.sku_id", "h.cnt"))

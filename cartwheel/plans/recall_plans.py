@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cartwheel.functions import bloom
 from cartwheel.functions.exprs import round6
 from cartwheel.operators import recall as R
 from cartwheel.plans.catalog import register
 from cartwheel.plans.oracle_ctes import with_ctes
+from cartwheel.session import shared_path
 from cartwheel.sources import fixtures as fx
 
 TRAIN_END = "2024-01-17"  # first test-slice boundary of the clicks log (FIXTURES.md §2)
@@ -101,7 +103,7 @@ def latest_known_items(spark, sf):
     return R.latest_known_items(c, known, 10)
 
 
-@register("cold_start_users", with_ctes(["clicks", "users"], """
+_COLD_SQL = with_ctes(["clicks", "users"], """
 SELECT n.user_id, h.rnk, h.sku_id, h.cnt
 FROM (SELECT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM clicks WHERE user_id IS NOT NULL)) n,
      hot h""", local=[
@@ -110,11 +112,26 @@ FROM (SELECT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM clicks
   WHERE sku_id IS NOT NULL AND action_time > a - INTERVAL 7 DAY GROUP BY sku_id"""),
     ("hot", """SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, sku_id) AS BIGINT) AS rnk,
   sku_id, cnt FROM counts) WHERE rnk <= 3"""),
-]))
+])
+
+
+@register("cold_start_users", _COLD_SQL)
 def cold_start_users(spark, sf):
     return R.cold_start_recommendations(fx.users(spark, sf), fx.clicks(spark, sf), 7, 3)
 
 
+@register("cold_start_users_filtered", _COLD_SQL)
+def cold_start_users_filtered(spark, sf):
+    """Cold start with the known-user set as a stored Bloom filter: the scan of users settles most of them."""
+    clicks = fx.clicks(spark, sf)
+    base = shared_path(spark, "known_users")
+    clicks.where("user_id is not null").select("user_id").distinct().write.parquet(f"{base}/ids")
+    seen = spark.read.parquet(f"{base}/ids")
+    bloom.build(seen, "user_id", bloom.bits_for(seen.count())).write.parquet(f"{base}/bloom")
+    new = R.unseen_users(fx.users(spark, sf), spark.read.parquet(f"{base}/bloom"), seen)
+    return R.with_list(new, R.hottest(clicks, 7, 3))
+
+
 # ---------------------------------------------------------------- CF inputs
 @register("active_users", with_ctes(["purchases"], """
 SELECT user_id, item_cnts FROM (

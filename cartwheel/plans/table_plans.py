@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import ts_text
 from cartwheel.operators import transform as X
+from cartwheel.operators.asof import asof_join
 from cartwheel.plans.catalog import register
 from cartwheel.plans.oracle_ctes import define, with_ctes
 from cartwheel.schemas import ACTION
 from cartwheel.session import shared_path
 from cartwheel.sources import files as io
 from cartwheel.sources import fixtures as fx
+from cartwheel.sources import kvlog as KV
 
 SPLIT_BOUNDARIES = ["2024-01-17", "2024-01-19", "2024-01-22", "2024-01-25", "2024-01-28", "2024-01-31"]
 
@@ -188,6 +191,46 @@ def log_range_scan(spark, sf):
                              with_time=True, date_col="dt")
 
 
+SCAN_LIMIT = 1500
+
+
+@register("kv_scan_limit", with_ctes(["clicks"], f"""
+SELECT CAST(row_number() OVER (ORDER BY rowkey DESC, it, ty) AS BIGINT) AS place, split_part(rowkey, ',', 1) AS ts,
+       CAST(split_part(rowkey, ',', 2) AS INTEGER) AS user_id, CAST(it AS INTEGER) AS item_id, CAST(ty AS TINYINT) AS type
+FROM (SELECT * FROM kv WHERE rowkey >= '2024-01-05' AND rowkey < '2024-01-20 12' ORDER BY rowkey DESC, it, ty LIMIT {SCAN_LIMIT}) x""", local=[("kv", """
+SELECT strftime(action_time, '%Y-%m-%d %H:%M:%S') || ',' || CAST(user_id AS VARCHAR) AS rowkey,
+       CAST(sku_id AS VARCHAR) AS it, CAST(type AS VARCHAR) AS ty FROM clicks
+WHERE user_id IS NOT NULL AND sku_id IS NOT NULL AND type IS NOT NULL""")]))
+def kv_scan_limit(spark, sf):
+    """The newest rows of a key range through the ``kvlog`` source; ``limit`` is the feature (as of the scan it stands for)."""
+    path = shared_path(spark, "kv_store")
+    KV.write_store(fx.kv_log(fx.clicks(spark, sf)).dropna(), path)
+    rows = KV.log_scan(spark, path, "2024-01-05", "2024-01-20 12", reverse=True, limit=SCAN_LIMIT)
+    # the scan's order, shown as a column: the index of a row of one sorted result
+    held = rows.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)  # at most the limit's rows
+    return held.select("place", "ts", "user_id", "item_id", "type")
+
+
+_COMMENTS_SQL = [("comments", """SELECT sku_id, t, CAST(sum(n) OVER w AS BIGINT) AS comments, CAST(sum(good) OVER w AS BIGINT) AS good_comments FROM (
+  SELECT sku_id, action_time AS t, count(*) AS n, count(*) FILTER (type >= 4) AS good FROM purchases WHERE event_id % 3 = 0 GROUP BY sku_id, action_time) x
+  WINDOW w AS (PARTITION BY sku_id ORDER BY t)""")]
+
+
+@register("asof_dimension", with_ctes(["purchases"], """
+SELECT p.user_id, p.sku_id, p.event_id, strftime(p.action_time, '%Y-%m-%d %H:%M:%S') AS action_time, c.comments, c.good_comments
+FROM purchases p ASOF LEFT JOIN comments c ON p.sku_id = c.sku_id AND p.action_time >= c.t""", local=_COMMENTS_SQL))
+def asof_dimension(spark, sf):
+    """Purchases with the comment counts of their product as they stood at the time.
+
+    Comment table of the fixture: every third purchase line comments on its product that day."""
+    bought = fx.purchases(spark, sf)
+    told = bought.where("event_id % 3 = 0").groupBy("sku_id", "action_time").agg(F.count("*").alias("n"), F.count_if(F.col("type") >= 4).alias("good"))
+    so_far = Window.partitionBy("sku_id").orderBy("action_time")
+    comments = told.select("sku_id", F.col("action_time").alias("t"), F.sum("n").over(so_far).alias("comments"), F.sum("good").over(so_far).alias("good_comments"))
+    out = asof_join(bought, comments, "sku_id", "action_time", "t", ["comments", "good_comments"])
+    return out.select("user_id", "sku_id", "event_id", F.date_format("action_time", "yyyy-MM-dd HH:mm:ss").alias("action_time"), "comments", "good_comments")
+
+
 _CLICKS_TEXT_SQL = with_ctes(["clicks"], """
 SELECT user_id, sku_id, type, strftime(action_time, '%Y-%m-%d %H:%M:%S.%f') AS action_time, event_id FROM clicks""")
 

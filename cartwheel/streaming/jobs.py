@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -46,10 +46,11 @@ def with_event_time(df: DataFrame, col: str = "action_time", out: str = "event_t
     return df.withColumn(out, utc_instant(col))
 
 
-def _start(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", available_now: bool = True,
+def _start(df: DataFrame, sink: str | None, checkpoint: str, mode: str = "append", available_now: bool = True,
            partition_by: str | None = None) -> StreamingQuery:
-    w = (df.writeStream.format("parquet").outputMode(mode)
-         .option("path", sink).option("checkpointLocation", checkpoint))
+    """``sink`` None: no output is kept (the job's state is read instead)."""
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    w = w.format("parquet").option("path", sink) if sink else w.format("noop")
     if partition_by:
         w = w.partitionBy(partition_by)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -99,9 +100,11 @@ def _latest_updater(n: int) -> Callable:
     return update
 
 
-def latest_items_state(actions: DataFrame, sink: str, checkpoint: str, n: int = 10, **kw) -> StreamingQuery:
-    """Per-user newest-n items kept in keyed state; each update appends the
-    user's whole list with a new version (readers keep the max version)."""
+def latest_items_state(actions: DataFrame, sink: str | None, checkpoint: str, n: int = 10, **kw) -> StreamingQuery:
+    """Per-user newest-n items kept in keyed state.
+
+    With a ``sink`` each update appends the user's whole list with a new version (readers keep the max version);
+    without one nothing is appended, and readers take the lists from the state (``latest_from_state``)."""
     rows = (actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
             .select("user_id", "sku_id", "event_id",
                     utc_micros("action_time").alias("ts_us")))
@@ -142,7 +145,7 @@ class LatestItemsProcessor(StatefulProcessor):
         pass
 
 
-def latest_items_list_state(actions: DataFrame, sink: str, checkpoint: str, n: int = 10,
+def latest_items_list_state(actions: DataFrame, sink: str | None, checkpoint: str, n: int = 10,
                             **kw) -> StreamingQuery:
     """Same contract as ``latest_items_state`` on the ``transformWithStateInPandas``
     API (list state in the RocksDB state store, which this API requires)."""
@@ -160,6 +163,23 @@ def latest_items_list_state(actions: DataFrame, sink: str, checkpoint: str, n: i
         spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
+def latest_from_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(user_id, rnk, sku_id): the lists of ``latest_items_state`` as of its last committed batch, read from its state.
+
+    The state holds one entry a user, so nothing grows with the number of updates.  The job may be running or stopped."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return (state.select(F.col("key.user_id").alias("user_id"), F.posexplode("value.groupState.sku").alias("rnk", "sku_id"))
+            .select("user_id", (F.col("rnk") + 1).cast("bigint").alias("rnk"), "sku_id"))
+
+
+def latest_from_list_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The same from the list state of ``latest_items_list_state``; a user has at most n entries."""
+    state = spark.read.format("statestore").option("stateVarName", "items").load(checkpoint)
+    rows = state.select(F.col("key.user_id").alias("user_id"), "list_element.*")
+    newest = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("eid"))
+    return rows.select("user_id", F.row_number().over(newest).cast("bigint").alias("rnk"), F.col("sku").alias("sku_id"))
+
+
 def current_latest(versions: DataFrame) -> DataFrame:
     """Newest version of every user's list: (user_id, rnk, sku_id)."""
     top = versions.groupBy("user_id").agg(F.max("version").alias("version"))
