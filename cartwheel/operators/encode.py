@@ -94,6 +94,63 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
     return FeatureDictionary(fields, values, columns, numeric, field_rows)
 
 
+def extend_dictionary(d: FeatureDictionary, df: DataFrame, version: int, path: str | None = None, num_partitions: int | None = None) -> FeatureDictionary:
+    """``d`` with ids for the values of ``df`` it lacks; ids given before stay as they are.
+
+    New values are coded per field in order, and a field's new ids follow those of the fields before it, from the old
+    total on: ``base`` and ``size`` of its new ids are a row of ``fields`` with the ``version``.  The memo grows by a folder
+    of new values; nothing is recoded.
+    """
+    spark = df.sparkSession
+    fid = {r["column"]: r["field_id"] for r in d.field_rows}
+    cat = [c for c in d.columns if c not in d.numeric]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(fid[c]).alias("field_id"), F.lit(c).alias("column"), *_value_of(df, c)) for c in cat])).alias("kv")).select("kv.*")
+    distinct = long.where("value is not null or text_value is not null").distinct()
+    old = d.values.select("field_id", F.col("value").alias("_v"), F.col("text_value").alias("_t"))
+    same = (distinct["field_id"] == old["field_id"]) & distinct["value"].eqNullSafe(old["_v"]) & distinct["text_value"].eqNullSafe(old["_t"])
+    coded, counts = sorted_index(distinct.join(old, same, "left_anti"), ["value", "text_value"], within=["field_id"], index_col="code",
+                                 num_partitions=num_partitions, with_counts=True)
+    sizes = {r["field_id"]: int(r["n"]) for r in counts.collect()}  # one row per field
+    base, rows = d.total, []
+    for r in d.field_rows:
+        if r["field_id"] in fid.values() and r["kind"] == "categorical" and r.get("version", 0) == 0:
+            rows.append({"field_id": r["field_id"], "column": r["column"], "kind": "categorical", "size": sizes.get(r["field_id"], 0), "base": base, "version": version})
+            base += rows[-1]["size"]
+    shape = "field_id int, column string, kind string, size bigint, base bigint, version int"
+    field_rows = [{"version": 0, **r} for r in d.field_rows] + rows
+    new_bases = spark.createDataFrame(rows, shape).select("field_id", "base")
+    values = (coded.join(F.broadcast(new_bases), "field_id")  # F rows
+              .select("field_id", "column", "value", "text_value", "code", (F.col("base") + F.col("code")).alias("feature_id")))
+    path = path or shared_path(spark, "dictionary", f"version_{version}")
+    values.write.mode("overwrite").partitionBy("field_id").parquet(path)
+    added = spark.read.schema(d.values.schema).parquet(path).select(*d.values.columns)
+    return FeatureDictionary(spark.createDataFrame(field_rows, shape), d.values.unionByName(added), d.columns, d.numeric, field_rows)
+
+
+def one_hot(encoded: DataFrame, d: FeatureDictionary, label: str = "label", prefix: str = "f_") -> DataFrame:
+    """(label, features): rows as sparse ML vectors over all feature ids; a numeric field keeps its value.
+
+    Codes become one-hot blocks that the assembler puts one after the other, in field order; unseen values have no entry."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+    out, blocks = encoded, []
+    for r in d.field_rows:
+        c, size = r["column"], int(r["size"])
+        if r["kind"] == "numeric":
+            out = out.withColumn(f"_x_{c}", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
+        else:
+            code = F.col(f"{prefix}{c}") - F.lit(r["base"])
+            inside = (code >= 0) & (code < size)
+            # one code more, which the encoder drops, stands for unseen
+            out = out.withColumn(f"_c_{c}", F.when(inside, code).otherwise(size).cast("double"))
+        blocks.append(f"_x_{c}")
+    sizes = {f"_c_{r['column']}": float(r["size"]) for r in d.field_rows if r["kind"] != "numeric"}
+    largest = encoded.sparkSession.createDataFrame([tuple(sizes.values())], ", ".join(f"{c} double" for c in sizes))  # its codes tell the sizes
+    encoder = OneHotEncoder(inputCols=list(sizes), outputCols=[c.replace("_c_", "_x_", 1) for c in sizes], dropLast=True).fit(largest)
+    out = VectorAssembler(inputCols=blocks, outputCol="features").transform(encoder.transform(out))
+    return out.select(F.col(label).cast("double").alias("label"), "features")
+
+
 def _slice(d: FeatureDictionary, column: str, out: str, integral: bool) -> DataFrame:
     return d.values.where(F.col("field_id") == d.field(column)["field_id"]).select(
         F.col("value" if integral else "text_value").alias(f"_v_{out}"), F.col("feature_id").alias(out))

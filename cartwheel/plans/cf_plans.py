@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.exprs import round6
 from cartwheel.operators import candidates as C
 from cartwheel.operators import encode as E
+from cartwheel.operators import models as M
 from cartwheel.operators import recall as R
 from cartwheel.operators import similarity as S
 from cartwheel.operators import topk_graph as T
@@ -14,6 +15,7 @@ from cartwheel.plans.catalog import register
 from cartwheel.plans.encode_plans import _dict_ctes, train_dictionary
 from cartwheel.plans.oracle_ctes import define, fixed_sql, h64_sql, unfixed_sql, with_ctes
 from cartwheel.schemas import FEATURE_COLUMNS
+from cartwheel.session import shared_path
 from cartwheel.sources import fixtures as fx
 
 # ---------------------------------------------------------------- oracle building blocks
@@ -297,3 +299,17 @@ def fm_score_topn(spark, sf):
     weights = C.hashed_fm_weights(d.values, factors=4, seed=11)
     top = C.rank_by_score(C.fm_scores(enc, [f"f_{c}" for c in FEATURE_COLUMNS], weights), 3)
     return top.select("user_id", "rnk", "item_id", round6("score").alias("score"))
+
+
+@register("fm_model_export", with_ctes(["wide_train"], """
+SELECT 'w_' || feature_id AS key, 0 AS pos, round(w, 9) AS value FROM fmw
+UNION ALL SELECT 'v_' || feature_id, CAST(p AS INTEGER), round(v[p + 1], 9) FROM fmw, range(4) r(p)
+UNION ALL SELECT 'bias', 0, 0.125""", local=_dict_ctes(FEATURE_COLUMNS) + [_fm_weights_sql()]))
+def fm_model_export(spark, sf):
+    """A model of known weights stored as text and loaded again, by value (K5, M7)."""
+    d = train_dictionary(spark, sf)
+    weights = C.hashed_fm_weights(d.values, factors=4, seed=11)
+    bias = spark.range(1).select(F.lit(-1).cast("bigint").alias("feature_id"), F.lit(0.125).alias("w"), F.array().cast("array<double>").alias("v"))
+    path = shared_path(spark, "fm_export")
+    M.write_model(weights.unionByName(bias), path)
+    return M.read_kv(spark, path).select("key", F.posexplode("values").alias("pos", "value")).withColumn("value", F.round("value", 9))

@@ -104,6 +104,48 @@ def ffm_dictionary(spark, sf):
                            "value", "code", "feature_id")
 
 
+FIRST_END = "2024-01-01 06:00:00"  # the first version of the growing dictionary sees the clicks before
+define("clicks_first", ["clicks"], f"SELECT * FROM clicks WHERE action_time < TIMESTAMP '{FIRST_END}'")
+define("wide_first", ["clicks_first", "products", "users", "shops"], _wide_sql("clicks_first"))
+
+
+def _first_ctes():
+    return [(name, sql.replace("wide_train", "wide_first")) for name, sql in _dict_ctes(FEATURE_COLUMNS)]
+
+
+def _all_long(columns):
+    return "\n  UNION ALL ".join(f"SELECT {i} AS field_id, '{c}' AS column_name, CAST({c} AS BIGINT) AS value FROM wide_train" for i, c in enumerate(columns))
+
+
+@register("ffm_dictionary_incremental", with_ctes(["wide_train", "wide_first"], """
+SELECT CAST(field_id AS BIGINT) AS field_id, column_name, value, CAST(feature_id AS BIGINT) AS feature_id FROM dict
+UNION ALL
+SELECT n.field_id, n.column_name, n.value, CAST((SELECT sum(size) FROM dfields) + b.base + n.code AS BIGINT)
+FROM new_coded n JOIN (SELECT field_id, sum(size) OVER (ORDER BY field_id) - size AS base FROM (
+  SELECT field_id, count(*) AS size FROM new_coded GROUP BY field_id) x) b USING (field_id)""", local=_first_ctes() + [
+    ("new_coded", f"""SELECT field_id, column_name, value, row_number() OVER (PARTITION BY field_id ORDER BY value) - 1 AS code FROM (
+  SELECT DISTINCT field_id, column_name, value FROM ({_all_long(FEATURE_COLUMNS)}) l WHERE value IS NOT NULL) d
+  WHERE NOT EXISTS (SELECT 1 FROM dict o WHERE o.field_id = d.field_id AND o.value = d.value)""")]))
+def ffm_dictionary_incremental(spark, sf):
+    """A dictionary of the first hours' clicks, then the new values of the training slice appended: ids given once never change."""
+    clicks = fx.clicks(spark, sf).where(F.col("action_time") < F.lit(FIRST_END).cast("timestamp_ntz"))
+    first = E.build_dictionary(X.train_table(clicks, fx.products(spark, sf), fx.users(spark, sf)), FEATURE_COLUMNS)
+    d = E.extend_dictionary(first, train_table_of(spark, sf), version=1)
+    return d.values.select(F.col("field_id").cast("bigint").alias("field_id"), F.col("column").alias("column_name"), "value", "feature_id")
+
+
+@register("libsvm_sink", with_ctes(["wide_train"], """
+SELECT CAST(w.label AS VARCHAR) || '.0 ' || """ + " || ' ' || ".join(f"CAST(d{i}.feature_id + 1 AS VARCHAR) || ':1.0'" for i in range(len(FEATURE_COLUMNS))) + """ AS line
+FROM wide_train w """ + " ".join(f"JOIN dict d{i} ON d{i}.field_id = {i} AND d{i}.value = CAST(w.{c} AS BIGINT)" for i, c in enumerate(FEATURE_COLUMNS)),
+                                 local=_dict_ctes(FEATURE_COLUMNS)))
+def libsvm_sink(spark, sf):
+    """Training rows as sparse ML vectors, written as libsvm text and read back as lines."""
+    d = train_dictionary(spark, sf)
+    path = shared_path(spark, "train_libsvm")
+    io.write_libsvm(E.one_hot(E.encode_columns(train_table_of(spark, sf), d), d), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @register("ffm_fields", with_ctes(["wide_train"], """
 SELECT CAST(field_id AS BIGINT) AS field_id, column_name, kind, CAST(size AS BIGINT) AS size,
        CAST(base AS BIGINT) AS base FROM dfields""", local=_dict_ctes(ENRICHED_COLUMNS, ENRICHED_NUMERIC)))

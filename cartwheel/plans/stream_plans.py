@@ -8,6 +8,8 @@ to what the stream may have emitted, e.g. windows the watermark closed).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import ts_text
@@ -21,6 +23,7 @@ from cartwheel.session import shared_path
 from cartwheel.sources import fixtures as fx
 from cartwheel.streaming import jobs as J
 from cartwheel.streaming import online as O
+from cartwheel.streaming import panes as PN
 from cartwheel.streaming import requests as RQ
 
 define("requests", ["clicks"], """
@@ -211,6 +214,37 @@ def refresh_anchors(spark, sf):
     return spark.read.parquet(out).select(F.date_format("anchor", "yyyy-MM-dd HH:mm:ss").alias("anchor"), "n_actions")
 
 
+PANE_EVERY = dt.timedelta(days=5)
+
+
+@register("refresh_panes", with_ctes(["enriched_clicks"], """
+SELECT strftime(anchor, '%Y-%m-%d %H:%M:%S') AS anchor, list_kind, list_key, CAST(rnk AS BIGINT) AS rnk, sku_id, cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor, list_kind, list_key ORDER BY cnt DESC, sku_id) AS rnk FROM (
+    SELECT anchor, list_kind, list_key, sku_id, count(*) AS cnt FROM anchors a JOIN long_clicks c
+      ON c.action_time <= a.anchor AND c.action_time > a.anchor - INTERVAL 2 MONTH GROUP BY anchor, list_kind, list_key, sku_id) x) y
+WHERE rnk <= 10""", local=[
+    ("anchors", f"""SELECT unnest(range(to_timestamp(floor(epoch((SELECT min(action_time) FROM clicks)) / {5 * 86400}) * {5 * 86400} + {5 * 86400})::TIMESTAMP,
+    (SELECT max(action_time) - INTERVAL 10 MINUTE FROM clicks) + INTERVAL 1 MICROSECOND, INTERVAL 5 DAY)) AS anchor"""),
+    ("long_clicks", """SELECT action_time, sku_id, 'city' AS list_kind, CAST(city AS BIGINT) AS list_key FROM enriched_clicks WHERE city IS NOT NULL AND sku_id IS NOT NULL
+  UNION ALL SELECT action_time, sku_id, 'age', CAST(age AS BIGINT) FROM enriched_clicks WHERE age IS NOT NULL AND sku_id IS NOT NULL
+  UNION ALL SELECT action_time, sku_id, 'cate', CAST(cate AS BIGINT) FROM enriched_clicks WHERE cate IS NOT NULL AND sku_id IS NOT NULL
+  UNION ALL SELECT action_time, sku_id, 'brand', CAST(brand AS BIGINT) FROM enriched_clicks WHERE brand IS NOT NULL AND sku_id IS NOT NULL""")]))
+def refresh_panes(spark, sf):
+    """Content lists at every event-time boundary of five days, from two-hour panes merged and retired step by step."""
+    from cartwheel.operators import recall as R
+    src, schema = _stage_clicks(spark, sf, "panes_in")
+    product, user, out = fx.products(spark, sf), fx.users(spark, sf), shared_path(spark, "panes_lists")
+    panes = PN.Panes(shared_path(spark, "panes"), R.CONTENT_KINDS)
+
+    def keep(totals, anchor, epoch):
+        PN.lists_of(totals).withColumn("anchor", F.lit(anchor.strftime("%Y-%m-%d %H:%M:%S"))).write.mode("overwrite").parquet(f"{out}/at={anchor:%Y%m%d%H}")
+
+    q = PN.refresh_by_panes(J.file_stream(spark, src, schema, max_files_per_trigger=20), lambda batch: R.recall_input(batch, product, user), panes,
+                            shared_path(spark, "panes_ck"), keep, every=PANE_EVERY)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("anchor", "list_kind", "list_key", "rnk", "sku_id", "cnt")
+
+
 def _fm_topn_sql():
     from cartwheel.plans.cf_plans import ORACLE_FM_TOPN_BODY, ORACLE_FM_TOPN_CTES
     body = f"""SELECT c.user_id, c.sku_id, r.rnk, r.item_id, r.score FROM clicks c JOIN ({ORACLE_FM_TOPN_BODY}) r ON r.user_id = c.user_id

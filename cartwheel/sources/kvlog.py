@@ -58,7 +58,7 @@ class _Reader(DataSourceReader):
             files = [f.path for f in self.fs.get_file_info(fs.FileSelector(entry.path)) if f.path.endswith(".parquet")]
             if files:
                 out.append(_Date(files))
-        return out
+        return out or [_Date([])]   # a reader has at least one partition
 
     def _groups(self, files: list[str]) -> list[tuple[bytes, bytes, str, int]]:
         """(least key, largest key, file, row group) of the row groups in range."""
