@@ -25,7 +25,6 @@ cross documents; extra columns pass through ``cut`` and are ignored elsewhere; a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +42,9 @@ CAP = 256
 FLUSH = 150_000        # anchors a task holds before it sends them
 BUCKET = 400_000       # anchors a receiving task gets, about
 BLOCK_BUCKET = 20_000   # blocks of text a sorting task gets, about
-DOC = ["doc_id", "mark"]
+PART_BYTES = 64 << 20   # of text whose ranges one task unites, about
 RANGES = "doc_id bigint, mark bigint, ranges binary"
+PACKED = "part bigint, ranges binary"
 
 
 class Anchors:
@@ -98,15 +98,40 @@ def _united(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[first], start[first], reach[last]
 
 
-def _range_rows(doc_id: np.ndarray, mark: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """(doc_id, mark, ranges) of numbered documents."""
+def _part(doc_id: np.ndarray, mark: np.ndarray, n_parts: int) -> np.ndarray:
+    """Which of the parts of the documents gets a document's ranges."""
+    return (mix(doc_id.view(np.uint64) ^ mix(mark.view(np.uint64) + U(5))) % U(n_parts)).astype(np.int64)
+
+
+def _range_rows(doc_id: np.ndarray, mark: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray, n_parts: int) -> list[tuple[int, int, bytes]]:
+    """(part, documents, ranges): the ranges of numbered documents as one packed row a part."""
     doc, start, end = _united(doc, start, end)
     if not len(doc):
-        return
+        return []
+    part = _part(doc_id[doc], mark[doc], n_parts)
+    order = np.argsort(part, kind="stable")
+    doc, start, end = doc[order], start[order], end[order]
+    edge, out = np.searchsorted(part[order], np.arange(n_parts + 1)), []
+    for k in range(n_parts):
+        lo, hi = edge[k], edge[k + 1]
+        if hi > lo:
+            used, count = np.unique(doc[lo:hi], return_counts=True)
+            out.append((k, len(used), pack([doc_id[used], mark[used], count, start[lo:hi], end[lo:hi] - start[lo:hi]])))
+    return out
+
+
+def _document_ranges(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """(doc_id, mark, ranges): all ranges of a part's documents, united, one row a document."""
+    parts = [unpack(b) for b in group["ranges"]]
+    doc_id, mark, count, start, size = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    rank = _doc_order(doc_id, mark)
+    doc, start, end = _united(np.repeat(rank, count), start, start + size)
+    first = np.unique(rank, return_index=True)[1]
     cut = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-    for lo, hi in zip(cut, np.append(cut[1:], len(doc)), strict=True):
-        d = doc[lo]
-        yield int(doc_id[d]), int(mark[d]), np.stack([start[lo:hi], end[lo:hi]]).astype(np.int64).tobytes()
+    blobs = [np.stack([start[lo:hi], end[lo:hi]]).astype(np.int64).tobytes() for lo, hi in zip(cut, np.append(cut[1:], len(doc)), strict=True)]
+    own = first[doc[cut]]
+    give_back()
+    return pd.DataFrame({"doc_id": doc_id[own], "mark": mark[own], "ranges": blobs})
 
 
 def _firsts(keys: list[np.ndarray], doc_order: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,14 +174,14 @@ def _edges(h: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(h >> U(32), (np.arange(n + 1, dtype=np.float64) / n * (1 << 32)).astype(np.uint64))
 
 
-OUT = "kind int, bucket bigint, weight bigint, " + RANGES
+OUT = "kind int, bucket bigint, weight bigint, ranges binary"
 ENTRY, NEEDED, REPEAT, HOT = 0, 1, 2, 3
 
 
 def _out(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "bucket", "weight", "doc_id", "mark", "ranges"])
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "bucket", "weight", "ranges"])
 
 
 def _batches(rows: list[tuple], n: int = 512) -> Iterator[pa.RecordBatch]:
@@ -164,8 +189,8 @@ def _batches(rows: list[tuple], n: int = 512) -> Iterator[pa.RecordBatch]:
         yield _out(rows[lo:lo + n])
 
 
-def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int) -> DataFrame:
-    """Rows of kind NEEDED (ids of blocks to look at), REPEAT (ranges of a document) and HOT (an anchor hash)."""
+def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int, n_parts: int) -> DataFrame:
+    """Rows of kind NEEDED (ids of blocks to look at), REPEAT (ranges of a part's documents) and HOT (an anchor hash)."""
     n_buckets = max(1, -(-n_bytes // (39 * BUCKET)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +206,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             if again.any():  # the very same place of a document that came twice is no repeat
                 lead = np.flatnonzero(first)[np.cumsum(first) - 1]
                 again &= (rank[doc] != rank[doc[lead]]) | (start != start[lead])
-            rows = [(REPEAT, r[0] % n_buckets, 0, *r) for r in _range_rows(doc_id, mark, doc[again], start[again], start[again] + last[again] + length)]
+            rows = [(REPEAT, *r) for r in _range_rows(doc_id, mark, doc[again], start[again], start[again] + last[again] + length, n_parts)]
             h, block, doc, start, last = h[first], block[first], doc[first], start[first], last[first]
             new = np.ones(len(h), bool)
             new[1:] = h[1:] != h[:-1]
@@ -189,7 +214,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             common = np.repeat(times >= cap, times)
             if common.any():
                 ids = anchor_id(h[common], doc_id[doc[common]], mark[doc[common]], start[common])
-                rows += [(NEEDED, int(ids[0] % U(n_buckets)), len(ids), 0, 0, ids.tobytes())]
+                rows += [(NEEDED, int(ids[0] % U(n_buckets)), len(ids), ids.tobytes())]
             keep = ~common | new
             weight = np.where(common, np.repeat(times, times), 0).astype(np.uint32)[keep]
             h, block, doc, start, last = h[keep], block[keep], doc[keep], start[keep], last[keep]
@@ -200,7 +225,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
                     used, who = np.unique(doc[lo:hi], return_inverse=True)
                     blob = pack([_planes(h[lo:hi]), block[lo:hi], who.astype(np.uint32), start[lo:hi].astype(np.uint32 if start[lo:hi].max() < 1 << 32 else np.uint64),
                                  last[lo:hi].astype(np.uint16), weight[lo:hi], doc_id[used], mark[used]])
-                    rows.append((ENTRY, b, hi - lo, 0, 0, blob))
+                    rows.append((ENTRY, b, hi - lo, blob))
             yield from _batches(rows, 64)
 
         for batch, raw, off in text_blocks(batches, max_bytes=BLOCK_BYTES):
@@ -222,7 +247,7 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] != ENTRY:
-            return group[["kind", "bucket", "weight", "doc_id", "mark", "ranges"]]
+            return group[["kind", "bucket", "weight", "ranges"]]
         parts, shift = [], 0
         for blob in group["ranges"]:
             p = unpack(blob)
@@ -244,17 +269,17 @@ def anchor_groups(docs: DataFrame, n_bytes: int, length: int, cap: int, hot: int
             lead = np.flatnonzero(first)[np.cumsum(first) - 1]
             # (a marker's other blocks are all looked at; its own row is one of them)
             again = ~first & ((rank[doc] != rank[doc[lead]]) | (start != start[lead])) & (weight == 0)
-            rows = [(REPEAT, 0, 0, *r) for r in _range_rows(doc_id, mark, doc[again], start[again], start[again] + last[again] + length)]
+            rows = [(REPEAT, *r) for r in _range_rows(doc_id, mark, doc[again], start[again], start[again] + last[again] + length, n_parts)]
             new = np.ones(len(h), bool)
             new[1:] = h[1:] != h[:-1]
             group_no = np.cumsum(new) - 1
             classes = np.bincount(group_no, weights=first + np.maximum(weight - 1, 0))
             look = first & (classes[group_no] > 1) & (weight == 0)
             ids = anchor_id(h[look], doc_id[doc[look]], mark[doc[look]], start[look])
-            rows.append((NEEDED, -1, len(ids), 0, 0, ids.tobytes()))
+            rows.append((NEEDED, -1, len(ids), ids.tobytes()))
             hots = h[new][classes >= hot]
             if len(hots):
-                rows.append((HOT, -1, len(hots), 0, 0, hots.tobytes()))
+                rows.append((HOT, -1, len(hots), hots.tobytes()))
         give_back()
         return _out(rows).to_pandas()
 
@@ -372,8 +397,8 @@ def repeated_windows(data: np.ndarray, context: np.ndarray, n_windows: np.ndarra
     return who[same], w[same]
 
 
-def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length: int) -> DataFrame:
-    """Ranges of repeated windows among the blocks in the bitmap: RANGES rows."""
+def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length: int, n_parts: int) -> DataFrame:
+    """Ranges of repeated windows among the blocks in the bitmap: PACKED rows."""
     n_buckets = max(1, -(-n_needed // BLOCK_BUCKET))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +427,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                 true = Suffixes(data, length).equal(x[rest], x[lead[rest]])
                 first[rest[~true]] = True  # a collision: goes on as a window of its own
                 rest = rest[true]
-                rows += [(REPEAT, r[0] % n_buckets, 0, *r) for r in _range_rows(doc_id, mark, doc[who[rest]], start[who[rest]] + w[rest], start[who[rest]] + w[rest] + length)]
+                rows += [(REPEAT, *r) for r in _range_rows(doc_id, mark, doc[who[rest]], start[who[rest]] + w[rest], start[who[rest]] + w[rest] + length, n_parts)]
                 f = np.flatnonzero(first)
                 single = data[(x[f][:, None] + np.arange(length))].ravel() if len(f) else np.zeros(0, np.uint8)
                 cool = ~is_hot
@@ -421,7 +446,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
                     used, who = np.unique(doc[lo:hi], return_inverse=True)
                     blob = pack([_planes(h[lo:hi]), who.astype(np.uint32), start[lo:hi], n_win[lo:hi].astype(np.uint16), offset[lo:hi].astype(np.uint16),
                                  doc_id[used], mark[used], data[ranges(context[lo:hi], size[lo:hi])]], level=3)
-                    rows.append((ENTRY, b, hi - lo, 0, 0, blob))
+                    rows.append((ENTRY, b, hi - lo, blob))
             yield from _batches(rows, 16)
 
         for batch, raw, off in text_blocks(batches, max_bytes=BLOCK_BYTES):
@@ -447,7 +472,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if key[0] == REPEAT:
-            return group[["doc_id", "mark", "ranges"]]
+            return group[["bucket", "ranges"]].rename(columns={"bucket": "part"})
         parts, shift = [], 0
         for blob in group["ranges"]:
             p = unpack(blob)
@@ -458,7 +483,7 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
         size = n_win + length - 1
         context = np.concatenate(([0], np.cumsum(size)[:-1]))
         rank = _doc_order(doc_id, mark)
-        rows = []
+        found = []
         # anchors in pieces of bounded size (an anchor's blocks stay together)
         order = np.argsort(h, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
@@ -471,27 +496,29 @@ def sort_blocks(docs: DataFrame, needed, bits: int, hots, n_needed: int, length:
             at = np.concatenate(([0], np.cumsum(size[own])[:-1]))
             who, w = repeated_windows(text, at, n_win[own], h[own], offset[own], (rank[doc[own]], start[own]), length)
             begin = start[own][who] + w
-            rows += _range_rows(doc_id, mark, doc[own][who], begin, begin + length)
+            found.append(_united(doc[own][who], begin, begin + length))
+        rows = _range_rows(doc_id, mark, *(np.concatenate(c) for c in zip(*found, strict=True)), n_parts)
         give_back()
-        return pd.DataFrame({"doc_id": pd.Series([r[0] for r in rows], dtype="int64"), "mark": pd.Series([r[1] for r in rows], dtype="int64"), "ranges": [r[2] for r in rows]})
+        return pd.DataFrame({"part": pd.Series([r[0] for r in rows], dtype="int64"), "ranges": [r[2] for r in rows]})
 
-    return docs.mapInArrow(send, OUT).groupBy("kind", "bucket").applyInPandas(owned, RANGES)
+    return docs.mapInArrow(send, OUT).groupBy("kind", "bucket").applyInPandas(owned, PACKED)
 
 
 def repeats(docs: DataFrame, length: int = 100, cap: int = CAP, hot: int | None = None) -> DataFrame:
-    """(doc_id, mark, ranges) of keyed documents (see ``keyed``); a document may have several rows."""
+    """(doc_id, mark, ranges) of the keyed documents (see ``keyed``) that repeat something."""
     spark = docs.sparkSession
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if hot is None:  # at most 4096 anchors can be as hot as this
         hot = max(5_000, n_bytes // 39 // 4096)
-    groups = anchor_groups(docs, n_bytes, length, cap, hot).checkpoint()
+    n_parts = max(1, -(-n_bytes // PART_BYTES))
+    groups = anchor_groups(docs, n_bytes, length, cap, hot, n_parts).checkpoint()
     n_needed = groups.where(F.col("kind") == NEEDED).agg(F.sum("weight")).first()[0] or 0
     bits = bitmap.bits_for(n_needed)
     needed = spark.sparkContext.broadcast(bitmap.union(groups.where(F.col("kind") == NEEDED).select(F.col("ranges").alias("payload")), bits))
     hots = [np.frombuffer(bytes(r[0]), np.uint64) for r in groups.where(F.col("kind") == HOT).select("ranges").collect()]
     hots = spark.sparkContext.broadcast(np.concatenate(hots) if hots else np.zeros(0, np.uint64))
-    whole = groups.where(F.col("kind") == REPEAT).select("doc_id", "mark", "ranges")
-    return whole.unionByName(sort_blocks(docs, needed, bits, hots, n_needed, length))
+    whole = groups.where(F.col("kind") == REPEAT).select(F.col("bucket").alias("part"), "ranges")
+    return whole.unionByName(sort_blocks(docs, needed, bits, hots, n_needed, length, n_parts)).groupBy("part").applyInPandas(_document_ranges, RANGES)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -499,12 +526,6 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _merged(blobs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    got = np.concatenate([np.frombuffer(b, np.int64).reshape(2, -1) for b in blobs], axis=1)
-    _, start, end = _united(np.zeros(got.shape[1], np.int64), got[0], got[1])
-    return start, np.minimum(end, size)
-
-
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, whole_chars: bool = False,
         keep: list[str] | None = None, cap: int = CAP, hot: int | None = None) -> DataFrame:
     """``docs`` (columns ``keep``) with kept (binary), n_bytes, n_removed and n_spans.
@@ -513,7 +534,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
     own = keyed(docs, id_col, text_col)
-    found = repeats(own, length, cap, hot).groupBy("doc_id", "mark").agg(F.collect_list("ranges").alias("_ranges"))
+    found = repeats(own, length, cap, hot).withColumnRenamed("ranges", "_ranges")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     kept_text = text_col in keep and fields[text_col] == "string"  # then the text travels once
@@ -530,10 +551,10 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
                 part = batch.slice(lo, 500)
                 raw, off = flat(part.column(body))
                 kept, removed, spans = [], np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64)
-                for d, blobs in enumerate(part.column("_ranges").to_pylist()):
+                for d, blob in enumerate(part.column("_ranges").to_pylist()):
                     text = raw[off[d]:off[d + 1]]
-                    if blobs:
-                        start, end = _merged(blobs, len(text))
+                    if blob:
+                        start, end = np.frombuffer(blob, np.int64).reshape(2, -1).copy()
                         if whole_chars:
                             inside = (text & 0xC0) == 0x80
                             safe = np.append(inside, False)
@@ -548,7 +569,3 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
                 yield pa.record_batch([part.column(f"k_{c}") for c in keep] + [pa.array(kept, pa.binary()), pa.array(np.diff(off)), pa.array(removed), pa.array(spans)], names)
 
     return joined.mapInArrow(run, schema)
-
-
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
