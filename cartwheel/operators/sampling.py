@@ -128,9 +128,10 @@ def shuffle_key(df: DataFrame, cols, seed: int = 42, name: str = "_shuffle") ->
     return df.withColumn(name, _tagged_hash(seed, "shuffle", *cols))
 
 
-def split_first_k(df: DataFrame, k: int, key_cols, seed: int = 42, bucket_bits: int = SPLIT_BUCKET_BITS,
-                  levels: int = 2, head: str = "train", rest: str = "test", part_col: str = "part") -> DataFrame:
-    """Label the first ``k`` rows in shuffle order ``head`` and the others ``rest``.
+def split_first_k(df: DataFrame, k: int | None, key_cols, seed: int = 42, bucket_bits: int = SPLIT_BUCKET_BITS,
+                  levels: int = 2, head: str = "train", rest: str = "test", part_col: str = "part", share: float = 0.5) -> DataFrame:
+    """Label the first ``k`` rows in shuffle order ``head`` and the others ``rest``; without ``k`` that is
+    ``share`` of the counted rows, rounded down.
 
     Exact and bounded: at each level the still-undecided rows are counted per
     bucket of the next ``bucket_bits`` hash bits (at most 2^bucket_bits
@@ -142,6 +143,8 @@ def split_first_k(df: DataFrame, k: int, key_cols, seed: int = 42, bucket_bits:
     ensure_checkpoint_dir(df.sparkSession)
     # every level scans the input again: freeze it once instead of recomputing its lineage
     keyed = shuffle_key(df, key_cols, seed).checkpoint(eager=True)
+    if k is None:
+        k = int(keyed.count() * share)
     rules: list[tuple[Column, str]] = []
     inside = F.lit(True)          # rows in the boundary bucket of every level so far
     before = 0                    # rows in shuffle order ahead of that bucket
@@ -187,11 +190,11 @@ def split_fraction(df: DataFrame, fraction: float, key_cols, seed: int = 42, hea
 
 
 def train_test_with_negatives(train_pos: DataFrame, test_pos: DataFrame, negatives: DataFrame,
-                              n_train_negatives: int = 30_000_000, seed: int = 42) -> DataFrame:
+                              n_train_negatives: int | None = 30_000_000, seed: int = 42, share: float = 0.5) -> DataFrame:
     """(user_id, sku_id, label, part): positives keep duplicates (label 1),
-    the first ``n_train_negatives`` shuffled negatives join train, the rest test."""
+    the first ``n_train_negatives`` shuffled negatives (without a number: that ``share`` of them) join train, the rest test."""
     neg = split_first_k(negatives.select("user_id", "sku_id", "label"), n_train_negatives,
-                        ["user_id", "sku_id"], seed)
+                        ["user_id", "sku_id"], seed, share=share)
     tp = train_pos.select("user_id", "sku_id", F.lit(1).cast("tinyint").alias("label"), F.lit("train").alias("part"))
     sp = test_pos.select("user_id", "sku_id", F.lit(1).cast("tinyint").alias("label"), F.lit("test").alias("part"))
     return tp.unionByName(sp).unionByName(neg.select("user_id", "sku_id", "label", "part"))

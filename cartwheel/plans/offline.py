@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.functions import bloom
 from cartwheel.operators import encode as E
 from cartwheel.operators import recall as R
 from cartwheel.operators import similarity as S
@@ -167,6 +168,7 @@ def refresh(action: DataFrame, train_action: DataFrame, product: DataFrame, user
         io.write_lines(E.ffm_lines(train, d), snap.path("train_ffm"))
     known_users = sets.where("set_name = 'user'").select(F.col("id").alias("user_id"))
     known_items = sets.where("set_name = 'item'").select(F.col("id").alias("sku_id"))
+    bloom.build(known_users, "user_id", bloom.bits_for(known_users.count())).write.mode("overwrite").parquet(snap.path("known_user_bloom"))
     put("users", encoded_dimension(user, "user_id", known_users, d, USER_FEATURES, also=("city", "age")))
     put("items", encoded_dimension(product, "sku_id", known_items, d, ITEM_FEATURES, also=("brand",)))
     nobody = spark.range(1).select(*[F.lit(0).cast("bigint").alias(c) for c in FEATURE_COLUMNS])

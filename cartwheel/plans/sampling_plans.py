@@ -63,9 +63,7 @@ def _assembled(spark, sf, k: int | None = None, train_fraction: float = TRAIN_SH
     train_pos = clicks.where(t < F.lit(TRAIN_END).cast("timestamp_ntz"))
     test_pos = clicks.where((t >= F.lit(TRAIN_END).cast("timestamp_ntz")) & (t < F.lit(TEST_END).cast("timestamp_ntz")))
     neg = SM.negative_samples(clicks, SEED)
-    if k is None:
-        k = int(neg.count() * train_fraction)
-    return SM.train_test_with_negatives(train_pos, test_pos, neg, k, SEED)
+    return SM.train_test_with_negatives(train_pos, test_pos, neg, k, SEED, share=train_fraction)
 
 
 @register("negative_samples", with_ctes(["clicks"], "SELECT user_id, sku_id, label FROM negatives",

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.functions import bloom
 from cartwheel.operators import candidates as C
 from cartwheel.plans.offline import ITEM_FEATURES, USER_FEATURES, Snapshots
 from cartwheel.schemas import FEATURE_COLUMNS
@@ -88,9 +89,13 @@ def rerank_for(users: DataFrame, snap: Snapshots, weights: DataFrame, bias: floa
     Users outside the known-user set take the cold-start path instead: the
     top-``top`` hottest items of the last ``cold_days`` days (score NULL).
     """
-    batch = Batch(users, snap, latest)
+    snap = snap.current(users.sparkSession)
+    asked = users.select("user_id").distinct()
+    # the filter settles most new users in the scan of the batch; only the others are looked up
+    maybe = bloom.might_contain(F.col("user_id"), bloom.as_column(snap.read(users.sparkSession, "known_user_bloom")))
+    batch = Batch(asked.where(maybe), snap, latest)
     warm = batch.users.join(batch.known.where("known"), "user_id", "left_semi")
-    cold = batch.users.join(batch.known.where("known"), "user_id", "left_anti")
+    cold = asked.join(batch.known.where("known"), "user_id", "left_anti")
     enc = batch.encoded(batch.candidates(warm))
     scores = C.fm_scores(enc, [f"f_{c}" for c in FEATURE_COLUMNS], weights, bias)
     ranked = C.rank_by_score(scores, top)
