@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm import bitmap
 from cartwheel.llm.blocks import U, Words, as_int64, give_back, mix, pack, shingles, text_blocks, unpack
 from cartwheel.llm.components import connected_components, settled, tasks_for
 
@@ -42,11 +43,17 @@ FLUSH = 1_000_000        # shingles a task holds before it sends them
 PAIRS_A_TASK = 50_000
 BUCKET = 1_200_000       # shingles a receiving task gets, about
 
+# A class is named by a 64-bit reference on its way: if several documents have its set, by its fingerprint (highest bit
+# set), else by the flush that sent it and its place there, which costs two bytes an entry instead of a fingerprint a row.
+_PRINT = U(1 << 63)
+PLACE_BITS = 16
+ENTRIES, COMMON, DIRECTORY = 0, 1, 2
+
 
 def set_print(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """64-bit fingerprint of every set."""
+    """Fingerprint of every set: 63 bits of hash below a set highest bit."""
     run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(sets ^ U(0xA5A5A5A55A5A5A5A)), dtype=np.uint64)))
-    return mix(run[off[1:]] - run[off[:-1]] + np.diff(off).astype(np.uint64))
+    return mix(run[off[1:]] - run[off[:-1]] + np.diff(off).astype(np.uint64)) | _PRINT
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
@@ -68,49 +75,97 @@ def _unplanes(planes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.uint64)
 
 
-def _encode(shingle: np.ndarray, who: np.ndarray, fp: np.ndarray, size: np.ndarray, df: np.ndarray) -> bytes:
-    """Entries sorted by shingle; ``who`` numbers the classes (fp, size) of this row."""
-    used, who = np.unique(who, return_inverse=True)
-    delta = np.diff(shingle, prepend=U(0))
-    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
-    return pack([_planes(delta), who.astype(kind).view(np.uint8).reshape(len(who), -1).T.ravel(), np.array([np.dtype(kind).itemsize], np.uint8), df, fp[used], size[used].astype(np.uint32)])
+def flush_number(task: int, k: int) -> int:
+    return (task << PLACE_BITS) + k
+
+
+def _encode_sent(shingle: np.ndarray, who: np.ndarray, number: int, copied: np.ndarray, fp: np.ndarray, size: np.ndarray, df: np.ndarray) -> bytes:
+    """Entries of one flush, sorted by shingle; ``who``: places of their classes; fingerprint and size of ``copied`` ones only."""
+    used = np.unique(who[copied[who]])
+    places = who.astype(np.uint16).view(np.uint8).reshape(len(who), 2).T.ravel()
+    return pack([_planes(np.diff(shingle, prepend=U(0))), places, df, np.array([number], np.int64), used.astype(np.uint16), fp[used], size[used].astype(np.uint32)])
+
+
+def _decode_sent(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, reference, size, df) of every entry; the size of a class named by its place is 0."""
+    planes, places, df, number, used, fp, size = unpack(blob)
+    who = np.ascontiguousarray(places.reshape(2, -1).T).reshape(-1).view(np.uint16).astype(np.int64)
+    ref = (U(int(number[0])) << U(PLACE_BITS)) | who.astype(np.uint64)
+    sizes = np.zeros(len(who), np.uint32)
+    if len(used):
+        at = np.minimum(np.searchsorted(used, who), len(used) - 1)
+        hit = used[at] == who
+        ref[hit], sizes[hit] = fp[at[hit]], size[at[hit]]
+    return np.cumsum(_unplanes(planes), dtype=np.uint64), ref, sizes, df
+
+
+def _encode(shingle: np.ndarray, who: np.ndarray, refs: np.ndarray, size: np.ndarray, df: np.ndarray) -> bytes:
+    """Entries sorted by shingle; ``who`` numbers the classes (reference, size) of this row, in order of reference."""
+    kind = np.uint16 if len(refs) <= 1 << 16 else np.uint32
+    return pack([_planes(np.diff(shingle, prepend=U(0))), who.astype(kind).view(np.uint8).reshape(len(who), -1).T.ravel(), np.array([np.dtype(kind).itemsize], np.uint8), df,
+                 _planes(np.diff(refs, prepend=U(0))), _planes(size.astype(np.uint64))])
 
 
 def _decode(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shingle, fp, size, df) of every entry."""
-    planes, who, width, df, fp, size = unpack(blob)
-    shingle = np.cumsum(_unplanes(planes), dtype=np.uint64)
+    """(shingle, reference, size, df) of every entry."""
+    planes, who, width, df, refs, size = unpack(blob)
     w = int(width[0])
     who = np.ascontiguousarray(who.reshape(w, -1).T).reshape(-1).view(np.uint16 if w == 2 else np.uint32)
-    return shingle, fp[who], size[who], df
+    return np.cumsum(_unplanes(planes), dtype=np.uint64), np.cumsum(_unplanes(refs), dtype=np.uint64)[who], _unplanes(size)[who].astype(np.uint32), df
+
 
+def class_bucket(ref: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Where a class is looked after: by its fingerprint, or by the flush that holds its directory entry."""
+    by_flush = mix((ref >> U(PLACE_BITS)) + U(0x51ED27)) % U(n_buckets)
+    return np.where(ref >= _PRINT, ref % U(n_buckets), by_flush).astype(np.int64)
 
-def _to_classes(shingle, fp_of, size_of, df, n_buckets: int) -> Iterator[tuple[int, bytes]]:
+
+def _to_classes(shingle, ref, size, df, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     """Rows (bucket of the class, payload)."""
-    key = np.stack([fp_of, size_of.astype(np.uint64)], axis=1)
-    order = np.lexsort((shingle, (fp_of % U(n_buckets))))
-    shingle, key, df = shingle[order], key[order], df[order]
-    bucket = (key[:, 0] % U(n_buckets)).astype(np.int64)
+    bucket = class_bucket(ref, n_buckets)
+    order = np.lexsort((shingle, bucket))
+    shingle, ref, size, df, bucket = shingle[order], ref[order], size[order], df[order], bucket[order]
     edge = np.searchsorted(bucket, np.arange(n_buckets + 1))
     for b in range(n_buckets):
         lo, hi = edge[b], edge[b + 1]
         if hi > lo:
-            u, first, who = np.unique(key[lo:hi, 0], return_index=True, return_inverse=True)
-            yield b, _encode(shingle[lo:hi], who, u, key[lo:hi, 1][first], df[lo:hi])
+            u, first, who = np.unique(ref[lo:hi], return_index=True, return_inverse=True)
+            yield b, _encode(shingle[lo:hi], who, u, size[lo:hi][first], df[lo:hi])
+
 
+def copied_sets(sets: DataFrame):
+    """(broadcast, bits): a bitmap of bounded size of the fingerprints that several rows of ``sets`` have.
 
-def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", text_col: str = "text", n: int = 5, cap: int = CAP) -> DataFrame:
-    """(bucket, payload) of the shingles that occur in two classes or more, dealt by class."""
+    A false hit only makes a class travel by its fingerprint.
+    """
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array([(as_int64(batch.column(0)).view(np.uint64) << U(1)).tobytes()], pa.binary())], ["payload"])
+
+    several = sets.where("n_shingles > 0").groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp").checkpoint()
+    bits = bitmap.bits_for(several.count())
+    return sets.sparkSession.sparkContext.broadcast(bitmap.union(several.mapInArrow(packed, "payload binary"), bits)), bits
+
+
+def shared_shingles(docs: DataFrame, n_shingles: int, copied: tuple, id_col: str = "doc_id", text_col: str = "text", n: int = 5, cap: int = CAP) -> DataFrame:
+    """(kind, bucket, payload): the shingles that occur in two classes or more, dealt by class, and the flushes' directories."""
     n_buckets = max(1, -(-n_shingles // BUCKET))
+    copies, bits = copied
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        count, seen = 0, np.zeros(0, np.uint64)
+        count, n_classes, flushes, seen = 0, 0, 0, np.zeros(0, np.uint64)
+        task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
             sets = np.concatenate([h[0] for h in held])
             size = np.concatenate([h[1] for h in held])
             fp = np.concatenate([h[2] for h in held])
+            number = flush_number(task, flushes)
+            several = bitmap.has(copies.value, fp << U(1), bits)
+            ref = np.where(several, fp, (U(number) << U(PLACE_BITS)) | np.arange(len(fp), dtype=np.uint64))
             who = np.repeat(np.arange(len(size)), size)
             order = np.argsort(sets, kind="stable")
             sets, who = sets[order], who[order]
@@ -119,16 +174,17 @@ def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", te
             start = np.flatnonzero(new)
             times = np.diff(np.append(start, len(sets)))
             common = np.repeat(times >= cap, times)
-            rows = []
+            home = int(class_bucket(np.array([number], np.uint64) << U(PLACE_BITS), n_buckets)[0])
+            rows = [(DIRECTORY, home, pack([np.array([number], np.int64), np.where(several, U(0), fp), size.astype(np.uint32)]))]
             if common.any():
                 at = np.flatnonzero(common)
-                rows += [(1, *x) for x in _to_classes(sets[at], fp[who[at]], size[who[at]], np.full(len(at), cap, np.uint16), n_buckets)]
+                rows += [(COMMON, *x) for x in _to_classes(sets[at], ref[who[at]], np.where(several, size, 0)[who[at]], np.full(len(at), cap, np.uint16), n_buckets)]
             # entries of the others, and of a common shingle its first one as a marker with df = cap
             keep = ~common | new
             weight = np.where(common, cap, 1).astype(np.uint16)[keep]
             sets, who = sets[keep], who[keep]
             edge = np.searchsorted(sets >> U(24), (np.arange(n_buckets + 1, dtype=np.float64) / n_buckets * (1 << (SHINGLE_BITS - 24))).astype(np.uint64))
-            rows += [(0, b, _encode(sets[edge[b]:edge[b + 1]], who[edge[b]:edge[b + 1]], fp, size, weight[edge[b]:edge[b + 1]]))
+            rows += [(ENTRIES, b, _encode_sent(sets[edge[b]:edge[b + 1]], who[edge[b]:edge[b + 1]], number, several, fp, size, weight[edge[b]:edge[b + 1]]))
                      for b in range(n_buckets) if edge[b + 1] > edge[b]]
             for lo in range(0, len(rows), 16):
                 part = list(zip(*rows[lo:lo + 16], strict=True))
@@ -142,46 +198,65 @@ def shared_shingles(docs: DataFrame, n_shingles: int, id_col: str = "doc_id", te
             fresh[first] = True
             fresh &= ~np.isin(fp, seen) & (size > 0)  # a class once per task
             seen = np.union1d(seen, fp[fresh])
-            held.append((sets[np.repeat(fresh, size)] >> U(64 - SHINGLE_BITS), size[fresh], fp[fresh]))
-            count += len(held[-1][0])
-            if count >= FLUSH:
-                yield from flush()
-                held, count = [], 0
-                give_back()
+            new_sets, new_size, new_fp = sets[np.repeat(fresh, size)] >> U(64 - SHINGLE_BITS), size[fresh], fp[fresh]
+            at, off_new = 0, np.concatenate(([0], np.cumsum(new_size)))
+            while at < len(new_size):   # a flush has so many shingles, and fewer classes than places
+                end = min(len(new_size), at + (1 << PLACE_BITS) - n_classes)
+                held.append((new_sets[off_new[at]:off_new[end]], new_size[at:end], new_fp[at:end]))
+                count, n_classes, at = count + int(off_new[end] - off_new[at]), n_classes + end - at, end
+                if count >= FLUSH or n_classes >= 1 << PLACE_BITS:
+                    yield from flush()
+                    held, count, n_classes, flushes = [], 0, 0, flushes + 1
+                    give_back()
         if count:
             yield from flush()
         held.clear()
         give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        if key[0] == 1:  # known to be common: go on as they are
-            return pd.DataFrame({"bucket": group["bucket"], "payload": group["payload"]})
-        parts = [_decode(p) for p in group["payload"]]
-        shingle, fp, size, df = (np.concatenate(c) for c in zip(*parts, strict=True))
+        if key[0] != ENTRIES:  # known to be common, or names of classes: go on as they are
+            return group[["kind", "bucket", "payload"]]
+        parts = [_decode_sent(p) for p in group["payload"]]
+        shingle, ref, size, df = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
         order = np.argsort(shingle, kind="stable")
-        shingle, fp, size, df = shingle[order], fp[order], size[order], df[order]
+        shingle, ref, size, df = shingle[order], ref[order], size[order], df[order]
         new = np.ones(len(shingle), bool)
         new[1:] = shingle[1:] != shingle[:-1]
         group_no = np.cumsum(new) - 1
         many = (np.bincount(group_no) > 1)[group_no] | (df >= cap)
-        shingle, fp, size, df, group_no = shingle[many], fp[many], size[many], df[many], group_no[many]
-        order = np.lexsort((df, fp, group_no))
-        shingle, fp, size, df, group_no = shingle[order], fp[order], size[order], df[order], group_no[order]
+        shingle, ref, size, df, group_no = shingle[many], ref[many], size[many], df[many], group_no[many]
+        order = np.lexsort((df, ref, group_no))
+        shingle, ref, size, df, group_no = shingle[order], ref[order], size[order], df[order], group_no[order]
         once = np.ones(len(shingle), bool)
-        once[1:] = (group_no[1:] != group_no[:-1]) | (fp[1:] != fp[:-1])
+        once[1:] = (group_no[1:] != group_no[:-1]) | (ref[1:] != ref[:-1])
         _, group_no = np.unique(group_no, return_inverse=True)
         n_groups = int(group_no[-1]) + 1 if len(group_no) else 0
         total = np.minimum(np.bincount(group_no[once], minlength=n_groups), cap)
         total[group_no[df >= cap]] = cap  # any marker, also one whose class came from another task with df = 1
         total = total.astype(np.uint16)
         keep = once & (df < cap) & (total[group_no] >= 2)  # markers have sent their rows already
-        rows = list(_to_classes(shingle[keep], fp[keep], size[keep], total[group_no[keep]], n_buckets))
+        rows = list(_to_classes(shingle[keep], ref[keep], size[keep], total[group_no[keep]], n_buckets))
         give_back()
-        return pd.DataFrame({"bucket": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
+        return pd.DataFrame({"kind": pd.Series([COMMON] * len(rows), dtype="int32"), "bucket": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("text")
-    return rows.mapInArrow(send, "kind int, bucket bigint, payload binary").groupBy("kind", "bucket").applyInPandas(owned, "bucket bigint, payload binary")
+    shape = "kind int, bucket bigint, payload binary"
+    return rows.mapInArrow(send, shape).groupBy("kind", "bucket").applyInPandas(owned, shape)
+
+
+def named(ref: np.ndarray, size: np.ndarray, directories: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, size) of references, those by place from their flush's directory."""
+    told = sorted((unpack(b) for b in directories), key=lambda p: int(p[0][0]))
+    number = np.array([int(p[0][0]) for p in told], np.uint64)
+    start = np.concatenate(([0], np.cumsum([len(p[1]) for p in told]))).astype(np.int64)
+    fp, sizes = ref.copy(), size.astype(np.int64)
+    at = np.flatnonzero(ref < _PRINT)
+    if len(at):
+        every, how_many = (np.concatenate([p[k] for p in told]) for k in (1, 2))
+        place = start[np.searchsorted(number, ref[at] >> U(PLACE_BITS))] + (ref[at] & U((1 << PLACE_BITS) - 1)).astype(np.int64)
+        fp[at], sizes[at] = every[place], how_many[place]
+    return fp, sizes
 
 
 def prefix_length(n):
@@ -224,10 +299,17 @@ def candidate_classes(shared: DataFrame) -> DataFrame:
 
     ``tokens``: shared shingles, sorted; ``prefix``: those of the prefix, rare first, the first at ``first_pos``.
     """
+    def told(cols: list) -> pd.DataFrame:
+        kinds = {"fp": "int64", "n": "int64", "tokens": "object", "bits": "object", "prefix": "object", "first_pos": "int64"}
+        return pd.DataFrame({name: pd.Series(list(c), dtype=kind) for (name, kind), c in zip(kinds.items(), cols, strict=True)})
+
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_decode(p) for p in group["payload"]]
-        shingle, fp, size, df = (np.concatenate(c) for c in zip(*parts, strict=True))
+        parts = [_decode(p) for p in group["payload"][group["kind"] != DIRECTORY]]
+        if not parts:
+            return told([[]] * 6)
+        shingle, ref, size, df = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
+        fp, size = named(ref, size, list(group["payload"][group["kind"] == DIRECTORY]))
         order = np.lexsort((shingle, fp))
         shingle, fp, size, df = shingle[order], fp[order], size[order], df[order]
         once = np.ones(len(fp), bool)  # copies of a class in several tasks send the same rows
@@ -247,7 +329,7 @@ def candidate_classes(shared: DataFrame) -> DataFrame:
                 rows.append((int(fp[s].view(np.int64)), n, tokens.tobytes(), parity_bits(tokens), shingle[s:s + k].astype(np.int64), alone))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
         give_back()
-        return pd.DataFrame({"fp": pd.Series(cols[0], dtype="int64"), "n": pd.Series(cols[1], dtype="int64"), "tokens": cols[2], "bits": cols[3], "prefix": cols[4], "first_pos": pd.Series(cols[5], dtype="int64")})
+        return told(cols)
 
     return shared.groupBy("bucket").applyInPandas(run, CLASS)
 
@@ -294,7 +376,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cap: i
     alone = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
     if not n_shingles:
         return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    classes = settled(candidate_classes(shared_shingles(docs, n_shingles, id_col, text_col, cap=cap))
+    classes = settled(candidate_classes(shared_shingles(docs, n_shingles, copied_sets(sets), id_col, text_col, cap=cap))
                       .join(members.withColumnRenamed("n_shingles", "n"), ["fp", "n"]).where("rep is not null").drop("fp"), tasks_for(n_shingles, 8_000_000))
     size = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)).alias("p")).first()
     # small tables keep few files: the rounds below cost tasks by their rows
