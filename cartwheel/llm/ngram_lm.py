@@ -14,13 +14,14 @@ and looks up each pair that occurs:
 * both levels are one memory-mapped file; a lookup is a successor search within the word's range.
 
 Quantisation: ``LEVELS`` values per level, means of narrow cells of log10 values.  Per-document sums of all tasks
-meet by document in a second exchange.
+meet by document in a second exchange.  On the way a document is the flush that sent it and its place there; what names it
+travels once, in the flush's directory.
 
 Skew: words above a task's fair share are split by context, with their count broadcast; pairs above it are
 split by document too, each part getting all counts of the pair.  Both lists have at most ``HOT_LIST`` entries
 by their thresholds.
 
-Defined results: a null or empty text is the end token alone; rows that repeat id and text are scored each; a null id counts as empty text in
+Defined results: a null or empty text is the end token alone; repeated rows are scored each; a null id counts as empty text in
 the fold and keeps its row; without training text every count is 0; extra columns are ignored.
 """
 
@@ -277,8 +278,10 @@ def statistics(counts: DataFrame, least: int) -> DataFrame:
 
 # ---------------------------------------------------------------- scoring
 
-SUMS = "part bigint, payload binary"
-TOTALS = "doc_id bigint, mark bigint, held boolean, n bigint, ends bigint, known bigint, base double, score double"
+SUMS = "part bigint, kind int, payload binary"
+SUM, DIRECTORY = 0, 1
+TOTALS = "doc_id bigint, held boolean, n bigint, known bigint, base double, score double"
+FLUSH_BITS = 24         # a task's flushes are numbered below this
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -291,30 +294,44 @@ def _unsigned(x: np.ndarray) -> np.ndarray:
     return (x >> U(1)).view(np.int64) ^ -(x & U(1)).view(np.int64)
 
 
-def pack_sums(doc_id, mark, held, numbers: list[np.ndarray], n_parts: int) -> pd.DataFrame:
+def flush_number(task: int, k: int) -> int:
+    """Names the ``k``-th flush of a scanning task; a document is the flush that sent it and its place there."""
+    return (task << FLUSH_BITS) + k
+
+
+def part_of(flush: np.ndarray, n_parts: int) -> np.ndarray:
+    return (mix(flush.astype(np.uint64) + U(0x5BD1E995)) % U(n_parts)).astype(np.int64)
+
+
+def pack_sums(flush: np.ndarray, place: np.ndarray, numbers: list[np.ndarray], n_parts: int) -> pd.DataFrame:
     """Per-document integers of one task as one row per part of the documents."""
-    part = (mix(doc_id.view(np.uint64) ^ mix(mark.view(np.uint64))) % U(n_parts)).astype(np.int64)
-    order = np.lexsort((mark, doc_id, part))
+    part = part_of(flush, n_parts)
+    order = np.lexsort((place, flush, part))
     edge = np.searchsorted(part[order], np.arange(n_parts + 1))
     rows = []
     for k in range(n_parts):
         own = order[edge[k]:edge[k + 1]]
         if len(own):
-            rows.append((k, pack([_planes(_signed(np.diff(doc_id[own], prepend=0))), mark[own], held[own], *[_planes(_signed(x[own])) for x in numbers]])))
-    return pd.DataFrame({"part": pd.Series([r[0] for r in rows], dtype="int64"), "payload": [r[1] for r in rows]})
+            used, count = np.unique(flush[own], return_counts=True)
+            rows.append((k, pack([used, count, _planes(_signed(np.diff(place[own], prepend=0))), *[_planes(_signed(x[own])) for x in numbers]])))
+    return pd.DataFrame({"part": pd.Series([r[0] for r in rows], dtype="int64"), "kind": pd.Series([SUM] * len(rows), dtype="int32"), "payload": [r[1] for r in rows]})
 
 
 def add_sums(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    """The totals of a part's documents; a document is its id and its text's 64-bit hash."""
-    parts = [unpack(b) for b in group["payload"]]
-    doc_id = np.concatenate([np.cumsum(_unsigned(_unplanes(p[0]))) for p in parts])
-    mark, held = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
-    order = np.lexsort((mark, doc_id))
-    doc_id, mark, held = doc_id[order], mark[order], held[order]
-    first = np.flatnonzero(np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (mark[1:] != mark[:-1]))))
-    n, ends, known, base, score_ = (np.add.reduceat(np.concatenate([_unsigned(_unplanes(p[k])) for p in parts])[order], first) for k in range(3, 8))
-    return pd.DataFrame({"doc_id": doc_id[first], "mark": mark[first], "held": held[first], "n": n, "ends": ends, "known": known,
-                         "base": base / FIXED, "score": score_ / FIXED})
+    """The totals of a part's documents, one row each: their directories name them, every task's sums are added by place."""
+    directory = sorted((unpack(b) for b in group["payload"][group["kind"] == DIRECTORY]), key=lambda p: int(p[0][0]))
+    flushes = np.array([int(p[0][0]) for p in directory], np.int64)
+    size = np.array([len(p[1]) for p in directory], np.int64)
+    start = np.concatenate(([0], np.cumsum(size)))
+    total = [np.zeros(start[-1], np.int64) for _ in range(4)]
+    for blob in group["payload"][group["kind"] == SUM]:
+        p = unpack(blob)
+        at = np.repeat(start[np.searchsorted(flushes, p[0])], p[1]) + np.cumsum(_unsigned(_unplanes(p[2])))
+        for sums, planes in zip(total, p[3:], strict=True):
+            sums[at] += _unsigned(_unplanes(planes))   # a task has one row a document
+    doc_id, held = (np.concatenate([p[k] for p in directory]) if directory else np.zeros(0, np.int64) for k in (1, 2))
+    give_back()
+    return pd.DataFrame({"doc_id": doc_id, "held": held.astype(bool), "n": total[0], "known": total[1], "base": total[2] / FIXED, "score": total[3] / FIXED})
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", mu: float = MU, hot_least: int = HOT_LEAST) -> DataFrame:
@@ -347,8 +364,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     prior = mu / denominator
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         (hot_words, _), (hot_pairs, hot_pair_n) = shared.value
-        held, docs_held, count, n_docs = [], [], 0, 0
+        held, docs_held, count, n_docs, flushes = [], [], 0, 0, 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
             word, context, doc = (np.concatenate([h[k] for h in held]) for k in range(3))
@@ -356,7 +376,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             vocab, around = np.unique(word), np.unique(short(context))
             w, u = np.searchsorted(vocab, word), np.searchsorted(around, short(context))
             bucket = _bucket(mix(vocab), n_buckets)[w]
-            rows = []
+            number = np.array([flush_number(task, flushes)], np.int64)
+            # the directory of the flush goes straight to the part that adds its documents' sums
+            rows = [(n_buckets + int(part_of(number, n_parts)[0]), pack([number, doc_id, out]), False)]
             pair = None
             if len(hot_words):
                 pos = np.minimum(np.searchsorted(hot_words, vocab), len(hot_words) - 1)
@@ -388,8 +410,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 if hi > lo:
                     uw, times = np.unique(w[lo:hi], return_counts=True)
                     uu, iu = np.unique(u[lo:hi], return_inverse=True)
-                    ud, di = np.unique(doc[lo:hi], return_inverse=True)
-                    blob = pack([_sorted_planes(vocab[uw]), _planes(times), _sorted_planes(around[uu]), _planes(iu), _planes(di), doc_id[ud], mark[ud], out[ud]])
+                    blob = pack([_sorted_planes(vocab[uw]), _planes(times), _sorted_planes(around[uu]), _planes(iu), _planes(2 * doc[lo:hi] + out[doc[lo:hi]]), number])
                     rows.append((b, blob, False))
             for lo in range(0, len(rows), 8):
                 cols = list(zip(*rows[lo:lo + 8], strict=True))
@@ -403,7 +424,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             count += len(word)
             if count >= FLUSH:
                 yield from flush()
-                held, docs_held, count, n_docs = [], [], 0, 0
+                held, docs_held, count, n_docs, flushes = [], [], 0, 0, flushes + 1
                 give_back()
         if count:
             yield from flush()
@@ -411,25 +432,28 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         give_back()
 
     def owned(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        if key[0] >= n_buckets:
+            return pd.DataFrame({"part": group["bucket"] - n_buckets, "kind": np.full(len(group), DIRECTORY, np.int32), "payload": group["payload"]})
         (hot_words, hot_n), _ = shared.value
         ws, us, ds, keys, shift = [], [], [], [], 0
         for blob in group["payload"][~group["counts"]]:
             p = unpack(blob)
             ws.append((_unsorted_planes(p[0]), _unplanes(p[1]).astype(np.int64)))
             us.append((_unsorted_planes(p[2]), _unplanes(p[3]).astype(np.int32)))
-            ds.append(_unplanes(p[4]).astype(np.int32) + shift)
-            keys.append((p[5], p[6], p[7]))
-            shift += len(p[5])
+            place, at = np.unique(_unplanes(p[4]), return_inverse=True)
+            ds.append(at.astype(np.int32) + shift)
+            keys.append((np.full(len(place), p[5][0], np.int64), (place >> U(1)).astype(np.int64), (place & U(1)).astype(bool)))
+            shift += len(place)
         extra = [unpack(b) for b in group["payload"][group["counts"]]]
         if not ws:
-            return pd.DataFrame({"part": pd.Series(dtype="int64"), "payload": []})
+            return pd.DataFrame({"part": pd.Series(dtype="int64"), "kind": pd.Series(dtype="int32"), "payload": []})
         words = np.unique(np.concatenate([x[0] for x in ws] + [e[0] for e in extra]))
         contexts = np.unique(np.concatenate([x[0] for x in us] + [e[1] for e in extra]))
         n_ctx = len(contexts)
         code = np.concatenate([np.repeat(np.searchsorted(words, x[0]), x[1]) * n_ctx + np.searchsorted(contexts, y[0])[y[1]] for x, y in zip(ws, us, strict=True)])
         del ws, us
         doc = np.concatenate(ds)
-        doc_id, mark, out = (np.concatenate(c) for c in zip(*keys, strict=True))
+        flush, place, out = (np.concatenate(c) for c in zip(*keys, strict=True))
         order = np.argsort(code, kind="stable")
         code, doc = code[order], doc[order]
         begin = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
@@ -461,21 +485,18 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         term -= np.where(is_end, 0.0, np.log10(n_word[w_of] + mu))
         base = np.log10(n_word[w_of] + 0.1)
         times = np.diff(np.append(begin, len(code)))
-        n_docs = len(doc_id)
+        n_docs = len(flush)
         del code, train, n_pair
         add = lambda x: np.bincount(doc, weights=np.repeat(x, times), minlength=n_docs)
         fixed = lambda x: np.rint(add(x) * FIXED).astype(np.int64)
-        sums = pack_sums(doc_id, mark, out, [np.bincount(doc, minlength=n_docs), add(is_end).astype(np.int64), add(n_word[w_of] > 0).astype(np.int64), fixed(base), fixed(term)], n_parts)
+        sums = pack_sums(flush, place, [np.bincount(doc, minlength=n_docs), add(n_word[w_of] > 0).astype(np.int64), fixed(base), fixed(term)], n_parts)
         give_back()
         return sums
 
     partial = rows.mapInArrow(send, "bucket bigint, payload binary, counts boolean").groupBy("bucket").applyInPandas(owned, SUMS)
     total = partial.groupBy("part").applyInPandas(add_sums, TOTALS)
     first = np.log10(size["t"] + mu)  # the context of every first token
-    each = total.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("ends"))))  # repeated rows one by one
     missing = F.lit(int(np.iinfo(np.int64).min))
-    n = (F.col("n") / F.col("ends")).cast("bigint")
-    return each.select(F.when(F.col("doc_id") != missing, F.col("doc_id")).alias("doc_id"), F.col("held").alias("held_out"), n.alias("n_tokens"),
-                       (F.col("known") / F.col("ends")).cast("bigint").alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"),
-                       (F.col("base") / F.col("ends") - n * float(np.log10(denominator))).alias("base_score"),
-                       (F.col("score") / F.col("ends") - float(first)).alias("score"))
+    return total.select(F.when(F.col("doc_id") != missing, F.col("doc_id")).alias("doc_id"), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
+                        F.col("known").alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"),
+                        (F.col("base") - F.col("n") * float(np.log10(denominator))).alias("base_score"), (F.col("score") - float(first)).alias("score"))
