@@ -193,3 +193,11 @@ def give_back() -> None:
     """Return freed memory to the system: Spark keeps a Python worker, and what its heap holds, for later tasks."""
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it until no column is called so (in any letter case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.blocks import flat, give_back
+from cartwheel.llm.blocks import flat, give_back, unused
 
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
@@ -210,7 +210,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         return none.withColumn("spans", F.array().cast("array<struct<lang:string,first_word:bigint,n_words:bigint>>")) if spans else none
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema
-    text = "_text" if text_col not in keep or docs.schema[text_col].dataType.simpleString() != "string" else text_col
+    inner_text, inner_letter = unused("_text", keep), unused("_letter", keep)
+    text = inner_text if text_col not in keep or docs.schema[text_col].dataType.simpleString() != "string" else text_col
     ddl = "lang_pred string, score double, n_spans bigint" + ", spans array<struct<lang:string,first_word:bigint,n_words:bigint>>" * spans
     schema = T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
     span_kind = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
@@ -231,7 +232,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
                 mass = np.bincount(doc * n_lang + mine, weights=letters, minlength=len(counts) * n_lang).reshape(-1, n_lang)
                 total = mass.sum(axis=1)
                 best = mass.argmax(axis=1)
-                told = (total > 0) & batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
+                told = (total > 0) & batch.column(inner_letter).to_numpy(zero_copy_only=False).astype(bool)
                 begins = np.ones(len(mine), bool)
                 begins[1:] = (mine[1:] != mine[:-1]) | (doc[1:] != doc[:-1])
                 n_spans = np.where(told, np.bincount(doc[begins], minlength=len(counts)), 0)
@@ -264,5 +265,5 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         give_back()
 
     has_letter: Column = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
-    more = [has_letter.alias("_letter")] + [F.col(text_col).cast("string").alias("_text")] * (text == "_text")
+    more = [has_letter.alias(inner_letter)] + [F.col(text_col).cast("string").alias(inner_text)] * (text == inner_text)
     return docs.select(*keep, *more).mapInArrow(label, schema)

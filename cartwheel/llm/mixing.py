@@ -20,6 +20,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm.blocks import unused
+
 NONE = "(none)"
 MAX_PAIRS = 20_000
 #: the counted cells are far fewer than documents; rounds over them use tasks of this size
@@ -99,6 +101,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = 15,
     return last.select("source", "x.lang", "x.topic", "x.tokens", (F.col("a") * F.col("x.f")).alias("weight"))
 
 
+OUTPUTS = ("mix_topic", "mix_tokens", "mix_weight", "mix_copies")
+
+
 def mix(docs: DataFrame, powers: dict[str, float], topic: Column | None = None, seed: str = "mix", iterations: int = 15,
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with mix_topic, mix_tokens, mix_weight and mix_copies (draws), raked to the tempered margins.
@@ -106,7 +111,8 @@ def mix(docs: DataFrame, powers: dict[str, float], topic: Column | None = None,
     Weights are relative to the corpus: 1 keeps a cell's tokens, 2 doubles them.
     """
     spark_text = F.col(text_col).cast("string")
-    own = [c for c in docs.columns if not c.startswith("mix_")]
+    own = [c for c in docs.columns if c.lower() not in OUTPUTS]
+    inner = {d: unused(f"_{d}", own) for d in ("source", "lang", "topic", "w")}   # names no column of ``docs`` has
     tagged = docs.select(*own, F.coalesce(register_topic(spark_text) if topic is None else topic, F.lit(NONE)).alias("mix_topic"),
                          n_tokens(spark_text).alias("mix_tokens"))
     key = {"source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)), "lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)), "topic": F.col("mix_topic")}
@@ -115,11 +121,11 @@ def mix(docs: DataFrame, powers: dict[str, float], topic: Column | None = None,
     cells = cells.coalesce(1 + cells.count() // CELLS_A_TASK)
     targets = {d: tempered(cells, d, "tokens", powers[d]) for d in ("source", "lang", "topic")}
     raked = rake(cells, targets, iterations).checkpoint()
-    weights = raked.select(*[F.col(d).alias(f"_{d}") for d in key], F.col("weight").alias("_w"))
-    joined = tagged.withColumns({f"_{d}": v for d, v in key.items()}).join(weights, [f"_{d}" for d in key], "left")
-    weight = F.when(F.col("mix_tokens") == 0, 1.0).otherwise(F.coalesce(F.col("_w"), F.lit(0.0)))
+    weights = raked.select(*[F.col(d).alias(inner[d]) for d in key], F.col("weight").alias(inner["w"]))
+    joined = tagged.withColumns({inner[d]: v for d, v in key.items()}).join(weights, [inner[d] for d in key], "left")
+    weight = F.when(F.col("mix_tokens") == 0, 1.0).otherwise(F.coalesce(F.col(inner["w"]), F.lit(0.0)))
     once_more = uniform(F.col(id_col), seed) < F.col("mix_weight") - F.floor("mix_weight")
-    return (joined.withColumn("mix_weight", weight).drop("_w", *[f"_{d}" for d in key])
+    return (joined.withColumn("mix_weight", weight).drop(*inner.values())
             .withColumn("mix_copies", F.floor("mix_weight").cast("bigint") + once_more.cast("bigint")))
 
 

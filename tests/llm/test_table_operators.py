@@ -1,10 +1,12 @@
 """Mixture, nearest neighbours, tool calls, archives and the classifier; SQL oracles."""
 
 import json
+import math
 
 import duckdb
 import numpy as np
 import pytest
+from brute import label_posteriors, quality_votes, words
 
 from cartwheel.llm import ann, mixing, quality, tool_calls, warc
 from cartwheel.llm.queries import MIX_POWERS, ORACLE, QUERIES
@@ -215,3 +217,56 @@ def test_classifier_odd_rows(spark):
     assert len(got) == 6 and all(r["quality_score"] == 0 and r["toxic_score"] == 0 for r in got if r["doc_id"] in (1, 2, 3))
     assert quality.classify(docs, labels.limit(0)).count() == 6
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_classifier_labels_against_brute_force(spark):
+    """Posterior quality of every document of the whole query against labellers and EM in plain Python."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    told = [(d, quality_votes(t)) for d, t in docs if words(t)]
+    want = dict(zip([d for d, _ in told], label_posteriors([v for _, v in told], [(v, labels[d]) for d, v in told if labels.get(d) is not None]), strict=True))
+    got = {r["doc_id"]: r["quality_label"] for r in QUERIES["op8_quality_classifier"](spark, SF).collect()}
+    assert len(got) == len(docs) and all(got[d] == 0 for d, _ in docs if d not in want)
+    assert max(abs(got[d] - p) for d, p in want.items()) < 1e-6
+
+
+def test_scorer_against_plain_steps():
+    """The hashed linear scorer against dictionaries and loops, one mini-batch after the other."""
+    rnd = np.random.default_rng(4)
+    samples = []
+    for _ in range(90):
+        bucket = np.unique(rnd.integers(0, 16, 5))
+        samples.append((bucket.astype(np.int32), rnd.random(len(bucket)).astype(np.float32), rnd.random(8).astype(np.float32), float(rnd.random())))
+    got = quality.fit_scorer(samples, 4, epochs=3)
+    stats = np.array([s[2] for s in samples], float)
+    centre, scale = stats.mean(axis=0), stats.std(axis=0) + 1e-3
+    dense = [[*((s[2] - centre) / scale), 1.0] for s in samples]
+    high = sum(s[3] > 0.5 for s in samples) / len(samples)
+    weight = [0.5 / (high if s[3] > 0.5 else 1 - high) for s in samples]
+    w, gw, d, gd = [0.0] * 16, [1e-8] * 16, [0.0] * 9, [1e-8] * 9
+    order_of = np.random.default_rng(7)
+    for _ in range(3):
+        order = order_of.permutation(len(samples))
+        for lo in range(0, len(order), 64):
+            batch, g, gg = order[lo:lo + 64], {}, [0.0] * 9
+            for i in batch:
+                z = sum(w[b] * float(v) for b, v in zip(samples[i][0], samples[i][1], strict=True)) + sum(x * y for x, y in zip(dense[i], d, strict=True))
+                err = (1 / (1 + math.exp(-z)) - samples[i][3]) * weight[i] / len(batch)
+                for b, v in zip(samples[i][0].tolist(), samples[i][1], strict=True):
+                    g[b] = g.get(b, 0.0) + err * float(v)
+                gg = [x + err * y for x, y in zip(gg, dense[i], strict=True)]
+            for b, x in g.items():
+                x += 1e-6 * w[b]
+                gw[b] += x * x
+                w[b] -= 0.3 * x / math.sqrt(gw[b])
+            for k, x in enumerate(gg):
+                gd[k] += x * x
+                d[k] -= 0.3 * x / math.sqrt(gd[k])
+    assert np.allclose(got.weights, w, atol=1e-6) and np.allclose(got.dense, d[:-1], atol=1e-6) and abs(got.bias - d[-1]) < 1e-6
+
+
+def test_mixture_keeps_columns_of_any_name(spark):
+    rows = [(k, "some plain words here", "en", f"s{k % 3}", 0.5, "a", "b", 7) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _w double, _source string, _topic string, mix_own int")
+    got = mixing.mix(docs, {"source": 0.7, "lang": 0.8, "topic": 0.9}).collect()
+    assert len(got) == 30 and all((r["_w"], r["_source"], r["_topic"], r["mix_own"]) == (0.5, "a", "b", 7) and r["mix_weight"] > 0 for r in got)

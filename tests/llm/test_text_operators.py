@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from brute import components, contaminated, language_model, repeats
+from brute import components, contaminated, language_labels, language_model, repeats
 
 from cartwheel.llm import bitmap, decontam, langid, ngram_join, ngram_lm, suffix_dedup
 from cartwheel.llm.blocks import Words, flat, pack, shingles, unpack
@@ -133,7 +133,8 @@ def test_ngram_join_copy_of_a_marker(spark):
     first += [(3 + k, run(f"g{k}q", 90) + " " + passage) for k in range(3)]
     second = [(11, first[0][1]), (12, rarer + " " + run("y", 4) + " " + passage), (17, rarer + " " + run("l", 90))]
     docs = spark.createDataFrame(spark.sparkContext.parallelize([first, second], 2).flatMap(lambda rows: rows), "doc_id long, text string")  # two tasks
-    sent = [ngram_join._decode(bytes(r["payload"])) for r in ngram_join.shared_shingles(docs, 2000, cap=5).collect()]
+    copied = ngram_join.copied_sets(ngram_join.document_sets(docs))
+    sent = [ngram_join._decode(bytes(r["payload"])) for r in ngram_join.shared_shingles(docs, 2000, copied, cap=5).where("kind <> 2").collect()]
     found = {}
     for shingle, _, _, df in sent:
         for x, d in zip(shingle.tolist(), df.tolist(), strict=True):
@@ -143,6 +144,35 @@ def test_ngram_join_copy_of_a_marker(spark):
     assert got == components(first + second) and got[12][1] == 2
 
 
+def test_ngram_join_many_flushes(spark, monkeypatch):
+    """Many small flushes and many buckets: copies and single sets travel by different names and meet all the same."""
+    monkeypatch.setattr(ngram_join, "FLUSH", 300)
+    monkeypatch.setattr(ngram_join, "BUCKET", 40)
+    rows = [(d, t) for d, t in texts(spark)][:120]
+    rows += [(9000 + k, rows[k][1]) for k in range(0, 40, 3)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(frame(spark, rows)).collect()}
+    assert got == components(rows)
+
+
+def test_references_find_their_names():
+    rnd = np.random.default_rng(9)
+    fp = rnd.integers(1 << 62, 1 << 63, 30, dtype=np.uint64) | ngram_join._PRINT
+    size, several = rnd.integers(1, 99, 30), rnd.random(30) < 0.4
+    number = ngram_join.flush_number(12, 3)
+    shingle, who = np.sort(rnd.integers(0, 1 << 56, 500, dtype=np.uint64)), rnd.integers(0, 30, 500)
+    got_shingle, ref, sizes, df = ngram_join._decode_sent(ngram_join._encode_sent(shingle, who, number, several, fp, size, np.ones(500, np.uint16)))
+    assert (got_shingle == shingle).all() and (df == 1).all() and ((ref >= ngram_join._PRINT) == several[who]).all()
+    rows = list(ngram_join._to_classes(got_shingle, ref, sizes, df, 4))
+    other = pack([np.array([number + 1]), fp[:5], size[:5].astype(np.uint32)])
+    own = pack([np.array([number]), np.where(several, np.uint64(0), fp), size.astype(np.uint32)])
+    seen = []
+    for _, blob in rows:
+        s, r, n, _ = ngram_join._decode(blob)
+        f, n = ngram_join.named(r, n, [other, own])
+        seen += zip(s.tolist(), f.tolist(), n.tolist(), strict=True)
+    assert sorted(seen) == sorted(zip(shingle.tolist(), fp[who].tolist(), size[who].tolist(), strict=True))
+
+
 def test_filters_are_bounds():
     rnd = np.random.default_rng(2)
     for _ in range(200):
@@ -211,9 +241,27 @@ def test_language_model_null_ids_keep_their_rows(spark):
     for d in (None, 7):
         want = sorted(len(t.split()) + 1 for i, t in rows if i == d)
         assert sorted(r["n_tokens"] for r in got if r["doc_id"] == d) == want
-    doc_id, mark = np.full(3000, np.iinfo(np.int64).min), np.random.default_rng(5).integers(-2**62, 2**62, 3000)
-    dealt = ngram_lm.pack_sums(doc_id, mark, np.zeros(3000, bool), [np.ones(3000, np.int64)] * 5, 3)
-    assert dealt["part"].nunique() == 3  # rows without an id do not meet in one task
+
+
+def test_sums_meet_by_flush_and_place():
+    """Three flushes over two parts, their sums spread over several tasks' rows."""
+    import pandas as pd
+
+    rnd, sizes = np.random.default_rng(5), {ngram_lm.flush_number(t, k): n for t, k, n in ((0, 0, 40), (0, 1, 3), (7, 0, 500))}
+    want = {(f, i): np.zeros(4, np.int64) for f, n in sizes.items() for i in range(n)}
+    frames = [pd.DataFrame({"part": [int(ngram_lm.part_of(np.array([f]), 2)[0])], "kind": [ngram_lm.DIRECTORY],
+                            "payload": [pack([np.array([f]), np.arange(n) + f % 1000 * 1000, np.arange(n) % 2 == 0])]}) for f, n in sizes.items()]
+    for _ in range(6):
+        docs = sorted(k for k in want if rnd.random() < 0.5)
+        numbers = rnd.integers(-10**9, 10**9, (4, len(docs)))
+        for j, d in enumerate(docs):
+            want[d] += numbers[:, j]
+        frames.append(ngram_lm.pack_sums(np.array([d[0] for d in docs]), np.array([d[1] for d in docs]), list(numbers), 2))
+    rows = pd.concat(frames)
+    got = pd.concat([ngram_lm.add_sums((k,), part) for k, part in rows.groupby("part")])
+    assert len(got) == len(want)
+    told = {(r.doc_id, r.held): (r.n, r.known, round(r.base * ngram_lm.FIXED), round(r.score * ngram_lm.FIXED)) for r in got.itertuples()}
+    assert told == {(i + f % 1000 * 1000, i % 2 == 0): tuple(v) for (f, i), v in want.items()}
 
 
 # ---------------------------------------------------------------- decontamination
@@ -295,6 +343,30 @@ def test_language_id(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_language_id_against_brute_force(spark):
+    """The whole query, and odd texts, against a version that goes byte by byte."""
+    from cartwheel.llm.queries import QUERIES
+
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()]
+    want = language_labels([(t, lang) for d, t, lang in rows if zlib.crc32(str(d).encode()) % 5], [(d, t) for d, t, _ in rows], langid._SCRIPT_BIT)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in QUERIES["op10_language_id"](spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == want.keys()
+    assert all(got[d][0] == want[d][0] and abs(got[d][1] - want[d][1]) < 1e-6 for d in want)
+    train = [("the house and the garden are here " * 5, "en"), ("это дом и сад для людей " * 5, "ru"), ("der hund und das haus " * 5, "de"), (None, "de"), ("x", None)]
+    odd = [(1, None), (2, ""), (3, "12 !"), (4, "the дом the сад das haus"), (5, "日本"), (6, "a"), (7, "the house der hund " * 50)]
+    model = langid.train(spark.createDataFrame(train, "text string, lang string"))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    want = language_labels(train, odd, langid._SCRIPT_BIT)
+    assert all(got[d][0] == want[d][0] and abs(got[d][1] - want[d][1]) < 1e-6 for d in want) and len(got) == 7
+
+
+def test_language_id_clashing_names(spark):
+    model = langid.train(spark.createDataFrame([("the house", "en"), ("das haus", "de")], "text string, lang string"))
+    docs = spark.createDataFrame([(1, "the house", "x", 2.0, "y")], "doc_id long, body string, _letter string, _text double, _text_ string")
+    r = langid.identify(docs, model, text_col="body", keep=["doc_id", "_letter", "_text", "_text_"]).first()
+    assert (r["lang_pred"], r["_letter"], r["_text"], r["_text_"]) == ("en", "x", 2.0, "y")
+
+
 def test_language_id_spans_scripts_and_odd_rows(spark):
     train = spark.createDataFrame([("the house and the garden are with the people " * 20, "en"), ("der hund und das haus sind nicht die katze " * 20, "de"),
                                    ("это дом и сад для людей и собаки " * 20, "ru"), ("abc", None), (None, "en")], "text string, lang string")
