@@ -30,6 +30,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 RADIUS = 19
 THRESHOLD = 0.75
 SLICE_ITEMS = 5_000
+SCAN_BYTES = 1 << 18   # of text at a time: a byte of it takes some hundred while its windows are compared
 _PROBE_BITS = 22
 
 
@@ -111,7 +112,8 @@ class Index:
                 near = (value[:, None] ^ flips[None, :]).ravel()
                 who = np.repeat(np.arange(len(items)), len(flips))
                 order = np.argsort(near, kind="stable")
-                tables.append((np.concatenate(([0], np.cumsum(np.bincount(near, minlength=1 << BLOCK_BITS)))), who[order]))
+                off = np.concatenate(([0], np.cumsum(np.bincount(near, minlength=1 << BLOCK_BITS))))
+                tables.append((off.astype(np.int32), who[order].astype(np.int32)))   # a slice of items has few entries
             self.groups.setdefault(n, {})[size] = (items, fp, tables)
 
     @staticmethod
@@ -130,8 +132,9 @@ class Index:
         pairs = []
         for b, (off, who) in enumerate(tables):
             value = ((fp >> U(b * BLOCK_BITS)) & U(0xFFFF)).astype(np.int64)
-            length = off[value + 1] - off[value]
-            pairs.append(np.repeat(np.arange(len(fp)), length) * len(items) + who[ranges(off[value], length)])
+            first = off[value].astype(np.int64)
+            length = off[value + 1] - first
+            pairs.append(np.repeat(np.arange(len(fp)), length) * len(items) + who[ranges(first, length)])
         pair = np.unique(np.concatenate(pairs))
         window, k = pair // len(items), pair % len(items)
         distance = np.bitwise_count(fp[window] ^ own[k])
@@ -157,14 +160,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, threshold
     for shared in _slices(docs.sparkSession, benchmark, slice_items):
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(*shared.value, radius)
-            for batch, raw, off in text_blocks(batches, text_col):
+            for batch, raw, off in text_blocks(batches, text_col, SCAN_BYTES):
                 words = Words(raw, off)
                 sound = np.ones(batch.num_rows, bool)
                 for n in index.groups:
                     for doc, *_ in _scan(index, n, words, threshold):
                         sound[doc] = False
                 yield batch.filter(pa.array(sound))
-            give_back()
+                give_back()
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
@@ -184,7 +187,7 @@ def _slices(spark, benchmark: DataFrame, slice_items: int) -> list:
 def _matcher(shared, radius: int, threshold: float):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value, radius)
-        for batch, raw, off in text_blocks(batches):
+        for batch, raw, off in text_blocks(batches, max_bytes=SCAN_BYTES):
             words = Words(raw, off)
             best: dict[tuple[int, int], tuple] = {}
             for n in index.groups:
