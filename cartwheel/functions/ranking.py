@@ -25,10 +25,16 @@ from cartwheel.session import ensure_checkpoint_dir
 _LOW33 = (1 << 33) - 1
 
 
-def frozen_sorted(df: DataFrame, keys: Sequence, num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, locally sorted copy of ``df``, checkpointed."""
+def frozen_sorted(df: DataFrame, keys: Sequence, num_partitions: int | None = None, settle: bool = False) -> DataFrame:
+    """Range-partitioned, locally sorted copy of ``df``, checkpointed.
+
+    Range bounds are sampled, which runs the lineage of ``df`` twice; ``settle`` checkpoints it first, which pays
+    where the rows to sort are few against the work behind them (distinct values, counts per score).
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if settle:
+        df = df.checkpoint()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     return ordered.checkpoint(eager=True)
@@ -42,7 +48,7 @@ def _tag(frozen: DataFrame) -> DataFrame:
 
 
 def sorted_index(df: DataFrame, order: Sequence, within: Sequence[str] = (), index_col: str = "idx",
-                 num_partitions: int | None = None, with_counts: bool = False):
+                 num_partitions: int | None = None, with_counts: bool = False, settle: bool = False):
     """0-based position of each row in ``order`` (restarting per ``within`` group).
 
     ``order`` must be a total order (append a unique key) for a stable result.
@@ -52,7 +58,7 @@ def sorted_index(df: DataFrame, order: Sequence, within: Sequence[str] = (), ind
     that small offset table.
     """
     keys = [*within, *order]
-    tagged = _tag(frozen_sorted(df, keys, num_partitions))
+    tagged = _tag(frozen_sorted(df, keys, num_partitions, settle))
     stats = tagged.groupBy("_pid", *within).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_n"))
     counts = stats.groupBy(*within).agg(F.sum("_n").alias("n"))
     w = Window.partitionBy(*within).orderBy("_pid") if within else Window.orderBy("_pid")
@@ -64,14 +70,14 @@ def sorted_index(df: DataFrame, order: Sequence, within: Sequence[str] = (), ind
 
 
 def prefix_sums(df: DataFrame, order: Sequence, sums: Sequence[str], suffix: str = "_before",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, settle: bool = False) -> DataFrame:
     """For each row, the sum of ``sums`` columns over all rows strictly before it.
 
     Within a partition the running sum is a window partitioned by the
     partition id (one original partition per window group, bounded); across
     partitions the offsets come from the small per-partition totals table.
     """
-    tagged = _tag(frozen_sorted(df, list(order), num_partitions))
+    tagged = _tag(frozen_sorted(df, list(order), num_partitions, settle))
     totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sums])

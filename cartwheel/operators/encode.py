@@ -75,7 +75,7 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], numeric: Sequence[st
         for c in cat])).alias("kv")).select("kv.*")
     distinct = long.where("value is not null or text_value is not null").distinct()
     coded, counts = sorted_index(distinct, ["value", "text_value"], within=["field_id"], index_col="code",
-                                 num_partitions=num_partitions, with_counts=True)
+                                 num_partitions=num_partitions, with_counts=True, settle=True)
     rows = {r["field_id"]: r["n"] for r in counts.collect()}  # one row per field
     field_rows, base = [], 0
     for c in columns:
@@ -109,7 +109,7 @@ def extend_dictionary(d: FeatureDictionary, df: DataFrame, version: int, path: s
     old = d.values.select("field_id", F.col("value").alias("_v"), F.col("text_value").alias("_t"))
     same = (distinct["field_id"] == old["field_id"]) & distinct["value"].eqNullSafe(old["_v"]) & distinct["text_value"].eqNullSafe(old["_t"])
     coded, counts = sorted_index(distinct.join(old, same, "left_anti"), ["value", "text_value"], within=["field_id"], index_col="code",
-                                 num_partitions=num_partitions, with_counts=True)
+                                 num_partitions=num_partitions, with_counts=True, settle=True)
     sizes = {r["field_id"]: int(r["n"]) for r in counts.collect()}  # one row per field
     base, rows = d.total, []
     for r in d.field_rows:

@@ -23,7 +23,7 @@ def auc_exact(scored: DataFrame, label: str = "label", score: str = "score",
     per = (scored.groupBy(*group, score)
            .agg(F.sum(F.col(label).cast("bigint")).alias("pos"),
                 F.sum((1 - F.col(label)).cast("bigint")).alias("neg")))
-    pre = prefix_sums(per, [*group, score], ["neg"])
+    pre = prefix_sums(per, [*group, score], ["neg"], settle=True)
     if group:
         # prefix sums run over all groups in order; rebase at each group's start.
         # ``group`` is a report split (e.g. train/test): one row per group, broadcast

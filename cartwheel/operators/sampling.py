@@ -78,7 +78,7 @@ def item_index(items: DataFrame, seed: int = 42) -> DataFrame:
     """(sku_id, idx): distinct items numbered 0..n-1 in md5-shuffled order."""
     d = items.where(F.col("sku_id").isNotNull()).select("sku_id").distinct()
     d = d.withColumn("_h", _tagged_hash(seed, "item", "sku_id"))
-    return sorted_index(d, ["_h", "sku_id"], index_col="idx").select("sku_id", "idx")
+    return sorted_index(d, ["_h", "sku_id"], index_col="idx", settle=True).select("sku_id", "idx")
 
 
 def sample_sizes(action: DataFrame, n_items: Column, seed: int = 42) -> DataFrame:
