@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,9 +26,14 @@ from cartwheel.functions.exprs import ntz_from_utc, utc_instant, utc_micros
 WATERMARK_DELAY = "10 minutes"
 
 
+STAGED_ROWS = 5_000_000
+
+
 def stage_files(df: DataFrame, path: str, partition_by: str | None = None, files: int | None = None) -> str:
-    """Land a batch DataFrame as Parquet files a stream can pick up."""
-    w = (df.repartition(files) if files else df).write.mode("overwrite")
+    """Land a batch DataFrame as Parquet files a stream can pick up; partitioned, as a file a value up to ``STAGED_ROWS`` rows,
+    so a stream that takes some files at a time does not get more and smaller batches from more input tasks."""
+    df = df.repartition(files) if files else df.repartition(partition_by) if partition_by else df
+    w = df.write.mode("overwrite").option("maxRecordsPerFile", STAGED_ROWS)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
@@ -81,22 +87,29 @@ LATEST_STATE = "version long, ts array<long>, eid array<long>, sku array<long>"
 LATEST_OUT = "user_id long, version long, rnk long, sku_id long"
 
 
+def _newest(held: list[np.ndarray], pdf: pd.DataFrame, n: int) -> list[np.ndarray]:
+    """The newest ``n`` of the held (ts, eid, sku) and the rows; of equal ones those held come first."""
+    ts, eid, sku = [np.concatenate([h, pdf[c].astype("int64").to_numpy()]) for h, c in zip(held, ("ts_us", "event_id", "sku_id"), strict=True)]
+    order = np.lexsort((~eid, ~ts))[:n]
+    return [ts[order], eid[order], sku[order]]
+
+
+def _latest_rows(user: int, version: int, sku: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"user_id": np.full(len(sku), user, np.int64), "version": np.full(len(sku), version, np.int64),
+                         "rnk": np.arange(1, len(sku) + 1, dtype=np.int64), "sku_id": sku}, copy=False)
+
+
 def _latest_updater(n: int) -> Callable:
     def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        version, cur = 0, [np.zeros(0, np.int64)] * 3
         if state.exists:
-            version, ts, eid, sku = state.get
-            cur = pd.DataFrame({"ts": list(ts), "eid": list(eid), "sku": list(sku)}, dtype="int64")
-        else:
-            version, cur = 0, pd.DataFrame({"ts": [], "eid": [], "sku": []}, dtype="int64")
+            version, *cur = state.get
+            cur = [np.array(c, np.int64) for c in cur]
         for pdf in batches:  # keep only the newest n after every chunk: bounded memory per user
-            add = pd.DataFrame({"ts": pdf["ts_us"].astype("int64"), "eid": pdf["event_id"].astype("int64"),
-                                "sku": pdf["sku_id"].astype("int64")})
-            cur = (pd.concat([cur, add], ignore_index=True)
-                   .sort_values(["ts", "eid"], ascending=False, kind="mergesort").head(n))
+            cur = _newest(cur, pdf, n)
         version += 1
-        state.update((version, cur["ts"].tolist(), cur["eid"].tolist(), cur["sku"].tolist()))
-        yield pd.DataFrame({"user_id": [int(key[0])] * len(cur), "version": [version] * len(cur),
-                            "rnk": list(range(1, len(cur) + 1)), "sku_id": cur["sku"].tolist()})
+        state.update((version, *[c.tolist() for c in cur]))
+        yield _latest_rows(int(key[0]), version, cur[2])
     return update
 
 
@@ -128,18 +141,15 @@ class LatestItemsProcessor(StatefulProcessor):
         self.version = handle.getValueState("version", "v long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cols = ["ts", "eid", "sku"]
-        cur = pd.DataFrame(list(self.items.get()) if self.items.exists() else [], columns=cols, dtype="int64")
+        told = self.version.get()    # None: no list yet
+        items = list(self.items.get()) if told is not None else []
+        cur = [np.array([r[k] for r in items], np.int64) for k in range(3)]
         for pdf in rows:  # keep only the newest n after every chunk
-            add = pd.DataFrame({"ts": pdf["ts_us"].astype("int64"), "eid": pdf["event_id"].astype("int64"),
-                                "sku": pdf["sku_id"].astype("int64")})
-            cur = (pd.concat([cur, add], ignore_index=True)
-                   .sort_values(["ts", "eid"], ascending=False, kind="mergesort").head(self.n))
-        self.items.put([tuple(int(x) for x in r) for r in cur[cols].itertuples(index=False)])
-        version = (self.version.get()[0] if self.version.exists() else 0) + 1
+            cur = _newest(cur, pdf, self.n)
+        self.items.put(list(zip(*[c.tolist() for c in cur], strict=True)))
+        version = (told[0] if told is not None else 0) + 1
         self.version.update((version,))
-        yield pd.DataFrame({"user_id": [int(key[0])] * len(cur), "version": [version] * len(cur),
-                            "rnk": list(range(1, len(cur) + 1)), "sku_id": cur["sku"].tolist()})
+        yield _latest_rows(int(key[0]), version, cur[2])
 
     def close(self) -> None:
         pass

@@ -124,3 +124,19 @@ def test_refresh_while_a_reader_is_open(spark):
     assert open_reader.count() == before                       # its files are still there
     assert first.current(spark).version == second.version      # and the next look-up sees the new version
     assert first.current(spark).read(spark, "latest").count() == second.read(spark, "latest").count()
+
+
+def test_staged_files_follow_the_days_not_the_input_tasks(spark, tmp_path):
+    """A stream that takes some files at a time gets as many batches from many input tasks as from one."""
+    rows = spark.range(0, 600, numPartitions=12).select("id", (F.col("id") % 3).alias("dt"))
+    J.stage_files(rows, str(tmp_path / "in"), partition_by="dt")
+    assert len(list((tmp_path / "in").rglob("*.parquet"))) == 3 and spark.read.parquet(str(tmp_path / "in")).count() == 600
+
+
+def test_newest_keeps_held_rows_first_among_equal_ones():
+    import numpy as np
+    import pandas as pd
+
+    held = [np.array([5, 3]), np.array([1, 1]), np.array([10, 11])]
+    got = J._newest(held, pd.DataFrame({"ts_us": [5, 9, 3], "event_id": [1, 0, 2], "sku_id": [20, 21, 22]}), 4)
+    assert [x.tolist() for x in got] == [[9, 5, 5, 3], [0, 1, 1, 2], [21, 10, 20, 22]]
