@@ -75,27 +75,31 @@ def _block_cooccurrence(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"e1": e1[keep], "e2": e2[keep], "co": co[keep]})
 
 
-def _sizes(incidence: DataFrame) -> tuple[int, int]:
-    r = incidence.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("entity").alias("e")).first()
-    return int(r["n"]), int(r["e"])
+def _salts(incidence: DataFrame, blocks: int, rows_per_group: int) -> int:
+    """Salts that keep a block pair's group at about ``rows_per_group`` rows: it holds the rows of two blocks."""
+    largest = incidence.groupBy(_block(blocks)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return math.ceil(2 * largest / rows_per_group)
 
 
-def cooccurrence(incidence: DataFrame, block_size: int = 1024, rows_per_group: int = 2_000_000,
+def _block(blocks: int):
+    return F.pmod(F.xxhash64(F.col("entity").cast("bigint")), F.lit(blocks)).cast("int").alias("blk")
+
+
+def cooccurrence(incidence: DataFrame, block_size: int = 1024, rows_per_group: int = 500_000,
                  blocks: int | None = None, salts: int | None = None) -> DataFrame:
     """Directed co-occurrence counts (e1, e2, co) for e1 ≠ e2 sharing a user.
 
     ``incidence`` holds distinct (user, entity) rows (both bigint).
     """
     if blocks is None or salts is None:
-        n_rows, n_ent = _sizes(incidence)
-        blocks = blocks or max(1, math.ceil(n_ent / block_size))
+        blocks = blocks or max(1, math.ceil(incidence.select("entity").distinct().count() / block_size))
         pairs = blocks * (blocks + 1) // 2
         # groups enough for every slot, and no more than the rows need beyond that
         slots = incidence.sparkSession.sparkContext.defaultParallelism
-        salts = salts or max(math.ceil(n_rows / (rows_per_group * pairs)), math.ceil(slots / pairs), 2)
+        salts = salts or max(_salts(incidence, blocks, rows_per_group), math.ceil(slots / pairs), 2)
     inc = incidence.select(
         F.col("user").cast("bigint").alias("user"), F.col("entity").cast("bigint").alias("entity"),
-        F.pmod(F.xxhash64("entity"), F.lit(blocks)).cast("int").alias("blk"),
+        _block(blocks),
         F.pmod(F.xxhash64(F.col("user"), F.lit(7)), F.lit(salts)).cast("int").alias("salt"))
     touched = inc.groupBy("user").agg(F.collect_set("blk").alias("blks"))  # at most K ids per user
     routed = (inc.join(touched, "user")

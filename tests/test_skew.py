@@ -78,3 +78,11 @@ def test_negative_draws_split_in_chunks_are_identical(spark, skewed):
 def test_negative_samples_without_items_is_empty(spark):
     df = spark.createDataFrame([(1, None, 1, dt.datetime(2024, 1, 1), 1)], ACT)
     assert SM.negative_samples(df).count() == 0
+
+
+def test_groups_of_block_pairs_stay_small(spark):
+    """Salts count what a group really holds: the rows of two blocks, also when one block has most rows."""
+    rows = spark.range(3000).selectExpr("id as user", "IF(id % 10 < 8, 3L, id % 25) as entity")
+    salts = S._salts(rows, 3, 500)
+    held = rows.groupBy(S._block(3)).count().agg({"count": "max"}).first()[0]
+    assert 2 * held / salts <= 500 < 2 * held / (salts - 1)
