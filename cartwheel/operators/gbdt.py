@@ -2,11 +2,14 @@
 
 * A numeric column becomes at most ``MAX_BINS`` bins (its distinct values if there are no more, else percentiles); a
   categorical column's bins are its values, however many.
-* A round scans the rows once.  A task sends rows down the splits known so far and adds up gradients and hessians by
-  (tree, node, feature, bin) for the nodes that are new; Spark adds the tasks' sums.  Numeric bins are scanned in order.
-  Categories with ``CAT_SMOOTH`` rows in the node or more are ordered by gradient / (hessian + CAT_SMOOTH), and sets of up
-  to ``MOST_CATEGORIES`` from either end are tried: the window that ranks them keeps that many rows a group before its
-  exchange, so no group of millions of categories is ever sorted whole.
+* Histograms are sums of gradients and hessians by (tree, node, feature, bin).  One aggregate gives the roots'.  A later round
+  reads only the rows of the smaller child of every split that is new (the scan filters them by that split, a task by
+  the way above it) and stores its histogram; the larger child's is that of the last stored node above it, less the stored
+  ones split off since.  Sums are integers, so the difference is exact.
+* Numeric bins are scanned in order.  Categories with ``CAT_SMOOTH`` rows in the node or more are ordered by gradient /
+  (hessian + CAT_SMOOTH), and sets of up to ``MOST_CATEGORIES`` from either end are tried: the window that ranks them keeps
+  that many rows a group before its exchange, so no group of millions of categories is ever sorted whole.  A category
+  with fewer rows in a node has no more below it.
 * Growth is best first: the leaf of largest gain splits next, until the tree has ``leaves`` leaves.  A leaf's best split
   does not depend on that order, so a round looks at the children of every leaf that may still be chosen, in all trees
   at once (the folds of a cross validation are trees of one job), and the driver replays the order.
@@ -63,7 +66,7 @@ class Bins:
     def text(self, k: int) -> Column:
         """A bin as text: numbers have five digits, so they sort; a missing category is empty."""
         if self.features[k] in self.edges:
-            return F.format_string("%05d", F.col(f"b{k}"))
+            return F.lpad(F.col(f"b{k}").cast("string"), 5, "0")
         return F.coalesce(F.col(f"b{k}").cast("string"), F.lit(""))
 
 
@@ -125,6 +128,25 @@ class Tree:
             offer(node + "R")
         return []
 
+    def sums(self, node: str) -> tuple[int, int, int]:
+        if not node:
+            return self.total
+        s = self.best[node[:-1]]
+        return s.left if node[-1] == "L" else s.right
+
+    def smaller(self, node: str) -> str:
+        """The child of a split node that has fewer rows (the left one of equal ones)."""
+        s = self.best[node]
+        return node + ("L" if s.left[2] <= s.right[2] else "R")
+
+    def made_of(self, node: str) -> tuple[str, list[str]]:
+        """The node's histogram: that of the nearest smaller child (or root) at or above it, less those of the smaller children between."""
+        less: list[str] = []
+        while node and node != self.smaller(node[:-1]):
+            less.append(self.smaller(node[:-1]))
+            node = node[:-1]
+        return node, less
+
     def leaves(self) -> dict[str, tuple[int, int, int]]:
         out = {"": self.total}
         for node in self.order:
@@ -198,10 +220,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], n_features: int, rows: int = 1 <<
 
 @dataclass
 class Data:
-    """Rows as a written table (label, fold, b0 ..); tree t trains on the rows whose fold is not t."""
+    """Rows as a written table (label, fold, b0 ..: bins as text); tree t trains on the rows whose fold is not t."""
     path: str
     bins: Bins
-    shares: dict[int, float]    # of positive labels among a tree's training rows
+    shares: dict[int, float]              # of positive labels among a tree's training rows
+    sizes: dict[int, tuple[int, int]]     # a tree's training rows, and the positive ones
 
     @staticmethod
     def write(rows: DataFrame, bins: Bins, trees: int = 1, label: str = "label") -> Data:
@@ -209,17 +232,18 @@ class Data:
         spark = rows.sparkSession
         path = shared_path(spark, "gbdt_rows")
         y = F.coalesce((F.col(label) > 0).cast("int"), F.lit(0))
-        rows.select(y.alias("label"), F.col("fold").cast("int").alias("fold"), *bins.columns()).write.parquet(path)
+        texts = [bins.text(k).alias(f"b{k}") for k in range(len(bins.features))]
+        rows.select(y.alias("label"), F.col("fold").cast("int").alias("fold"), *bins.columns()).select("label", "fold", *texts).write.parquet(path)
         told = spark.read.parquet(path).groupBy("fold").agg(F.sum("label").alias("y"), F.count("*").alias("n")).collect()  # a row a fold
-        shares = {}
+        sizes = {}
         for t in range(trees):
             n, y = sum(r["n"] for r in told if r["fold"] != t), sum(r["y"] for r in told if r["fold"] != t)
             if n:
-                shares[t] = y / n
-        return Data(path, bins, shares)
+                sizes[t] = n, y
+        return Data(path, bins, {t: y / n for t, (n, y) in sizes.items()}, sizes)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).select("label", "fold", *[self.bins.text(k).alias(f"b{k}") for k in range(len(self.bins.features))])
+        return spark.read.parquet(self.path).select("label", "fold", *[f"b{k}" for k in range(len(self.bins.features))])
 
     def base(self, t: int) -> float:
         p = min(max(self.shares[t], 1e-15), 1 - 1e-15)
@@ -230,38 +254,125 @@ class Data:
         p = min(max(self.shares[t], 1e-15), 1 - 1e-15)
         return np.array([math.floor(p * SCALE), math.floor((p - 1) * SCALE)], np.int64), math.floor(p * (1 - p) * SCALE)
 
+    def total(self, t: int) -> tuple[int, int, int]:
+        """(gradient, hessian, rows) of a tree's training rows."""
+        (g, h), (n, y) = self.gradients(t), self.sizes[t]
+        return (n - y) * int(g[0]) + y * int(g[1]), n * h, n
+
+
+CELL = "tree int, node string, feature int, bin string, g long, h long, n long"
+
+
+def _small(spark: SparkSession, rows: list[tuple], shape: str) -> DataFrame:
+    """A table of a few rows that needs no task of its own."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+    names, types = zip(*[c.split() for c in shape.split(", ")], strict=True)
+    return spark.createDataFrame(pa.table([pa.array(c, kinds[t]) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list(names)))
+
 
-def _histograms(data: Data, spark: SparkSession, splits: dict[int, dict[str, Split]], wanted: dict[int, list[str]]) -> DataFrame:
-    """(tree, node, feature, bin, g, h, n) of the wanted nodes."""
+def _kept(hist: DataFrame, numeric: Sequence[int]) -> DataFrame:
+    """Without empty bins and categories of too few rows to be ordered, here or in any node below."""
+    return hist.where(F.col("n") >= F.when(F.col("feature").isin(list(numeric)), 1).otherwise(CAT_SMOOTH))
+
+
+def _root_histograms(data: Data, spark: SparkSession, trees: Sequence[int]) -> DataFrame:
+    """``CELL`` rows of all roots: counts by (feature, bin) of the rows of all folds but the tree's."""
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"b{f}").alias("bin")) for f in range(len(data.bins.features))]))
+    counts = []
+    for t in trees:
+        mine = F.coalesce(F.col("fold") != t, F.lit(False))
+        counts += [F.count_if(mine).alias(f"n{t}"), F.count_if(mine & (F.col("label") == 1)).alias(f"y{t}")]
+    told = data.read(spark).select("label", "fold", cells.alias("cell")).groupBy("cell.feature", "cell.bin").agg(*counts)
+    sums = []
+    for t in trees:
+        (g, h), n, y = data.gradients(t), F.col(f"n{t}"), F.col(f"y{t}")
+        sums.append(F.struct(F.lit(t).alias("tree"), F.lit("").alias("node"), "feature", "bin",
+                             ((n - y) * F.lit(int(g[0])) + y * F.lit(int(g[1]))).alias("g"), (n * F.lit(h)).alias("h"), n.alias("n")))
+    return told.select(F.explode(F.array(*sums)).alias("cell")).select("cell.*")
+
+
+def _histograms(data: Data, spark: SparkSession, trees: dict[int, Tree], wanted: dict[int, list[str]]) -> DataFrame:
+    """``CELL`` rows of the wanted nodes, from their rows."""
     n_features = len(data.bins.features)
     steps = {t: data.gradients(t) for t in wanted}
+    ways = {t: {n: [(trees[t].best[n[:k]], n[k]) for k in range(len(n) - 1, -1, -1)] for n in nodes} for t, nodes in wanted.items()}   # nearest split first
+
+    def taken(t: int, s: Split, side: str) -> Column:
+        bin_ = F.col(f"b{s.feature}")
+        left = bin_ <= s.upto if s.categories is None else bin_.isin(s.categories)
+        return (F.col("fold") != t) & (left if side == "L" else ~left)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, n_features):
-            for t, nodes in wanted.items():
-                at, names = block.nodes(splits.get(t, {}))
-                is_wanted = np.array([n in set(nodes) for n in names])
-                rows = np.flatnonzero((block.fold != t) & is_wanted[at])
-                if not len(rows):
-                    continue
-                g, h = steps[t][0][block.label[rows]], steps[t][1]
-                for f in range(n_features):
-                    size = len(block.bins[f])
-                    cell, inverse, n = np.unique(at[rows].astype(np.int64) * size + block.codes[f][rows], return_inverse=True, return_counts=True)
-                    sums = np.bincount(inverse, weights=g, minlength=len(cell))   # below 2**53: a block has 2**17 rows at most
-                    yield pa.record_batch([pa.array(np.full(len(cell), t, np.int32)), pa.array([names[k] for k in (cell // size).tolist()], pa.string()),
-                                           pa.array(np.full(len(cell), f, np.int32)), pa.array(block.bins[f][cell % size].tolist(), pa.string()),
-                                           pa.array(sums.astype(np.int64)), pa.array(n * h), pa.array(n)], ["tree", "node", "feature", "bin", "g", "h", "n"])
-
-    parts = data.read(spark).mapInArrow(add, "tree int, node string, feature int, bin string, g long, h long, n long")
+            cells: list[tuple[np.ndarray, ...]] = []
+            for t, nodes in ways.items():
+                mine = np.flatnonzero(block.fold != t)
+                for node, way in nodes.items():
+                    rows = mine
+                    for s, side in way:
+                        if not len(rows):
+                            break
+                        rows = rows[block.left(s, rows) == (side == "L")]
+                    if not len(rows):
+                        continue
+                    g, h = steps[t][0][block.label[rows]], steps[t][1]
+                    for f in range(n_features):
+                        cell, inverse, n = np.unique(block.codes[f][rows], return_inverse=True, return_counts=True)
+                        sums = np.bincount(inverse, weights=g, minlength=len(cell)).astype(np.int64)   # below 2**53: a block has 2**17 rows at most
+                        size = len(cell)
+                        cells.append((np.full(size, t, np.int32), np.full(size, node, object), np.full(size, f, np.int32), block.bins[f][cell], sums, n * h, n))
+            if cells:
+                columns = [np.concatenate(c) for c in zip(*cells, strict=True)]
+                yield pa.record_batch([pa.array(c, pa.string()) if c.dtype == object else pa.array(c) for c in columns], ["tree", "node", "feature", "bin", "g", "h", "n"])
+
+    some = F.lit(False)
+    for t, nodes in ways.items():
+        for way in nodes.values():
+            some = some | taken(t, *way[0])
+    parts = data.read(spark).where(some).mapInArrow(add, CELL)
     return parts.groupBy("tree", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
 
 
-def _best_splits(hist: DataFrame, numeric: Sequence[int], reg: float, min_rows: int, most: int) -> DataFrame:
-    """(tree, node, tg, th, tn, feature, upto, categories, gain, lg, lh, ln) of nodes that have a split of positive gain;
-    one row with a NULL gain for every other node."""
+class _Stored:
+    """Histograms of the roots and of smaller children, written round by round."""
+
+    def __init__(self, spark: SparkSession, numeric: Sequence[int]):
+        self.spark, self.numeric = spark, list(numeric)
+        self.top = shared_path(spark, "gbdt_histograms")
+        self.round: dict[tuple[int, str], int] = {}
+        self.rounds = 0
+
+    def add(self, hist: DataFrame, nodes: dict[int, list[str]]) -> None:
+        hist.write.parquet(f"{self.top}/{self.rounds}")
+        self.round |= {(t, n): self.rounds for t, some in nodes.items() for n in some}
+        self.rounds += 1
+
+    def _read(self, wanted: dict[tuple[int, str], str]) -> DataFrame:
+        """Cells of the stored nodes in ``wanted``, under the name of the node they are for."""
+        paths = [f"{self.top}/{k}" for k in sorted({self.round[key] for key in wanted})]
+        names = _small(self.spark, [(t, n, to) for (t, n), to in wanted.items()], "tree int, node string, to string")   # at most trees x leaves
+        cells = self.spark.read.schema(CELL).parquet(*paths).join(F.broadcast(names), ["tree", "node"])
+        return cells.select("tree", F.col("to").alias("node"), "feature", "bin", "g", "h", "n")
+
+    def of(self, trees: dict[int, Tree], nodes: dict[int, list[str]]) -> DataFrame:
+        """``CELL`` rows of the nodes."""
+        base, less = {}, {}
+        for t, some in nodes.items():
+            for node in some:
+                start, gone = trees[t].made_of(node)
+                base[t, start] = node
+                less |= {(t, n): node for n in gone}
+        out, key = self._read(base), ["tree", "node", "feature", "bin"]
+        if less:
+            gone = self._read(less).groupBy(*key).agg(*[F.sum(c).alias(f"-{c}") for c in ("g", "h", "n")])
+            out = out.join(gone, key, "left").select(*key, *[(F.col(c) - F.coalesce(F.col(f"-{c}"), F.lit(0))).alias(c) for c in ("g", "h", "n")])
+        return _kept(out, self.numeric)
+
+
+def _best_splits(hist: DataFrame, totals: DataFrame, numeric: Sequence[int], reg: float, min_rows: int, most: int) -> DataFrame:
+    """(tree, node, feature, upto, categories, gain, lg, lh, ln) of the nodes that have a split of positive gain; ``totals``: (tree,
+    node, tg, th, tn), a row a node."""
     hist = hist.withColumn("numeric", F.col("feature").isin(list(numeric)) if numeric else F.lit(False))
-    totals = hist.where("feature = 0").groupBy("tree", "node").agg(F.sum("g").alias("tg"), F.sum("h").alias("th"), F.sum("n").alias("tn"))
     group = ["tree", "node", "feature"]
 
     def running(df: DataFrame, way: int, order: list[Column], l2: float) -> DataFrame:
@@ -277,7 +388,7 @@ def _best_splits(hist: DataFrame, numeric: Sequence[int], reg: float, min_rows:
     for way, order in ((1, [F.asc("ratio"), F.asc("bin")]), (2, [F.desc("ratio"), F.asc("bin")])):
         ends.append(running(top_n_per_group(cats, group, order, most), way, order, reg + CAT_L2))
     cuts = running(hist.where("numeric"), 0, [F.asc("bin")], reg).unionByName(ends[0]).unionByName(ends[1])
-    c = cuts.join(totals, ["tree", "node"]).where((F.col("ln") >= min_rows) & (F.col("tn") - F.col("ln") >= min_rows))
+    c = cuts.join(F.broadcast(totals), ["tree", "node"]).where((F.col("ln") >= min_rows) & (F.col("tn") - F.col("ln") >= min_rows))
 
     def part(g: Column, h: Column, l2: Column) -> Column:
         g, h = g / F.lit(SCALE), h / F.lit(SCALE)
@@ -287,29 +398,30 @@ def _best_splits(hist: DataFrame, numeric: Sequence[int], reg: float, min_rows:
             - part(F.col("tg"), F.col("th"), F.lit(float(reg))))
     c = c.withColumn("gain", gain).where("gain > 0")
     best = top_n_per_group(c, ["tree", "node"], [F.desc("gain"), F.asc("feature"), F.asc("way"), F.asc("pos")], 1)
-    return totals.join(best.drop("tg", "th", "tn", "rnk", "l2", "way", "pos"), ["tree", "node"], "left")
+    return best.drop("tg", "th", "tn", "rnk", "l2", "way", "pos")
 
 
 def grow(data: Data, spark: SparkSession, leaves: int = LEAVES, reg: float = 0.0, min_rows: int = MIN_ROWS,
          most: int = MOST_CATEGORIES) -> dict[int, Tree]:
     """Grow one tree for every number in ``data.shares``."""
     numeric = [k for k, c in enumerate(data.bins.features) if c in data.bins.edges]
-    trees = {t: Tree() for t in data.shares}
+    trees = {t: Tree(data.total(t)) for t in data.sizes}
+    stored = _Stored(spark, numeric)
+    if trees:
+        stored.add(_kept(_root_histograms(data, spark, list(trees)), numeric), {t: [""] for t in trees})
     wanted = {t: [""] for t in trees}
-    splits: dict[int, dict[str, Split]] = {t: {} for t in trees}
     while wanted:
-        for r in _best_splits(_histograms(data, spark, splits, wanted), numeric, reg, min_rows, most).collect():  # a row a node
-            tree, total = trees[r["tree"]], (r["tg"], r["th"], r["tn"])
-            if r["node"] == "":
-                tree.total = total
-            left = (r["lg"], r["lh"], r["ln"])
-            tree.best[r["node"]] = None if r["gain"] is None else Split(
-                r["gain"], r["feature"], r["categories"], r["upto"], left, tuple(a - b for a, b in zip(total, left, strict=True)))
-        wanted = {}
-        for t, tree in trees.items():
-            if new := tree.replay(leaves):
-                splits[t] |= {n: tree.best[n] for n in new}
-                wanted[t] = [n + side for n in new for side in "LR"]
+        able = {t: some for t, nodes in wanted.items() if (some := [n for n in nodes if trees[t].sums(n)[2] >= 2 * min_rows])}
+        for t, nodes in wanted.items():
+            trees[t].best |= dict.fromkeys(nodes)
+        if scanned := {t: some for t, nodes in able.items() if (some := sorted({trees[t].smaller(n[:-1]) for n in nodes if n}))}:
+            stored.add(_histograms(data, spark, trees, scanned), scanned)
+        if able:
+            totals = _small(spark, [(t, n, *trees[t].sums(n)) for t, nodes in able.items() for n in nodes], "tree int, node string, tg long, th long, tn long")
+            for r in _best_splits(stored.of(trees, able), totals, numeric, reg, min_rows, most).collect():  # a row a node
+                total, left = trees[r["tree"]].sums(r["node"]), (r["lg"], r["lh"], r["ln"])
+                trees[r["tree"]].best[r["node"]] = Split(r["gain"], r["feature"], r["categories"], r["upto"], left, tuple(a - b for a, b in zip(total, left, strict=True)))
+        wanted = {t: [n + side for n in new for side in "LR"] for t, tree in trees.items() if (new := tree.replay(leaves))}
     return trees
 
 

@@ -126,3 +126,28 @@ def test_constant_label_and_nulls(spark):
     data = G.Data.write(df.withColumn("fold", F.lit(-1)), bins)
     assert list(G.grow(data, spark, 5)[0].leaves()) == [""]
     assert G.grow(G.Data.write(df.limit(0).withColumn("fold", F.lit(-1)), bins), spark, 5) == {}
+
+
+def test_rounds_read_smaller_children_only(spark, monkeypatch):
+    """No round reads more than half of the rows of a split node, and no stored histogram differs from the rows it stands for."""
+    df = spark.createDataFrame(sample(1500, 4), "label int, c string, d int, x double").repartition(3)
+    bins = G.fit_bins(df, ["c", "d", "x"], ["c", "d"])
+    data = G.Data.write(df.withColumn("fold", F.lit(-1)), bins)
+    read, plain = [], G._histograms
+
+    def seen(data, spark, trees, wanted):
+        read.extend((trees[t].sums(n[:-1])[2], trees[t].sums(n)[2]) for t, nodes in wanted.items() for n in nodes)
+        return plain(data, spark, trees, wanted)
+
+    monkeypatch.setattr(G, "_histograms", seen)
+    tree = G.grow(data, spark, 12)[0]
+    assert read and all(2 * n <= parent for parent, n in read)
+    stored = G._Stored(spark, [2])
+    stored.add(G._root_histograms(data, spark, [0]), {0: [""]})
+    small = [tree.smaller(n) for n in tree.order]
+    stored.add(plain(data, spark, {0: tree}, {0: small}), {0: small})
+    ends = list(tree.leaves())
+    key = ["node", "feature", "bin", "g", "h", "n"]
+    got = {tuple(r) for r in stored.of({0: tree}, {0: ends}).select(*key).collect()}
+    want = {tuple(r) for r in G._kept(plain(data, spark, {0: tree}, {0: ends}), [2]).select(*key).collect()}
+    assert got == want
