@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions import bloom
@@ -128,12 +128,18 @@ def behaviour_score(type_col: str = "type"):
 
 
 def user_brand_score(enriched: DataFrame, min_actions: int = 5) -> DataFrame:
-    """Sum of behaviour weights per (active user, brand); all-missing sums are 0."""
-    act = active_actions(enriched, min_actions)
-    return (act.where(F.col("brand").isNotNull())
+    """Sum of behaviour weights per (active user, brand); all-missing sums are 0.
+
+    One pass: sums and action counts per (user, brand), without a brand too, then a user's actions as a window over those
+    few rows.  No task sorts or joins the log itself."""
+    sums = (enriched.where(F.col("user_id").isNotNull())
             .withColumn("score", behaviour_score())
             .groupBy("user_id", "brand")
-            .agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("score")))
+            .agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("score"), F.count("sku_id").alias("_n")))
+    actions = F.sum("_n").over(Window.partitionBy("user_id"))
+    return (sums.withColumn("_actions", actions)
+            .where((F.col("_actions") >= min_actions) & F.col("brand").isNotNull())
+            .select("user_id", "brand", "score"))
 
 
 def distinct_sets(action: DataFrame) -> DataFrame:

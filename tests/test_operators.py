@@ -145,3 +145,14 @@ def test_small_scores_are_not_rounded_away(spark):
     sim = spark.createDataFrame([(1, 2, 1, 1e-9), (1, 3, 1, 1.0000001e-9)], "brand1 long, brand2 long, co long, sim double")
     got = C.cf_brands(seeds, product, sim, k=5, decay=0.9).orderBy("rnk").collect()
     assert [r.brand for r in got] in ([3, 2], [2, 3]) and all(r.score > 0 for r in got)
+
+
+def test_brand_scores_read_the_log_once(spark, tmp_path):
+    """Users of five actions or more count, those without a brand too; the log is neither joined with itself nor sorted."""
+    rows = [(1, 10, 1, 7), (1, 11, 2, 7), (1, 12, 9, 8), (1, 13, 1, None), (1, 14, 3, 7), (2, 10, 1, 7), (2, None, 2, 7), (None, 10, 1, 7),
+            *[(3, k, None, 9) for k in range(5)], *[(4, None, 1, 9)] * 6, (4, 1, 1, 9), *[(5, 1, 2, None)] * 5]
+    spark.createDataFrame(rows, "user_id long, sku_id long, type int, brand int").write.parquet(f"{tmp_path}/log")
+    scores = R.user_brand_score(spark.read.parquet(f"{tmp_path}/log"))
+    assert {(r["user_id"], r["brand"]): round(r["score"], 6) for r in scores.collect()} == {(1, 7): 0.8, (1, 8): 0.0, (3, 9): 0.0}
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
