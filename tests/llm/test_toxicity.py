@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.llm import toxicity as T
 from cartwheel.llm.queries import QUERIES
@@ -155,3 +156,34 @@ def test_odd_rows(spark):
         assert all(abs(r["score"] - share) < 1e-6 for r in T.score(docs, net, keep=["doc_id"]).collect())
     net = T.fit(docs.limit(0), labels, bits=12)
     assert T.score(docs.limit(0), net, keep=["doc_id"]).count() == 0
+
+
+def test_every_label_trains(spark, monkeypatch):
+    """All labelled texts lie in the blocks or on the side, the long one too; several blocks learn what one does."""
+    rnd = np.random.default_rng(4)
+    plain = ["red", "blue", "tree", "house", "water", "stone", "cloud", "river"]
+    rows = [(k, " ".join([*rnd.choice(plain, 6), "idiot" if k % 4 == 0 else "friend"]), "en") for k in range(600)]
+    rows.append((600, "idiot " + "water " * 60_000, "en"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(601)], "doc_id long, toxic int")
+    seen, plain_blocks, plain_logits = [], T._blocks, T._logits
+    monkeypatch.setattr(T, "_blocks", lambda learn, n: seen.append((n, learn.count())) or plain_blocks(learn, n))
+    monkeypatch.setattr(T, "_logits", lambda hold, net: seen.append(hold.count()) or plain_logits(hold, net))
+    net = T.fit(docs, labels, bits=12, block_rows=100)
+    assert seen[0][0] > 3 and seen[0][1] + seen[1] == 601
+    got = {r["doc_id"]: r["score"] for r in T.score(docs, net, keep=["doc_id"]).collect()}
+    assert min(v for k, v in got.items() if k % 4 == 0) > max(v for k, v in got.items() if k % 4)
+
+
+def test_calibration_by_aggregates(spark):
+    rnd = np.random.default_rng(9)
+    z = np.round(rnd.normal(0, 2, 500), 1)
+    y = (rnd.random(500) < T._sigmoid(1.5 * z - 1)).astype(int)
+    lang = rnd.choice(["en", "fr"], 500)
+    told = spark.createDataFrame([(str(a), int(b), float(c)) for a, b, c in zip(lang, y, z, strict=True)], "lang string, toxic int, z double")
+    w = np.where(y > 0, 0.7, 1.2)
+    assert np.allclose(T.platt_of(told, 1.2, 0.7), T.platt(z, y, w))
+    s = T._sigmoid(z)
+    got = T.thresholds_of(told.select("lang", "toxic", T._sure(F.col("z")).alias("score")), 1.2, 0.7)
+    want = {None: T.best_threshold(s, y, w)} | {v: T.best_threshold(s[lang == v], y[lang == v], w[lang == v]) for v in ("en", "fr")}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
