@@ -34,9 +34,10 @@ from cartwheel.functions.ranking import prefix_sums
 from cartwheel.llm.blocks import _WHITE, U, PrefixHash, Words, flat, give_back, mix, pack, unpack
 from cartwheel.session import shared_path
 
-BLOCK_ROWS = 8_000
-BLOCK_BYTES = 1 << 26   # of word rows in a block
+BLOCK_ROWS = 4_000
+BLOCK_BYTES = 1 << 25   # of word rows in a block
 PIECE_WORDS = 1 << 18
+MOST_SENT = 4_000_000   # labels sent to all tasks; more are joined by a shuffle of the texts
 SHARDS = 32             # of the table, for averaging
 BITS = 18
 DIM = 8
@@ -343,6 +344,8 @@ def _blocks(learn: DataFrame, n: int) -> DataFrame:
     def packed(key: tuple, table: pa.Table) -> pa.Table:
         told = sorted(zip(*[table.column(c).to_pylist() for c in ("key", "rows", "lang", "toxic")], strict=True), key=lambda r: (r[0], r[1], r[2] or "", r[3]))
         blob = pack([np.array([len(r[1]) // 12 for r in told], np.int64), np.array([r[3] for r in told], np.float64), np.frombuffer(b"".join(r[1] for r in told), np.int32)])
+        del told
+        give_back()
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "blob": pa.array([blob], pa.binary())})
 
     path = shared_path(learn.sparkSession, "toxicity_blocks")
@@ -470,7 +473,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     told = marks.groupBy("id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in told.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     clean, toxic = float(sizes.get(0, 0)), float(sizes.get(1, 0))
-    picked = texts.where("text is not null").join(told, "id").select(F.xxhash64("id", "text").alias("key"), "text", "lang", "toxic")
+    picked = texts.where("text is not null").join(F.broadcast(told) if clean + toxic <= MOST_SENT else told, "id").select(F.xxhash64("id", "text").alias("key"), "text", "lang", "toxic")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
