@@ -7,8 +7,10 @@ with the incoming requests (see ``cartwheel.streaming.candidates``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +18,83 @@ from cartwheel.functions.exprs import fixed, h64, unfixed
 from cartwheel.operators.topn import top_n_per_group
 
 
+_LIST = 256           # neighbours in a list; longer ones are cut
+_PAIRS = 1 << 21      # (user, candidate) pairs added up at once
+
+
+def _pair_sums(user: np.ndarray, item: np.ndarray, score: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums of scores, and whether seen, by (user, item), in order."""
+    least, span = int(item.min()), int(item.max()) - int(item.min()) + 1
+    if span * (int(user.max()) + 1) < 1 << 62:
+        order = np.argsort(user.astype(np.int64) * span + (item - least))
+    else:
+        order = np.lexsort((item, user))
+    user, item = user[order], item[order]
+    first = np.flatnonzero(np.concatenate(([True], (user[1:] != user[:-1]) | (item[1:] != item[:-1]))))
+    return user[first], item[first], np.add.reduceat(score[order], first), np.logical_or.reduceat(seen[order], first)
+
+
+def _best_unseen(n: int):
+    """Rows (user_id, sku_id, cands, scores), a user's one after the other -> (user_id, rnk, cand, score)."""
+    def best(names: list, user: np.ndarray, item: np.ndarray, score: np.ndarray, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        user, item, score = user[~seen], item[~seen], score[~seen]
+        ends, kept, rank = np.searchsorted(user, np.arange(len(names) + 1)), [], []
+        for lo, hi in zip(ends, ends[1:], strict=False):
+            at = np.arange(lo, hi)
+            if hi - lo > n:
+                at = at[score[lo:hi] >= np.partition(score[lo:hi], hi - lo - n)[hi - lo - n]]      # and all that tie with the last
+            kept.append(at[np.lexsort((item[at], -score[at]))][:n])
+            rank.append(np.arange(1, len(kept[-1]) + 1))
+        if kept:
+            at = np.concatenate(kept)
+            yield pa.record_batch([pa.array(names, pa.int64()).take(pa.array(user[at])), pa.array(np.concatenate(rank), pa.int64()), pa.array(item[at]), pa.array(score[at])], ["user_id", "rnk", "cand", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, parts, size = [], [], 0           # of users so far; (user, item, score, seen) arrays, users by number
+
+        def added(parts: list) -> tuple[np.ndarray, ...]:
+            return _pair_sums(*[np.concatenate(x) for x in zip(*parts, strict=True)])
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            lists, nobody = batch.column("cands"), batch.column("user_id").is_null().to_numpy(zero_copy_only=False)
+            who = batch.column("user_id").fill_null(0).to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], (who[1:] != who[:-1]) | (nobody[1:] != nobody[:-1]))))
+            told = [None if nobody[k] else int(who[k]) for k in starts]
+            new = np.concatenate(([not names or names[-1] != told[0]], np.ones(len(starts) - 1, bool)))
+            code = np.repeat(np.cumsum(new) - 1, np.diff(np.append(starts, len(who)))) + len(names)
+            names += [x for x, fresh in zip(told, new, strict=True) if fresh]
+            many = lists.value_lengths().fill_null(0).to_numpy()
+            cands, scores = lists.flatten().to_numpy(), batch.column("scores").flatten().to_numpy()
+            parts += [(code, batch.column("sku_id").to_numpy(), np.zeros(len(who), np.int64), ~nobody),       # rows without a user have seen nothing
+                      (np.repeat(code, many), cands, scores, np.zeros(len(cands), bool))]
+            size += len(cands) + len(who)
+            if size >= _PAIRS:                   # the last user may go on
+                user, *rest = added(parts)
+                cut = int(np.searchsorted(user, len(names) - 1))
+                yield from best(names[:-1], user[:cut], *[x[:cut] for x in rest])
+                names, parts = names[-1:], [(user[cut:] * 0, *[x[cut:] for x in rest])]
+                size = len(user) - cut if 2 * (len(user) - cut) < _PAIRS else 0      # a user of very many items: as many again before the next sum
+        if names:
+            yield from best(names, *added(parts))
+
+    return run
+
+
 def user_topn_cf(history: DataFrame, item_sim: DataFrame, n: int = 20) -> DataFrame:
     """Item-item CF: score(u, j) = Σ_{i ∈ H(u)} sim(i, j), j ∉ H(u); top-n per user.
 
-    Partial sums are combined map-side by (user, item), in fixed point, so equal
-    sums tie whatever the order of their terms; the per-user top-n uses a
-    partial window group limit before its shuffle.
+    An item's neighbours travel to its users as packed lists (of ``_LIST`` at most), once; a task adds them up for some users at
+    a time and keeps n of each.  Sums are in fixed point, so equal sums tie whatever the order of their terms.
     """
-    h = history.select("user_id", "sku_id").distinct()
-    scored = (h.join(item_sim.select(F.col("sku1").alias("sku_id"), "sku2", "sim"), "sku_id")
-              .groupBy("user_id", F.col("sku2").alias("cand"))
-              .agg(F.sum(fixed(F.col("sim"))).alias("score")))
-    fresh = scored.join(h.select("user_id", F.col("sku_id").alias("cand")), ["user_id", "cand"], "left_anti")
-    top = top_n_per_group(fresh, "user_id", [F.col("score").desc(), F.col("cand").asc()], n)
+    h = history.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("sku_id").cast("bigint").alias("sku_id")).distinct()
+    sim = item_sim.where("sku1 is not null and sku2 is not null").select(F.col("sku1").cast("bigint").alias("sku_id"), F.col("sku2").cast("bigint").alias("sku2"), fixed(F.col("sim")).alias("score"))
+    lists = sim.groupBy("sku_id").agg(F.array_sort(F.collect_list(F.struct("score", "sku2"))).alias("all"))
+    lists = lists.select("sku_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("all"), F.lit(_LIST)), lambda k: F.slice("all", k, _LIST))).alias("all"))
+    met = (h.where("sku_id is not null").join(lists, "sku_id", "left").select("user_id", "sku_id", F.col("all.sku2").alias("cands"), F.col("all.score").alias("scores"))
+           .repartition("user_id").sortWithinPartitions("user_id"))
+    top = met.mapInArrow(_best_unseen(n), "user_id bigint, rnk bigint, cand bigint, score bigint")
     return top.select("user_id", "rnk", F.col("cand").alias("sku_id"), unfixed(F.col("score")).alias("score"))
 
 

@@ -156,3 +156,26 @@ def test_brand_scores_read_the_log_once(spark, tmp_path):
     assert {(r["user_id"], r["brand"]): round(r["score"], 6) for r in scores.collect()} == {(1, 7): 0.8, (1, 8): 0.0, (3, 9): 0.0}
     plan = scores._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize(("pairs", "cut"), [(1 << 21, 256), (50, 3), (400, 7)])
+def test_item_cf_adds_up_packed_lists(spark, monkeypatch, pairs, cut):
+    """Users that span sums, neighbours in several lists, ties, a row without user and items without neighbours; no shuffled row a (user, neighbour)."""
+    from cartwheel.operators import candidates as C
+    monkeypatch.setattr(C, "_PAIRS", pairs)
+    monkeypatch.setattr(C, "_LIST", cut)
+    rnd = __import__("random").Random(6)
+    history = [(rnd.choice([None, *range(12)]), rnd.choice([None, *range(30)])) for _ in range(300)]
+    sim = {(a, b): rnd.choice([0.5, 0.25, 0.1]) for a in range(25) for b in range(40) if a != b and rnd.random() < 0.5}
+    met = C.user_topn_cf(spark.createDataFrame(history, "user_id long, sku_id long"), spark.createDataFrame([(a, b, s) for (a, b), s in sim.items()], "sku1 long, sku2 long, sim double"), 5)
+    got = {(r["user_id"], r["rnk"]): (r["sku_id"], r["score"]) for r in met.collect()}
+    want = {}
+    for u in {x for x, _ in history}:
+        mine, score = {i for x, i in history if x == u and i is not None}, {}
+        for (a, b), s in sim.items():
+            if a in mine and (u is None or b not in mine):
+                score[b] = score.get(b, 0) + int(s * 2 ** 44)
+        for r, (b, s) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0]))[:5], 1):
+            want[u, r] = (b, s / 2 ** 44)
+    assert got == want
+    assert met._jdf.queryExecution().executedPlan().toString().count("Window") == 0
